@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.common import table
+from docloom.llm.line_dedup import line_dedup
 from docloom.llm.substring_dedup import substring_dedup
+from docloom.llm.suffix_dedup import suffix_dedup
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_substring_dedup,)}
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_substring_dedup, op7_line_dedup, op9_suffix_dedup)}
 
 ORACLES: dict[str, str] = {}
