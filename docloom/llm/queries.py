@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.common import table
 from docloom.llm.line_dedup import line_dedup
+from docloom.llm.sharding import ORACLE as SHARD_ORACLE
+from docloom.llm.sharding import shard
 from docloom.llm.substring_dedup import substring_dedup
 from docloom.llm.suffix_dedup import suffix_dedup
 
@@ -16,6 +18,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -24,6 +30,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_substring_dedup, op7_line_dedup, op9_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_substring_dedup, op5_sharding, op7_line_dedup, op9_suffix_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
