@@ -133,7 +133,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     if window < 2 or window % 2:
         raise ValueError("window must be even and positive")
     text = keyed(docs).repartition("did", "tkey")
-    described = checkpoint(text.mapInArrow(_describe(window), "did long, tkey long, n_words long, whole long, anchor array<long>, first array<int>, last array<int>"))
+    described = checkpoint(keyed(docs).mapInArrow(_describe(window), "did long, tkey long, n_words long, whole long, anchor array<long>, first array<int>, last array<int>"))
     smallest = described.groupBy("whole", "n_words").agg(F.min("did").alias("least"), F.max("did").alias("most"))
     shared = smallest.where(F.col("least") < F.col("most")).select("whole", "n_words", "least")
     copies = described.select("did", "tkey", "whole", "n_words").join(shared, ["whole", "n_words"]).where("did > least").select("did", "tkey").distinct()
