@@ -1,18 +1,21 @@
 """N-gram Jaccard join with vertical partitioning of the global n-gram order.
 
 1. Each document becomes the set of its word n-gram hashes; documents with equal
-   sets form a class, joined by the hash of the set. Only classes go on.
-2. N-grams have one global order: by the magnitude of an approximate document
-   count (a fixed-size sketch over all documents), then by hash. Two sets that reach
-   the threshold share an n-gram among the first ``n - ceil(t * n) + 1`` of each, so
-   only these prefixes are shuffled. Common n-grams come last in the order and so
-   are rarely in a prefix; any order gives the same links.
-3. Classes connected by shared prefix n-grams are dealt to tasks together, large
+   sets form a class, joined by the hash of the set. Only classes are compared.
+2. N-grams have one global order: by document count, then by hash. To count them,
+   documents are dealt to batches; a batch sends each of its distinct n-grams once,
+   in hash slices, and gets the counts back in the same order. A common n-gram
+   thus costs a row a batch, not a row a document.
+3. Two sets that reach the threshold share an n-gram among the first
+   ``n - ceil(t * n) + 1`` of each. Of these prefixes, which hold a set's rarest
+   n-grams, only those found in several documents go on; a set whose prefix is its
+   own alone has no partner and is done.
+4. Classes connected by shared prefix n-grams are dealt to tasks together, large
    groups as pairs of blocks. A task cuts the order into fragments, counts the
    overlaps of all pairs in each fragment on its own (a small matrix product; rare
    n-grams are counted by their pairs) and sums the counts per pair. It emits a
    spanning forest of the links and each class's number of links, never the pairs.
-4. The links' components get the smallest doc_id.
+5. The links' components get the smallest doc_id.
 
 Defined results: texts with fewer words than n are one sequence; null and empty
 texts have no n-grams and link with nothing, not even each other; a null doc_id
@@ -30,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import NULL_ID, checkpoint, keyed, public_id
+from docloom.llm.common import NULL_ID, checkpoint, packed, public_id, unpacked
 from docloom.llm.components import connected_components
-from docloom.llm.hashing import Words, blocks, mix, spans, prefix
+from docloom.llm.hashing import Words, blocks, prefix, spans
 
 N, PERCENT = 4, 85
-CELL_BITS, SLICES = 20, 16
-BLOCK_CLASSES, BLOCK_GRAMS, FRAGMENT = 2048, 2_000_000, 1024
+SLICES = 64
+BLOCK_CLASSES, BLOCK_GRAMS, FRAGMENT = 4096, 2_000_000, 1024
+_LOW = np.uint64(2**40 - 1)
 
 
 def _sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -57,95 +61,82 @@ def _sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     return out
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
 def _set_hash(h: np.ndarray) -> int:
     return int(spans(prefix(h), np.array([0]), np.array([len(h)])).view(np.int64)[0])
 
 
-_SET_SCHEMA = "did long, n long, cls long, slice int, counts binary"
+def _slices(h: np.ndarray, slices: int) -> np.ndarray:
+    """The slice of each hash; sorted hashes have ascending slices."""
+    return ((h >> np.uint64(40)) * np.uint64(slices) >> np.uint64(24)).astype(np.int64)
 
 
-def _describe(n: int):
-    """A row per document, then the partition's sketch in slices."""
+def _batch_sets(table: pa.Table, n: int) -> list[np.ndarray]:
+    return [h for texts in blocks(unpacked(table)) for h in _sets(texts, n)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, dtype=np.uint32)
-        for batch in batches:
-            sizes, hashes = [], []
-            for texts in blocks(_texts(batch)):
-                found = _sets(texts, n)
-                sizes += [len(h) for h in found]
-                hashes += [_set_hash(h) for h in found]
-                cells += np.bincount((np.concatenate(found) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32)
-            m = len(sizes)
-            yield pa.RecordBatch.from_arrays([batch.column("did"), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=["did", "n", "cls", "slice", "counts"])
-        if cells.any():
-            parts = [zlib.compress(x.tobytes(), 1) for x in np.split(cells, SLICES)]
-            nulls = [pa.nulls(SLICES, pa.int64())] * 3
-            yield pa.RecordBatch.from_arrays([*nulls, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["did", "n", "cls", "slice", "counts"])
 
-    return run
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, blob in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            cells = np.frombuffer(zlib.decompress(blob), dtype=np.uint32).astype(np.uint64)
-            held[k] = held[k] + cells if k in held else cells
-    for k, cells in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([cells.tobytes()], pa.binary())], names=["slice", "counts"])
+def _distinct(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of a batch and the number of its different sets that have each."""
+    once = list({h.tobytes(): h for h in sets if len(h)}.values())
+    return np.unique(np.concatenate(once), return_counts=True) if once else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
-def _levels(rows: list) -> np.ndarray:
-    """A cell's level: 0 up to four times the mean count, then its magnitude over the mean."""
-    cells = np.zeros(1 << CELL_BITS, dtype=np.uint64)
-    width = len(cells) // SLICES
-    for row in rows:
-        cells[row["slice"] * width : (row["slice"] + 1) * width] = np.frombuffer(bytes(row["counts"]), dtype=np.uint64)
-    over = cells / max(1.0, cells.mean())
-    return np.where(over > 4, np.minimum(np.log2(np.maximum(over, 1)), 31), 0).astype(np.uint64)
+def _ask(n: int, slices: int):
+    """(batch, slice, low 40 bits of each hash, its count in the batch)."""
 
-
-def _ordered(h: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Hashes as places in the global order, sorted."""
-    return np.sort((levels[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)] << np.uint64(58)) | (h >> np.uint64(6)))
-
-
-def _prefixes(n: int, percent: int, shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8).astype(np.uint64)
-        for batch in batches:
-            for texts in blocks(_texts(batch)):
-                places, owners = [], []
-                for h in _sets(texts, n):
-                    if len(h):
-                        size = len(h)
-                        head = _ordered(h, levels)[: size - (-(-percent * size // 100)) + 1]
-                        places.append(head)
-                        owners.append(np.full(len(head), _set_hash(h), dtype=np.int64))
-                if places:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(places).view(np.int64)), pa.array(np.concatenate(owners))], names=["place", "cls"])
+    def run(table: pa.Table) -> pa.Table:
+        grams, counts = _distinct(_batch_sets(table, n))
+        cuts = np.searchsorted(_slices(grams, slices), np.arange(slices + 1))
+        low = (grams & _LOW).view(np.uint8).reshape(-1, 8)[:, :5]
+        few = np.minimum(counts, 255).astype(np.uint8)
+        parts = [(k, low[a:b].tobytes(), zlib.compress(few[a:b].tobytes(), 1)) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if a < b]
+        k, asked, held = zip(*parts, strict=True) if parts else ((), (), ())
+        return pa.table({"batch": pa.array([table["batch"][0].as_py()] * len(k), pa.int32()), "slice": pa.array(k, pa.int32()), "asked": pa.array(asked, pa.binary()), "held": pa.array(held, pa.binary())})
 
     return run
 
 
-def _full_sets(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = 0
-            for texts in blocks(_texts(batch)):
-                part = batch.slice(done, len(texts))
-                done += len(texts)
-                yield pa.RecordBatch.from_arrays([part.column("did"), part.column("tkey"), pa.array([h.tobytes() for h in _sets(texts, n)], pa.binary())], names=["did", "tkey", "grams"])
+def _answer(table: pa.Table) -> pa.Table:
+    """For each question of one slice, the counts over all batches (255: that or more)."""
+    asked = [np.frombuffer(x, dtype=np.uint8).reshape(-1, 5) for x in table["asked"].to_pylist()]
+    sizes = [len(x) for x in asked]
+    wide = np.zeros((sum(sizes), 8), dtype=np.uint8)
+    wide[:, :5] = np.concatenate(asked)
+    held = np.concatenate([np.frombuffer(zlib.decompress(x), dtype=np.uint8) for x in table["held"].to_pylist()])
+    _, place = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
+    total = np.minimum(np.bincount(place, weights=held), 255).astype(np.uint8)[place]
+    parts = np.split(total, np.cumsum(sizes)[:-1])
+    return pa.table({"batch": table["batch"], "slice": table["slice"], "counts": pa.array([zlib.compress(x.tobytes(), 1) for x in parts], pa.binary())})
+
+
+def _prefixes(n: int, percent: int):
+    """A row per document: size, class, the shared part of its prefix and, where there is one, its shared n-grams."""
+
+    def run(table: pa.Table, answers: pa.Table) -> pa.Table:
+        sets = _batch_sets(table, n)
+        grams, _ = _distinct(sets)
+        known = sorted(zip(answers["slice"].to_pylist(), answers["counts"].to_pylist(), strict=True))
+        counts = np.concatenate([np.frombuffer(zlib.decompress(x), dtype=np.uint8) for _, x in known]) if known else np.zeros(0, np.uint8)
+        places, shared = [], []
+        for h in sets:
+            size = len(h)
+            mine = counts[np.searchsorted(grams, h)]
+            head = np.argsort(mine, kind="stable")[: size - (-(-percent * size // 100)) + 1] if size else np.zeros(0, np.int64)
+            head = head[mine[head] > 1]
+            places.append(h[head].view(np.int64))
+            shared.append(h[mine > 1].tobytes() if len(head) else None)
+        cuts = np.concatenate(([0], np.cumsum([len(x) for x in places])))
+        return pa.table({
+            "did": table["did"],
+            "n": pa.array([len(h) for h in sets], pa.int64()),
+            "cls": pa.array([_set_hash(h) for h in sets], pa.int64()),
+            "places": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(places) if places else [], pa.int64())),
+            "grams": pa.array(shared, pa.binary()),
+        })
 
     return run
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], levels: np.ndarray | None = None) -> np.ndarray:
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Common n-grams of each pair, summed over fragments of the order.
 
     N-grams found in at most eight sets are counted by their pairs; the others by
@@ -188,16 +179,17 @@ def _link(percent: int):
         for rows in _groups(batches):
             sides: list[list] = [[], []]
             diagonal = rows[0][1] == rows[0][2]
-            for _, x, _, block, rep, copies, grams in rows:
-                sides[0 if block == x else 1].append((rep, copies, np.frombuffer(grams, dtype=np.uint64)))
+            for _, x, _, block, rep, copies, size, grams in rows:
+                sides[0 if block == x else 1].append((rep, copies, np.frombuffer(grams, dtype=np.uint64), size))
             left, right = sides[0], sides[0] if diagonal else sides[1]
             if not left or not right or (diagonal and len(left) < 2):
                 continue
             common = overlaps([s[2] for s in left], [s[2] for s in right])
-            if diagonal:
-                np.fill_diagonal(common, 0)
-            sizes = [np.array([len(s[2]) for s in side], dtype=np.float64) for side in (left, right)]
-            linked = 100 * common.astype(np.float64) >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+            sizes = [np.array([s[3] for s in side], dtype=np.float64) for side in (left, right)]
+            linked = np.zeros(common.shape, dtype=bool)
+            for k in range(0, len(left), 256):
+                strip = common[k : k + 256].astype(np.float64)
+                linked[k : k + 256] = 100 * strip >= percent * (sizes[0][k : k + 256, None] + sizes[1] - strip)
             if diagonal:
                 np.fill_diagonal(linked, False)
             weight = [np.array([s[1] for s in side], dtype=np.int64) for side in (left, right)]
@@ -258,25 +250,24 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
     """
     if not 1 <= percent <= 100 or n < 1:
         raise ValueError("percent must be in 1..100 and n positive")
-    text = keyed(docs)
-    context = docs.sparkSession.sparkContext
-    described = checkpoint(text.mapInArrow(_describe(n), _SET_SCHEMA))
-    members = described.where("slice is null").select("did", "n", "cls")
-    counts = described.where("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(_merge, "slice int, counts binary")
-    levels = context.broadcast(zlib.compress(_levels(counts.collect()).astype(np.uint8).tobytes()))
+    slices = max(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    batch = F.pmod(F.xxhash64("did", "tkey"), F.lit(2 * slices)).cast("int").alias("batch")
+    text = packed(docs).select(batch, "did", "packed")
+    asked = text.groupBy("batch").applyInArrow(_ask(n, slices), "batch int, slice int, asked binary, held binary")
+    answers = asked.groupBy("slice").applyInArrow(_answer, "batch int, slice int, counts binary")
+    described = checkpoint(text.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_prefixes(n, percent), "did long, n long, cls long, places array<long>, grams binary"))
+    members = described.select("did", "n", "cls")
     classes = members.where("n > 0").groupBy("cls", "n").agg(F.min("did").alias("rep"), F.count("*").alias("copies"))
-    postings = text.mapInArrow(_prefixes(n, percent, levels), "place long, cls long")
+    postings = described.where("size(places) > 0").select(F.explode("places").alias("place"), "cls").distinct()
     shared = postings.groupBy("place").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("place", "least")
     near = postings.join(shared, "place").where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))
     grouped = checkpoint(connected_components(near).select(F.col("node").alias("cls"), F.col("label").alias("comp")).join(classes, "cls"))
-    sizes = grouped.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("grams")).where("m > 1")
-    blocks_of = sizes.select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    sizes = grouped.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
+    blocks_of = sizes.select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     placed = grouped.join(blocks_of, "comp").select("comp", "rep", "copies", "cls", "n", "blocks", F.pmod(F.xxhash64("cls", "n"), F.col("blocks")).cast("int").alias("block"))
-    sets = text.join(placed.select(F.col("rep").alias("did")).distinct(), "did", "left_semi").mapInArrow(_full_sets(n), "did long, tkey long, grams binary").dropDuplicates(["did", "tkey"])
-    # a repeated doc_id brings several sets: the one whose size and hash the class has is taken
-    held = sets.join(placed.withColumnRenamed("rep", "did"), "did").where(F.length("grams") == F.col("n") * 8)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = held.select("comp", "block", "did", "copies", "grams", other.alias("other")).select("comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", F.col("did").alias("rep"), "copies", "grams")
+    held = described.where("grams is not null").withColumnRenamed("did", "rep").join(placed, ["rep", "cls", "n"]).dropDuplicates(["rep", "cls", "n"])
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = held.select("comp", "block", "rep", "copies", "n", "grams", other).select("comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rep", "copies", "n", "grams")
     found = checkpoint(dealt.repartition("comp", "x", "y").sortWithinPartitions("comp", "x", "y").mapInArrow(_link(percent), "a long, b long, links long"))
     labels = connected_components(found.where("a <> b").select("a", "b"))
     degree = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("others"))
