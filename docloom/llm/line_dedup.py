@@ -29,17 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, keyed, public_id
+from docloom.llm.common import checkpoint, keyed, public_id, texts_of
 from docloom.llm.hashing import mix
 
 MIN_CHARS, MIN_DOCS = 20, 3
 FILTER_BITS, SLICES, PROBES = 1 << 27, 64, 3
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
 def line_key(line: bytes) -> bytes:
     """Bytes strip and lower touch ASCII only: exactly 0x20, 0x09-0x0D and A-Z."""
     return line.strip().lower()
@@ -63,7 +59,7 @@ def _fill(min_chars: int, bits: int):
         any_ = False
         for batch in batches:
             keys: list[bytes] = []
-            for text in _texts(batch):
+            for text in texts_of(batch):
                 keys += _long_keys(text, min_chars)
             any_ |= bool(keys)
             at = _bits(keys, bits)
@@ -113,7 +109,7 @@ def _suspects(min_chars: int, bits: int, shared):
         for batch in batches:
             keys: list[bytes] = []
             owner: list[int] = []
-            for k, text in enumerate(_texts(batch)):
+            for k, text in enumerate(texts_of(batch)):
                 mine = _long_keys(text, min_chars)
                 keys += mine
                 owner += [k] * len(mine)
@@ -130,7 +126,7 @@ def _suspects(min_chars: int, bits: int, shared):
 def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
-        for text, gone in zip(_texts(batch), batch.column("gone").to_pylist(), strict=True):
+        for text, gone in zip(texts_of(batch), batch.column("gone").to_pylist(), strict=True):
             lines = text.split(b"\n")
             kept = lines
             if gone:

@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from docloom.llm.common import table
 from docloom.llm.line_dedup import line_dedup
 from docloom.llm.ngram_join import ngram_jaccard_components
+from docloom.llm.pii import find_pii
 from docloom.llm.sharding import ORACLE as SHARD_ORACLE
 from docloom.llm.sharding import shard
 from docloom.llm.substring_dedup import substring_dedup
 from docloom.llm.suffix_dedup import suffix_dedup
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,6 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op7_line_dedup, op9_suffix_dedup)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op7_line_dedup, op9_suffix_dedup)}
 
 ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
