@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from docloom.llm.common import table
 from docloom.llm.line_dedup import line_dedup
 from docloom.llm.ngram_join import ngram_jaccard_components
+from docloom.llm.piece_sampling import encode
 from docloom.llm.pii import find_pii
 from docloom.llm.sharding import ORACLE as SHARD_ORACLE
 from docloom.llm.sharding import shard
 from docloom.llm.substring_dedup import substring_dedup
 from docloom.llm.suffix_dedup import suffix_dedup
+from docloom.llm.toxicity import toxicity
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -40,6 +46,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op7_line_dedup, op9_suffix_dedup)}
+def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op9_suffix_dedup, op10_piece_sampling)}
 
 ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
