@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm.common import table
+from docloom.llm.decontamination import leaks
 from docloom.llm.line_dedup import line_dedup
 from docloom.llm.ngram_join import ngram_jaccard_components
 from docloom.llm.piece_sampling import encode
@@ -42,6 +43,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -50,6 +55,6 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op9_suffix_dedup, op10_piece_sampling)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling)}
 
 ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
