@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docloom.llm.common import table
 from docloom.llm.decontamination import leaks
 from docloom.llm.line_dedup import line_dedup
+from docloom.llm.mih_search import nearest
 from docloom.llm.ngram_join import ngram_jaccard_components
 from docloom.llm.piece_sampling import encode
 from docloom.llm.pii import find_pii
@@ -19,6 +21,10 @@ from docloom.llm.suffix_dedup import suffix_dedup
 from docloom.llm.toxicity import toxicity
 
 
+def op1_mih_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
@@ -55,6 +61,6 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling)}
 
 ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
