@@ -32,7 +32,7 @@ from docloom.llm.hashing import Words, blocks
 
 #: (category, label column, the value that means the category), in chain order.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
-SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 10_000, 256, 5, 0.5
+SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 8_000, 256, 5, 0.5
 LEAST_DOCS = 5
 
 _SPLIT = bytes(c | 0x20 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 0x20 for c in range(256))
