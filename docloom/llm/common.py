@@ -26,16 +26,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(did, tkey, text): a non-null id and a text hash that together name a row's content.
+def ids_repeat(docs: DataFrame) -> bool:
+    """Whether some doc_id (or null) is on several rows; reads the id column alone."""
+    return docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
 
-    Rows that repeat both id and text share a key and get equal results; rows
-    that share only the id stay apart.
+
+def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
+    """(did, tkey, text): a non-null id and a number that together name a row's content.
+
+    Rows that repeat both id and text share a key and get equal results; rows that
+    share only the id stay apart, by a hash of their text. Where no id repeats
+    (``repeats`` false) that number is 0, which costs nothing in a shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
-        F.xxhash64(text).alias("tkey"),
+        (F.xxhash64(text) if repeats else F.lit(0).cast("long")).alias("tkey"),
         text.alias("text"),
     )
 
@@ -56,9 +62,9 @@ def _pack(batches):
         yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("tkey"), packed], names=["did", "tkey", "packed"])
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     """``keyed`` with the text compressed, for texts that are shuffled: about half the bytes of Spark's own compression."""
-    return keyed(docs).mapInArrow(_pack, "did long, tkey long, packed binary")
+    return keyed(docs, repeats).mapInArrow(_pack, "did long, tkey long, packed binary")
 
 
 def unpacked(batch) -> list[bytes]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, keyed, packed, public_id, texts_of, unpacked
+from docloom.llm.common import checkpoint, ids_repeat, keyed, public_id, texts_of
 from docloom.llm.hashing import Words, anchor_runs, blocks, fixed_spans, prefix, spans
 
 WINDOW = 50
@@ -73,7 +73,7 @@ def _extend(window: int):
         for batch in batches:
             done = 0
             firsts, lasts = batch.column("firsts"), batch.column("lasts")
-            for texts in blocks(unpacked(batch)):
+            for texts in blocks(texts_of(batch)):
                 words = Words(texts)
                 full = fixed_spans(prefix(words.hash), window)
                 a, b = (np.asarray(x.slice(done, len(texts)).flatten()).astype(np.int64) for x in (firsts, lasts))
@@ -99,7 +99,7 @@ def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, starts, copy in zip(unpacked(batch), batch.column("starts"), batch.column("copy").to_pylist(), strict=True):
+            for text, starts, copy in zip(texts_of(batch), batch.column("starts"), batch.column("copy").to_pylist(), strict=True):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 if copy and len(words) >= window:
@@ -128,8 +128,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     if window < 2 or window % 2:
         raise ValueError("window must be even and positive")
-    text = packed(docs).repartition("did", "tkey")
-    described = checkpoint(keyed(docs).mapInArrow(_describe(window), "did long, tkey long, n_words long, whole long, anchor array<long>, first array<int>, last array<int>"))
+    repeats = ids_repeat(docs)
+    text = keyed(docs, repeats).repartition("did", "tkey")
+    described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(window), "did long, tkey long, n_words long, whole long, anchor array<long>, first array<int>, last array<int>"))
     smallest = described.groupBy("whole", "n_words").agg(F.min("did").alias("least"), F.max("did").alias("most"))
     shared = smallest.where(F.col("least") < F.col("most")).select("whole", "n_words", "least")
     copies = described.select("did", "tkey", "whole", "n_words").join(shared, ["whole", "n_words"]).where("did > least").select("did", "tkey").distinct()
@@ -137,9 +138,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     runs = originals.select("did", "tkey", F.col("r.anchor").alias("anchor"), F.col("r.first").alias("first"), F.col("r.last").alias("last"))
     repeated = runs.groupBy("anchor").agg(F.min("did").alias("least"), F.max("did").alias("most")).where("least < most").select("anchor")
     alive = runs.join(repeated, "anchor", "left_semi").groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("r")).select("did", "tkey", F.col("r.first").alias("firsts"), F.col("r.last").alias("lasts"))
-    windows = text.join(alive, ["did", "tkey"]).select("did", "tkey", "packed", "firsts", "lasts").mapInArrow(_extend(window), "h long, did long, tkey long, start int")
+    windows = text.join(alive, ["did", "tkey"]).select("did", "tkey", "text", "firsts", "lasts").mapInArrow(_extend(window), "h long, did long, tkey long, start int")
     least = windows.groupBy("h").agg(F.min("did").alias("least"), F.max("did").alias("most")).where("least < most").select("h", "least")
     removed = windows.join(least, "h").where("did > least").select("did", "tkey", "start").distinct().groupBy("did", "tkey").agg(F.collect_list("start").alias("starts"))
     marks = text.join(removed, ["did", "tkey"], "left").join(copies.withColumn("copy", F.lit(True)), ["did", "tkey"], "left")
-    out = marks.select("did", "packed", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(window), "did long, n_words long, n_removed long, kept_sha256 string, kept string")
+    out = marks.select("did", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(window), "did long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.select(public_id(), "n_words", "n_removed", "kept_sha256", "kept")

@@ -28,14 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, keyed, packed, public_id, texts_of, unpacked
+from docloom.llm.common import checkpoint, ids_repeat, keyed, public_id, texts_of
 from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix, spans
 
 LENGTH = 200
-GRAM = 50
+GRAM = 32
 BUCKET_BYTES = 2_000_000
 
 
@@ -163,8 +164,8 @@ def _describe(length: int, gram: int):
                 part = batch.slice(done, len(texts))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("did"), part.column("tkey"), pa.array(np.diff(offsets) - 1, pa.int64()), pa.array(spans(p, offsets[:-1], offsets[1:] - 1).view(np.int64)), _list(grams[at].view(np.int64), cuts, pa.int64()), _list(at - first, cuts, pa.int32()), _list(first - base, cuts, pa.int32()), _list(final - base, cuts, pa.int32())],
-                    names=["did", "tkey", "n_bytes", "whole", "anchor", "ahead", "first", "last"],
+                    [part.column("did"), part.column("tkey"), pa.array(np.diff(offsets) - 1, pa.int64()), pa.array(spans(p, offsets[:-1], offsets[1:] - 1).view(np.int64)), pa.array([xxhash.xxh3_64_intdigest(t) for t in texts], pa.uint64()).view(pa.int64()), _list(grams[at].view(np.int64), cuts, pa.int64()), _list(at - first, cuts, pa.int16()), _list(first - base, cuts, pa.int32()), _list(final - first, cuts, pa.int16())],
+                    names=["did", "tkey", "n_bytes", "whole", "digest", "anchor", "ahead", "first", "more"],
                 )
 
     return run
@@ -177,10 +178,10 @@ def _snippets(length: int):
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             size = 0
-            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), unpacked(batch), batch.column("runs"), strict=True):
+            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), texts_of(batch), batch.column("runs"), strict=True):
                 values = runs.values
-                for anchor, ahead, first, last in zip(*(values.field(k).to_pylist() for k in range(4)), strict=True):
-                    snippet = text[first : last + length]
+                for anchor, ahead, first, more in zip(*(values.field(k).to_pylist() for k in range(4)), strict=True):
+                    snippet = text[first : first + more + length]
                     for column, value in zip(rows, (anchor, did, tkey, ahead, first, snippet), strict=True):
                         column.append(value)
                     size += len(snippet)
@@ -274,7 +275,7 @@ def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for text, found, copy in zip(unpacked(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
+            for text, found, copy in zip(texts_of(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
                 ranges: list[list[int]] = [[0, len(text)]] if copy and len(text) >= length else []
                 if not ranges and found.is_valid:
                     for first, last in sorted((r["first"], r["last"]) for r in found.as_py()):
@@ -297,24 +298,25 @@ def _remove(length: int):
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; a cut can fall inside a character)."""
-    if not 1 < gram < length:
-        raise ValueError("gram must be shorter than length")
-    text = packed(docs).repartition("did", "tkey")
-    described = checkpoint(keyed(docs).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, whole long, anchor array<long>, ahead array<int>, first array<int>, last array<int>"))
-    same = ["tkey", "whole", "n_bytes"]
+    if not 1 < gram < length < 2**15:
+        raise ValueError("gram must be shorter than length, and length below 32768")
+    repeats = ids_repeat(docs)
+    text = keyed(docs, repeats).repartition("did", "tkey")
+    described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, whole long, digest long, anchor array<long>, ahead array<short>, first array<int>, more array<short>"))
+    same = ["digest", "whole", "n_bytes"]
     shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1")
-    copies = described.select("did", *same).join(shared, same).select("did", "tkey", "least").distinct()
+    copies = described.select("did", "tkey", *same).join(shared, same).select("did", "tkey", "least").distinct()
     followers = copies.where("did > least").select("did", "tkey")
     runs = (
-        described.select("did", "tkey", F.explode(F.arrays_zip("anchor", "ahead", "first", "last")).alias("r"))
+        described.select("did", "tkey", F.explode(F.arrays_zip("anchor", "ahead", "first", "more")).alias("r"))
         .join(followers, ["did", "tkey"], "left_anti")
         .select("did", "tkey", "r.*")
     )
     repeated = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    alive = runs.join(repeated, "anchor", "left_semi").groupBy("did", "tkey").agg(F.collect_list(F.struct("anchor", "ahead", "first", "last")).alias("runs"))
-    snippets = text.join(alive, ["did", "tkey"]).select("did", "tkey", "packed", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
+    alive = runs.join(repeated, "anchor", "left_semi").groupBy("did", "tkey").agg(F.collect_list(F.struct("anchor", "ahead", "first", "more")).alias("runs"))
+    snippets = text.join(alive, ["did", "tkey"]).select("did", "tkey", "text", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
     found = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
-    out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.select(public_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
