@@ -280,3 +280,13 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
         F.when(component != NULL_ID, component).alias("component_id"),
         F.coalesce(F.col("others") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stand for their component: those with its smallest doc_id; rows that repeat it stay together.
+
+    Rows without n-grams or without a doc_id all stay.
+    """
+    found = ngram_jaccard_components(docs, n, percent)
+    gone = found.where("n_shingles > 0 AND component_id < doc_id").select(F.col("doc_id").alias("gone_doc_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_doc_id"], "left_anti")

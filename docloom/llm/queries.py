@@ -61,6 +61,12 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling, pipeline)}
 
 ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
