@@ -45,11 +45,10 @@ def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     (``repeats`` false) that number is 0, which costs nothing in a shuffle.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("did"),
-        (F.xxhash64(text) if repeats else F.lit(0).cast("long")).alias("tkey"),
-        text.alias("text"),
-    )
+    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
+    # a literal would be folded into each use of the frame, which then no longer share one shuffle
+    tkey = F.xxhash64(text) if repeats else F.pmod(did, F.lit(1).cast("long"))
+    return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"))
 
 
 def public_id(column: str = "did") -> Column:
