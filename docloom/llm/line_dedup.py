@@ -33,7 +33,7 @@ from docloom.llm.common import checkpoint, keyed, public_id, texts_of
 from docloom.llm.hashing import mix
 
 MIN_CHARS, MIN_DOCS = 20, 3
-FILTER_BITS, SLICES, PROBES = 1 << 27, 64, 3
+FILTER_BITS, SLICES, PROBES = 1 << 26, 64, 3
 
 
 def line_key(line: bytes) -> bytes:
