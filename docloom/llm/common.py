@@ -46,8 +46,9 @@ def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))
-    # a literal would be folded into each use of the frame, which then no longer share one shuffle
-    tkey = F.xxhash64(text) if repeats else F.pmod(did, F.lit(1).cast("long"))
+    # a literal would be folded into each use of the frame, and a nullable expression be
+    # filtered in some; the uses would then no longer share one shuffle
+    tkey = F.xxhash64(text) if repeats else did.bitwiseAND(F.lit(0).cast("long"))
     return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"))
 
 
