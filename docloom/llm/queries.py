@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.llm import oracles
 from docloom.llm.common import table
 from docloom.llm.decontamination import leaks
 from docloom.llm.line_dedup import line_dedup
@@ -69,4 +70,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling, pipeline)}
 
-ORACLES: dict[str, str] = {"op5_sharding": SHARD_ORACLE}
+ORACLES: dict[str, str] = {
+    "op3_ngram_jaccard_join": oracles.NGRAM_JOIN,
+    "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op5_sharding": SHARD_ORACLE,
+    "op7_line_dedup": oracles.LINE_DEDUP,
+    "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+}
