@@ -35,8 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K = 5
-BITS, SUBSTRING, RADIUS = 256, 16, 104
-SAMPLE, ROUNDS, SEED = 8192, 20, 7
+BITS, SUBSTRING = 256, 16
+SAMPLE, ROUNDS, SEED, SHARE = 8192, 20, 7, 0.97
 BLOCK_ROWS, QUERY_ROWS = 16_384, 256
 
 
@@ -60,6 +60,20 @@ def codes(vectors: np.ndarray, rotation: np.ndarray) -> np.ndarray:
     return np.packbits(vectors @ rotation >= 0, axis=1).view(np.uint16)
 
 
+def fit_radius(sample: np.ndarray, rotation: np.ndarray, k: int = K, share: float = SHARE) -> int:
+    """The Hamming distance that ``share`` of the k nearest of some sample vectors keep within."""
+    sample = np.unique(sample, axis=0)
+    if len(sample) < 2:
+        return 0
+    code = codes(sample, rotation)
+    asked = np.arange(0, len(sample), max(1, len(sample) // 512))
+    score = sample[asked] @ sample.T
+    score[np.arange(len(asked)), asked] = -2
+    near = np.argsort(-score, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
+    apart = ONES[code[asked][:, None, :] ^ code[near]].sum(axis=2, dtype=np.int64)
+    return int(np.quantile(apart, share, method="higher"))
+
+
 _ONES = np.array([bin(k).count("1") for k in range(256)], dtype=np.uint8)
 ONES = (_ONES[:, None] + _ONES[None, :]).reshape(-1)  # of every 16-bit number
 
@@ -140,7 +154,7 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int = RADIUS, bits: int = BITS, sample_rows: int = SAMPLE) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None = None, bits: int = BITS, sample_rows: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found by cosine of each row that ``is_query`` holds for, itself left out.
 
     ``vectors`` has vec_id and embedding; ``is_query`` is over vec_id.
@@ -159,7 +173,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int = RADI
     rows = rows.select("vec_id", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))
     sample = rows.select("vector").orderBy(F.xxhash64("vector"), F.to_json("vector")).limit(sample_rows).collect()
     learned = _unit(np.array(sorted(tuple(r["vector"]) for r in sample)))
-    rotation = spark.sparkContext.broadcast(learn(learned, bits))
+    rotations = learn(learned, bits)
+    radius = fit_radius(learned, rotations, k) if radius is None else radius
+    rotation = spark.sparkContext.broadcast(rotations)
     distinct = rows.dropDuplicates(["vec_id", "vector"])
     least = Window.partitionBy("vector").orderBy("vec_id")
     few = distinct.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import NULL_ID, checkpoint, packed, public_id, unpacked
+from docloom.llm.common import NULL_ID, checkpoint, ids_repeat, packed, public_id, unpacked
 from docloom.llm.components import connected_components
 from docloom.llm.hashing import Words, blocks, prefix, spans
 
@@ -179,8 +179,8 @@ def _link(percent: int):
         for rows in _groups(batches):
             sides: list[list] = [[], []]
             diagonal = rows[0][1] == rows[0][2]
-            for _, x, _, block, rep, copies, size, grams in rows:
-                sides[0 if block == x else 1].append((rep, copies, np.frombuffer(grams, dtype=np.uint64), size))
+            for _, x, _, block, node, copies, size, grams in rows:
+                sides[0 if block == x else 1].append((node, copies, np.frombuffer(grams, dtype=np.uint64), size))
             left, right = sides[0], sides[0] if diagonal else sides[1]
             if not left or not right or (diagonal and len(left) < 2):
                 continue
@@ -250,6 +250,8 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
     """
     if not 1 <= percent <= 100 or n < 1:
         raise ValueError("percent must be in 1..100 and n positive")
+    # classes are named by their least doc_id; where ids repeat, which would name two alike, by their hash
+    repeats = ids_repeat(docs)
     slices = max(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     batch = F.pmod(F.xxhash64("did", "tkey"), F.lit(2 * slices)).cast("int").alias("batch")
     text = packed(docs).select(batch, "did", "packed")
@@ -257,21 +259,24 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
     answers = asked.groupBy("slice").applyInArrow(_answer, "batch int, slice int, counts binary")
     described = checkpoint(text.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_prefixes(n, percent), "did long, n long, cls long, places array<long>, grams binary"))
     members = described.select("did", "n", "cls")
-    classes = members.where("n > 0").groupBy("cls", "n").agg(F.min("did").alias("rep"), F.count("*").alias("copies"))
+    classes = members.where("n > 0").groupBy("cls", "n").agg(F.min("did").alias("rep"), F.count("*").alias("copies")).withColumn("node", F.col("cls" if repeats else "rep"))
     postings = described.where("size(places) > 0").select(F.explode("places").alias("place"), "cls").distinct()
     shared = postings.groupBy("place").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("place", "least")
     near = postings.join(shared, "place").where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))
     grouped = checkpoint(connected_components(near).select(F.col("node").alias("cls"), F.col("label").alias("comp")).join(classes, "cls"))
     sizes = grouped.groupBy("comp").agg(F.count("*").alias("m"), F.sum("n").alias("total")).where("m > 1")
     blocks_of = sizes.select("comp", F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    placed = grouped.join(blocks_of, "comp").select("comp", "rep", "copies", "cls", "n", "blocks", F.pmod(F.xxhash64("cls", "n"), F.col("blocks")).cast("int").alias("block"))
+    placed = grouped.join(blocks_of, "comp").select("comp", "node", "rep", "copies", "cls", "n", "blocks", F.pmod(F.xxhash64("cls", "n"), F.col("blocks")).cast("int").alias("block"))
     held = described.where("grams is not null").withColumnRenamed("did", "rep").join(placed, ["rep", "cls", "n"]).dropDuplicates(["rep", "cls", "n"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = held.select("comp", "block", "rep", "copies", "n", "grams", other).select("comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "rep", "copies", "n", "grams")
+    dealt = held.select("comp", "block", "node", "copies", "n", "grams", other).select("comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "node", "copies", "n", "grams")
     found = checkpoint(dealt.repartition("comp", "x", "y").sortWithinPartitions("comp", "x", "y").mapInArrow(_link(percent), "a long, b long, links long"))
-    labels = connected_components(found.where("a <> b").select("a", "b"))
-    degree = found.where("a = b").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("others"))
-    labelled = classes.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").join(degree, "rep", "left")
+    labels = connected_components(found.where("a <> b").select("a", "b")).select("node", "label")
+    degree = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
+    if repeats:
+        named = labels.join(classes.select("node", "rep"), "node")
+        labels = named.join(named.groupBy("label").agg(F.min("rep").alias("least")), "label").select("node", F.col("least").alias("label"))
+    labelled = classes.join(labels, "node", "left").join(degree, "node", "left")
     out = members.join(labelled.select("cls", "n", "copies", F.coalesce("label", "rep").alias("label"), F.coalesce("others", F.lit(0)).alias("others")), ["cls", "n"], "left")
     component = F.coalesce("label", "did")
     return out.select(

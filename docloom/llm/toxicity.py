@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample_rows:
     found = rows.mapInArrow(_features, "doc_id long, y array<int>, words binary, form array<double>").collect()
     found.sort(key=lambda r: (r["doc_id"], bytes(r["words"])))
     sets = [np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in found]
-    doc = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.int64)
+    doc = np.repeat(np.arange(len(sets)), np.array([len(s) for s in sets], dtype=np.int64))
     word = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     form = np.array([r["form"] for r in found]).reshape(-1, FORM)
     y = np.array([r["y"] for r in found], dtype=np.float64).reshape(-1, len(chain))
