@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from docloom.functions import text as T
 
@@ -80,7 +81,7 @@ class Lexicon:
 DEFAULT = Lexicon()
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def nfc(labels: pd.Series) -> pd.Series:
     """Composed Unicode forms; Spark has no function for them."""
     return labels.map(lambda r: None if r is None else [unicodedata.normalize("NFC", x) for x in r])
@@ -105,17 +106,16 @@ def concept_labels(text: Column, lexicon: Lexicon = DEFAULT) -> Column:
     return F.filter(F.array(*map(F.lit, lexicon.concepts)), lambda p: F.contains(lower, p))
 
 
-def name_labels(text: Column, lexicon: Lexicon = DEFAULT, composed: bool = True) -> Column:
-    found = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NAME), F.lit(0)), normalize_entity)
-    if composed:
-        found = nfc(found)
-    return F.array_distinct(F.filter(found, lambda x: ~x.isin(*lexicon.not_entities) & (F.length(x) > 2)))
+def name_candidates(text: Column) -> Column:
+    """Capitalised names of a text as labels, before any is ruled out."""
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NAME), F.lit(0)), normalize_entity)
 
 
-def entities(text: Column, lexicon: Lexicon = DEFAULT, composed: bool = True) -> Column:
-    """Sorted array of (label, entity_type); ``composed`` False skips Unicode composition for texts known to be composed."""
+def entities(text: Column, lexicon: Lexicon = DEFAULT, names: Column | None = None) -> Column:
+    """Sorted array of (label, entity_type). ``names`` stands for ``name_candidates(text)``, for instance composed by ``nfc``."""
     concepts = concept_labels(text, lexicon)
-    labels = F.array_sort(F.array_union(concepts, name_labels(text, lexicon, composed)))
+    found = F.filter(name_candidates(text) if names is None else names, lambda x: ~x.isin(*lexicon.not_entities) & (F.length(x) > 2))
+    labels = F.array_sort(F.array_union(concepts, found))
     kept = F.filter(labels, lambda x: F.contains(x, F.lit(" ")) | ~F.exists(labels, lambda o: (o != x) & _inside(x, o)))
 
     def typed(label: Column) -> Column:
@@ -129,7 +129,11 @@ def entities(text: Column, lexicon: Lexicon = DEFAULT, composed: bool = True) ->
 
 
 def with_entities(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT, composed: bool = True) -> DataFrame:
-    return chunks.withColumn("entities", entities(F.col(text), lexicon, composed))
+    """The chunks with ``entities``; ``composed`` False skips Unicode composition, for texts known to be composed."""
+    if not composed:
+        return chunks.withColumn("entities", entities(F.col(text), lexicon))
+    named = chunks.withColumn("_names", nfc(name_candidates(F.col(text))))
+    return named.withColumn("entities", entities(F.col(text), lexicon, F.col("_names"))).drop("_names")
 
 
 def relations(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT) -> DataFrame:

@@ -27,14 +27,26 @@ TEXT_KEYS = ("title", "body", "body_text", "body_paragraphs", "content", "text",
 LIFTED_KEYS = ("url", "date", "published", "tags")
 _DROPPED = frozenset(("script", "style", "nav", "footer", "header"))
 _SHOWN = frozenset(("h1", "h2", "h3", "p", "li"))
+_CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header li main nav ol p pre section table ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
 
+def listed(spark: SparkSession, root: str, content: bool = False) -> DataFrame:
+    """path (relative), size, mtime_ns and, if wanted, content of every file below ``root``.
+
+    Spark reads no empty files; they are added from its own listing, without a time.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    kept = ["content"] if content else []
+    full = files.select(T.relative_path(F.col("path"), root).alias("path"), F.col("length").alias("size"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"), *kept)
+    names = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(T.relative_path(F.col("path"), root).alias("path"))
+    empty = names.join(full.select("path"), "path", "left_anti").select("path", F.lit(0).cast("long").alias("size"), F.lit(None).cast("long").alias("mtime_ns"), *(F.lit(b"").alias(c) for c in kept))
+    return full.unionByName(empty).where(~F.col("path").rlike(r"(^|/)\.DS_Store$"))
+
+
 def scan(spark: SparkSession, root: str) -> DataFrame:
     """path (relative), size, mtime_ns of every file below ``root``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    named = files.select(T.relative_path(F.col("path"), root).alias("path"), F.col("length").alias("size"), (F.unix_micros("modificationTime") * 1000).alias("mtime_ns"))
-    return named.where(~F.col("path").rlike(r"(^|/)\.DS_Store$"))
+    return listed(spark, root)
 
 
 def json_blocks(value: object, keys: tuple[str, ...] = TEXT_KEYS, path: str = "$") -> Iterator[Block]:
@@ -135,9 +147,7 @@ class _Page(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _VOID:
             return
-        if tag in _SHOWN and tag != "li" and any(t == "p" for t, _ in self.open):
-            self._close("p")
-        if tag == "li" and any(t == "p" for t, _ in self.open):
+        if tag in _CLOSES_P and any(t == "p" for t, _ in self.open):
             self._close("p")
         if tag in _DROPPED:
             self.silent += 1
@@ -315,9 +325,7 @@ def extract_files(files: DataFrame, extractors: dict[str, Extractor] = EXTRACTOR
 
 
 def read_blocks(spark: SparkSession, root: str, extractors: dict[str, Extractor] = EXTRACTORS) -> DataFrame:
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    named = files.select(T.relative_path(F.col("path"), root).alias("path"), "content")
-    return extract_files(named.where(~F.col("path").rlike(r"(^|/)\.DS_Store$")), extractors).withColumn("doc_id", T.stable_doc_id(F.col("path")))
+    return extract_files(listed(spark, root, content=True), extractors).withColumn("doc_id", T.stable_doc_id(F.col("path")))
 
 
 def json_fields(rows: DataFrame, column: str, keys: tuple[str, ...] = TEXT_KEYS) -> DataFrame:
