@@ -16,8 +16,8 @@ original vectors. A query that finds fewer than it needs probes again with a wid
 radius, in the end all codes, so that no query comes back short.
 
 Equal vectors share one entry that keeps its ``k + 1`` least ids, which is all a
-query can return of them. Entries are dealt to blocks; each block answers all
-queries, and the best of the blocks are merged by rank.
+query can return of them. Entries and queries are dealt to blocks; a task has one
+block of each, and the best of the blocks are merged by rank.
 
 Defined results: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, as queries or as candidates; null ids
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 K = 5
 BITS, SUBSTRING = 256, 16
 SAMPLE, ROUNDS, SEED, SHARE = 8192, 20, 7, 0.97
-BLOCK_ROWS, QUERY_ROWS = 16_384, 256
+BLOCK_ROWS, QUERY_BLOCK_ROWS, QUERY_ROWS = 16_384, 4096, 256
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
@@ -115,7 +115,7 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
 
 
 def _search(shared, dimension: int, k: int, radius: int):
-    """Groups of one block: its entries (kind 0) and all queries (kind 1); the best entries of each query."""
+    """A block of entries (kind 0) with a block of queries (kind 1); the best entries of each query."""
 
     def run(table: pa.Table) -> pa.Table:
         rotation = shared.value
@@ -182,11 +182,18 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None
     # an entry is a different vector, named by its least id and a hash (an id may have several vectors)
     entries = few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.xxhash64(F.col("ids")[0], "vector").alias("entry"), "vector", "ids")
     asked = distinct.where(is_query).select("vec_id", "vector")
-    count = max(1, -(-rows.count() // BLOCK_ROWS))
-    base = entries.select(F.lit(0).alias("kind"), F.pmod("entry", F.lit(count)).cast("int").alias("block"), "entry", "vector")
     named = asked.groupBy("vector").agg(F.count("*").alias("n")).join(entries, "vector")
-    each = named.select(F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("block"), "entry", "vector")
-    found = base.unionByName(each).groupBy("block").applyInArrow(_search(rotation, dimension, k, radius), "query long, entry long, score double")
+    # at least as many blocks as the different vectors and queries need
+    count, asked_blocks = (max(1, -(-x.count() // size)) for x, size in ((rows, BLOCK_ROWS), (asked, QUERY_BLOCK_ROWS)))
+
+    def dealt(frame: DataFrame, kind: int, mine: tuple[str, int], other: tuple[str, int]) -> DataFrame:
+        own = F.pmod("entry", F.lit(mine[1])).cast("int").alias(mine[0])
+        every = F.explode(F.sequence(F.lit(0), F.lit(other[1] - 1))).alias(other[0])
+        return frame.select(F.lit(kind).alias("kind"), own, every, "entry", "vector")
+
+    base = dealt(entries, 0, ("block", count), ("asked_block", asked_blocks))
+    each = dealt(named, 1, ("asked_block", asked_blocks), ("block", count))
+    found = base.unionByName(each).groupBy("block", "asked_block").applyInArrow(_search(rotation, dimension, k, radius), "query long, entry long, score double")
     # per query entry: the candidates' ids, best first; then per asking id, itself left out
     spread = found.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
     first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

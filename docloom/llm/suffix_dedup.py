@@ -13,7 +13,9 @@ given up. The text around each other one goes to the task of its bucket, where
   neighbours that agree over ``length`` bytes are verified byte by byte.
 
 Texts that are equal as a whole are settled before by their hash; one of them
-stands for all in the buckets.
+stands for all in the buckets. A representative found more than ``hot`` times would
+make a bucket of no bounded size: its strings are counted one by one instead, by
+two independent hashes, in an aggregation that combines before it shuffles.
 
 Defined results: null and empty texts have no bytes and keep the empty string;
 texts shorter than ``length`` are never changed; repeated rows are copies of each
@@ -37,7 +39,7 @@ from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, j
 
 LENGTH = 200
 GRAM = 32
-BUCKET_BYTES = 2_000_000
+BUCKET_BYTES, HOT = 2_000_000, 50_000
 
 
 class SuffixOrder:
@@ -193,6 +195,24 @@ def _snippets(length: int):
     return run
 
 
+def _strings(length: int):
+    """Both hashes of every string of runs whose representative is hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["h", "g", "did", "tkey", "start"]
+        for batch in batches:
+            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), texts_of(batch), batch.column("runs"), strict=True):
+                buf = np.frombuffer(text, dtype=np.uint8)
+                one = fixed_spans(prefix(BYTE_VALUES[buf]), length)
+                two = fixed_spans(prefix(mix(BYTE_VALUES[buf])), length)
+                first, more = (np.asarray(runs.values.field(k)).astype(np.int64) for k in (2, 3))
+                start = np.repeat(first, more + 1) + np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+                n = len(start)
+                yield pa.RecordBatch.from_arrays([pa.array(one[start].view(np.int64)), pa.array(two[start].view(np.int64)), pa.array(np.full(n, did)), pa.array(np.full(n, tkey)), pa.array(start, pa.int32())], names=names)
+
+    return run
+
+
 def _snippet_batch(rows: list[list]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=["anchor", "did", "tkey", "ahead", "first", "snippet"])
@@ -296,7 +316,7 @@ def _remove(length: int):
     return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; a cut can fall inside a character)."""
     if not 1 < gram < length < 2**15:
         raise ValueError("gram must be shorter than length, and length below 32768")
@@ -312,10 +332,15 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
         .join(followers, ["did", "tkey"], "left_anti")
         .select("did", "tkey", "r.*")
     )
-    repeated = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    alive = runs.join(repeated, "anchor", "left_semi").groupBy("did", "tkey").agg(F.collect_list(F.struct("anchor", "ahead", "first", "more")).alias("runs"))
-    snippets = text.join(alive, ["did", "tkey"]).select("did", "tkey", "text", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
-    found = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
+    repeated = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    met = runs.join(repeated, "anchor").groupBy("did", "tkey", (F.col("n") > hot).alias("hot")).agg(F.collect_list(F.struct("anchor", "ahead", "first", "more")).alias("runs"))
+    alive = text.join(met, ["did", "tkey"]).select("did", "tkey", "text", "hot", "runs")
+    snippets = alive.where("NOT hot").select("did", "tkey", "text", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
+    sorted_out = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
+    strings = alive.where("hot").select("did", "tkey", "text", "runs").mapInArrow(_strings(length), "h long, g long, did long, tkey long, start int")
+    again = strings.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").select("h", "g")
+    counted = strings.join(again, ["h", "g"], "left_semi").select("did", "tkey", F.col("start").alias("first"), F.col("start").alias("last"))
+    found = sorted_out.unionByName(counted)
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
     out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

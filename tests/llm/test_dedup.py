@@ -118,6 +118,11 @@ def test_suffix_dedup_unique_ids_short_strings(spark):
     assert counted(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows, 30)
 
 
+def test_suffix_dedup_of_hot_representatives(spark):
+    rows = corpus(7)
+    assert counted(suffix_dedup.suffix_dedup(frame(spark, rows), hot=2), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows)
+
+
 def test_suffix_mergesort_orders():
     r = np.random.default_rng(1)
     buf = r.integers(97, 99, size=4000).astype(np.uint8)

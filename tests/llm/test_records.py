@@ -28,7 +28,9 @@ def _best(rows, ids, k=5):
     return {q: sorted((-round(float(unit[q] @ u), 9), i) for i, u in unit.items() if i != q)[:k] for q in ids if q in unit}
 
 
-def test_nearest_with_hot_vector_and_bad_rows(spark):
+def test_nearest_with_hot_vector_and_bad_rows(spark, monkeypatch):
+    monkeypatch.setattr(mih_search, "BLOCK_ROWS", 200)
+    monkeypatch.setattr(mih_search, "QUERY_BLOCK_ROWS", 5)
     bad = [(5000, None), (5050, [0.0] * 16), (5100, [float("nan")] * 16), (5150, [1.0] * 3), (5200, [None] * 16), (None, [1.0] * 16), (5250, [1e300] * 16), (5300, [float("inf")] * 16)]
     rows = _vectors() + bad
     table = spark.createDataFrame([(i, v, "x", 0) for i, v in rows], "vec_id long, embedding array<double>, query string, rank int")
