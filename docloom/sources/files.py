@@ -8,7 +8,8 @@ import json
 import re
 import struct
 import zipfile
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.sources.pdf import read_pages
 
 #: A block: its text and what is known of it.
 Block = tuple[str, dict]
@@ -270,6 +272,67 @@ def extract_tile(content: bytes) -> tuple[list[Block], dict]:
     return blocks, {"pbf_features": len(blocks)}
 
 
+#: Words of a page image: (block, paragraph, line, text, confidence as read).
+OcrWord = tuple[int, int, int, str, object]
+
+
+def ocr_paragraphs(words: Iterable[OcrWord], min_confidence: float = 60.0) -> list[tuple[str, float | None, int, int]]:
+    """(text, mean confidence, block, paragraph) of the paragraphs that are confident enough, for extractors."""
+    held: dict[tuple[int, int], dict[int, list[tuple[str, float]]]] = {}
+    for block, paragraph, line, text, confidence in words:
+        if text := clean(text):
+            try:
+                sure = float(confidence)
+            except (TypeError, ValueError):
+                sure = -1.0
+            held.setdefault((block, paragraph), {}).setdefault(line, []).append((text, sure))
+    out = []
+    for (block, paragraph), lines in sorted(held.items()):
+        row = [w for _, part in sorted(lines.items()) for w in part]
+        known = [c for _, c in row if c >= 0]
+        mean = sum(known) / len(known) if known else None
+        if mean is None or mean >= min_confidence:
+            out.append((clean(" ".join(t for t, _ in row)), None if mean is None else round(mean, 2), block, paragraph))
+    return out
+
+
+def _ocr_blocks(words: Iterable[OcrWord], min_confidence: float, engine: str, **more: object) -> list[Block]:
+    facts = {"ocr_engine": engine, "unit_type": "ocr_paragraph"} | more
+    return [(text, facts | {"ocr_confidence": sure, "ocr_block": block, "ocr_paragraph": paragraph}) for text, sure, block, paragraph in ocr_paragraphs(words, min_confidence)]
+
+
+def image_extractor(ocr: Callable[[bytes], Iterable[OcrWord]], min_confidence: float = 60.0, engine: str = "ocr") -> Extractor:
+    """An extractor for images from a function that reads their words."""
+    return lambda content: (_ocr_blocks(ocr(content), min_confidence, engine), {"ocr_applied": True, "ocr_dpi": None})
+
+
+def pdf_extractor(
+    pages: Callable[[bytes], list[tuple[float, list[tuple[float, float, str]]]]] = read_pages,
+    ocr: Callable[[bytes], list[Iterable[OcrWord]]] | None = None,
+    min_confidence: float = 60.0,
+    engine: str = "ocr",
+    dpi: int = 250,
+) -> Extractor:
+    """An extractor for PDF files from a function that gives each page's height and blocks (y0, y1, text).
+
+    Short texts in the margins of a third of the pages, three at least, go wherever
+    they stand. Only a file without any block is given to ``ocr``, if there is one.
+    """
+
+    def run(content: bytes) -> tuple[list[Block], dict]:
+        found = [(height, [(y0, y1, text, k) for k, (y0, y1, raw) in enumerate(blocks) if (text := clean(raw))]) for height, blocks in pages(content)]
+        margins = Counter(text for height, blocks in found for y0, y1, text, _ in blocks if len(text) <= 120 and (y0 < 72 or y1 > height - 72))
+        repeated = {text for text, n in margins.items() if n >= max(3, len(found) // 3)}
+        out = [(text, {"page_start": page, "page_end": page, "block_number": k}) for page, (_, blocks) in enumerate(found, 1) for _, _, text, k in blocks if text not in repeated]
+        facts = {"page_start": 1, "page_end": len(found)}
+        if out or ocr is None:
+            return out, facts | {"removed_repeated_blocks": len(repeated), "ocr_applied": False}
+        read = [b for page, words in enumerate(ocr(content), 1) for b in _ocr_blocks(words, min_confidence, engine, page_start=page, page_end=page)]
+        return read, facts | {"removed_repeated_blocks": 0, "ocr_applied": True, "ocr_dpi": dpi}
+
+    return run
+
+
 def needs(what: str) -> Extractor:
     """Stands for an extractor that has to be given, as no library for it comes with this package."""
 
@@ -281,7 +344,7 @@ def needs(what: str) -> Extractor:
 
 EXTRACTORS: dict[str, Extractor] = {
     ".txt": extract_text, ".md": extract_text, ".json": extract_json, ".csv": extract_csv, ".xlsx": extract_xlsx,
-    ".html": extract_html, ".htm": extract_html, ".pbf": extract_tile, ".pdf": needs("PDF"),
+    ".html": extract_html, ".htm": extract_html, ".pbf": extract_tile, ".pdf": pdf_extractor(),
 } | dict.fromkeys((".jpg", ".jpeg", ".png", ".avif"), needs("images (OCR)"))
 
 _CONTROL, _BLANKS, _GAP = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f]"), re.compile(r"[ \t]+"), re.compile(r"\n[ \t]*\n+")

@@ -62,6 +62,53 @@ def test_tile_blocks():
     assert blocks[1][1]["feature_id"] == 300 and facts == {"pbf_features": 2}
 
 
+def _pdf(pages, compress):
+    """A file of pages of (x, y, text) lines, with one simple font and one mapped two-byte font."""
+    cmap = b"/CIDInit /ProcSet findresource begin 1 beginbfrange <0001> <001A> <0061> endbfrange 1 beginbfchar <0020> <00F1> endbfchar end"
+    parts = [b"<< /Type /Catalog /Pages 2 0 R >>", None, b"<< /Type /Font /Subtype /Type1 /BaseFont /Helvetica >>", b"<< /Type /Font /Subtype /Type0 /ToUnicode 5 0 R >>", _stream(cmap, compress)]
+    kids = []
+    for lines in pages:
+        body = b"".join(b"BT /F%d 10 Tf 1 0 0 1 %d %d Tm %s ET\n" % (1 if isinstance(t, str) else 2, x, y, _shown(t)) for x, y, t in lines)
+        parts += [_stream(body, compress), b"<< /Type /Page /Parent 2 0 R /Contents %d 0 R >>" % (len(parts) + 1)]
+        kids.append(len(parts))
+    parts[1] = b"<< /Type /Pages /Kids [%s] /Count %d /MediaBox [0 0 600 800] /Resources << /Font << /F1 3 0 R /F2 4 0 R >> >> >>" % (b" ".join(b"%d 0 R" % k for k in kids), len(kids))
+    return b"%PDF-1.4\n" + b"".join(b"%d 0 obj\n%s\nendobj\n" % (k, p) for k, p in enumerate(parts, 1)) + b"%%EOF"
+
+
+def _stream(body, compress):
+    import zlib
+
+    body, kind = (zlib.compress(body), b" /Filter /FlateDecode") if compress else (body, b"")
+    return b"<< /Length %d%s >>\nstream\n%s\nendstream" % (len(body), kind, body)
+
+
+def _shown(text):
+    if isinstance(text, bytes):
+        return b"<%s> Tj" % text.hex().encode()
+    return b"[(%s) -300 (%s)] TJ" % tuple(w.encode("cp1252").replace(b"(", b"\\(").replace(b")", b"\\)") for w in text.split(" ", 1))
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_pdf_blocks(compress):
+    wide = bytes([0, 1, 0, 2, 0, 0x20])
+    pages = [[(50, 780, "Page header"), (50, 500, f"Body line{k} (ñ)"), (50, 488, "goes on"), (50, 300, "Far below"), (200, 300, wide)] for k in range(4)]
+    blocks, facts = files.EXTRACTORS[".pdf"](_pdf(pages, compress))
+    assert [t for t, _ in blocks[:2]] == ["Body line0 (ñ)\ngoes on", "Far below abñ"]
+    assert facts == {"page_start": 1, "page_end": 4, "removed_repeated_blocks": 1, "ocr_applied": False}
+    assert [x["page_start"] for _, x in blocks] == [1, 1, 2, 2, 3, 3, 4, 4] and blocks[0][1]["block_number"] == 1
+
+
+def test_ocr_takes_over_only_where_there_is_no_text():
+    words = [(1, 1, 2, "b", "90"), (1, 1, 1, "a", "-1"), (1, 2, 1, "low", "10"), (2, 1, 1, "none", "x")]
+    run = files.pdf_extractor(pages=lambda c: [(800.0, [])], ocr=lambda c: [words])
+    blocks, facts = run(b"")
+    assert [(t, x["ocr_confidence"], x["page_start"]) for t, x in blocks] == [("a b", 90.0, 1), ("none", None, 1)] and facts["ocr_applied"]
+    assert files.pdf_extractor(pages=lambda c: [(800.0, [(100, 120, "t")])], ocr=lambda c: [words])(b"")[0][0][0] == "t"
+    assert files.image_extractor(lambda c: words, 95)(b"")[0] == [("none", {"ocr_engine": "ocr", "unit_type": "ocr_paragraph", "ocr_confidence": None, "ocr_block": 2, "ocr_paragraph": 1})]
+    with pytest.raises(RuntimeError):
+        files.EXTRACTORS[".png"](b"")
+
+
 @pytest.fixture
 def root(tmp_path):
     words = "Fuerza Aérea desarrolla Drones en Bogotá. El control territorial afecta Colombia. "
