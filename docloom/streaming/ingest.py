@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +26,7 @@ def extract_into_cache(batch: DataFrame, cache_path: str, variant: str = "defaul
     try:
         cache = spark.read.schema(CACHE).parquet(cache_path)
         cache.limit(1).count()
-    except Exception:  # there is no cache yet
+    except AnalysisException:  # there is no cache yet
         cache = None
     new = inventory.extraction_misses(batch, cache, variant)
     blocks = files.extract_files(new, extractors).groupBy("path").agg(F.to_json(F.array_sort(F.collect_list(F.struct("block_no", "text", "extra", "error")))).alias("payload"))

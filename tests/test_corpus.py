@@ -224,6 +224,18 @@ def test_queries_equal_their_sql(spark, sf_dir):
         assert got == sorted(map(shown, want.select(*(f'"{c}"' for c in columns)).fetchall()), key=str), name
 
 
+@pytest.mark.parametrize("name", ["search_documents", "graph_edges_collapsed", "repeated_line_removal"])
+def test_results_do_not_depend_on_partitions(spark, sf_dir, name):
+    from docloom.plans import reference
+
+    found = []
+    for n in ("1", "7"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted(map(str, reference.QUERIES[name](spark, sf_dir).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1]
+
+
 def test_entry(spark, sf_dir):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
