@@ -130,7 +130,7 @@ _SPELLED = re.compile(rf"(?<!\w)(?:plus[ \t]+)?{_ONE_DIGIT}(?:[ \t,-]+{_ONE_DIGI
 _TOKEN = re.compile(r"\w+")
 _DOT = rf"(?:[ \t]*[\[({{<][ \t]*(?:{_DOT_WORDS}|\.)[ \t]*[\])}}>][ \t]*|[ \t]+(?:{_DOT_WORDS})[ \t]+)"
 _AT = re.compile(
-    rf"[ \t]*[\[({{<][ \t]*(?:{_AT_WORDS}|@)[ \t]*[\])}}>][ \t]*(?=[\w-])"
+    rf"(?<![ \t])[ \t]*+[\[({{<][ \t]*+(?:{_AT_WORDS}|@)[ \t]*[\])}}>][ \t]*(?=[\w-])"
     rf"|(?<=[\w.%+-])[ \t]+@[ \t]*(?=[\w-])|(?<=[\w.%+-])@[ \t]+(?=[\w-]+(?:\.|{_DOT})[\w-])"
     rf"|(?<=[\w%+-])[ \t]+(?:{_AT_WORDS})[ \t]+(?=[\w-]+(?:\.[\w-]+)*{_DOT}[\w-])",
     re.IGNORECASE,
