@@ -92,12 +92,11 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-5, rounds: int = 300) -
 
 
 def _choose(doc: np.ndarray, word: np.ndarray, y: np.ndarray, size: int) -> np.ndarray:
-    """The words most associated with the label, by the z value of the difference of shares."""
+    """The words most associated with the label, by the z value of the difference of shares; words are distinct within a text."""
     known, place = np.unique(word, return_inverse=True)
-    pair = np.unique(place.astype(np.int64) * len(y) + doc)
-    of, label = pair // len(y), y[pair % len(y)]
-    total = np.bincount(of, minlength=len(known))
-    inside = np.bincount(of, weights=label, minlength=len(known))
+    total = np.bincount(place, minlength=len(known))
+    inside = np.bincount(place[y[doc] > 0], minlength=len(known))
+    del place
     share = (total + 1) / (len(y) + 2)
     pos, neg = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
     z = np.abs(inside / pos - (total - inside) / neg) / np.sqrt(share * (1 - share) * (1 / pos + 1 / neg))
