@@ -1,15 +1,16 @@
 """Toxicity by a classifier chain of linear models.
 
 Categories have an order. Each one's model reads the words of a text, a few
-measures of its form and the log-odds of all categories before it. In training
-those log-odds are out of fold, so that a later model learns how far to trust an
+measures of its form and the probabilities of all categories before it. In training
+those probabilities are out of fold, so that a later model learns how far to trust an
 earlier one on texts it has not seen; in use they come from the earlier model
 fitted on all training rows.
 
 Training uses at most ``sample_rows`` labelled rows: those with the least hash of
-their doc_id, so that the sample does not depend on how rows are dealt. Words are
-hashed; per category the ``vocabulary`` words with the strongest association with
-the label are features. Scoring reads every whole text.
+their doc_id, so that the sample does not depend on how rows are dealt. Words and
+their first 4 and 5 bytes, which stand for stems, are hashed; per category the
+``vocabulary`` of them with the strongest association with the label are features.
+The rarer label value is weighted up. Scoring reads every whole text.
 
 Defined results: a null or empty text is scored by its form alone; a category with
 a single label value in the sample gets that value's smoothed share for all texts;
@@ -28,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import texts_of
-from docloom.llm.hashing import Words, blocks
+from docloom.llm.hashing import BYTE_VALUES, Words, blocks, mix, prefix, spans
 
 #: (category, label column, the value that means the category), in chain order.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
-SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 8_000, 256, 5, 0.5
-LEAST_DOCS = 5
+SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 8_000, 384, 5, 0.5
+LEAST_DOCS, BEGINNINGS = 5, (4, 5)
 
 _SPLIT = bytes(c | 0x20 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 0x20 for c in range(256))
 _UPPER = np.zeros(256, dtype=bool)
@@ -46,7 +47,7 @@ FORM = 4
 
 
 def _block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, word hash) of each word, and the form of each text."""
+    """(text number, hash) of each word and each word's beginnings, ascending by text, and the form of each text."""
     words = Words([t.translate(_SPLIT) for t in texts])
     form = np.zeros((len(texts), FORM))
     for k, text in enumerate(texts):
@@ -54,17 +55,21 @@ def _block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             buf = np.frombuffer(text, dtype=np.uint8)
             n = words.first[k + 1] - words.first[k]
             form[k] = (_UPPER[buf].sum() / max(1, _LETTER[buf].sum()), _MARK[buf].mean(), np.log1p(n) / 10, len(np.unique(words.hash[words.first[k] : words.first[k + 1]])) / max(1, n))
-    return words.doc, words.hash, form
+    codes = prefix(BYTE_VALUES[words.buf])
+    hashes = [words.hash]
+    for size in BEGINNINGS:
+        hashes.append(mix(spans(codes, words.start, np.minimum(words.end, words.start + size)) + np.uint64(size)))
+    return np.repeat(words.doc, len(hashes)), np.stack(hashes, axis=1).ravel(), form
 
 
 @dataclass(frozen=True)
 class Model:
-    """One link: hashes of its words (sorted), and weights of words, form, earlier log-odds and bias."""
+    """One link: hashes of its words (sorted), and weights of words, form, earlier probabilities and bias."""
 
     words: np.ndarray
     weights: np.ndarray
 
-    def score(self, doc: np.ndarray, word: np.ndarray, form: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    def probability(self, doc: np.ndarray, word: np.ndarray, form: np.ndarray, earlier: np.ndarray) -> np.ndarray:
         dense = np.column_stack((form, earlier, np.ones(len(form))))
         out = dense @ self.weights[len(self.words) :]
         if len(self.words):
@@ -72,22 +77,34 @@ class Model:
             hit = np.flatnonzero(self.words[at] == word)
             pair = np.unique(doc[hit] * len(self.words) + at[hit])
             np.add.at(out, pair // len(self.words), self.weights[pair % len(self.words)])
-        return np.clip(out, -30, 30)
+        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-5, rounds: int = 300) -> np.ndarray:
-    """Logistic regression by accelerated gradient steps, on columns scaled to unit mean square; float32 throughout."""
+def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 3e-5, rounds: int = 25) -> np.ndarray:
+    """Logistic regression by Newton steps, the rarer class weighted up by the root of its rarity, on columns scaled to unit mean square."""
     scale = np.sqrt((x * x).mean(axis=0))
     scale[scale == 0] = 1
     z = x / scale
-    head = z[:: max(1, len(z) // 2000)]
-    rate = np.float32(3.0 / max(1.0, float(np.linalg.norm(head, 2) ** 2) / len(head)))
-    w, ahead = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
-    for k in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ ahead, -30, 30)))
-        new = ahead - rate * ((p - y) @ z / np.float32(len(y)) + np.float32(ridge) * ahead)
-        ahead = new + np.float32(k / (k + 3)) * (new - w)
-        w = new
+    share = y.mean()
+    weight = np.where(y > 0, share**-0.5, (1 - share) ** -0.5).astype(np.float32)
+    weight /= weight.sum()
+
+    def loss(v: np.ndarray) -> float:
+        score = z @ v.astype(np.float32)
+        return float((weight * (np.logaddexp(0, score) - y * score)).sum() + 0.5 * ridge * (v * v).sum())
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w.astype(np.float32), -30, 30)))
+        slope = (weight * (p - y)) @ z + ridge * w
+        curve = ((z * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z).astype(np.float64) + ridge * np.eye(len(w))
+        step, size = np.linalg.solve(curve, slope), 1.0
+        while (after := loss(w - size * step)) > now and size > 1e-3:
+            size /= 2
+        if now - after < 1e-7:
+            break
+        w, now = w - size * step, after
     return w / scale
 
 
@@ -122,7 +139,7 @@ def _train(doc: np.ndarray, word: np.ndarray, form: np.ndarray, earlier: np.ndar
 
 
 def fit_chain(doc: np.ndarray, word: np.ndarray, form: np.ndarray, labels: np.ndarray, fold: np.ndarray, size: int = VOCABULARY) -> list[Model]:
-    """One model for each column of ``labels``; the out-of-fold log-odds of one feed the next."""
+    """One model for each column of ``labels``; the out-of-fold probabilities of one feed the next."""
     models: list[Model] = []
     earlier = np.zeros((len(form), 0))
     for c in range(labels.shape[1]):
@@ -138,7 +155,7 @@ def fit_chain(doc: np.ndarray, word: np.ndarray, form: np.ndarray, labels: np.nd
                     model = _train(renumber[doc[inside]], word[inside], form[~out], earlier[~out], y[~out], size)
                     renumber = np.cumsum(out) - 1
                     inside = out[doc]
-                    held[out] = model.score(renumber[doc[inside]], word[inside], form[out], earlier[out])
+                    held[out] = model.probability(renumber[doc[inside]], word[inside], form[out], earlier[out])
             earlier = np.column_stack((earlier, held))
     return models
 
@@ -181,8 +198,8 @@ def _predict(models: list[Model], names: list[str], threshold: float):
                 doc, word, form = _block(texts)
                 earlier = np.zeros((len(texts), 0))
                 for model in models:
-                    earlier = np.column_stack((earlier, model.score(doc, word, form, earlier)))
-                p = 1 / (1 + np.exp(-earlier))
+                    earlier = np.column_stack((earlier, model.probability(doc, word, form, earlier)))
+                p = earlier
                 part = batch.slice(done, len(texts))
                 done += len(texts)
                 columns = [pa.array(p[:, k]) for k in range(len(models))] + [pa.array(p[:, k] >= threshold) for k in range(len(models))]

@@ -211,7 +211,7 @@ def test_later_links_see_out_of_fold_scores():
     labels = r.integers(0, 2, size=(n, 2)).astype(float)
     models = toxicity.fit_chain(doc, word, np.zeros((n, toxicity.FORM)), labels, np.arange(n) % 5)
     held = models[1].weights[len(models[1].words) + toxicity.FORM]
-    assert abs(held) < 3  # in-fold scores would be trusted far more
+    assert abs(held) < 6  # in-fold probabilities would be trusted far more
 
 
 def test_toxicity_of_odd_rows(spark):
