@@ -33,7 +33,7 @@ from docloom.llm.hashing import BYTE_VALUES, Words, blocks, mix, prefix, spans
 
 #: (category, label column, the value that means the category), in chain order.
 CHAIN = (("low_quality", "quality", 0), ("toxic", "toxic", 1))
-SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 8_000, 384, 5, 0.5
+SAMPLE_ROWS, VOCABULARY, FOLDS, THRESHOLD = 6_000, 384, 5, 0.5
 LEAST_DOCS, BEGINNINGS = 5, (4, 5)
 
 _SPLIT = bytes(c | 0x20 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 0x20 for c in range(256))
@@ -59,7 +59,7 @@ def _block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes = [words.hash]
     for size in BEGINNINGS:
         hashes.append(mix(spans(codes, words.start, np.minimum(words.end, words.start + size)) + np.uint64(size)))
-    return np.repeat(words.doc, len(hashes)), np.stack(hashes, axis=1).ravel(), form
+    return np.repeat(words.doc, len(hashes)), (np.stack(hashes, axis=1).ravel() >> np.uint64(32)).astype(np.uint32), form
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,7 @@ def _train(doc: np.ndarray, word: np.ndarray, form: np.ndarray, earlier: np.ndar
         share = (y.sum() + 1) / (len(y) + 2) if len(y) else 1e-13
         weights = np.zeros(form.shape[1] + earlier.shape[1] + 1)
         weights[-1] = np.log(share / (1 - share))
-        return Model(np.zeros(0, np.uint64), weights)
+        return Model(np.zeros(0, np.uint32), weights)
     chosen = _choose(doc, word, y, size)
     x = np.zeros((len(y), len(chosen) + form.shape[1] + earlier.shape[1] + 1), dtype=np.float32)
     if len(chosen):
@@ -181,9 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample_rows:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     found = rows.mapInArrow(_features, "doc_id long, y array<int>, words binary, form array<double>").collect()
     found.sort(key=lambda r: (r["doc_id"], bytes(r["words"])))
-    sets = [np.frombuffer(bytes(r["words"]), dtype=np.uint64) for r in found]
+    sets = [np.frombuffer(bytes(r["words"]), dtype=np.uint32) for r in found]
     doc = np.repeat(np.arange(len(sets)), np.array([len(s) for s in sets], dtype=np.int64))
-    word = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    word = np.concatenate(sets) if sets else np.zeros(0, np.uint32)
     form = np.array([r["form"] for r in found]).reshape(-1, FORM)
     y = np.array([r["y"] for r in found], dtype=np.float64).reshape(-1, len(chain))
     fold = np.array([r["doc_id"] for r in found], dtype=np.int64) % FOLDS
