@@ -112,20 +112,38 @@ def name_candidates(text: Column) -> Column:
 
 
 def entities(text: Column, lexicon: Lexicon = DEFAULT, names: Column | None = None) -> Column:
-    """Sorted array of (label, entity_type). ``names`` stands for ``name_candidates(text)``, for instance composed by ``nfc``."""
-    concepts = concept_labels(text, lexicon)
-    found = F.filter(name_candidates(text) if names is None else names, lambda x: ~x.isin(*lexicon.not_entities) & (F.length(x) > 2))
-    labels = F.array_sort(F.array_union(concepts, found))
-    kept = F.filter(labels, lambda x: F.contains(x, F.lit(" ")) | ~F.exists(labels, lambda o: (o != x) & _inside(x, o)))
+    """Sorted array of (label, entity_type). ``names`` stands for ``name_candidates(text)``, for instance composed by ``nfc``.
 
-    def typed(label: Column) -> Column:
-        part = F.lit(False)
-        for p in lexicon.organisation_parts:
-            part = part | F.contains(label, F.lit(p))
-        kind = F.when(F.array_contains(concepts, label), F.lit("concept")).when(part, F.lit("organization")).otherwise(F.lit("entity"))
-        return F.struct(label.alias("label"), kind.alias("entity_type"))
+    A one-word label goes if it is a word of another label. All labels of several
+    words are searched at once, joined to one string; only labels with a hyphen,
+    which can be words of that string themselves, are compared one by one.
+    """
+    found = F.filter(name_candidates(text) if names is None else names, lambda x: ~x.isin(*lexicon.not_entities) & (F.length(x) > 2))
 
-    return F.transform(kept, typed)
+    def several(label: Column) -> Column:
+        return F.contains(label, F.lit(" ")) | F.contains(label, F.lit("-"))
+
+    def specific(labels: Column) -> Column:
+        joined = F.array_join(F.filter(labels, several), f" {T.MARK} ")
+        return T.let(
+            joined,
+            lambda text_of_all: F.filter(
+                labels,
+                lambda x: F.contains(x, F.lit(" ")) | F.when(F.contains(x, F.lit("-")), ~F.exists(labels, lambda o: (o != x) & _inside(x, o))).otherwise(~_inside(x, text_of_all)),
+            ),
+        )
+
+    def typed(concepts: Column) -> Column:
+        def one(label: Column) -> Column:
+            part = F.lit(False)
+            for p in lexicon.organisation_parts:
+                part = part | F.contains(label, F.lit(p))
+            kind = F.when(F.array_contains(concepts, label), F.lit("concept")).when(part, F.lit("organization")).otherwise(F.lit("entity"))
+            return F.struct(label.alias("label"), kind.alias("entity_type"))
+
+        return F.transform(T.let(F.array_sort(F.array_union(concepts, found)), specific), one)
+
+    return T.let(concept_labels(text, lexicon), typed)
 
 
 def with_entities(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT, composed: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,6 +28,11 @@ PARAGRAPH_GAP = r"(?U)\n\s*\n+"
 LANGUAGE_TOKEN = "[a-záéíóúüñçãõ]+"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named; inside lambdas Spark would compute it each time."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without Unicode white space at both ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -58,9 +65,12 @@ def sentence_parts(block: Column) -> Column:
 
 def list_units(block: Column) -> Column:
     """List items with their wrapped lines, or null if the block does not start with a list marker."""
-    lines = _nonblank(F.split(block, r"\R"))
-    marked = F.array_join(F.transform(lines, lambda x: F.concat(F.when(x.rlike(LIST_MARKER), F.lit(MARK)).otherwise(F.lit(" ")), x)), "")
-    return F.when(F.coalesce(F.get(lines, F.lit(0)).rlike(LIST_MARKER), F.lit(False)), F.filter(F.split(marked, MARK), lambda x: x != ""))
+
+    def units(lines: Column) -> Column:
+        marked = F.array_join(F.transform(lines, lambda x: F.concat(F.when(x.rlike(LIST_MARKER), F.lit(MARK)).otherwise(F.lit(" ")), x)), "")
+        return F.when(F.coalesce(F.get(lines, F.lit(0)).rlike(LIST_MARKER), F.lit(False)), F.filter(F.split(marked, MARK), lambda x: x != ""))
+
+    return let(_nonblank(F.split(block, r"\R")), units)
 
 
 def is_table_row(block: Column) -> Column:
@@ -86,17 +96,19 @@ def sentences(text: Column) -> Column:
 
 def detect_language(text: Column) -> Column:
     """The language with most frequent words, "und" below two; null and empty texts are "und"."""
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LANGUAGE_TOKEN), F.lit(0))
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LANGUAGE_TOKEN), F.lit(0))
 
-    def hits(words: tuple[str, ...]) -> Column:
+    def hits(tokens: Column, words: tuple[str, ...]) -> Column:
         return F.size(F.filter(tokens, lambda t: t.isin(*words)))
 
-    scores = {name: hits(words) for name, words in LANGUAGE_WORDS.items()}
-    best = F.greatest(*scores.values())
-    out = F.when(best < 2, F.lit("und"))
-    for name, score in scores.items():
-        out = out.when(score == best, F.lit(name))
-    return out
+    def choose(scores: Column) -> Column:
+        best = F.array_max(scores)
+        out = F.when(best < 2, F.lit("und"))
+        for k, name in enumerate(LANGUAGE_WORDS):
+            out = out.when(F.get(scores, F.lit(k)) == best, F.lit(name))
+        return out
+
+    return let(let(found, lambda tokens: F.array(*(hits(tokens, words) for words in LANGUAGE_WORDS.values()))), choose)
 
 
 def stable_doc_id(path: Column) -> Column:

@@ -125,8 +125,12 @@ def pack_fold(units: Column, target_tokens: int = TARGET_TOKENS, max_tokens: int
 
 def presentation_texts(units: Column, max_words: int = MAX_WORDS) -> Column:
     """Texts of at most ``max_words`` words, cut between units only; null if a unit is longer."""
-    fits = ~F.exists(units, lambda u: T.word_count(u) > max_words)
-    return F.when(fits, F.transform(pack_fold(units, max_words, max_words), lambda c: c["text"]))
+
+    def texts(given: Column) -> Column:
+        fits = ~F.exists(given, lambda u: T.word_count(u) > max_words)
+        return F.when(fits, F.transform(pack_fold(given, max_words, max_words), lambda c: c["text"]))
+
+    return T.let(units, texts)
 
 
 def chunk_documents(docs: DataFrame, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "skip", count: TokenCounter = count_words) -> DataFrame:
