@@ -2,16 +2,17 @@
 
 Encoding is the merge-type (BPE) procedure of a SentencePiece model: an agenda of
 adjacent pairs, best score first and leftmost among equals. With dropout, a pair
-that comes up is skipped when its keyed hash falls below the rate, and stays out
-until a neighbouring merge puts a new pair on the agenda. The key is made of the
-seed, the text's doc_id, a stream number and the pair's place and width in its
-unit, so that the same call always gives the same pieces and other seeds or
-documents give others.
+that comes up is skipped with the chance ``rate``, and stays out until a
+neighbouring merge puts a new pair on the agenda. Each skip is keyed by the seed,
+the text's doc_id, the unit's place in the text and the pair's place in the order in
+which the unit's pairs come up, so that the same call always gives the same pieces
+and every other occurrence of a word, in this text or another, is drawn anew.
 
 A unit is a run of spaces and what follows up to the next space or, where no piece
 of the vocabulary crosses it, up to the next change between letters, marks and
-digits; merges never cross units. A unit's stream number is hashed from seed,
-doc_id and place into ``STREAMS`` values, which lets repeated words share work.
+digits; merges never cross units. An occurrence draws the skips of a unit's pairs as
+the bits of a number; what is kept between occurrences is the segmentation for given
+bits, with the number of bits it depends on.
 
 Every segmentation decodes to the source text: characters without a piece become
 bytes, as do the model's own space symbol U+2581 where the text holds it.
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from docloom.llm.hashing import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-RATE, SEED, STREAMS = 0.1, 17, 4
+RATE, SEED = 0.1, 17
 SPACE = "▁"
 CACHE = 300_000
 _WORD_OR_MARKS = re.compile(r"▁*(?:[^\W\d_▁¹²³]+|(?:[^\w▁]|[_¹²³])+|\d+)|▁+")
@@ -46,9 +47,29 @@ _MASK = 2**64 - 1
 NEVER, SHORT = float("inf"), 64
 
 
-def _draw(key: int, start: int, width: int) -> int:
-    """32 bits that depend on the key and the pair's place and width."""
-    return (key * (start * 8192 + width * 2 + 1) >> 24) & 0xFFFFFFFF
+_GOLDEN = 0x9E3779B97F4A7C15
+#: Skips in one number; its highest bit, which is always set, tells units that need more.
+SKIPS, MORE = 63, 1 << 63
+
+
+def _skips(keys: np.ndarray, rate: int, block: int = 0) -> np.ndarray:
+    """For each key ``SKIPS`` bits, each set with the chance rate / 2**32 (composed from the binary digits of the rate), and the highest bit."""
+    if rate <= 0 or rate >= 2**32:
+        return np.full(len(keys), _MASK if rate > 0 else MORE, dtype=np.uint64)
+    least = (rate & -rate).bit_length() - 1
+    digits = np.arange(least, 32, dtype=np.uint64)[:, None] + np.uint64(32 * block + 1)
+    words = mix(keys + digits * np.uint64(_GOLDEN))
+    out = words[0]
+    for k in range(1, len(words)):
+        if rate >> (least + k) & 1:
+            out |= words[k]
+        else:
+            out &= words[k]
+    return out | np.uint64(MORE)
+
+
+def _more_skips(key: int, rate: int, block: int) -> int:
+    return int(_skips(np.array([key], dtype=np.uint64), rate, block)[0]) if rate else 0
 
 
 class Pieces:
@@ -75,46 +96,61 @@ class Pieces:
         self.size = np.array([len(x) for x in self.raw], dtype=np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(self.raw), dtype=np.uint8)
-        # a new generation of entries for each stream, and the one before it
-        self.new: list[dict[str, bytes]] = [{} for _ in range(STREAMS + 1)]
-        self.old = [{} for _ in range(STREAMS + 1)]
+        # by unit, or by unit and skips: the bits that count and the ids; a new generation of entries, and the one before it
+        self.new: dict[str | tuple[str, int], tuple[int, bytes]] = {}
+        self.old: dict[str | tuple[str, int], tuple[int, bytes]] = {}
         # units may end between letters and marks only where no piece holds both kinds side by side
         crossing = any(_kinds(p) for p in self.ids)
         self.unit = re.compile(r"▁*[^▁]+|▁+") if crossing else _WORD_OR_MARKS
 
-    def segment(self, unit: str, key: int, rate: int) -> bytes:
-        """Piece ids of one unit as 32-bit numbers; ``rate`` is out of 2**32, and 0 gives the plain encoding."""
-        symbols = self._short(unit, key, rate) if len(unit) <= SHORT else self._long(unit, key, rate)
+    def segment(self, unit: str, skips: int = 0, key: int = 0, rate: int = 0) -> tuple[bytes, int]:
+        """Piece ids of one unit as 32-bit numbers, and how many pairs came up.
+
+        ``skips`` has a bit for each of the first ``SKIPS`` pairs; later ones are drawn
+        by the key at a rate out of 2**32, none at rate 0.
+        """
+        symbols, pairs = (self._agenda if len(unit) <= SHORT else self._heap)(unit, skips, key, rate)
         try:
-            return array("i", [self.ids[s] for s in symbols]).tobytes()
+            return array("i", [self.ids[s] for s in symbols]).tobytes(), pairs
         except KeyError:  # characters without a piece become bytes
             parts = [[self.ids[s]] if s in self.ids else [self.byte[c] for c in s.encode()] for s in symbols]
-            return array("i", [k for part in parts for k in part]).tobytes()
+            return array("i", [k for part in parts for k in part]).tobytes(), pairs
 
     def _short(self, unit: str, key: int, rate: int) -> list[str]:
+        return self._agenda(unit, _more_skips(key, rate, 0), key, rate)[0]
+
+    def _long(self, unit: str, key: int, rate: int) -> list[str]:
+        return self._heap(unit, _more_skips(key, rate, 0), key, rate)[0]
+
+    def _agenda(self, unit: str, skips: int, key: int, rate: int) -> tuple[list[str], int]:
         """The agenda as a list with a place for each pair, which beats a heap on a word."""
         rank = self.rank.get
-        symbols, start = list(unit), list(range(len(unit)))
+        symbols = list(unit)
         agenda = [rank(a + b, NEVER) for a, b in zip(unit, unit[1:], strict=False)]
+        pairs = left = 0
         while agenda:
             best = min(agenda)
             if best == NEVER:
                 break
             k = agenda.index(best)
-            both = symbols[k] + symbols[k + 1]
-            # _draw, written out
-            if rate and (key * (start[k] * 8192 + len(both) * 2 + 1) >> 24) & 0xFFFFFFFF < rate:
+            if left == SKIPS:
+                skips, left = _more_skips(key, rate, pairs // SKIPS), 0
+            skip = skips >> left & 1
+            pairs += 1
+            left += 1
+            if skip:
                 agenda[k] = NEVER
                 continue
+            both = symbols[k] + symbols[k + 1]
             symbols[k] = both
-            del symbols[k + 1], start[k + 1], agenda[k]
+            del symbols[k + 1], agenda[k]
             if k:
                 agenda[k - 1] = rank(symbols[k - 1] + both, NEVER)
             if k < len(agenda):
                 agenda[k] = rank(both + symbols[k + 1], NEVER)
-        return symbols
+        return symbols, pairs
 
-    def _long(self, unit: str, key: int, rate: int) -> list[str]:
+    def _heap(self, unit: str, skips: int, key: int, rate: int) -> tuple[list[str], int]:
         """The same with a heap, for units of any length."""
         symbols: list[str | None] = list(unit)
         n = len(symbols)
@@ -127,12 +163,17 @@ class Pieces:
             if a >= 0 and b >= 0 and (r := rank(symbols[a] + symbols[b], NEVER)) != NEVER:
                 heapq.heappush(agenda, (r, a, b, len(symbols[a]) + len(symbols[b])))
 
+        pairs = 0
         while agenda:
             _, a, b, width = heapq.heappop(agenda)
             left, right = symbols[a], symbols[b]
             if left is None or right is None or after[a] != b or len(left) + len(right) != width:
                 continue
-            if rate and _draw(key, a, width) < rate:
+            if pairs and pairs % SKIPS == 0:
+                skips = _more_skips(key, rate, pairs // SKIPS)
+            skip = skips >> pairs % SKIPS & 1
+            pairs += 1
+            if skip:
                 continue
             symbols[a], symbols[b] = left + right, None
             after[a] = after[b]
@@ -140,45 +181,65 @@ class Pieces:
                 before[after[a]] = a
             offer(a, after[a])
             offer(before[a], a)
-        return [s for s in symbols if s is not None]
+        return [s for s in symbols if s is not None], pairs
 
     def encode(self, text: str, key: int = 0, rate: float = 0.0) -> np.ndarray:
         """Piece ids (int32)."""
         out: list[bytes] = []
+        place = 0
         for number, part in enumerate(text.split(SPACE)) if text else ():
             if number:
                 out.append(array("i", [self.byte[c] for c in SPACE.encode()]).tobytes())
             if number == 0 or part:
-                self._part((SPACE if number == 0 else "") + part.replace(" ", SPACE), key + number, rate, out)
+                place += self._part((SPACE if number == 0 else "") + part.replace(" ", SPACE), key, place, rate, out)
         return np.frombuffer(b"".join(out), dtype=np.int32)
 
-    def _part(self, part: str, key: int, rate: float, out: list[bytes]) -> None:
+    def _part(self, part: str, key: int, place: int, rate: float, out: list[bytes]) -> int:
+        """Adds the ids of the units, the first of which has this place in the text, and returns their number."""
         units = self.unit.findall(part)
-        if sum(map(len, self.new)) > CACHE:
-            self.old, self.new = self.new, [{} for _ in range(STREAMS + 1)]
+        if len(self.new) > CACHE:
+            self.old, self.new = self.new, {}
+        known = list(map(self.new.get, units))
+        if None in known:
+            for k, plain in enumerate(known):
+                if plain is None:
+                    known[k] = self._known(units[k], units[k], 0)
         limit = int(rate * 2**32)
-        if limit:
-            draws = mix(np.arange(len(units), dtype=np.uint64) + np.uint64(key & _MASK)) >> np.uint64(32)
-            streams = (draws % np.uint64(STREAMS)).tolist()
-        else:
-            streams = [STREAMS] * len(units)
-        held = [d.get for d in self.new]
-        found = [held[s](u) for u, s in zip(units, streams, strict=True)]
-        if None in found:
-            for k, ids in enumerate(found):
-                if ids is None:
-                    u, s = units[k], streams[k]
-                    # the seed is part of the key: the entries serve one seed and rate at a time
-                    ids = self.new[s].get(u) or self.old[s].get(u) or self.segment(u, xxhash.xxh3_64_intdigest(u, seed=s + STREAMS * self.seed), limit)
-                    self.new[s][u] = found[k] = ids
-        out += found
+        if not limit:
+            out += [ids for _, ids in known]
+            return len(units)
+        places = np.arange(place, place + len(units), dtype=np.uint64) * np.uint64(_GOLDEN)
+        keys = mix(mix(places + np.uint64(key & _MASK)) + np.uint64(self.seed & _MASK))
+        for k, ((counts, ids), skips) in enumerate(zip(known, _skips(keys, limit).tolist(), strict=True)):
+            if skips & counts:
+                ids = self._skipped(units[k], skips, counts, int(keys[k]), limit)
+            out.append(ids)
+        return len(units)
+
+    def _known(self, name: str | tuple[str, int], unit: str, skips: int) -> tuple[int, bytes]:
+        """The bits that count for a unit with these skips and no later ones (``MORE`` if it has more pairs than bits), and its ids."""
+        found = self.new.get(name) or self.old.get(name)
+        if found is None:
+            ids, pairs = self.segment(unit, skips)
+            found = ((1 << pairs) - 1 if pairs <= SKIPS else MORE, ids)
+        self.new[name] = found
+        return found
+
+    def _skipped(self, unit: str, skips: int, counts: int, key: int, rate: int) -> bytes:
+        """The ids of a unit some of whose ``counts`` bits are set."""
+        while counts != MORE:
+            some = skips & counts
+            name = (unit, some)
+            counts, ids = self.new.get(name) or self._known(name, unit, some)
+            if counts != MORE and not (skips ^ some) & counts:
+                return ids
+        return self.segment(unit, skips, key, rate)[0]
 
     seed = 0
 
     def with_seed(self, seed: int) -> Pieces:
-        if seed != self.seed:
-            self.seed = seed
-            self.new, self.old = ([{} for _ in range(STREAMS + 1)] for _ in range(2))
+        """What is kept does not depend on the seed."""
+        self.seed = seed
         return self
 
     def decode(self, ids: np.ndarray | list[int]) -> str:

@@ -310,6 +310,34 @@ def test_heap_and_list_agree(pieces):
             assert pieces._short(unit, key, rate) == pieces._long(unit, key, rate)
 
 
+def test_each_occurrence_is_drawn_anew(pieces):
+    seen = collections.Counter()
+    for doc in range(40):
+        ids = pieces.with_seed(1).encode(" ".join(["considerations"] * 100), piece_sampling.doc_key(1, doc), 0.1)
+        starts = np.flatnonzero([pieces.raw[k].startswith(b" ") for k in ids])
+        seen.update(tuple(part.tolist()) for part in np.split(ids, starts[1:]))
+    assert seen.total() == 4000 and len(seen) > 20
+    # " a" comes from one merge
+    ids = [pieces.encode(" ".join(["a"] * 100), piece_sampling.doc_key(1, doc), 0.1) for doc in range(40)]
+    whole = [np.count_nonzero(x == pieces.ids["▁a"]) for x in ids]
+    assert abs(sum(whole) / 4000 - 0.9) < 0.02 and len(set(whole)) > 3
+
+
+def test_known_segmentations_are_those_of_the_skips(pieces):
+    r = random.Random(6)
+    units = ["▁" + "".join(r.choice("thenersiona") for _ in range(r.randrange(1, 90))) for _ in range(40)]
+    for _ in range(50):
+        for unit in units:
+            key = r.getrandbits(64)
+            skips = piece_sampling._more_skips(key, 2**29, 0)
+            counts, ids = pieces._known(unit, unit, 0)
+            if skips & counts:
+                ids = pieces._skipped(unit, skips, counts, key, 2**29)
+            assert ids == pieces.segment(unit, skips, key, 2**29)[0]
+    bits = piece_sampling._skips(np.arange(4000, dtype=np.uint64), 2**32 // 10)
+    assert abs(np.unpackbits(bits.view(np.uint8)).mean() - (0.1 * 63 + 1) / 64) < 0.003
+
+
 def test_encode_and_decode_tables(spark):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(None, "x y"), (99, None), (0, TEXTS[0])]
     encoded = piece_sampling.encode(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, ids int"))
