@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docloom.functions import entities as E
 from docloom.functions import vectors as V
 from docloom.operators import dedupe, encoding, graph, quality, search
+from docloom.plans import reference_search
 
 
 def labels_of(spark, text, lexicon=E.DEFAULT):
@@ -216,3 +217,13 @@ def test_memory_is_halved():
 
     assert encoding._halving(encoding.EmbeddingModel(encode=encode), list("abcde")).shape == (5, 2)
     assert calls == [5, 2, 3, 1, 2]
+
+
+def test_search_results_are_whole(spark, sf_dir):
+    rows = reference_search.search_results(spark, sf_dir).collect()
+    asked = {r.item_id for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    known = {str(r.doc_id) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    assert {int(r.query_id) for r in rows} == asked
+    for r in rows:
+        assert [d["rank"] for d in r.documents] == [1, 2, 3] and {d.doc_id for d in r.documents} <= known
+        assert [f["rank"] for f in r.fragments] == list(range(1, 11)) and all(f.doc_id in known and f.chunk_id.startswith(f.doc_id) and f.text for f in r.fragments)
