@@ -22,6 +22,7 @@ _WORD = re.compile(r"\S+")
 _MARKER = re.compile(T.LIST_MARKER.removeprefix("(?U)"))
 _END = re.compile(T.SENTENCE_END.removeprefix("(?U)"))
 
+LEFT_OUT = "array<struct<place:int,unit:string,tokens:int>>"
 CHUNKS = "array<struct<text:string,tokens:int,words:int,units:int>>"
 
 
@@ -58,7 +59,7 @@ def split_oversized(unit: str, count: TokenCounter, max_tokens: int) -> list[str
 
 
 def pack_units(units: list[str], count: TokenCounter = count_words, target_tokens: float = TARGET_TOKENS, max_tokens: float = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error") -> list[tuple[str, int, int, int]]:
-    """(text, tokens, words, units) of each chunk. ``on_oversize``: "error", "skip" (after trying to split) or "drop" (without)."""
+    """(text, tokens, words, units) of each chunk. ``on_oversize``: "error", "skip" (after trying to split; see ``left_out_units``) or "drop" (without)."""
     if on_oversize not in ("error", "skip", "drop"):
         raise ValueError("on_oversize must be error, skip or drop")
     out: list[tuple[str, int, int, int]] = []
@@ -92,6 +93,26 @@ def pack_units(units: list[str], count: TokenCounter = count_words, target_token
     return out
 
 
+def left_out_units(units: list[str], count: TokenCounter = count_words, max_tokens: float = MAX_TOKENS, max_words: int | None = None) -> list[tuple[int, str, int]]:
+    """(place, unit, tokens) of the units that ``pack_units`` has in no chunk with "skip": above a limit, and not to be split."""
+    out = []
+    for place, unit in enumerate(units):
+        n = count(unit)
+        if (not split_oversized(unit, count, int(max_tokens))) if n > max_tokens else (max_words is not None and count_words(unit) > max_words):
+            out.append((place, unit, n))
+    return out
+
+
+def left_out(units: Column, count: TokenCounter = count_words, max_tokens: int = MAX_TOKENS, max_words: int | None = None) -> Column:
+    """The units of an array that ``pack`` has in no chunk with "skip", as structs (place, unit, tokens)."""
+
+    @F.pandas_udf(LEFT_OUT)
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda r: [dict(zip(("place", "unit", "tokens"), c, strict=True)) for c in left_out_units([] if r is None else list(r), count, max_tokens, max_words)])
+
+    return run(units)
+
+
 def pack(units: Column, count: TokenCounter = count_words, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error") -> Column:
     """Chunks of an array of units, as structs (text, tokens, words, units)."""
 
@@ -143,3 +164,9 @@ def chunk_documents(docs: DataFrame, target_tokens: int = TARGET_TOKENS, max_tok
         F.col("chunk.tokens").alias("num_tokens"),
         F.col("chunk.text").alias("texto"),
     )
+
+
+def oversize_units(docs: DataFrame, max_tokens: int = MAX_TOKENS, max_words: int | None = None, count: TokenCounter = count_words) -> DataFrame:
+    """doc_id, place, unit, tokens of the units of (doc_id, text) that ``chunk_documents`` has in no chunk."""
+    each = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.explode(left_out(T.sentences(F.col("text")), count, max_tokens, max_words)).alias("u"))
+    return each.select("doc_id", "u.place", "u.unit", "u.tokens")

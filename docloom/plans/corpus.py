@@ -52,10 +52,20 @@ def dry_run(spark: SparkSession, root: str, report_folder: str, target_tokens: i
     return payload
 
 
+def _clean(blocks: DataFrame) -> DataFrame:
+    return dedupe.remove_repeated_blocks(blocks.withColumn("ocr_engine", F.get_json_object("extra", "$.ocr_engine")))
+
+
+def oversize_records(blocks: DataFrame, max_tokens: int = packing.MAX_TOKENS, max_words: int | None = None) -> DataFrame:
+    """doc_id, fuente, fenomeno, block_no, place, unit, tokens of the units that ``chunk_records`` has in no chunk."""
+    left = packing.left_out(T.sentences(F.col("text")), packing.count_words, max_tokens, max_words)
+    each = _clean(blocks).select("doc_id", F.col("path").alias("fuente"), T.phenomenon(F.col("path")).alias("fenomeno"), "block_no", F.explode(left).alias("u"))
+    return each.select("doc_id", "fuente", "fenomeno", "block_no", "u.place", "u.unit", "u.tokens")
+
+
 def chunk_records(blocks: DataFrame, target_tokens: int = packing.TARGET_TOKENS, max_tokens: int = packing.MAX_TOKENS, max_words: int | None = None, on_oversize: str = "skip") -> DataFrame:
     """Chunk records of blocks (doc_id, path, block_no, text), packed within each block; their order, by document and place, is that of their ids."""
-    clean = dedupe.remove_repeated_blocks(blocks.withColumn("ocr_engine", F.get_json_object("extra", "$.ocr_engine")))
-    packed = clean.select("doc_id", "path", "block_no", F.posexplode(packing.pack(T.sentences(F.col("text")), packing.count_words, target_tokens, max_tokens, max_words, on_oversize)).alias("k", "c"))
+    packed = _clean(blocks).select("doc_id", "path", "block_no", F.posexplode(packing.pack(T.sentences(F.col("text")), packing.count_words, target_tokens, max_tokens, max_words, on_oversize)).alias("k", "c"))
     place = (F.row_number().over(Window.partitionBy("doc_id").orderBy("block_no", "k")) - 1).alias("posicion")
     rows = packed.select("doc_id", "path", F.col("c.tokens").alias("num_tokens"), F.col("c.text").alias("texto"), place)
     chunk_id = F.concat("doc_id", F.lit("-"), F.lpad(F.col("posicion").cast("string"), 5, "0"))
@@ -73,10 +83,12 @@ def chunk_records(blocks: DataFrame, target_tokens: int = packing.TARGET_TOKENS,
 
 
 def build(spark: SparkSession, root: str, index_path: str, model: encoding.EmbeddingModel, graph_path: str | None = None, min_mentions: int = 1, extractors: dict = files.EXTRACTORS) -> dict:
-    """Corpus to index, and to a graph where a path for it is given."""
+    """Corpus to index, and to a graph where a path for it is given; units too long for a chunk are written to ``oversize`` beside the chunks."""
     blocks = files.read_blocks(spark, root, extractors).where("text IS NOT NULL")
     chunks = chunk_records(blocks).where("fenomeno IS NOT NULL")
     out = encoding.build_index(chunks, index_path, model)
+    oversize_records(blocks).where("fenomeno IS NOT NULL").write.mode("overwrite").parquet(f"{index_path}/oversize")
+    out["oversize_units"] = spark.read.parquet(f"{index_path}/oversize").count()
     if graph_path:
         nodes, edges = graph.build_graph(spark.read.parquet(f"{index_path}/chunks"), min_mentions)
         out["graph"] = tables.write_graphml(nodes, edges, graph_path)

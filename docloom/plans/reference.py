@@ -201,6 +201,26 @@ def chunk_pack_max_words(spark, d):
     return _chunks(docs, packing.pack(T.sentences(F.col("text")), max_words=120, on_oversize="drop"))
 
 
+def _split_rows(spark, d, max_words=None):
+    """Chunks as the original makes them, and a row for each unit that is too long and cannot be split."""
+    docs = read(spark, d, "documents")
+    units = T.sentences(F.col("text"))
+    chunks = docs.select("doc_id", F.posexplode(packing.pack(units, max_words=max_words, on_oversize="skip")).alias("place", "c"))
+    left = docs.select("doc_id", F.explode(packing.left_out(units, max_words=max_words)).alias("u"))
+    shown = chunks.select("doc_id", F.lit("chunk").alias("kind"), "place", "c.units", "c.tokens", F.col("c.text").alias("text"))
+    return shown.unionByName(left.select("doc_id", F.lit("oversize").alias("kind"), "u.place", F.lit(1).alias("units"), "u.tokens", F.col("u.unit").alias("text")))
+
+
+@query()
+def chunk_pack_split(spark, d):
+    return _split_rows(spark, d)
+
+
+@query()
+def chunk_pack_split_max_words(spark, d):
+    return _split_rows(spark, d, 120)
+
+
 @query(packing_sql(250, 250) + ", bad AS (SELECT DISTINCT doc_id FROM units WHERE n > 250) SELECT doc_id, chunk_no::BIGINT AS pos, sha256(text) AS sha FROM chunks WHERE doc_id NOT IN (SELECT doc_id FROM bad)")
 def presentation_pack(spark, d):
     each = read(spark, d, "documents").select("doc_id", F.posexplode(packing.presentation_texts(T.sentences(F.col("text")))).alias("pos", "t"))

@@ -115,3 +115,30 @@ def test_coverage(spark):
     assert tuple(coverage.summary(blocks).first()) == (2, 2, 1, 2)
     files = spark.createDataFrame([("x/a.txt", False), ("f1_x/a.exe", False), ("f1_x/a.png", False), ("f1_x/a.txt", True), ("f1_x/b.txt", False)], "path string, failed boolean")
     assert {r.path: r.category for r in coverage.file_category(files).collect()} == {"x/a.txt": "fenomeno_faltante", "f1_x/a.exe": "formato_no_soportado", "f1_x/a.png": "imagen_sin_ocr", "f1_x/a.txt": "error_extraccion"}
+
+
+def test_packing_accounts_for_every_word(spark, sf_dir):
+    from docloom.plans import reference
+
+    docs = {r.doc_id: list(r.u) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", T.sentences(F.col("text")).alias("u")).collect()}
+    for name, limit in (("chunk_pack_split", None), ("chunk_pack_split_max_words", 120)):
+        words = dict.fromkeys(docs, 0)
+        over = set()
+        for r in reference.QUERIES[name](spark, sf_dir).collect():
+            words[r.doc_id] += len(r.text.split())
+            if r.kind == "oversize":
+                over.add((r.doc_id, r.place, r.text, r.tokens))
+            else:
+                assert r.tokens <= 480
+        assert words == {d: sum(len(x.split()) for x in u) for d, u in docs.items()}
+        assert over and all(docs[d][k] == x and n == len(x.split()) > (limit or 480) for d, k, x, n in over)
+
+
+def test_what_cannot_be_split_is_told(spark):
+    giant, item = " ".join("w" * 481), "- " + " ".join(["Aa"] * 300) + ". " + " ".join(["Bb"] * 300) + "."
+    row = "; ".join(f"k{k}: " + " ".join("v" * 100) for k in range(6))
+    assert packing.left_out_units(["x", giant, item, row]) == [(1, giant, 481)]
+    assert packing.left_out_units(["a b", "a b c"], max_words=2) == [(1, "a b c", 3)]
+    docs = spark.createDataFrame([(1, f"Short one. {giant}"), (2, None), (3, item)], "doc_id long, text string")
+    assert [(r.doc_id, r.tokens) for r in packing.oversize_units(docs).collect()] == [("1", 483)]
+    assert [r.num_tokens for r in packing.chunk_documents(docs).where("doc_id = '3'").orderBy("posicion").collect()] == [301, 300]
