@@ -52,6 +52,11 @@ def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"))
 
 
+def row_key(docs: DataFrame) -> tuple[Column, Column]:
+    """did and tkey of the rows of ``docs``, as ``keyed`` makes them where ids repeat."""
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def public_id(column: str = "did") -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column)).alias("doc_id")
 

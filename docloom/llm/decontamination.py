@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import NULL_ID, row_key
 from docloom.llm.hashing import blocks, join, mix
 
 WINDOW, RATE, Q, MIN_CHARS = 64, 0.08, 8, 40
@@ -201,35 +202,42 @@ def _scan(shared):
             texts = [normalise(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for part in blocks(texts):
                 found = find(index, part)
-                rows = batch.column("row").slice(done, len(part)).take(pa.array([f[0] for f in found], pa.int64()))
+                which = pa.array([f[0] for f in found], pa.int64())
+                rows = [batch.column(c).slice(done, len(part)).take(which) for c in ("row", "tkey")]
                 done += len(part)
                 columns = [pa.array([ids[f[1]] for f in found], pa.int64()), *(pa.array([f[k] for f in found], pa.int64()) for k in (2, 3, 4))]
-                yield pa.RecordBatch.from_arrays([rows, *columns], names=["row", "item_id", "start", "end", "edits"])
+                yield pa.RecordBatch.from_arrays([*rows, *columns], names=["row", "tkey", "item_id", "start", "end", "edits"])
 
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, item_id, start, end, edits: every pair of a document and an item it leaks.
-
-    start and end bound the aligned regions, in characters of the normalised text;
-    edits is the least number over the item's windows.
-    """
+def _leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int) -> DataFrame:
+    """``leaks`` with the tkey of the document's row."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = max(1, -(-int(total) // block_chars))
-    rows = docs.select(F.col("doc_id").cast("long").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("row"), row_key(docs)[1].alias("tkey"), F.coalesce("text", F.lit("")).alias("text"))
     out = None
     for k in range(count):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()
         part.sort(key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
         shared = docs.sparkSession.sparkContext.broadcast(([r["item_id"] for r in part], [r["text"].encode() for r in part]))
-        found = rows.mapInArrow(_scan(shared), "row long, item_id long, start long, end long, edits long")
+        found = rows.mapInArrow(_scan(shared), "row long, tkey long, item_id long, start long, end long, edits long")
         out = found if out is None else out.unionAll(found)
     return out.withColumnRenamed("row", "doc_id")
 
 
+def leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, item_id, start, end, edits: every pair of a document and an item it leaks.
+
+    start and end bound the aligned regions, in characters of the normalised text;
+    edits is the least number over the item's windows.
+    """
+    return _leaks(docs, benchmark, block_chars).drop("tkey")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that leak no item, with all their columns. Documents with a null doc_id are kept only if no null-id document leaks."""
-    leaked = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked_doc_id")).distinct()
-    return docs.join(leaked, docs["doc_id"].cast("long").eqNullSafe(leaked["leaked_doc_id"]), "left_anti")
+    """The rows of documents that leak no item, with all their columns; rows that share a doc_id, or have none, are judged each on its own."""
+    leaked = _leaks(docs, benchmark, BLOCK_CHARS).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("leaked_did"), F.col("tkey").alias("leaked_tkey")).distinct()
+    did, tkey = row_key(docs)
+    return docs.join(leaked, (did == leaked["leaked_did"]) & (tkey == leaked["leaked_tkey"]), "left_anti")

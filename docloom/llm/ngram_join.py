@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import NULL_ID, checkpoint, ids_repeat, packed, public_id, unpacked
+from docloom.llm.common import NULL_ID, checkpoint, ids_repeat, packed, public_id, row_key, unpacked
 from docloom.llm.components import connected_components
 from docloom.llm.hashing import Words, blocks, prefix, spans
 
@@ -127,6 +127,7 @@ def _prefixes(n: int, percent: int):
         cuts = np.concatenate(([0], np.cumsum([len(x) for x in places])))
         return pa.table({
             "did": table["did"],
+            "tkey": table["tkey"],
             "n": pa.array([len(h) for h in sets], pa.int64()),
             "cls": pa.array([_set_hash(h) for h in sets], pa.int64()),
             "places": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(places) if places else [], pa.int64())),
@@ -243,10 +244,10 @@ def _forest(linked: np.ndarray, diagonal: bool) -> Iterator[tuple[int, int]]:
                     queue.append((j, True))
 
 
-def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (documents linked directly, copies included).
+def _members(docs: DataFrame, n: int, percent: int, pick: bool) -> DataFrame:
+    """did, tkey, n, copies, label, others of every row; with ``pick`` also gone: whether another row stands for it.
 
-    Documents link when 100 * |intersection| >= percent * |union| of their word n-grams.
+    The row that stands for a component has its smallest doc_id and, of the texts with that, the one of least tkey.
     """
     if not 1 <= percent <= 100 or n < 1:
         raise ValueError("percent must be in 1..100 and n positive")
@@ -254,12 +255,14 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
     repeats = ids_repeat(docs)
     slices = max(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     batch = F.pmod(F.xxhash64("did", "tkey"), F.lit(2 * slices)).cast("int").alias("batch")
-    text = packed(docs).select(batch, "did", "packed")
+    text = packed(docs).select(batch, "did", "tkey", "packed")
     asked = text.groupBy("batch").applyInArrow(_ask(n, slices), "batch int, slice int, asked binary, held binary")
     answers = asked.groupBy("slice").applyInArrow(_answer, "batch int, slice int, counts binary")
-    described = checkpoint(text.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_prefixes(n, percent), "did long, n long, cls long, places array<long>, grams binary"))
-    members = described.select("did", "n", "cls")
-    classes = members.where("n > 0").groupBy("cls", "n").agg(F.min("did").alias("rep"), F.count("*").alias("copies")).withColumn("node", F.col("cls" if repeats else "rep"))
+    described = checkpoint(text.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_prefixes(n, percent), "did long, tkey long, n long, cls long, places array<long>, grams binary"))
+    members = described.select("did", "tkey", "n", "cls")
+    pick_text = pick and repeats
+    firsts = [F.min(F.struct("did", "tkey")).alias("first")] if pick_text else []
+    classes = members.where("n > 0").groupBy("cls", "n").agg(F.min("did").alias("rep"), F.count("*").alias("copies"), *firsts).withColumn("node", F.col("cls" if repeats else "rep"))
     postings = described.where("size(places) > 0").select(F.explode("places").alias("place"), "cls").distinct()
     shared = postings.groupBy("place").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("place", "least")
     near = postings.join(shared, "place").where("cls <> least").select(F.col("cls").alias("a"), F.col("least").alias("b"))
@@ -274,12 +277,25 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
     labels = connected_components(found.where("a <> b").select("a", "b")).select("node", "label")
     degree = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
     if repeats:
-        named = labels.join(classes.select("node", "rep"), "node")
-        labels = named.join(named.groupBy("label").agg(F.min("rep").alias("least")), "label").select("node", F.col("least").alias("label"))
+        named = labels.join(classes.select("node", "rep", *(["first"] if pick_text else [])), "node")
+        best = [F.min("first").alias("best")] if pick_text else []
+        labels = named.join(named.groupBy("label").agg(F.min("rep").alias("least"), *best), "label").select("node", F.col("least").alias("label"), *(["best"] if pick_text else []))
     labelled = classes.join(labels, "node", "left").join(degree, "node", "left")
-    out = members.join(labelled.select("cls", "n", "copies", F.coalesce("label", "rep").alias("label"), F.coalesce("others", F.lit(0)).alias("others")), ["cls", "n"], "left")
+    shown = [F.coalesce("best", "first").alias("best")] if pick_text else []
+    out = members.join(labelled.select("cls", "n", "copies", F.coalesce("label", "rep").alias("label"), F.coalesce("others", F.lit(0)).alias("others"), *shown), ["cls", "n"], "left")
+    if not pick:
+        return out
+    later = F.struct("did", "tkey") > F.col("best") if pick_text else F.col("did") > F.col("label")
+    return out.withColumn("gone", F.coalesce(later, F.lit(False)))
+
+
+def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (documents linked directly, copies included).
+
+    Documents link when 100 * |intersection| >= percent * |union| of their word n-grams.
+    """
     component = F.coalesce("label", "did")
-    return out.select(
+    return _members(docs, n, percent, False).select(
         public_id(),
         F.col("n").alias("n_shingles"),
         F.when(component != NULL_ID, component).alias("component_id"),
@@ -288,10 +304,10 @@ def ngram_jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT
 
 
 def keep_one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its smallest doc_id; rows that repeat it stay together.
+    """The rows of ``docs`` that stand for their component, one id and text of each; rows that repeat both stay together.
 
-    Rows without n-grams or without a doc_id all stay.
+    A null doc_id is one of its own, larger than any other. Rows without n-grams all stay.
     """
-    found = ngram_jaccard_components(docs, n, percent)
-    gone = found.where("n_shingles > 0 AND component_id < doc_id").select(F.col("doc_id").alias("gone_doc_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_doc_id"], "left_anti")
+    gone = _members(docs, n, percent, True).where("gone").select(F.col("did").alias("gone_did"), F.col("tkey").alias("gone_tkey")).distinct()
+    did, tkey = row_key(docs)
+    return docs.join(gone, (did == gone["gone_did"]) & (tkey == gone["gone_tkey"]), "left_anti")

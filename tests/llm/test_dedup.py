@@ -79,6 +79,18 @@ def test_keep_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 5]
 
 
+def test_keep_one_of_each_row(spark):
+    a, near, b, c = " ".join(map(str, range(100))), " ".join(map(str, range(99))), "g h i j k", "l m n o p"
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, near), (None, "q r s t u"), (7, None), (7, ""), (9, near)]
+    kept = ngram_join.keep_one_of_each(frame(spark, rows))
+    assert counted(kept, "doc_id", "text") == collections.Counter([(3, a), (5, b), (None, c), (None, "q r s t u"), (7, None), (7, "")])
+    # of near copies without an id, or with the same, one stays
+    for key in (None, 4):
+        texts = [" ".join(map(str, range(k))) for k in range(97, 101)]
+        kept = ngram_join.keep_one_of_each(frame(spark, [*((key, t) for t in texts), (key, b)])).collect()
+        assert len(kept) == 2 and b in {r.text for r in kept}
+
+
 @pytest.mark.parametrize("seed", [1, 4])
 def test_substring_dedup(spark, seed):
     rows = corpus(seed)

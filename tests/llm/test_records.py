@@ -268,6 +268,14 @@ def test_leaks_of_odd_rows(spark):
     assert decontamination.leaks(docs.where("doc_id > 9"), items).count() == 0
 
 
+def test_clean_rows_stay_beside_leaking_ones(spark):
+    item = "A passage of the benchmark, long enough to be told apart from prose by chance."
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, item), (1, "clean"), (None, f"x {item}"), (None, "clean too"), (None, None)]
+    kept = decontamination.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), items)
+    assert collections.Counter((r.doc_id, r.text) for r in kept.collect()) == collections.Counter([(1, "clean"), (None, "clean too"), (None, None)])
+
+
 # --- pieces
 
 
