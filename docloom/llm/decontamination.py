@@ -17,8 +17,12 @@ The benchmark is the query set: it is read in blocks of at most ``BLOCK_CHARS``
 characters by a hash of the item, and each block's index, of a size bounded by
 that, goes to every task. Documents are only scanned, never shuffled.
 
+Items of fewer than ``MIN_CHARS`` characters are sought apart, so that their low bounds
+do not let more of the documents through to the others: from ``SHORT_CHARS``
+characters on within the same budget, below it as they are, between word bounds.
+
 Defined results: null and empty texts leak nothing; items with fewer than
-``MIN_CHARS`` characters are skipped, as near every document would match them;
+``LEAST_CHARS`` characters are skipped, as words that many clean documents hold;
 repeated items answer under each item_id; repeated documents each on their own; a
 null item_id or doc_id stays null. Other columns are ignored.
 """
@@ -37,6 +41,7 @@ from docloom.llm.common import NULL_ID, row_key
 from docloom.llm.hashing import blocks, join, mix
 
 WINDOW, RATE, Q, MIN_CHARS = 64, 0.08, 8, 40
+SHORT_CHARS, LEAST_CHARS = 25, 8
 BLOCK_CHARS = 4_000_000
 FILTER_BITS = 22
 
@@ -80,14 +85,15 @@ def _gram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def build(texts: list[bytes], window: int = WINDOW, rate: float = RATE, q: int = Q) -> Index:
+def build(texts: list[bytes], window: int = WINDOW, rate: float = RATE, q: int = Q, least: int = MIN_CHARS, most: float = float("inf")) -> Index:
+    """The index of the items with ``least`` characters or more and fewer than ``most``."""
     if q & (q - 1):
         raise ValueError("q must be a power of two")
     parts: list[np.ndarray] = []
     item: list[int] = []
     for k, text in enumerate(texts):
         codes = characters(normalise(text))
-        if len(codes) < MIN_CHARS:
+        if not least <= len(codes) < most:
             continue
         last = max(0, len(codes) - window)
         for start in sorted({*range(0, last, window // 2), last}):
@@ -193,15 +199,44 @@ def find(index: Index, texts: list[bytes], q: int = Q) -> list[tuple[int, int, i
     return sorted(out.values())
 
 
+def build_exact(texts: list[bytes], least: int = LEAST_CHARS, most: int = SHORT_CHARS) -> dict[int, list]:
+    """(hashes, items, codes) of the items with ``least`` characters or more and fewer than ``most``, by the number of characters hashed."""
+    held: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    for k, text in enumerate(texts):
+        codes = characters(normalise(text))
+        if least <= len(codes) < most:
+            q = 1 << len(codes).bit_length() - 1
+            held.setdefault(q, []).append((int(_gram_hashes(codes[:q], q)[0]), k, codes))
+    return {q: [np.array([x[0] for x in found], dtype=np.uint64), found] for q, found in ((q, sorted(x, key=lambda x: x[:2])) for q, x in held.items())}
+
+
+def find_exact(index: dict[int, list], texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+    """As ``find``, of items that the text holds as they are with no letter, digit or underscore joined to their ends."""
+    out: dict[tuple[int, int], tuple[int, int, int, int, int]] = {}
+    for d, text in enumerate(texts) if index else ():
+        codes = characters(text)
+        word = lambda k: 0 <= k < len(codes) and (chr(codes[k]).isalnum() or codes[k] == 95)  # noqa: B023, E731
+        for q, (hashes, found) in index.items():
+            grams = _gram_hashes(codes, q)
+            low, high = np.searchsorted(hashes, grams, side="left"), np.searchsorted(hashes, grams, side="right")
+            for at in np.flatnonzero(high > low).tolist():
+                for _, item, wanted in found[low[at] : high[at]]:
+                    end = at + len(wanted)
+                    if np.array_equal(codes[at:end], wanted) and not (word(at - 1) and word(at)) and not (word(end - 1) and word(end)):
+                        old = out.get((d, item))
+                        out[d, item] = (d, item, at if old is None else old[2], end, 0)
+    return sorted(out.values())
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, items = shared.value
-        index = build(items)
+        index, short, exact = build(items), build(items, least=SHORT_CHARS, most=MIN_CHARS), build_exact(items)
         for batch in batches:
             done = 0
             texts = [normalise(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for part in blocks(texts):
-                found = find(index, part)
+                found = sorted(find(index, part) + find(short, part) + find_exact(exact, part))
                 which = pa.array([f[0] for f in found], pa.int64())
                 rows = [batch.column(c).slice(done, len(part)).take(which) for c in ("row", "tkey")]
                 done += len(part)

@@ -268,6 +268,26 @@ def test_leaks_of_odd_rows(spark):
     assert decontamination.leaks(docs.where("doc_id > 9"), items).count() == 0
 
 
+def test_leaks_of_short_items(spark):
+    items = {1: "Who wrote Emma? Jane Austen", 2: "What is 2+2? Four", 3: "Capital: Ürgüp", 4: "A river in France, of note: Loire", 5: "Paris"}
+    rows = [(k, f"x ({t.upper() if t.isascii() else t}) y") for k, t in items.items()] + [(10 + k, t) for k, t in items.items()]
+    rows += [(21, "so who  wrote emma?\njane austin said"), (22, "what is 2+2? fourteen"), (23, "what is 2+3? four"), (24, "no capital: ürgü"), (25, "paris"), (26, "awhat is 2+2? four")]
+    tables = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.edits) for r in decontamination.leaks(*tables).collect()}
+    assert found == {(k + d, k, 0) for k in (1, 2, 3, 4) for d in (0, 10)} | {(21, 1, 1)}
+
+
+def test_short_items_equal_plain_search():
+    r = random.Random(8)
+    words = ["aa", "ab", "b", "é", "c3"]
+    items = [" ".join(r.choice(words) for _ in range(r.randrange(3, 9))) for _ in range(60)]
+    index = decontamination.build_exact([x.encode() for x in items])
+    for _ in range(100):
+        text = " ".join(r.choice(words) for _ in range(60))
+        want = {k for k, x in enumerate(items) if 8 <= len(x) < 25 and re.search(rf"\b{re.escape(x)}\b", text)}
+        assert {f[1] for f in decontamination.find_exact(index, [text.encode()])} == want
+
+
 def test_clean_rows_stay_beside_leaking_ones(spark):
     item = "A passage of the benchmark, long enough to be told apart from prose by chance."
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
