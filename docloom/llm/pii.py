@@ -6,9 +6,10 @@ writes the source span it read:
 
 * homoglyphs: full-width forms, Cyrillic and Greek lookalikes and the digits of
   other scripts become ASCII; zero-width characters vanish;
-* spelled digits: runs of three or more digit words (English, Spanish, French,
-  German) become digits, a leading "plus" a plus sign, and "double" or "triple"
-  repeat what follows;
+* spelled digits: a digit word (English, Spanish, French, German) beside a digit,
+  another digit word, a plus or a full stop becomes a digit, a leading "plus" a plus
+  sign, and "double" or "triple" repeat what follows; single digits become one number,
+  longer ones stay apart by a space;
 * at and dot: bracketed, spaced or spelled ("at", "arroba", "dot", "punto", ...)
   forms become @ and a full stop. A bare word counts only between name characters
   and, for "at", only with a disguised dot after it, so prose stays prose.
@@ -125,9 +126,10 @@ DIGIT_WORDS = {
 REPEATS = {"double": 2, "triple": 3}
 _AT_WORDS = "at|arroba|chez|klammeraffe"
 _DOT_WORDS = "dot|punto|point|punkt|ponto"
-_ONE_DIGIT = rf"(?:(?:double|triple)[ \t-]+)?(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))}|[0-9])"
-_SPELLED = re.compile(rf"(?<!\w)(?:plus[ \t]+)?{_ONE_DIGIT}(?:[ \t,-]+{_ONE_DIGIT}){{2,}}(?!\w)", re.IGNORECASE)
+_ONE_DIGIT = rf"(?:(?:double|triple)[ \t-]+)?(?:{'|'.join(sorted(DIGIT_WORDS, key=len, reverse=True))}|[0-9]++)"
+_SPELLED = re.compile(rf"(?<!\w)(?:plus[ \t]+)?{_ONE_DIGIT}(?:[ \t,-]+{_ONE_DIGIT})*(?!\w)", re.IGNORECASE)
 _TOKEN = re.compile(r"\w+")
+_LETTER = re.compile(r"[^\W\d]")
 _DOT = rf"(?:[ \t]*[\[({{<][ \t]*(?:{_DOT_WORDS}|\.)[ \t]*[\])}}>][ \t]*|[ \t]+(?:{_DOT_WORDS})[ \t]+)"
 _AT = re.compile(
     rf"(?<![ \t])[ \t]*+[\[({{<][ \t]*+(?:{_AT_WORDS}|@)[ \t]*[\])}}>][ \t]*(?=[\w-])"
@@ -140,6 +142,7 @@ _SPACED_DOT = re.compile(r"(?<=[\w-])(?:[ \t]+\.[ \t]*|[ \t]*\.[ \t]+)(?=[\w-])"
 _BRACKETED = re.compile(rf"[\[({{<][ \t]*(?:{_AT_WORDS}|{_DOT_WORDS}|[@.])[ \t]*[\])}}>]", re.IGNORECASE)
 _DOT_SET = frozenset(_DOT_WORDS.split("|"))
 _TELLING = _DOT_SET | DIGIT_WORDS.keys()
+_MARKS = str.maketrans(dict.fromkeys(",-.;:!?+()[]{}<>\"'/|*=", " "))
 _NEAR_AT = 80
 
 
@@ -184,22 +187,38 @@ def _plain_homoglyphs(mapped: Mapped) -> None:
 
 
 def _plain_digits(mapped: Mapped) -> None:
+    text = mapped.text
     edits = []
-    for m in _SPELLED.finditer(mapped.text):
-        pieces: list[tuple[int, int, str]] = []
-        times, since, spelled = 1, None, 0
-        for t in _TOKEN.finditer(mapped.text, m.start(), m.end()):
+    for m in _SPELLED.finditer(text):
+        if m[0][0].isdigit() and m[0][-1].isdigit() and not _LETTER.search(m[0]):
+            continue
+        parts: list[tuple[int, int, str | None, bool]] = []  # digits for what is spelled; whether what follows may join it
+        times, since, plus, count = 1, None, False, 0
+        for t in _TOKEN.finditer(text, m.start(), m.end()):
             word = t[0].lower()
             if word == "plus":
-                pieces.append((t.start(), t.end(), "+"))
+                plus = True
+                parts.append((t.start(), t.end(), "+", True))
             elif word in REPEATS:
                 times, since = REPEATS[word], t.start()
-            elif word in DIGIT_WORDS or word.isdigit():
-                spelled += word in DIGIT_WORDS
-                pieces.append((t.start() if since is None else since, t.end(), DIGIT_WORDS.get(word, word) * times))
-                times, since = 1, None
-        if spelled >= 3:
-            edits.append((m.start(), m.end(), pieces))
+            else:
+                figure = word not in DIGIT_WORDS
+                alone = len(word) == 1 or not figure
+                written = None if figure and times == 1 else DIGIT_WORDS.get(word, word) * times
+                parts.append((t.start() if since is None else since, t.end(), written, alone and not (figure and text[t.start() - 1 : t.start()] == ".")))
+                times, since, count = 1, None, count + 1
+        if not (count > 1 or plus or text[m.end() : m.end() + 1] == "." or text[max(0, m.start() - 1) : m.start()] in (".", "+")):
+            continue
+        for k, (a, b, written, joins) in enumerate(parts):
+            if k:
+                joined = parts[k - 1][3] and (written is not None or b - a == 1)
+                gap = parts[k - 1][1]
+                if joined:
+                    edits.append((gap, a, []))
+                elif a - gap > 1 or text[gap] not in " -":
+                    edits.append((gap, a, [(gap, a, " ")]))
+            if written is not None:
+                edits.append((a, b, [(a, b, written)]))
     mapped.rewrite(edits)
 
 
@@ -220,18 +239,20 @@ def _plain_at_and_dot(mapped: Mapped) -> None:
 
 
 def _row_of_digits(words: list[str], telling: frozenset[str]) -> bool:
-    """Whether three digits or digit words follow each other, one of them spelled."""
+    """Whether four digits, as many as the shortest identifier has, follow each other, one of them spelled."""
     if telling <= _DOT_SET:
         return False
     row, spelled = 0, False
     for word in words:
         if word in DIGIT_WORDS:
             row, spelled = row + 1, True
-        elif len(word) == 1 and word.isdigit() or word in REPEATS:
-            row += 1
-        else:
+        elif word.isdigit():
+            row += len(word)
+        elif word in REPEATS:
+            row, spelled = row + REPEATS[word], True
+        elif word not in _DOT_SET and word != "plus":
             row, spelled = 0, False
-        if row >= 3 and spelled:
+        if row >= 4 and spelled:
             return True
     return False
 
@@ -239,7 +260,7 @@ def _row_of_digits(words: list[str], telling: frozenset[str]) -> bool:
 def disguised(text: str, plain: list[Span]) -> list[Span]:
     """What the transducers bring to light beyond ``plain``."""
     odd = not text.isascii() and _HOMOGLYPH.search(text) is not None
-    words = text.lower().replace(",", " ").replace("-", " ").split()
+    words = text.lower().translate(_MARKS).split()
     telling = _TELLING.intersection(words)
     hidden = "@" in text or not telling.isdisjoint(_DOT_SET) or _BRACKETED.search(text) is not None
     if not (odd or hidden or _row_of_digits(words, telling)):

@@ -133,6 +133,30 @@ def test_disguises_map_back(text, kind, span):
     assert (kind, text.index(span), text.index(span) + len(span)) in found
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("ip one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
+        ("at 192 dot 168 dot one dot one, say", "ip", "192 dot 168 dot one dot one"),
+        ("at 192.168.0.one", "ip", "192.168.0.one"),
+        ("at ten, one [dot] two [dot] 3 [dot] 4", "ip", "one [dot] two [dot] 3 [dot] 4"),
+        ("pay 4111 1111 1111 111 one.", "card", "4111 1111 1111 111 one"),
+        ("pay four one 11 1111 1111 1111", "card", "four one 11 1111 1111 1111"),
+        ("call +34 600 12 34 five", "phone", "+34 600 12 34 five"),
+        ("call plus 3 four 600 123 45 double six", "phone", "plus 3 four 600 123 45 double six"),
+        ("llame al +uno 555 0123 456", "phone", "+uno 555 0123 456"),
+    ],
+)
+def test_single_spelled_digits(text, kind, span):
+    found = pii.disguised(text, pii.detect(text))
+    assert (kind, text.index(span), text.index(span) + len(span)) in found
+
+
+@pytest.mark.parametrize("text", ["192.168.0.1 one two", "one. Two. Three. Four", "version 1.2.3 one", "one of 12 in 345678901 two", "one.two@mail.com", "zero point one two three four"])
+def test_digits_in_prose(text):
+    assert pii.disguised(text, pii.detect(text)) == []
+
+
 @pytest.mark.parametrize("text", ["look at example.com now", "polka dot dress at home", "see me @ noon. Then go", "one two three", "a@b. Cats are", "at one point the dot", "", "x" * 10_000, "1" * 30_000, "a @" + " " * 50_000 + "b", "[ " * 20_000 + "@", "@" * 30_000, "a." * 30_000 + "@ at x", "1 " * 30_000 + "one two"])
 def test_prose_is_left_alone(text):
     assert pii.disguised(text, pii.detect(text)) == []
