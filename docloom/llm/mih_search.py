@@ -4,7 +4,7 @@ Codes: vectors are scaled to length 1, rotated by learned orthogonal matrices
 (iterative quantisation on a bounded sample: alternate between the signs of the
 rotated sample and the rotation that fits them best) and cut to one bit a
 dimension; several rotations, learned from different starts, are strung together
-to ``BITS`` bits. The sample is the ``SAMPLE`` vectors of least hash; all vectors are
+to ``BITS`` bits. The sample is the ``SAMPLE`` different vectors of least hash; all vectors are
 indexed.
 
 Search: a code is split into substrings of ``SUBSTRING`` bits, each with a table of
@@ -171,7 +171,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None
     rows = rows.where(F.size("vector") == dimension)
     # -0.0 equals 0.0, so that equal vectors have equal texts
     rows = rows.select("vec_id", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))
-    sample = rows.select("vector").orderBy(F.xxhash64("vector"), F.to_json("vector")).limit(sample_rows).collect()
+    sample = rows.select("vector").dropDuplicates().orderBy(F.xxhash64("vector"), F.to_json("vector")).limit(sample_rows).collect()
     learned = _unit(np.array(sorted(tuple(r["vector"]) for r in sample)))
     rotations = learn(learned, bits)
     radius = fit_radius(learned, rotations, k) if radius is None else radius

@@ -62,6 +62,17 @@ def test_nearest_recall_on_test_vectors(spark, sf_dir):
     assert hits / total >= 0.9
 
 
+def test_sample_is_of_different_vectors(spark, monkeypatch):
+    vectors = np.random.default_rng(2).standard_normal((200, 16)).tolist()
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    hot = table.orderBy(F.xxhash64("embedding")).first().embedding
+    copies = spark.createDataFrame([(1000 + k, hot) for k in range(300)], table.schema)
+    seen = []
+    monkeypatch.setattr(mih_search, "fit_radius", lambda sample, *_: seen.append(sample) or 200)
+    mih_search.nearest(table.unionAll(copies), F.col("vec_id") % 50 == 0, sample_rows=60)
+    assert len(np.unique(seen[0], axis=0)) == len(seen[0]) == 60
+
+
 def test_nearest_of_few_and_none(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (0, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in mih_search.nearest(table, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 0.0)]
