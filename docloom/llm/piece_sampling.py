@@ -41,7 +41,7 @@ from docloom.llm.hashing import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED = 0.1, 17
 SPACE = "▁"
-CACHE = 300_000
+CACHE = 150_000
 _WORD_OR_MARKS = re.compile(r"▁*(?:[^\W\d_▁¹²³]+|(?:[^\w▁]|[_¹²³])+|\d+)|▁+")
 _MASK = 2**64 - 1
 NEVER, SHORT = float("inf"), 64
