@@ -32,6 +32,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def apart(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` dealt by something else than ``columns``, before it is joined on them.
+
+    A frame aggregated by the columns of a join is joined where it was aggregated, in one
+    task a key. Dealt apart first, the planner deals both sides of the join itself and can
+    split the rows of a hot key over several tasks.
+    """
+    return df.repartition(F.xxhash64(*columns))
+
+
 def ids_repeat(docs: DataFrame) -> bool:
     """Whether some doc_id (or null) is on several rows; reads the id column alone."""
     return docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0

@@ -3,6 +3,12 @@
 A block joins several UTF-8 texts, each followed by a newline. ``prefix`` gives
 cumulative sums of value[i] * BASE**i modulo 2**64; as BASE is odd it has an
 inverse, so the hash of any span is position free after one multiplication.
+
+Modulo 2**64 some long patterned sequences (alternations that double, as Thue and
+Morse's) collide for any base. Spans of that family are therefore short: words of more
+than ``LONG_WORD`` bytes are hashed by xxh3 instead. ``prime_prefix`` and
+``prime_spans`` are a second family, modulo the prime 2**61 - 1, which has no such
+patterns; what is decided by hash is decided by both.
 """
 
 from __future__ import annotations
@@ -10,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -28,6 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 with np.errstate(over="ignore"):
     BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15))
+    OTHER_VALUES = mix(BYTE_VALUES + U(0xD1B54A32D192ED03))
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -66,6 +74,52 @@ def fixed_spans(p: np.ndarray, length: int) -> np.ndarray:
     return mix((p[length:] - p[:n]) * powers(len(p))[1][:n] + U(length))
 
 
+PRIME = U(2**61 - 1)
+PRIME_BASE = 0x14C7_9D1E_63F0_8B35
+_prime_powers: list[np.ndarray] = [np.ones(1, dtype=U), np.ones(1, dtype=U)]
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime; x < 2**64."""
+    x = (x & PRIME) + (x >> U(61))
+    return np.minimum(x, x - PRIME)  # the difference wraps to a large number where x is reduced
+
+
+def prime_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime; both reduced."""
+    high_a, low_a, high_b, low_b = a >> U(31), a & U(2**31 - 1), b >> U(31), b & U(2**31 - 1)
+    middle = high_a * low_b + low_a * high_b
+    return _reduced((high_a * high_b << U(1)) + (middle >> U(30)) + ((middle & U(2**30 - 1)) << U(31)) + low_a * low_b)
+
+
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """PRIME_BASE**i and PRIME_BASE**-i modulo the prime for i in 0..n, kept per process."""
+    modulus = int(PRIME)
+    for k, base in enumerate((PRIME_BASE, pow(PRIME_BASE, -1, modulus))):
+        while len(_prime_powers[k]) <= n:
+            known = _prime_powers[k]
+            _prime_powers[k] = np.concatenate((known, prime_product(known, np.full(1, pow(base, len(known), modulus), dtype=U))))
+    return _prime_powers[0], _prime_powers[1]
+
+
+def prime_prefix(values: np.ndarray) -> np.ndarray:
+    """Cumulative sums of value[i] * PRIME_BASE**i modulo the prime."""
+    terms = prime_product(_reduced(values), prime_powers(len(values))[0][: len(values)])
+    low, high = np.cumsum(terms & U(2**32 - 1)), np.cumsum(terms >> U(32))
+    out = np.zeros(len(values) + 1, dtype=U)
+    out[1:] = _reduced(((high & U(2**29 - 1)) << U(32)) + (high >> U(29)) + low)
+    return out
+
+
+def prime_spans(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Mixed hash of each span [start, end) of the sequence under ``p``."""
+    inverse = prime_powers(len(p))[1]
+    return mix(prime_product(_reduced(p[end] + PRIME - p[start]), inverse[start]) + (end - start).astype(U) * U(BASE))
+
+
+LONG_WORD = 32
+
+
 def blocks(texts: Iterable[bytes], limit: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
     """Consecutive texts, together at most ``limit`` bytes unless one alone is longer."""
     held: list[bytes] = []
@@ -99,10 +153,21 @@ class Words:
             edge = np.concatenate((np.zeros(1, dtype=np.int64), edge))
         self.start, self.end = edge[0::2], edge[1::2]
         self.buf, self.offsets = buf, offsets
-        self.hash = spans(prefix(BYTE_VALUES[buf]), self.start, self.end)
+        self.long = np.flatnonzero(self.end - self.start > LONG_WORD)
+        self.hash = self._hashes(BYTE_VALUES, 0)
         self.first = np.searchsorted(self.start, offsets)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
 
+    def _hashes(self, values: np.ndarray, seed: int) -> np.ndarray:
+        out = spans(prefix(values[self.buf]), self.start, self.end)
+        for k, a, b in zip(self.long.tolist(), self.start[self.long].tolist(), self.end[self.long].tolist(), strict=True):
+            out[k] = xxhash.xxh3_64_intdigest(self.buf[a:b], seed)
+        return out
+
+    def other(self) -> np.ndarray:
+        """A second hash of each word, independent of the first."""
+        return self._hashes(OTHER_VALUES, 1)
+
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the n words from each word on, and whether they lie in one text."""
         h = fixed_spans(prefix(self.hash), n)

@@ -102,6 +102,54 @@ def test_substring_dedup_unique_ids(spark):
     assert counted(substring_dedup.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring(rows)
 
 
+def doubling(n):
+    """0 and 1 in the order that doubles with its opposite."""
+    out = [0]
+    while len(out) < n:
+        out += [1 - x for x in out]
+    return out[:n]
+
+
+def test_substring_dedup_of_patterned_texts(spark):
+    # sequences whose polynomial hashes modulo 2**64 are equal for any base; no window of 50 words is shared
+    order = doubling(2048)
+    texts = [" ".join(("aa", "bb")[x ^ y] if k % 2 else f"f{k % 7}" for k, x in enumerate(order)) for y in (0, 1)]
+    rows = [(1, texts[0]), (2, texts[1]), (3, " ".join("ab"[x] * 1024 for x in order)), (4, " ".join("ab"[1 - x] * 1024 for x in order))]
+    assert counted(substring_dedup.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring(rows)
+    words = [bytes(97 + (x ^ y) for x in order) for y in (0, 1)]
+    assert len(set(hashing.Words([words[0] + b" " + words[1]]).hash.tolist())) == 2
+
+
+@pytest.mark.parametrize("window", [2, 3, 7, 20, 33, 64])
+def test_substring_dedup_of_other_windows(spark, window):
+    r = random.Random(window)
+    rows = [(k, " ".join(r.choice("ab") for _ in range(r.randrange(120)))) for k in range(12)] + corpus(2, 20)
+    assert counted(substring_dedup.substring_dedup(frame(spark, rows), window), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring(rows, window)
+
+
+def test_substring_dedup_of_hot_passage_and_long_text(spark):
+    r = random.Random(3)
+    prose = lambda k: " ".join(f"w{r.randrange(9999)}" for _ in range(k))
+    passage, long = prose(120), prose(30_000)
+    rows = [(k, f"{prose(r.randrange(40))} {passage} {prose(r.randrange(40))}") for k in range(150)] + [(900, long), (901, f"{prose(5)} {long}"), (902, long[:90_000])]
+    assert counted(substring_dedup.substring_dedup(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept_sha256") == brute.substring(rows)
+
+
+def test_levels_double():
+    for window in range(2, 200):
+        first, longer = substring_dedup.levels(window)
+        ladder = [first, *longer, window]
+        assert all(a <= b <= 2 * a for a, b in zip(ladder, ladder[1:], strict=False)) and first <= substring_dedup.SHORTEST
+    assert substring_dedup.levels(50) == (13, [25])
+    # every full window is spoken for by one longer window inside it
+    at, first, last = np.array([30, 0, 40]), np.array([0, 0, 35]), np.array([30, 0, 40])
+    row, place, a, b = substring_dedup.extended(at, first, last, 13, 25, 50)
+    for k in range(3):
+        said = sorted((s, p) for i, p, x, y in zip(row, place, a, b, strict=True) if i == k for s in range(x, y + 1))
+        assert [s for s, _ in said] == list(range(first[k], last[k] + 1))
+        assert all(s <= p <= at[k] and p + 25 <= s + 50 and p + 25 >= at[k] + 13 for s, p in said)
+
+
 @pytest.mark.parametrize("seed", [1, 5])
 def test_line_dedup(spark, seed):
     rows = corpus(seed)
