@@ -4,25 +4,31 @@ Codes: vectors are scaled to length 1, rotated by learned orthogonal matrices
 (iterative quantisation on a bounded sample: alternate between the signs of the
 rotated sample and the rotation that fits them best) and cut to one bit a
 dimension; several rotations, learned from different starts, are strung together
-to ``BITS`` bits. The sample is the ``SAMPLE`` different vectors of least hash; all vectors are
-indexed.
-
-Search: a code is split into substrings of ``SUBSTRING`` bits, each with a table of
-its own. If two codes differ in at most ``radius`` bits, then some substring
-differs in at most ``radius // substrings`` bits, so probing every table out to that
-distance retrieves every code within the radius. Those are counted over the whole
-code and, within the radius, reranked by cosine in double precision on the
-original vectors. A query that finds fewer than it needs probes again with a wider
-radius, in the end all codes, so that no query comes back short.
-
-Equal vectors share one entry that keeps its ``k + 1`` least ids, which is all a
-query can return of them. Entries and queries are dealt to blocks; a task has one
-block of each, and the best of the blocks are merged by rank.
+to ``BITS`` bits. The sample is the ``SAMPLE`` different vectors of least hash; all
+vectors are indexed.
+
+Index: a code is split into substrings of 16 bits, each with a table of its own. A
+posting is a row (table, slice, value, entry); a slice holds the values that begin with
+its bits, so that no task holds a table of unbounded size.
+
+Search: let m tables have limits t[1..m] with a sum of t[i] + 1 equal to r + 1. Two codes
+that differ in at most r bits differ in at most t[i] bits of some substring i, or the
+differences would add up to r + 1. So a query probes each table with every value within
+t[i] of its own, in the slices that hold such values, and retrieves every code within the
+radius r. Whatever is retrieved is reranked by cosine in double precision on the original
+vectors. The radius is the least with which a share of ``RECALL`` of the nearest neighbours
+within the sample are retrieved. Queries that retrieve fewer vectors than they need probe
+again with a wider radius, in the end all, so that none comes back short.
+
+Equal vectors share one entry, named by its block and its place there, that keeps its
+``k + 1`` least ids, which is all a query can return of them. Retrieved entries are dealt
+to the blocks that hold their vectors; a task holds the vectors of one block and reads the
+queries one after another.
 
 Defined results: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, as queries or as candidates; null ids
-neither; rows that repeat an id and vector count once; ties go to the smaller id.
-Other columns are ignored.
+neither; rows that repeat an id and vector count once; ties go to the smaller id; an
+empty table gives an empty one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,10 +40,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.llm.common import checkpoint
+
 K = 5
 BITS, SUBSTRING = 256, 16
-SAMPLE, ROUNDS, SEED, SHARE = 8192, 20, 7, 0.97
-BLOCK_ROWS, QUERY_BLOCK_ROWS, QUERY_ROWS = 16_384, 4096, 256
+SAMPLE, ROUNDS, SEED, RECALL, ASKED = 8192, 20, 7, 0.95, 2048
+BLOCK_ROWS, SLICE_ROWS = 16_384, 1 << 20
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
@@ -60,100 +68,191 @@ def codes(vectors: np.ndarray, rotation: np.ndarray) -> np.ndarray:
     return np.packbits(vectors @ rotation >= 0, axis=1).view(np.uint16)
 
 
-def fit_radius(sample: np.ndarray, rotation: np.ndarray, k: int = K, share: float = SHARE) -> int:
-    """The Hamming distance that ``share`` of the k nearest of some sample vectors keep within."""
-    sample = np.unique(sample, axis=0)
+def limits(radius: int, tables: int) -> np.ndarray:
+    """How far each table is probed; -1: not at all."""
+    return np.minimum((radius + 1) // tables - 1 + (np.arange(tables) < (radius + 1) % tables), SUBSTRING)
+
+
+def fit_radius(sample: np.ndarray, rotation: np.ndarray, k: int = K, recall: float = RECALL) -> int:
+    """The least radius whose probes retrieve ``recall`` of the k nearest of some sample vectors."""
     if len(sample) < 2:
         return 0
     code = codes(sample, rotation)
-    asked = np.arange(0, len(sample), max(1, len(sample) // 512))
-    score = sample[asked] @ sample.T
-    score[np.arange(len(asked)), asked] = -2
-    near = np.argsort(-score, axis=1, kind="stable")[:, : min(k, len(sample) - 1)]
-    apart = ONES[code[asked][:, None, :] ^ code[near]].sum(axis=2, dtype=np.int64)
-    return int(np.quantile(apart, share, method="higher"))
-
-
-_ONES = np.array([bin(k).count("1") for k in range(256)], dtype=np.uint8)
+    asked = np.arange(0, len(sample), -(-len(sample) // ASKED))
+    near = []
+    for part in np.array_split(asked, -(-len(asked) // 256)):
+        score = sample[part] @ sample.T
+        score[np.arange(len(part)), part] = -2
+        near.append(np.argpartition(-score, min(k, len(sample) - 1) - 1, axis=1)[:, : min(k, len(sample) - 1)])
+    apart = ONES[code[asked][:, None, :] ^ code[np.concatenate(near)]].reshape(-1, code.shape[1])
+    low, high = 0, rotation.shape[1]
+    while low < high:  # what is retrieved grows with the radius
+        radius = (low + high) // 2
+        if (apart <= limits(radius, code.shape[1])).any(axis=1).mean() >= recall:
+            high = radius
+        else:
+            low = radius + 1
+    return low
+
+
+_ONES = np.array([bin(k).count("1") for k in range(256)], dtype=np.int8)
 ONES = (_ONES[:, None] + _ONES[None, :]).reshape(-1)  # of every 16-bit number
+#: Every 16-bit number by its number of ones, and where each number of ones ends.
+MASKS = np.argsort(ONES, kind="stable").astype(np.uint16)
+WITHIN = np.cumsum(np.bincount(ONES))
 
 
-class Index:
-    """One block: its codes, and a table of the distinct values of each substring."""
+class Table:
+    """The postings of one slice of one substring's table."""
 
-    def __init__(self, code: np.ndarray):
-        self.code = code
-        self.tables = []
-        for k in range(code.shape[1]):
-            order = np.argsort(code[:, k], kind="stable")
-            values, first = np.unique(code[order, k], return_index=True)
-            self.tables.append((values, np.append(first, len(order)), order))
+    def __init__(self, values: np.ndarray):
+        self.order = np.argsort(values, kind="stable")
+        self.values, self.first = np.unique(values[self.order], return_index=True)
+        self.first = np.append(self.first, len(values))
+        self.place = np.full(1 << SUBSTRING, -1, dtype=np.int32)
+        self.place[self.values] = np.arange(len(self.values))
 
-    def within(self, query: np.ndarray, radius: int) -> np.ndarray:
-        """Rows of every code that differs from ``query`` in at most ``radius`` bits."""
-        near = radius // code_parts(self.code)
-        found = np.zeros(len(self.code), dtype=bool)
-        for k, (values, first, order) in enumerate(self.tables):
-            hit = np.flatnonzero(ONES[values ^ query[k]] <= near)
-            size = first[hit + 1] - first[hit]
-            row = np.repeat(first[hit], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            found[order[row]] = True
-        rows = np.flatnonzero(found)
-        return rows[ONES[self.code[rows] ^ query].sum(axis=1, dtype=np.int64) <= radius]
+    def probe(self, value: int, limit: int) -> np.ndarray:
+        """The postings whose values differ from ``value`` in at most ``limit`` bits."""
+        if limit < 0:
+            return self.order[:0]
+        if WITHIN[limit] <= 2 * len(self.values):
+            hit = self.place[MASKS[: WITHIN[limit]] ^ np.uint16(value)]
+            hit = hit[hit >= 0]
+        else:  # fewer values are held than there are to probe
+            hit = np.flatnonzero(ONES[self.values ^ np.uint16(value)] <= limit)
+        size = self.first[hit + 1] - self.first[hit]
+        return self.order[np.repeat(self.first[hit] - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
-def code_parts(code: np.ndarray) -> int:
-    return code.shape[1]
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Divided by a power of two, so that squares neither overflow nor vanish; exact."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    return np.ldexp(vectors, -exponent)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return vectors / np.linalg.norm(vectors / (top := np.abs(vectors).max(axis=1, keepdims=True)), axis=1, keepdims=True) / top
+    scaled = _scaled(vectors)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
+def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """In extended precision, rounded once at the end, so that multiples of a vector tie."""
+    a, b = _scaled(query[None, :])[0].astype(np.longdouble), _scaled(vectors).astype(np.longdouble)
+    return ((b * a).sum(axis=1) / np.sqrt((a * a).sum() * (b * b).sum(axis=1))).astype(np.float64)
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(-1, dimension)
 
 
-def _search(shared, dimension: int, k: int, radius: int):
-    """A block of entries (kind 0) with a block of queries (kind 1); the best entries of each query."""
+def _post(shared, dimension: int, slices: int, reach: list[int] | None):
+    """A posting of each entry in each table, or with ``reach`` its probes: a row for each slice that holds values so near."""
+    shift = SUBSTRING - slices
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts = np.arange(1 << slices, dtype=np.int64)
+        for batch in batches:
+            entry = np.asarray(batch.column("entry"))
+            code = codes(_unit(_matrix(batch.column("vector"), dimension)), shared.value).astype(np.int64)
+            for table in range(code.shape[1]):
+                value, rows = code[:, table], np.arange(len(code))
+                slice_ = value >> shift
+                if reach is not None:
+                    near = ONES[(slice_[:, None] ^ starts)] <= reach[table]
+                    rows, slice_ = np.nonzero(near)
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, table, np.int32)), pa.array(slice_.astype(np.int32)), pa.array(np.full(n, reach is not None)), pa.array(entry[rows]), pa.array(value[rows].astype(np.int32))],
+                    names=["table", "slice", "asks", "entry", "value"],
+                )
+
+    return run
+
+
+def _probe(reach: list[int]):
+    """One slice of a table: what each query retrieves, by the block that holds the vectors."""
 
     def run(table: pa.Table) -> pa.Table:
-        rotation = shared.value
-        kind = np.asarray(table["kind"])
-        vectors = _matrix(table["vector"].combine_chunks(), dimension)
-        entry = np.asarray(table["entry"])
-        base, asked = np.flatnonzero(kind == 0), np.flatnonzero(kind == 1)
-        out: list[tuple[int, int, float]] = []
-        if len(base):
-            held = _unit(vectors[base])
-            index = Index(codes(held, rotation))
-            bits = rotation.shape[1]
-            for start in range(0, len(asked), QUERY_ROWS):
-                part = asked[start : start + QUERY_ROWS]
-                unit = _unit(vectors[part])
-                for q, u, code in zip(entry[part].tolist(), unit, codes(unit, rotation), strict=True):
-                    reach = radius
-                    rows = index.within(code, reach)
-                    while len(rows) < min(k + 1, len(base)):
-                        reach = min(bits, reach + max(1, bits // 16))
-                        rows = index.within(code, reach)
-                    score = held[rows] @ u
+        asks = np.asarray(table["asks"])
+        entry, value = np.asarray(table["entry"]), np.asarray(table["value"])
+        held, limit = entry[~asks], reach[table["table"][0].as_py()]
+        out: list[tuple[int, int, bytes]] = []
+        if len(held):
+            postings = Table(value[~asks].astype(np.uint16))
+            for query, v in zip(entry[asks].tolist(), value[asks].tolist(), strict=True):
+                found = np.sort(held[postings.probe(v, limit)])
+                block = found >> 32
+                for part in np.split(found, np.flatnonzero(np.diff(block)) + 1) if len(found) else ():
+                    out.append((query, int(part[0] >> 32), part.astype(np.uint32).tobytes()))
+        columns = list(zip(*out, strict=True)) or [(), (), ()]
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["query", "block", "found"])
+
+    return run
+
+
+def _rerank(dimension: int, k: int):
+    """Sorted by block: its vectors, then the queries that retrieved some of them; the best of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, place, vectors = None, [], None, None
+        for batch in batches:
+            blocks, asks = np.asarray(batch.column("block")), np.asarray(batch.column("asks"))
+            entry, matrix = np.asarray(batch.column("entry")), _matrix(batch.column("vector"), dimension)
+            out: list[tuple[int, int, float]] = []
+            for a, b in _stretches(blocks * 2 + asks):
+                if blocks[a] != block:
+                    block, parts, vectors = int(blocks[a]), [], None
+                if not asks[a]:
+                    parts.append((entry[a:b], matrix[a:b]))
+                    continue
+                if vectors is None and parts:
+                    ids, vectors = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    place = np.empty(len(ids), dtype=np.int64)
+                    place[ids & 0xFFFFFFFF] = np.arange(len(ids))
+                    unit = _unit(vectors)
+                for row in range(a, b):
+                    found = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in batch.column("found")[row].as_py()]))
+                    rows = place[found]
+                    score = unit[rows] @ _unit(matrix[row : row + 1])[0]
                     if len(rows) > k + 1:
                         edge = np.partition(score, len(rows) - k - 1)[len(rows) - k - 1]
-                        best = score >= edge  # with all its ties
-                        rows, score = rows[best], score[best]
-                    out += [(q, e, s) for e, s in zip(entry[base[rows]].tolist(), score.tolist(), strict=True)]
-        a, b, s = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"query": pa.array(a, pa.int64()), "entry": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
+                        best = score >= edge - 1e-12
+                        found, rows = found[best], rows[best]
+                    exact = cosines(matrix[row], vectors[rows])
+                    if len(rows) > k + 1:
+                        best = exact >= np.partition(exact, len(rows) - k - 1)[len(rows) - k - 1]  # with all its ties
+                        found, exact = found[best], exact[best]
+                    out += [(int(entry[row]), (block << 32) + e, s) for e, s in zip(found.tolist(), exact.tolist(), strict=True)]
+            columns = list(zip(*out, strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "entry", "score"])
 
     return run
 
 
+def _stretches(key: np.ndarray) -> Iterator[tuple[int, int]]:
+    cut = np.flatnonzero(np.diff(key)) + 1
+    return zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True) if len(key) else iter(())
+
+
 def _usable(vector: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _retrieve(entries: DataFrame, queries: DataFrame, rotation, dimension: int, slices: int, radius: int, k: int) -> DataFrame:
+    """(query, entry, score): the best retrieved entries of each block for each of the entries ``queries``."""
+    reach = limits(radius, rotation.value.shape[1] // SUBSTRING).tolist()
+    schema = "table int, slice int, asks boolean, entry long, value int"
+    postings = entries.select("entry", "vector").mapInArrow(_post(rotation, dimension, slices, None), schema)
+    probes = queries.select("entry", "vector").mapInArrow(_post(rotation, dimension, slices, reach), schema)
+    found = postings.unionAll(probes).groupBy("table", "slice").applyInArrow(_probe(reach), "query long, block int, found binary")
+    lists = found.groupBy("query", "block").agg(F.collect_list("found").alias("found"))
+    asked = lists.join(queries.select(F.col("entry").alias("query"), "vector"), "query").select("block", F.lit(True).alias("asks"), F.col("query").alias("entry"), "vector", "found")
+    held = entries.select("block", F.lit(False).alias("asks"), "entry", "vector", F.lit(None).cast("array<binary>").alias("found"))
+    return held.unionAll(asked).repartition("block").sortWithinPartitions("block", "asks").mapInArrow(_rerank(dimension, k), "query long, entry long, score double")
+
+
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None = None, bits: int = BITS, sample_rows: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found by cosine of each row that ``is_query`` holds for, itself left out.
 
@@ -164,41 +263,47 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector")).where("vec_id IS NOT NULL").where(_usable(F.col("vector")))
     sizes = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, rank int, vec_id long, score double"
     if sizes is None:
-        return spark.createDataFrame([], schema)
-    dimension = sizes["d"]
-    rows = rows.where(F.size("vector") == dimension)
-    # -0.0 equals 0.0, so that equal vectors have equal texts
-    rows = rows.select("vec_id", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))
-    sample = rows.select("vector").dropDuplicates().orderBy(F.xxhash64("vector"), F.to_json("vector")).limit(sample_rows).collect()
-    learned = _unit(np.array(sorted(tuple(r["vector"]) for r in sample)))
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dimension, count = sizes["d"], max(1, -(-sizes["count"] // BLOCK_ROWS))
+    slices = min(SUBSTRING, max(0, (sizes["count"] - 1).bit_length() - (SLICE_ROWS - 1).bit_length()))
+    # -0.0 equals 0.0, so that equal vectors have equal hashes
+    rows = rows.where(F.size("vector") == dimension).select("vec_id", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))
+    rows = rows.select("vec_id", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2"), "vector")
+    names = rows.select("vec_id", "k1", "k2").distinct()
+    least = Window.partitionBy("k1", "k2").orderBy("vec_id")
+    few = names.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1)
+    placed = Window.partitionBy("block").orderBy("k1", "k2")
+    numbered = (
+        few.groupBy("k1", "k2")
+        .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+        .withColumn("block", F.pmod("k1", F.lit(count)).cast("int"))
+        .withColumn("entry", F.shiftleft(F.col("block").cast("long"), 32) + F.row_number().over(placed) - 1)
+    )
+    entries = checkpoint(rows.groupBy("k1", "k2").agg(F.first("vector").alias("vector")).join(numbered, ["k1", "k2"]))
+    sample = entries.select("vector").orderBy("k1", "k2").limit(sample_rows).collect()
+    learned = _unit(np.array([r["vector"] for r in sample]))
     rotations = learn(learned, bits)
     radius = fit_radius(learned, rotations, k) if radius is None else radius
     rotation = spark.sparkContext.broadcast(rotations)
-    distinct = rows.dropDuplicates(["vec_id", "vector"])
-    least = Window.partitionBy("vector").orderBy("vec_id")
-    few = distinct.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1)
-    # an entry is a different vector, named by its least id and a hash (an id may have several vectors)
-    entries = few.groupBy("vector").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).select(F.xxhash64(F.col("ids")[0], "vector").alias("entry"), "vector", "ids")
-    asked = distinct.where(is_query).select("vec_id", "vector")
-    named = asked.groupBy("vector").agg(F.count("*").alias("n")).join(entries, "vector")
-    # at least as many blocks as the different vectors and queries need
-    count, asked_blocks = (max(1, -(-x.count() // size)) for x, size in ((rows, BLOCK_ROWS), (asked, QUERY_BLOCK_ROWS)))
-
-    def dealt(frame: DataFrame, kind: int, mine: tuple[str, int], other: tuple[str, int]) -> DataFrame:
-        own = F.pmod("entry", F.lit(mine[1])).cast("int").alias(mine[0])
-        every = F.explode(F.sequence(F.lit(0), F.lit(other[1] - 1))).alias(other[0])
-        return frame.select(F.lit(kind).alias("kind"), own, every, "entry", "vector")
-
-    base = dealt(entries, 0, ("block", count), ("asked_block", asked_blocks))
-    each = dealt(named, 1, ("asked_block", asked_blocks), ("block", count))
-    found = base.unionByName(each).groupBy("block", "asked_block").applyInArrow(_search(rotation, dimension, k, radius), "query long, entry long, score double")
+    asking = checkpoint(names.where(is_query).join(entries.select("k1", "k2", "entry"), ["k1", "k2"]).select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query")))
+    owned = entries.select("entry", "ids")
+    enough = min(k + 1, entries.agg(F.sum(F.size("ids"))).first()[0])
+    left = entries.join(asking.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi")
+    found = None
+    while True:
+        now = checkpoint(_retrieve(entries, left, rotation, dimension, slices, radius, k).join(owned, "entry"))
+        full = now.groupBy("query").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") >= enough).select(F.col("query").alias("entry"))
+        good = now.join(full.withColumnRenamed("entry", "query"), "query", "left_semi")
+        found = good if found is None else found.unionAll(good)
+        left = left.join(full, "entry", "left_anti")
+        if radius >= bits or left.isEmpty():
+            break
+        left, radius = checkpoint(left), min(bits, radius + bits // 4)
     # per query entry: the candidates' ids, best first; then per asking id, itself left out
-    spread = found.join(entries.select("entry", "ids"), "entry").select("query", "score", F.explode("ids").alias("vec_id"))
+    spread = found.select("query", "score", F.explode("ids").alias("vec_id"))
     first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = spread.withColumn("n", F.row_number().over(first)).where(F.col("n") <= k + 1)
-    asking = asked.join(entries.select("entry", "vector"), "vector").select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
     kept = asking.join(best, "query").where("vec_id <> query_id")
     order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

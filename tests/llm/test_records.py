@@ -30,7 +30,6 @@ def _best(rows, ids, k=5):
 
 def test_nearest_with_hot_vector_and_bad_rows(spark, monkeypatch):
     monkeypatch.setattr(mih_search, "BLOCK_ROWS", 200)
-    monkeypatch.setattr(mih_search, "QUERY_BLOCK_ROWS", 5)
     bad = [(5000, None), (5050, [0.0] * 16), (5100, [float("nan")] * 16), (5150, [1.0] * 3), (5200, [None] * 16), (None, [1.0] * 16), (5250, [1e300] * 16), (5300, [float("inf")] * 16)]
     rows = _vectors() + bad
     table = spark.createDataFrame([(i, v, "x", 0) for i, v in rows], "vec_id long, embedding array<double>, query string, rank int")
@@ -79,14 +78,67 @@ def test_nearest_of_few_and_none(spark):
     assert mih_search.nearest(table.where("vec_id > 9"), F.lit(True)).count() == 0
 
 
+def _retrieved(code, query, radius):
+    reach = mih_search.limits(radius, code.shape[1])
+    hit = np.zeros(len(code), dtype=bool)
+    for k, limit in enumerate(reach.tolist()):
+        hit[mih_search.Table(code[:, k]).probe(int(query[k]), limit)] = True
+    return hit
+
+
 def test_probing_finds_every_code_within_the_radius():
     r = np.random.default_rng(3)
     code = r.integers(0, 65536, size=(3000, 4)).astype(np.uint16)
     code[:300] = code[0] ^ (1 << r.integers(0, 16, size=(300, 4))).astype(np.uint16) * (r.random((300, 4)) < 0.5)
-    index = mih_search.Index(code)
-    for radius in (0, 3, 7, 20, 64):
+    for radius in (0, 1, 2, 3, 6, 7, 20, 64):
+        reach = mih_search.limits(radius, 4)
+        assert sum(reach + 1) == radius + 1 or radius == 64
         near = mih_search.ONES[code ^ code[5]].sum(axis=1) <= radius
-        assert index.within(code[5], radius).tolist() == np.flatnonzero(near).tolist()
+        hit = _retrieved(code, code[5], radius)
+        assert hit[near].all()
+        # and nothing but codes with a substring within its limit
+        assert hit.tolist() == (mih_search.ONES[code ^ code[5]] <= reach).any(axis=1).tolist()
+
+
+def test_probing_retrieves_a_minority():
+    r = np.random.default_rng(5)
+    centres = r.standard_normal((400, 64))
+    vectors = mih_search._unit(np.repeat(centres, 10, axis=0) + 0.5 * r.standard_normal((4000, 64)))
+    rotation = mih_search.learn(vectors)
+    radius = mih_search.fit_radius(vectors, rotation)
+    code = mih_search.codes(vectors, rotation)
+    share, hits = [], []
+    for q in range(0, 4000, 50):
+        score = vectors @ vectors[q]
+        score[q] = -2
+        hit = _retrieved(code, code[q], radius)
+        share.append(hit.mean())
+        hits.append(hit[np.argsort(-score)[:5]].mean())
+    assert np.mean(hits) >= 0.9 and np.mean(share) < 0.2
+
+
+def test_slices_and_wider_radii(spark, monkeypatch):
+    monkeypatch.setattr(mih_search, "SLICE_ROWS", 64)
+    monkeypatch.setattr(mih_search, "BLOCK_ROWS", 100)
+    rows = _vectors(400)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # radius 0 retrieves next to nothing; every query still gets its five
+    found = collections.Counter(r.query_id for r in mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=0).collect())
+    assert found == {k: 5 for k in range(0, 400, 50)}
+    wide = mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=256).collect()
+    want = _best(rows, range(0, 400, 50))
+    assert {(r.query_id, r["rank"]): r.vec_id for r in wide} == {(q, n + 1): i for q, best in want.items() for n, (_, i) in enumerate(best)}
+
+
+def test_multiples_of_a_vector_tie(spark):
+    r = np.random.default_rng(6)
+    base = r.standard_normal((30, 64))
+    rows = [(k, base[k % 30].tolist() if k < 30 else (base[k % 30] * (3.0, 5.0, 7e-200)[k // 30 - 1]).tolist()) for k in range(120)]
+    found = collections.defaultdict(list)
+    for x in mih_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 30).collect():
+        found[x.query_id].append((x["rank"], x.vec_id, x.score))
+    tied = sum([i for _, i, _ in sorted(best)[:3]] == [q + 30, q + 60, q + 90] for q, best in found.items())
+    assert len(found) == 30 and tied >= 28  # but for what rounding to double parts
 
 
 # --- personal data
