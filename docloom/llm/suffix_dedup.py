@@ -12,13 +12,16 @@ given up. The text around each other one goes to the task of its bucket, where
 * a bottom-up mergesort over those comparisons orders the suffixes, and
   neighbours that agree over ``length`` bytes are verified byte by byte.
 
-Texts that are equal as a whole are settled before by their hash; one of them
-stands for all in the buckets. A representative found more than ``hot`` times would
-make a bucket of no bounded size: its strings are counted one by one instead, by
-two independent hashes, in an aggregation that combines before it shuffles.
+Texts that are equal as a whole, by 128 bits of xxh3 and their length, are settled
+before; one of them stands for all in the buckets. A bucket has at most ``hot`` pieces of
+text. Those of a representative found more often are split by all the bytes they hold: equal pieces are
+settled together, by a 128-bit BLAKE2 digest of their bytes, and one of each is cut into its
+strings, which are dealt by digests of their own. Both counts combine before they
+shuffle, and the joins back to the pieces can split a hot one.
 
 Defined results: null and empty texts have no bytes and keep the empty string;
-texts shorter than ``length`` are never changed; repeated rows are copies of each
+texts shorter than ``length`` are never changed; a text of any length is read whole; an
+empty table gives an empty one; repeated rows are copies of each
 other, whatever their doc_id; a null doc_id stays null. Columns other than doc_id
 and text are ignored.
 """
@@ -34,8 +37,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, ids_repeat, keyed, public_id, texts_of
-from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix, spans
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, public_id, texts_of
+from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix
 
 LENGTH = 200
 GRAM = 32
@@ -149,6 +152,16 @@ def _list(flat: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.ListArray
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, kind))
 
 
+def _pairs(digests: list[bytes]) -> list[pa.Array]:
+    """128-bit digests as two columns of numbers."""
+    flat = np.frombuffer(b"".join(digests), dtype=np.int64)
+    return [pa.array(flat[0::2]), pa.array(flat[1::2])]
+
+
+def _digest(x: bytes) -> bytes:
+    return hashlib.blake2b(x, digest_size=16).digest()
+
+
 def _describe(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,8 +179,8 @@ def _describe(length: int, gram: int):
                 part = batch.slice(done, len(texts))
                 done += len(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("did"), part.column("tkey"), pa.array(np.diff(offsets) - 1, pa.int64()), pa.array(spans(p, offsets[:-1], offsets[1:] - 1).view(np.int64)), pa.array([xxhash.xxh3_64_intdigest(t) for t in texts], pa.uint64()).view(pa.int64()), _list(grams[at].view(np.int64), cuts, pa.int64()), _list(at - first, cuts, pa.int16()), _list(first - base, cuts, pa.int32()), _list(final - first, cuts, pa.int16())],
-                    names=["did", "tkey", "n_bytes", "whole", "digest", "anchor", "ahead", "first", "more"],
+                    [part.column("did"), part.column("tkey"), pa.array(np.diff(offsets) - 1, pa.int64()), *_pairs([xxhash.xxh3_128_digest(t) for t in texts]), _list(grams[at].view(np.int64), cuts, pa.int64()), _list(at - first, cuts, pa.int16()), _list(first - base, cuts, pa.int32()), _list(final - first, cuts, pa.int16())],
+                    names=["did", "tkey", "n_bytes", "d1", "d2", "anchor", "ahead", "first", "more"],
                 )
 
     return run
@@ -195,24 +208,27 @@ def _snippets(length: int):
     return run
 
 
-def _strings(length: int):
-    """Both hashes of every string of runs whose representative is hot."""
+def _digests(length: int, whole: bool):
+    """A digest of each run's bytes, or of every string in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["h", "g", "did", "tkey", "start"]
         for batch in batches:
             for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), texts_of(batch), batch.column("runs"), strict=True):
-                buf = np.frombuffer(text, dtype=np.uint8)
-                one = fixed_spans(prefix(BYTE_VALUES[buf]), length)
-                two = fixed_spans(prefix(mix(BYTE_VALUES[buf])), length)
-                first, more = (np.asarray(runs.values.field(k)).astype(np.int64) for k in (2, 3))
-                start = np.repeat(first, more + 1) + np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
-                n = len(start)
-                yield pa.RecordBatch.from_arrays([pa.array(one[start].view(np.int64)), pa.array(two[start].view(np.int64)), pa.array(np.full(n, did)), pa.array(np.full(n, tkey)), pa.array(start, pa.int32())], names=names)
+                first, more = (np.asarray(runs.values.field(k)).astype(np.int64) for k in (0, 1))
+                if whole:
+                    found = [_digest(text[a : a + m + length]) for a, m in zip(first.tolist(), more.tolist(), strict=True)]
+                else:
+                    first = np.repeat(first, more + 1) + np.arange((more + 1).sum()) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+                    found, more = [_digest(text[a : a + length]) for a in first.tolist()], np.zeros(len(first), dtype=np.int64)
+                n = len(first)
+                yield pa.RecordBatch.from_arrays([*_pairs(found), pa.array(np.full(n, did)), pa.array(np.full(n, tkey)), pa.array(first, pa.int32()), pa.array(first + more, pa.int32())], names=["c1", "c2", "did", "tkey", "first", "last"])
 
     return run
 
 
+_DIGESTS = "c1 long, c2 long, did long, tkey long, first int, last int"
+
+
 def _snippet_batch(rows: list[list]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows, kinds, strict=True)], names=["anchor", "did", "tkey", "ahead", "first", "snippet"])
@@ -272,17 +288,9 @@ def _ranges(length: int, parts: list[bytes], owners: list[list[tuple[int, int, i
     owner = np.repeat(np.arange(len(parts)), width)
     within = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
     start = base[owner] + within
+    # strings can only agree where they hold the representative at the same distance
     place = mix(number[owner].astype(np.uint64) * np.uint64(1 << 20) + (ahead[owner] - within + length).astype(np.uint64))
-    half = length // 2
-    kept = np.arange(len(start))
-    for shift in (half, 0):  # suffixes that agree must agree in both halves
-        bucket = mix(place[kept] ^ order.raw(start[kept] + shift, length - half))
-        _, back, count = np.unique(bucket, return_inverse=True, return_counts=True)
-        some = count[back] > 1
-        kept, bucket = kept[some], bucket[some]
-    if not len(kept):
-        return
-    hit = kept[order.repeated(start[kept], bucket)]
+    hit = np.flatnonzero(order.repeated(start, place))
     cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)) + 1
     for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(hit)])).tolist(), strict=True):
         if a < b:
@@ -316,16 +324,38 @@ def _remove(length: int):
     return run
 
 
+def _beside(text: DataFrame, runs: DataFrame, *columns: str) -> DataFrame:
+    """The texts that have runs, with these columns of them."""
+    held = runs.groupBy("did", "tkey").agg(F.collect_list(F.struct(*columns)).alias("runs"))
+    return text.join(held, ["did", "tkey"]).select("did", "tkey", "text", "runs")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """The digests found more than once, with the place of one of each."""
+    found = rows.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("did", "tkey", "first")).alias("one"))
+    return apart(found.where("n > 1").select("c1", "c2", "one"), "c1", "c2")
+
+
+def _split(text: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """The strings of hot representatives that occur again: did, tkey, first, last."""
+    pieces = _beside(text, runs, "first", "more").mapInArrow(_digests(length, True), _DIGESTS)
+    settled = pieces.join(_counted(pieces), ["c1", "c2"], "left")
+    place = ["did", "tkey", "first", "last"]
+    alone = settled.where("one IS NULL OR one = struct(did, tkey, first)").withColumn("more", F.col("last") - F.col("first"))
+    strings = _beside(text, alone, "first", "more").mapInArrow(_digests(length, False), _DIGESTS)
+    return settled.where("one IS NOT NULL").select(place).unionAll(strings.join(_counted(strings).drop("one"), ["c1", "c2"], "left_semi").select(place))
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes; a cut can fall inside a character)."""
     if not 1 < gram < length < 2**15:
         raise ValueError("gram must be shorter than length, and length below 32768")
     repeats = ids_repeat(docs)
     text = keyed(docs, repeats).repartition("did", "tkey")
-    described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, whole long, digest long, anchor array<long>, ahead array<short>, first array<int>, more array<short>"))
-    same = ["digest", "whole", "n_bytes"]
-    shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1")
-    copies = described.select("did", "tkey", *same).join(shared, same).select("did", "tkey", "least").distinct()
+    described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, d1 long, d2 long, anchor array<long>, ahead array<short>, first array<int>, more array<short>"))
+    same = ["d1", "d2", "n_bytes"]
+    shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1").select(*same, "least")
+    copies = described.select("did", "tkey", *same).join(apart(shared, *same), same).select("did", "tkey", "least").distinct()
     followers = copies.where("did > least").select("did", "tkey")
     runs = (
         described.select("did", "tkey", F.explode(F.arrays_zip("anchor", "ahead", "first", "more")).alias("r"))
@@ -333,14 +363,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
         .select("did", "tkey", "r.*")
     )
     repeated = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    met = runs.join(repeated, "anchor").groupBy("did", "tkey", (F.col("n") > hot).alias("hot")).agg(F.collect_list(F.struct("anchor", "ahead", "first", "more")).alias("runs"))
-    alive = text.join(met, ["did", "tkey"]).select("did", "tkey", "text", "hot", "runs")
-    snippets = alive.where("NOT hot").select("did", "tkey", "text", "runs").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
+    met = runs.join(apart(repeated, "anchor"), "anchor")
+    snippets = _beside(text, met.where(F.col("n") <= hot), "anchor", "ahead", "first", "more").mapInArrow(_snippets(length), "anchor long, did long, tkey long, ahead int, first int, snippet binary")
     sorted_out = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
-    strings = alive.where("hot").select("did", "tkey", "text", "runs").mapInArrow(_strings(length), "h long, g long, did long, tkey long, start int")
-    again = strings.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").select("h", "g")
-    counted = strings.join(again, ["h", "g"], "left_semi").select("did", "tkey", F.col("start").alias("first"), F.col("start").alias("last"))
-    found = sorted_out.unionByName(counted)
+    found = sorted_out.unionByName(_split(text, met.where(F.col("n") > hot), length))
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
     out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

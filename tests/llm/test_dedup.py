@@ -183,6 +183,36 @@ def test_suffix_dedup_of_hot_representatives(spark):
     assert counted(suffix_dedup.suffix_dedup(frame(spark, rows), hot=2), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows)
 
 
+def test_suffix_order_decides(monkeypatch):
+    # snippets that share their representative at the same distance and little else
+    r = random.Random(2)
+    parts = [("".join(r.choice("ab") for _ in range(90)) + "x" * 32 + "".join(r.choice("ab") for _ in range(90))).encode() for _ in range(300)]
+    parts += [parts[0][:50] + b"c" * 10 + parts[0][60:], b"c" * 30 + parts[7][30:]]
+    signs = collections.Counter()
+    plain = suffix_dedup.SuffixOrder.compare
+
+    def compare(self, x, y):
+        found = plain(self, x, y)
+        signs.update(found.tolist())
+        return found
+
+    monkeypatch.setattr(suffix_dedup.SuffixOrder, "compare", compare)
+    n, length = len(parts), 100
+    found = list(suffix_dedup._ranges(length, parts, [[(k, 0, 0)] for k in range(n)], np.zeros(n, int), np.full(n, 90), np.array([len(p) - length + 1 for p in parts])))
+    places = collections.Counter(p[k : k + length] for p in parts for k in range(len(p) - length + 1))
+    want = {(i, k) for i, p in enumerate(parts) for k in range(len(p) - length + 1) if places[p[k : k + length]] > 1}
+    assert {(d, k) for d, _, a, b in found for k in range(a, b + 1)} == want and want
+    assert signs[-1] + signs[1] > 20 * signs[0]
+
+
+def test_suffix_dedup_of_patterned_and_long_texts(spark):
+    r = random.Random(5)
+    order = doubling(2048)
+    long = "".join(r.choice("abcdefgh ") for _ in range(120_000))
+    rows = [(1, "".join("ab"[x] for x in order)), (2, "".join("ab"[1 - x] for x in order)), (3, long), (4, "x" * 150 + long[500:1200]), (5, "z" + long[:900])]
+    assert counted(suffix_dedup.suffix_dedup(frame(spark, rows)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows)
+
+
 def test_suffix_mergesort_orders():
     r = np.random.default_rng(1)
     buf = r.integers(97, 99, size=4000).astype(np.uint8)
