@@ -34,7 +34,7 @@ def test_nearest_with_hot_vector_and_bad_rows(spark, monkeypatch):
     rows = _vectors() + bad
     table = spark.createDataFrame([(i, v, "x", 0) for i, v in rows], "vec_id long, embedding array<double>, query string, rank int")
     found = collections.defaultdict(list)
-    for r in mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=200).collect():
+    for r in mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=512).collect():
         found[r.query_id].append((r["rank"], -round(r.score, 9), r.vec_id))
     want = _best(rows, [i for i, _ in rows if i is not None and i % 50 == 0])
     assert found.keys() == want.keys()
@@ -125,7 +125,7 @@ def test_slices_and_wider_radii(spark, monkeypatch):
     # radius 0 retrieves next to nothing; every query still gets its five
     found = collections.Counter(r.query_id for r in mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=0).collect())
     assert found == {k: 5 for k in range(0, 400, 50)}
-    wide = mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=256).collect()
+    wide = mih_search.nearest(table, F.col("vec_id") % 50 == 0, radius=512).collect()
     want = _best(rows, range(0, 400, 50))
     assert {(r.query_id, r["rank"]): r.vec_id for r in wide} == {(q, n + 1): i for q, best in want.items() for n, (_, i) in enumerate(best)}
 
