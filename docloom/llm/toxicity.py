@@ -6,6 +6,10 @@ those probabilities are out of fold, so that a later model learns how far to tru
 earlier one on texts it has not seen; in use they come from the earlier model
 fitted on all training rows.
 
+Folds are by a hash of the text's words, so that copies of a text share a fold. A link
+after the first is fitted with out-of-fold probabilities only where every row has one:
+with a single fold filled the chain falls back to the share of the label.
+
 Training uses at most ``sample_rows`` labelled rows: those with the least hash of
 their doc_id, so that the sample does not depend on how rows are dealt. Words and
 their first 4 and 5 bytes, which stand for stems, are hashed; per category the
@@ -15,7 +19,8 @@ The rarer label value is weighted up. Scoring reads every whole text.
 Defined results: a null or empty text is scored by its form alone; a category with
 a single label value in the sample gets that value's smoothed share for all texts;
 without any labelled row all probabilities are 0. Labels that are null are left
-out; repeated label rows count each. Columns other than doc_id and text are ignored.
+out; repeated label rows count each; a text of any length is read whole; an empty table
+gives an empty one. Columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +152,7 @@ def fit_chain(doc: np.ndarray, word: np.ndarray, form: np.ndarray, labels: np.nd
         y = labels[:, c]
         models.append(_train(doc, word, form, earlier, y, size))
         if c + 1 < labels.shape[1]:
-            held = np.zeros(len(y))
+            held = np.full(len(y), y.mean() if len(y) else 0.0)
             for f in range(FOLDS):
                 out = fold == f
                 if out.any() and (~out).any():
@@ -186,7 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, chain: tuple = CHAIN, sample_rows:
     word = np.concatenate(sets) if sets else np.zeros(0, np.uint32)
     form = np.array([r["form"] for r in found]).reshape(-1, FORM)
     y = np.array([r["y"] for r in found], dtype=np.float64).reshape(-1, len(chain))
-    fold = np.array([r["doc_id"] for r in found], dtype=np.int64) % FOLDS
+    # by what a text says, so that equal texts are in one fold whatever their ids
+    fold = np.array([xxhash.xxh3_64_intdigest(bytes(r["words"])) % FOLDS for r in found], dtype=np.int64)
     return fit_chain(doc, word, form, y, fold, vocabulary)
 
 
