@@ -47,8 +47,8 @@ def ids_repeat(docs: DataFrame) -> bool:
     return docs.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
 
 
-def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
-    """(did, tkey, text): a non-null id and a number that together name a row's content.
+def keyed(docs: DataFrame, repeats: bool = True, *more: Column) -> DataFrame:
+    """(did, tkey, text, more columns): a non-null id and a number that together name a row's content.
 
     Rows that repeat both id and text share a key and get equal results; rows that
     share only the id stay apart, by a hash of their text. Where no id repeats
@@ -59,7 +59,7 @@ def keyed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     # a literal would be folded into each use of the frame, and a nullable expression be
     # filtered in some; the uses would then no longer share one shuffle
     tkey = F.xxhash64(text) if repeats else did.bitwiseAND(F.lit(0).cast("long"))
-    return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"))
+    return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"), *more)
 
 
 def row_key(docs: DataFrame) -> tuple[Column, Column]:

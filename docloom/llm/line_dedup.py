@@ -1,26 +1,26 @@
 """Line dedup with two Bloom filters.
 
-One pass sets each document's line keys in a once-seen filter and, where they were
-set before, in a twice-seen filter; filters of different tasks meet slice by slice
-(what two tasks have seen once has been seen twice). Only lines that the twice-seen
-filter knows are shuffled, to be counted exactly by their whole key; the surviving
-occurrence is the one in the largest doc_id holding the key.
+One pass sends the hashes of each partition's line keys, each once with a mark where the
+partition holds it in several texts, to the slices of two filters, cut by hash so that no task holds
+all: a once-seen filter and, for hashes that were set before or are marked, a twice-seen
+filter. Only lines that the twice-seen filter knows are shuffled, to be counted exactly by
+their whole key; the surviving occurrence is the one in the largest doc_id holding the key.
 
-The filters have a fixed size (``filter_bits`` each), whatever the input: above
-about a tenth as many distinct lines they let more single lines through, which
-costs shuffle but never changes a result.
+The filters are sized from the number of lines, ``LINE_BITS`` bits each, up to
+``MOST_BITS`` bits, which bounds what is broadcast. Above that number of lines they let
+more single lines through, which costs shuffle but never changes a result.
 
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points always stay; repeated lines within one document count
 once, and all of them stay or go together; rows that repeat a doc_id count as one
-document; a null doc_id counts as larger than any other. Columns other than doc_id
-and text are ignored.
+document; a null doc_id counts as larger than any other; a text or line of any length is
+read whole; an empty table gives an empty one. Columns other than doc_id and text are
+ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import checkpoint, keyed, public_id, texts_of
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, public_id, texts_of
 from docloom.llm.hashing import mix
 
 MIN_CHARS, MIN_DOCS = 20, 3
-FILTER_BITS, SLICES, PROBES = 1 << 26, 64, 3
+SLICES, PROBES = 64, 3
+LINE_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 31
 
 
 def line_key(line: bytes) -> bytes:
@@ -46,66 +47,73 @@ def _long_keys(text: bytes, min_chars: int) -> list[bytes]:
     return [k for k in keys if len(k) >= min_chars and (len(k) >= 4 * min_chars or len(k.decode()) >= min_chars)]
 
 
-def _bits(keys: list[bytes], bits: int) -> np.ndarray:
-    h = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], dtype=np.uint64)
-    return np.stack([(mix(h + np.uint64(k)) % np.uint64(bits)).astype(np.int64) for k in range(PROBES)]) if len(h) else np.zeros((PROBES, 0), dtype=np.int64)
+def _hashes(keys: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), dtype=np.uint64, count=len(keys))
 
 
-def _fill(min_chars: int, bits: int):
-    """Both filters of a partition, in compressed slices."""
+def _bits(h: np.ndarray, width: int) -> np.ndarray:
+    """Places of each hash in its slice of ``width`` bits; the slice is its first six bits."""
+    return np.stack([(mix(h + np.uint64(k)) % np.uint64(width)).astype(np.int64) for k in range(PROBES)])
+
+
+def filter_bits(lines: int) -> int:
+    bits = LEAST_BITS
+    while bits < min(MOST_BITS, LINE_BITS * lines):
+        bits *= 2
+    return bits
+
+
+def _ask(min_chars: int):
+    """The hashes of a partition's keys by slice; first those held by several of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, dtype=bool), np.zeros(bits, dtype=bool)
-        any_ = False
-        for batch in batches:
-            keys: list[bytes] = []
-            for text in texts_of(batch):
-                keys += _long_keys(text, min_chars)
-            any_ |= bool(keys)
-            at = _bits(keys, bits)
-            # within the batch: every sight of a key after its first
-            _, first = np.unique(at[0], return_index=True)
-            again = np.ones(at.shape[1], dtype=bool)
-            again[first] = False
-            again |= once[at].all(axis=0)
-            twice[at[:, again]] = True
-            once[at] = True
-        if any_:
-            width = bits // SLICES
-            for k in range(SLICES):
-                part = slice(k * width, (k + 1) * width)
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([k], pa.int32()), "once": [zlib.compress(np.packbits(once[part]).tobytes(), 1)], "twice": [zlib.compress(np.packbits(twice[part]).tobytes(), 1)]})
+        parts = [_hashes([k for text in texts_of(batch) for k in _long_keys(text, min_chars)]) for batch in batches]
+        h, count = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        slices = (h >> np.uint64(58)).astype(np.int64)
+        cuts = np.searchsorted(slices, np.arange(SLICES + 1))
+        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+            if a < b:
+                many = count[a:b] > 1
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([int(many.sum())], pa.int64()), pa.array([np.concatenate((h[a:b][many], h[a:b][~many])).tobytes()], pa.binary())], names=["slice", "many", "hashes"])
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fill(width: int):
     """Sorted by slice: the twice-seen filter of all partitions."""
-    current, once, twice = None, None, None
-    for batch in batches:
-        for k, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            a, b = (np.frombuffer(zlib.decompress(x), dtype=np.uint8) for x in (a, b))
-            if k != current:
-                if current is not None:
-                    yield pa.RecordBatch.from_pydict({"slice": pa.array([current], pa.int32()), "twice": [twice.tobytes()]})
-                current, once, twice = k, a, b
-            else:
-                once, twice = once | a, twice | b | (once & a)
-    if current is not None:
-        yield pa.RecordBatch.from_pydict({"slice": pa.array([current], pa.int32()), "twice": [twice.tobytes()]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, once, twice = None, np.zeros(0, bool), np.zeros(0, bool)
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([np.packbits(twice).tobytes()], pa.binary())], names=["slice", "twice"])
+        for batch in batches:
+            for k, many, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != current:
+                    if current is not None:
+                        yield row()
+                    current, once, twice = k, np.zeros(width, dtype=bool), np.zeros(width, dtype=bool)
+                at = _bits(np.frombuffer(hashes, dtype=np.uint64), width)
+                again = once[at].all(axis=0)
+                again[:many] = True
+                twice[at[:, again]] = True
+                once[at] = True
+        if current is not None:
+            yield row()
+
+    return run
 
 
 def twice_seen(text: DataFrame, min_chars: int, bits: int) -> bytes:
-    """The twice-seen filter, packed: bits / 8 bytes on the driver, whatever the input."""
-    parts = text.mapInArrow(_fill(min_chars, bits), "slice int, once binary, twice binary")
-    merged = parts.repartition(SLICES, "slice").sortWithinPartitions("slice").mapInArrow(_merge, "slice int, twice binary")
-    found = {row["slice"]: bytes(row["twice"]) for row in merged.collect()}
+    """The twice-seen filter, packed: bits / 8 bytes on the driver."""
+    asked = text.mapInArrow(_ask(min_chars), "slice int, many long, hashes binary")
+    filled = asked.repartition(SLICES, "slice").sortWithinPartitions("slice").mapInArrow(_fill(bits // SLICES), "slice int, twice binary")
+    found = {row["slice"]: bytes(row["twice"]) for row in filled.collect()}
     return b"".join(found.get(k, bytes(bits // SLICES // 8)) for k in range(SLICES))
 
 
 def _suspects(min_chars: int, bits: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(shared.value, dtype=np.uint8)
+        width = bits // SLICES
         for batch in batches:
             keys: list[bytes] = []
             owner: list[int] = []
@@ -113,12 +121,12 @@ def _suspects(min_chars: int, bits: int, shared):
                 mine = _long_keys(text, min_chars)
                 keys += mine
                 owner += [k] * len(mine)
-            at = _bits(keys, bits)
-            seen = (packed[at >> 3] & (128 >> (at & 7))).all(axis=0) if len(keys) else np.zeros(0, dtype=bool)
-            hit = np.flatnonzero(seen)
+            h = _hashes(keys)
+            at = _bits(h, width) + (h >> np.uint64(58)).astype(np.int64) * width
+            hit = np.flatnonzero((packed[at >> 3] & (128 >> (at & 7))).all(axis=0))
             take = pa.array(np.array(owner, dtype=np.int64)[hit])
             for k in range(0, max(1, len(hit)), 20_000):
-                yield pa.RecordBatch.from_arrays([batch.column("did").take(take[k : k + 20_000]), pa.array([keys[i] for i in hit[k : k + 20_000].tolist()], pa.binary())], names=["did", "key"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take[k : k + 20_000]) for c in ("did", "tkey")), pa.array([keys[i] for i in hit[k : k + 20_000].tolist()], pa.binary())], names=["did", "tkey", "key"])
 
     return run
 
@@ -138,22 +146,23 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))], names=["row", "n_lines", "n_dropped", "kept_sha256", "kept"])
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, filter_bits: int = FILTER_BITS, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_lines, n_dropped, kept_sha256, kept, and the columns named in ``carry``."""
+def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, bits: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_sha256, kept, and the columns named in ``carry``. ``bits``: of each filter, a multiple of 512."""
     if min_docs < 2:
         raise ValueError("min_docs must be at least 2")
-    text = keyed(docs)
+    repeats = ids_repeat(docs)
+    text = keyed(docs, repeats)
     context = docs.sparkSession.sparkContext
-    shared = context.broadcast(twice_seen(text, min_chars, filter_bits))
-    suspects = text.mapInArrow(_suspects(min_chars, filter_bits, shared), "did long, key binary")
-    held = checkpoint(suspects.distinct())
-    known = held.groupBy("key").agg(F.count("*").alias("n"), F.max("did").alias("largest")).where(F.col("n") >= min_docs)
-    gone = held.join(known, "key").where("did < largest").groupBy("did").agg(F.collect_list("key").alias("gone"))
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("did"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.struct(*(F.col(c) for c in carry)).alias("extra") if carry else F.lit(None).cast("string").alias("extra"),
-    ).join(gone, "did", "left")
+    if bits is None:
+        bits = filter_bits(text.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0)
+    shared = context.broadcast(twice_seen(text, min_chars, bits))
+    held = checkpoint(text.mapInArrow(_suspects(min_chars, bits, shared), "did long, tkey long, key binary").distinct())
+    # a document is an id, whatever the number of its rows
+    holders = held.select("did", "key").distinct() if repeats else held
+    known = holders.groupBy("key").agg(F.count("*").alias("n"), F.max("did").alias("largest")).where(F.col("n") >= min_docs).drop("n")
+    gone = held.join(apart(known, "key"), "key").where("did < largest").groupBy("did", "tkey").agg(F.collect_list("key").alias("gone"))
+    extra = F.struct(*(F.col(c) for c in carry)).alias("extra") if carry else F.lit(None).cast("string").alias("extra")
+    rows = keyed(docs, repeats, extra).join(gone, ["did", "tkey"], "left")
     out = rows.select(F.struct("did", "extra").alias("row"), "text", "gone")
     kind = out.schema["row"].dataType.simpleString()
     done = out.mapInArrow(_drop, f"row {kind}, n_lines long, n_dropped long, kept_sha256 string, kept string")

@@ -2,10 +2,12 @@
 
 import collections
 import random
+import types
 
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docloom.llm import components, hashing, line_dedup, ngram_join, substring_dedup, suffix_dedup
 
@@ -158,7 +160,27 @@ def test_line_dedup(spark, seed):
 
 def test_line_dedup_with_full_filters(spark):
     rows = corpus(6)
-    assert counted(line_dedup.line_dedup(frame(spark, rows), filter_bits=1024), "doc_id", "n_lines", "n_dropped", "kept_sha256") == brute.lines(rows)
+    assert counted(line_dedup.line_dedup(frame(spark, rows), bits=1024), "doc_id", "n_lines", "n_dropped", "kept_sha256") == brute.lines(rows)
+
+
+def test_filters_follow_the_lines(spark):
+    assert [line_dedup.filter_bits(n) for n in (0, 1 << 16, (1 << 16) + 1, 10**7, 10**12)] == [1 << 20, 1 << 20, 1 << 21, 1 << 28, 1 << 31]
+    lines = [f"a line of its own number {k}" for k in range(20_000)]
+    rows = [(k, "\n".join(lines[k * 100 : k * 100 + 100] + ["a line that two documents have"] * (k < 2))) for k in range(200)]
+    text = spark.createDataFrame(rows, "did long, text string").withColumn("tkey", F.lit(0).cast("long")).repartition(7)
+    bits = line_dedup.filter_bits(20_200)
+    suspects = text.mapInArrow(line_dedup._suspects(20, bits, types.SimpleNamespace(value=line_dedup.twice_seen(text, 20, bits))), "did long, tkey long, key binary").collect()
+    assert {r.did for r in suspects if bytes(r.key) == b"a line that two documents have"} == {0, 1}
+    assert len(suspects) < 200  # of 20,002
+
+
+def test_line_dedup_of_hot_line_long_text_and_one_id(spark):
+    r = random.Random(4)
+    hot = "This line is held by every document of all"
+    long = "\n".join(f"line number {r.randrange(30_000)} of many" for _ in range(40_000))
+    rows = [(k, f"{hot}\nown words {k}\n{hot.upper()} ") for k in range(200)] + [(500, long), (501, long[:300_000]), (502, long[9_000:]), (503, "y" * 300_000)]
+    rows += [(7, f"{hot}\nthe same id, row {k}") for k in range(50)]
+    assert counted(line_dedup.line_dedup(frame(spark, rows)), "doc_id", "n_lines", "n_dropped", "kept_sha256") == brute.lines(rows)
 
 
 def test_line_dedup_carries_columns(spark):
