@@ -6,6 +6,8 @@ import types
 
 import brute
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,13 +70,67 @@ def test_ngram_join_in_blocks(spark, monkeypatch):
 
 
 def test_overlaps_by_fragments(monkeypatch):
-    monkeypatch.setattr(ngram_join, "FRAGMENT", 7)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
     r = np.random.default_rng(0)
     sets = [np.unique(r.integers(0, 90, size=r.integers(1, 80)).astype(np.uint64)) for _ in range(30)]
     found = ngram_join.overlaps(sets[:12], sets[12:])
     assert found.tolist() == [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
 
 
+def _paragraphs():
+    r = random.Random(9)
+    parts = [" ".join(f"w{r.randrange(10**6)}" for _ in range(60)) for _ in range(300)]
+    return [(k, " ".join(r.sample(parts, 5))) for k in range(600)] + [(700, " ".join(parts[:5])), (701, " ".join(parts[:5]) + " end")]
+
+
+def test_ngram_join_of_shared_paragraphs(spark):
+    rows = _paragraphs()
+    found = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.ngram_jaccard_components(frame(spark, rows)).collect()}
+    assert found == {k: (k, 0) for k in range(600)} | {700: (700, 1), 701: (700, 1)}
+
+
+def test_fragments_give_up_unlinked_pairs():
+    rows = _paragraphs()
+    sets = ngram_join._sets([t.encode() for _, t in rows], 4)
+    table = pa.table({"x": [0] * len(sets), "y": [0] * len(sets), "block": [0] * len(sets), "node": [d for d, _ in rows], "copies": [1] * len(sets), "n": [len(h) for h in sets], "grams": [h.tobytes() for h in sets]})
+    cut = pa.Table.from_batches(list(ngram_join._cut(table.to_batches())))
+    parts = [ngram_join._partial(85)(cut.filter(pc.equal(cut["fragment"], k))) for k in range(ngram_join.FRAGMENTS)]
+    # of 180,901 pairs, the fragments leave next to none but the one that links
+    left = [ngram_join._opened(p["pairs"][0].as_py(), np.int64).cumsum() for p in parts]
+    assert all(len(x) <= 20 for x in left)
+    assert set.intersection(*(set(x.tolist()) for x in left)) == {600 * 602 + 601}
+    links = ngram_join._sum(85)(pa.concat_tables(parts)).to_pylist()
+    assert sorted((r["a"], r["b"], r["links"]) for r in links) == [(700, 700, 1), (700, 701, 0), (701, 701, 1)]
+
+
+def test_partial_counts_add_up():
+    r = np.random.default_rng(4)
+    pool = r.integers(0, 2**64, size=120, dtype=np.uint64)
+    sets = [np.unique(r.choice(pool, size=r.integers(60, 120))) for _ in range(40)]
+    edge = np.arange(1, 4, dtype=np.uint64) << np.uint64(62)
+    cuts = [np.split(h, np.searchsorted(h, edge)) for h in sets]
+    size = np.array([len(h) for h in sets])
+    for percent in (1, 50, 80):
+        total = np.zeros(1600, dtype=np.int64)
+        for k in range(4):
+            pairs, counts = ngram_join.partial_counts([c[k] for c in cuts], [c[k] for c in cuts], (size, size), percent, True)
+            total[pairs] += counts
+        for i in range(40):
+            for j in range(i + 1, 40):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                linked = 100 * both >= percent * (size[i] + size[j] - both)
+                assert total[i * 40 + j] <= both and (not linked or total[i * 40 + j] == both)
+
+
+def test_ngram_join_of_patterned_words_and_long_text(spark):
+    order = doubling(1024)
+    r = random.Random(6)
+    long = " ".join(f"w{r.randrange(9999)}" for _ in range(30_000))
+    rows = [(1, "".join("ab"[x] for x in order)), (2, "".join("ab"[1 - x] for x in order)), (3, long), (4, f"{long} more"), (5, long[:80_000])]
+    found = ngram_join.ngram_jaccard_components(frame(spark, rows))
+    assert counted(found, "doc_id", "n_shingles", "component_id", "n_links") == brute.jaccard(rows)
+
+
 def test_keep_one_of_each(spark):
     rows = [(3, "a b c d e f"), (1, "a b c d e f"), (2, "g h i j k"), (4, None), (5, "")]
     kept = ngram_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
