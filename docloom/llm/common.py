@@ -85,7 +85,9 @@ def _pack(batches):
 
 def packed(docs: DataFrame, repeats: bool = True) -> DataFrame:
     """``keyed`` with the text compressed, for texts that are shuffled: about half the bytes of Spark's own compression."""
-    return keyed(docs, repeats).mapInArrow(_pack, "did long, tkey long, packed binary")
+    out = keyed(docs, repeats).mapInArrow(_pack, "did long, tkey long, packed binary")
+    # never null, or an inner join's check for nulls would part its use from the others, which share one shuffle
+    return out.select(F.coalesce("did", F.lit(NULL_ID)).alias("did"), F.coalesce("tkey", F.lit(0).cast("long")).alias("tkey"), "packed")
 
 
 def unpacked(batch) -> list[bytes]:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, public_id, texts_of
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, packed, public_id, texts_of, unpacked
 from docloom.llm.hashing import Words, anchor_runs, blocks, prefix, prime_prefix, prime_spans, spans
 
 WINDOW, SHORTEST = 50, 16
@@ -117,7 +117,7 @@ def _extend(known: int, length: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in blocks(texts_of(batch)):
+            for texts in blocks(unpacked(batch)):
                 words = Words(texts)
                 p, q = prefix(words.hash), prime_prefix(words.other())
                 doc, (at, first, last) = _runs(batch, done, len(texts))
@@ -142,7 +142,7 @@ def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
-            for texts in blocks(texts_of(batch)):
+            for texts in blocks(unpacked(batch)):
                 words = Words(texts)
                 p, q = prefix(words.hash), prime_prefix(words.other())
                 doc, (first, last) = _runs(batch, done, len(texts))
@@ -167,7 +167,7 @@ def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, found, copy in zip(texts_of(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
+            for text, found, copy in zip(unpacked(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
                 words = text.split()
                 gone = np.zeros(len(words) + 1, dtype=np.int64)
                 if copy and len(words) >= window:
@@ -198,7 +198,7 @@ def _repeated(rows: DataFrame, *key: str) -> DataFrame:
 def _beside(text: DataFrame, runs: DataFrame, *columns: str) -> DataFrame:
     """The texts that have runs, with these columns of them."""
     held = runs.groupBy("did", "tkey").agg(F.collect_list(F.struct(*columns)).alias("runs"))
-    return text.join(held, ["did", "tkey"]).select("did", "tkey", "text", "runs")
+    return text.join(held, ["did", "tkey"]).select("did", "tkey", "packed", "runs")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -207,7 +207,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         raise ValueError("window must be 2 or more")
     repeats = ids_repeat(docs)
     known, longer = levels(window)
-    text = keyed(docs, repeats).repartition("did", "tkey")
+    text = packed(docs, repeats).repartition("did", "tkey")
     described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(window, known), "did long, tkey long, n_words long, d1 long, d2 long, h array<long>, at array<int>, first array<int>, last array<int>"))
     whole = ["d1", "d2", "n_words"]
     copies = described.select("did", "tkey", *whole).join(_repeated(described, *whole), whole).where("did > least").select("did", "tkey").distinct()
@@ -225,5 +225,5 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = settled.where(later).select("did", "tkey", "first", "last").unionAll(single)
     ranges = found.groupBy("did", "tkey").agg(F.collect_set(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.withColumn("copy", F.lit(True)), ["did", "tkey"], "left")
-    out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(window), "did long, n_words long, n_removed long, kept_sha256 string, kept string")
+    out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(window), "did long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.select(public_id(), "n_words", "n_removed", "kept_sha256", "kept")
