@@ -56,7 +56,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix(values: np.ndarray) -> np.ndarray:
     out = np.zeros(len(values) + 1, dtype=U)
-    np.cumsum(values * powers(len(values))[0][: len(values)], out=out[1:])
+    np.multiply(values, powers(len(values))[0][: len(values)], out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 

@@ -37,12 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, public_id, texts_of
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, packed, public_id, texts_of, unpacked
 from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix
 
 LENGTH = 200
 GRAM = 32
-BUCKET_BYTES, HOT = 2_000_000, 50_000
+BUCKET_BYTES, SORTED, HOT = 2_000_000, 500_000, 20_000
 
 
 class SuffixOrder:
@@ -193,7 +193,7 @@ def _snippets(length: int):
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             size = 0
-            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), texts_of(batch), batch.column("runs"), strict=True):
+            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), unpacked(batch), batch.column("runs"), strict=True):
                 values = runs.values
                 for anchor, ahead, first, more in zip(*(values.field(k).to_pylist() for k in range(4)), strict=True):
                     snippet = text[first : first + more + length]
@@ -213,7 +213,7 @@ def _digests(length: int, whole: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), texts_of(batch), batch.column("runs"), strict=True):
+            for did, tkey, text, runs in zip(batch.column("did").to_pylist(), batch.column("tkey").to_pylist(), unpacked(batch), batch.column("runs"), strict=True):
                 first, more = (np.asarray(runs.values.field(k)).astype(np.int64) for k in (0, 1))
                 if whole:
                     found = [_digest(text[a : a + m + length]) for a, m in zip(first.tolist(), more.tolist(), strict=True)]
@@ -289,8 +289,18 @@ def _ranges(length: int, parts: list[bytes], owners: list[list[tuple[int, int, i
     within = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
     start = base[owner] + within
     # strings can only agree where they hold the representative at the same distance
-    place = mix(number[owner].astype(np.uint64) * np.uint64(1 << 20) + (ahead[owner] - within + length).astype(np.uint64))
-    hit = np.flatnonzero(order.repeated(start, place))
+    distance = ahead[owner] - within
+    place = mix(number[owner].astype(np.uint64) * np.uint64(1 << 20) + (distance + length).astype(np.uint64))
+    found = np.zeros(len(start), dtype=bool)
+    by = np.argsort(distance, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(distance[by])) + 1, len(by))
+    while len(by):  # some distances at a time, for bounded memory
+        end = int(ends[np.searchsorted(ends, SORTED)] if ends[-1] > SORTED else ends[-1])
+        part, by, ends = by[:end], by[end:], ends[ends > end] - end
+        found[part] = order.repeated(start[part], place[part])
+    hit = np.flatnonzero(found)
+    if not len(hit):
+        return
     cut = np.flatnonzero((np.diff(hit) != 1) | (np.diff(owner[hit]) != 0)) + 1
     for a, b in zip(np.concatenate(([0], cut)).tolist(), np.concatenate((cut, [len(hit)])).tolist(), strict=True):
         if a < b:
@@ -303,7 +313,7 @@ def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for text, found, copy in zip(texts_of(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
+            for text, found, copy in zip(unpacked(batch), batch.column("found"), batch.column("copy").to_pylist(), strict=True):
                 ranges: list[list[int]] = [[0, len(text)]] if copy and len(text) >= length else []
                 if not ranges and found.is_valid:
                     for first, last in sorted((r["first"], r["last"]) for r in found.as_py()):
@@ -327,7 +337,7 @@ def _remove(length: int):
 def _beside(text: DataFrame, runs: DataFrame, *columns: str) -> DataFrame:
     """The texts that have runs, with these columns of them."""
     held = runs.groupBy("did", "tkey").agg(F.collect_list(F.struct(*columns)).alias("runs"))
-    return text.join(held, ["did", "tkey"]).select("did", "tkey", "text", "runs")
+    return text.join(held, ["did", "tkey"]).select("did", "tkey", "packed", "runs")
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -351,7 +361,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     if not 1 < gram < length < 2**15:
         raise ValueError("gram must be shorter than length, and length below 32768")
     repeats = ids_repeat(docs)
-    text = keyed(docs, repeats).repartition("did", "tkey")
+    text = packed(docs, repeats).repartition("did", "tkey")
     described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, d1 long, d2 long, anchor array<long>, ahead array<short>, first array<int>, more array<short>"))
     same = ["d1", "d2", "n_bytes"]
     shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1").select(*same, "least")
@@ -369,5 +379,5 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     found = sorted_out.unionByName(_split(text, met.where(F.col("n") > hot), length))
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
     marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
-    out = marks.select("did", "text", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.select(public_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

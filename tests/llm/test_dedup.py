@@ -261,7 +261,9 @@ def test_suffix_dedup_of_hot_representatives(spark):
     assert counted(suffix_dedup.suffix_dedup(frame(spark, rows), hot=2), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.suffixes(rows)
 
 
-def test_suffix_order_decides(monkeypatch):
+@pytest.mark.parametrize("at_once", [1, 700, 10**6])
+def test_suffix_order_decides(monkeypatch, at_once):
+    monkeypatch.setattr(suffix_dedup, "SORTED", at_once)
     # snippets that share their representative at the same distance and little else
     r = random.Random(2)
     parts = [("".join(r.choice("ab") for _ in range(90)) + "x" * 32 + "".join(r.choice("ab") for _ in range(90))).encode() for _ in range(300)]
