@@ -18,7 +18,8 @@ Every segmentation decodes to the source text: characters without a piece become
 bytes, as do the model's own space symbol U+2581 where the text holds it.
 
 Defined results: null and empty texts have no pieces; a text of any length is
-encoded whole; a null doc_id is keyed as -1. Other columns are ignored.
+encoded whole; a null doc_id is keyed as -1; rows that repeat id and text get equal
+pieces; an empty table gives an empty one. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.hashing import mix
+from docloom.llm.hashing import blocks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED = 0.1, 17
@@ -49,23 +50,48 @@ NEVER, SHORT = float("inf"), 64
 
 _GOLDEN = 0x9E3779B97F4A7C15
 #: Skips in one number; its highest bit, which is always set, tells units that need more.
-SKIPS, MORE = 63, 1 << 63
+SKIPS, MORE, SPARE = 63, 1 << 63, 6
+#: Stands for a U+2581 of the text among the units, which hold no space.
+_SYMBOL = " "
+#: Characters of the texts that are drawn together.
+TOGETHER = 300_000
 
 
-def _skips(keys: np.ndarray, rate: int, block: int = 0) -> np.ndarray:
-    """For each key ``SKIPS`` bits, each set with the chance rate / 2**32 (composed from the binary digits of the rate), and the highest bit."""
+def _skips(keys: np.ndarray, rate: int, block: int = 0, wanted: np.ndarray | None = None) -> np.ndarray:
+    """For each key ``SKIPS`` bits, each set with the chance rate / 2**32, and the highest bit.
+
+    A bit is set where a random number, of which each key has one for each bit, is less
+    than the rate. Binary digits are drawn from the highest on until every bit ``wanted``
+    is told apart from the rate's; bits that are not wanted may be left unset.
+    """
+    out = np.full(len(keys), MORE, dtype=np.uint64)
     if rate <= 0 or rate >= 2**32:
-        return np.full(len(keys), _MASK if rate > 0 else MORE, dtype=np.uint64)
-    least = (rate & -rate).bit_length() - 1
-    digits = np.arange(least, 32, dtype=np.uint64)[:, None] + np.uint64(32 * block + 1)
-    words = mix(keys + digits * np.uint64(_GOLDEN))
-    out = words[0]
-    for k in range(1, len(words)):
-        if rate >> (least + k) & 1:
-            out |= words[k]
+        return out if rate <= 0 else np.full(len(keys), _MASK, dtype=np.uint64)
+    open_ = np.full(len(keys), MORE - 1, dtype=np.uint64) if wanted is None else wanted & np.uint64(MORE - 1)
+    place, found = None, np.zeros(len(keys), dtype=np.uint64)
+    for digit in range(31, (rate & -rate).bit_length() - 2, -1):
+        words = mix(keys + np.uint64((digit + 32 * block + 1) * _GOLDEN & _MASK))
+        if rate >> digit & 1:
+            found |= open_ & ~words
+            open_ = open_ & words
         else:
-            out &= words[k]
-    return out | np.uint64(MORE)
+            open_ = open_ & ~words
+        alive = open_ != 0
+        count = np.count_nonzero(alive)
+        if 2 * count < len(alive):
+            if place is None:
+                out |= found
+                place = np.flatnonzero(alive)
+            else:
+                out[place] |= found
+                place = place[alive]
+            keys, open_, found = keys[alive], open_[alive], found[alive]
+            if not count:
+                return out
+    if place is None:
+        return out | found
+    out[place] |= found
+    return out
 
 
 def _more_skips(key: int, rate: int, block: int) -> int:
@@ -77,6 +103,7 @@ class Pieces:
 
     def __init__(self, proto: bytes):
         model = sentencepiece.SentencePieceProcessor(model_proto=proto)
+        self.model = model
         size = model.get_piece_size()
         self.ids: dict[str, int] = {}
         self.rank: dict[str, float] = {}  # by which merges are ordered, least first
@@ -91,6 +118,7 @@ class Pieces:
                 self.ids[piece] = k
                 self.rank[piece] = -model.get_score(k)
                 self.raw[k] = piece.replace(SPACE, " ").encode()
+        self.bytes = frozenset(self.byte.values())
         if len(self.byte) < 256:
             raise ValueError("the model has no byte pieces; texts could not be restored")
         self.size = np.array([len(x) for x in self.raw], dtype=np.int64)
@@ -109,6 +137,8 @@ class Pieces:
         ``skips`` has a bit for each of the first ``SKIPS`` pairs; later ones are drawn
         by the key at a rate out of 2**32, none at rate 0.
         """
+        if unit == _SYMBOL:
+            return array("i", [self.byte[c] for c in SPACE.encode()]).tobytes(), 0
         symbols, pairs = (self._agenda if len(unit) <= SHORT else self._heap)(unit, skips, key, rate)
         try:
             return array("i", [self.ids[s] for s in symbols]).tobytes(), pairs
@@ -126,7 +156,7 @@ class Pieces:
         """The agenda as a list with a place for each pair, which beats a heap on a word."""
         rank = self.rank.get
         symbols = list(unit)
-        agenda = [rank(a + b, NEVER) for a, b in zip(unit, unit[1:], strict=False)]
+        agenda = [rank(unit[k : k + 2], NEVER) for k in range(len(unit) - 1)]
         pairs = left = 0
         while agenda:
             best = min(agenda)
@@ -185,36 +215,68 @@ class Pieces:
 
     def encode(self, text: str, key: int = 0, rate: float = 0.0) -> np.ndarray:
         """Piece ids (int32)."""
-        out: list[bytes] = []
-        place = 0
-        for number, part in enumerate(text.split(SPACE)) if text else ():
+        return self.encode_all([text], [key], rate)[0]
+
+    def encode_all(self, texts: list[str], keys: list[int], rate: float) -> list[np.ndarray]:
+        """Piece ids (int32) of each text; the units of all texts are drawn together."""
+        units: list[str] = []
+        size = []
+        for text in texts:
+            n = len(units)
+            if text:
+                units += self.unit.findall(SPACE + text.replace(" ", SPACE)) if SPACE not in text else self._parts(text)
+            size.append(len(units) - n)
+        found = self._drawn(units, np.array(size, dtype=np.int64), np.array(keys, dtype=np.uint64), int(rate * 2**32))
+        out, at = [], 0
+        for n in size:
+            out.append(np.frombuffer(b"".join(found[at : at + n]), dtype=np.int32))
+            at += n
+        return out
+
+    def _parts(self, text: str) -> list[str]:
+        """The units of a text that holds the model's own space symbol, each of which is a unit of its own (``_SYMBOL``)."""
+        units = []
+        for number, part in enumerate(text.split(SPACE)):
             if number:
-                out.append(array("i", [self.byte[c] for c in SPACE.encode()]).tobytes())
+                units.append(_SYMBOL)
             if number == 0 or part:
-                place += self._part((SPACE if number == 0 else "") + part.replace(" ", SPACE), key, place, rate, out)
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+                units += self.unit.findall((SPACE if number == 0 else "") + part.replace(" ", SPACE))
+        return units
 
-    def _part(self, part: str, key: int, place: int, rate: float, out: list[bytes]) -> int:
-        """Adds the ids of the units, the first of which has this place in the text, and returns their number."""
-        units = self.unit.findall(part)
+    def _drawn(self, units: list[str], size: np.ndarray, keys: np.ndarray, rate: int) -> list[bytes]:
+        """The ids of each unit; ``size`` units for each of the keys."""
         if len(self.new) > CACHE:
             self.old, self.new = self.new, {}
         known = list(map(self.new.get, units))
         if None in known:
-            for k, plain in enumerate(known):
-                if plain is None:
-                    known[k] = self._known(units[k], units[k], 0)
-        limit = int(rate * 2**32)
-        if not limit:
-            out += [ids for _, ids in known]
-            return len(units)
-        places = np.arange(place, place + len(units), dtype=np.uint64) * np.uint64(_GOLDEN)
-        keys = mix(mix(places + np.uint64(key & _MASK)) + np.uint64(self.seed & _MASK))
-        for k, ((counts, ids), skips) in enumerate(zip(known, _skips(keys, limit).tolist(), strict=True)):
-            if skips & counts:
-                ids = self._skipped(units[k], skips, counts, int(keys[k]), limit)
-            out.append(ids)
-        return len(units)
+            self._learn({u for u, plain in zip(units, known, strict=True) if plain is None})
+            known = [self.new.get(u) or self._known(u, u, 0) for u in units]
+        out = [ids for _, ids in known]
+        if not rate or not units:
+            return out
+        counts = np.fromiter((c for c, _ in known), dtype=np.uint64, count=len(known))
+        places = np.arange(len(units), dtype=np.uint64) - np.repeat(np.cumsum(size) - size, size).astype(np.uint64)
+        drawn = mix(mix(places * np.uint64(_GOLDEN) + np.repeat(keys, size)) + np.uint64(self.seed & _MASK))
+        # a skipped pair can bring up some more pairs than the plain unit has
+        wanted = np.where(counts == np.uint64(MORE), np.uint64(_MASK), counts << np.uint64(SPARE) | np.uint64((1 << SPARE) - 1))
+        skips = _skips(drawn, rate, 0, wanted)
+        hit = np.flatnonzero(skips & counts)
+        for k, some, key, drawn_bits in zip(hit.tolist(), skips[hit].tolist(), drawn[hit].tolist(), wanted[hit].tolist(), strict=True):
+            out[k] = self._skipped(units[k], some, known[k][0], key, rate, drawn_bits)
+        return out
+
+    def _learn(self, units: set[str]) -> None:
+        """Keeps the undropped segmentations of words; the library makes them, as it does the same without dropout."""
+        words = []
+        for unit in units:
+            if found := self.old.get(unit):
+                self.new[unit] = found
+            elif len(unit) > 1 and unit[0] == SPACE and SPACE not in unit[1:]:
+                words.append(unit)
+        for unit, ids in zip(words, self.model.encode([u[1:] for u in words], num_threads=1), strict=True):
+            # each character that no merge took is a piece; bytes are told apart by the agenda
+            if self.bytes.isdisjoint(ids) and (pairs := len(unit) - len(ids)) <= SKIPS:
+                self.new[unit] = ((1 << pairs) - 1, array("i", ids).tobytes())
 
     def _known(self, name: str | tuple[str, int], unit: str, skips: int) -> tuple[int, bytes]:
         """The bits that count for a unit with these skips and no later ones (``MORE`` if it has more pairs than bits), and its ids."""
@@ -225,14 +287,18 @@ class Pieces:
         self.new[name] = found
         return found
 
-    def _skipped(self, unit: str, skips: int, counts: int, key: int, rate: int) -> bytes:
-        """The ids of a unit some of whose ``counts`` bits are set."""
+    def _skipped(self, unit: str, skips: int, counts: int, key: int, rate: int, drawn: int = _MASK) -> bytes:
+        """The ids of a unit some of whose ``counts`` bits are set; of ``skips`` the bits ``drawn`` are known."""
         while counts != MORE:
+            if counts & ~drawn:
+                skips, drawn = _more_skips(key, rate, 0), _MASK
             some = skips & counts
             name = (unit, some)
             counts, ids = self.new.get(name) or self._known(name, unit, some)
-            if counts != MORE and not (skips ^ some) & counts:
+            if counts != MORE and not counts & ~drawn and not (skips ^ some) & counts:
                 return ids
+        if drawn != _MASK:
+            skips = _more_skips(key, rate, 0)
         return self.segment(unit, skips, key, rate)[0]
 
     seed = 0
@@ -271,17 +337,16 @@ def _encode(proto, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(proto.value, rate, seed)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                flat: list[np.ndarray] = []
-                whole = []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    ids = pieces.encode(text or "", doc_key(seed, doc_id), rate)
-                    whole.append(pieces.decode(ids) == (text or ""))
-                    flat.append(ids)
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            keys = [doc_key(seed, d) for d in batch.column("doc_id").to_pylist()]
+            done = 0
+            for part in blocks(texts, TOGETHER):
+                flat = pieces.encode_all(part, keys[done : done + len(part)], rate)
+                whole = [pieces.decode(ids) == text for ids, text in zip(flat, part, strict=True)]
                 cuts = np.concatenate(([0], np.cumsum([len(x) for x in flat])))
                 lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(np.diff(cuts), pa.int64()), pa.array(whole)], names=["doc_id", "ids", "n_pieces", "lossless"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(done, len(part)), lists, pa.array(np.diff(cuts), pa.int64()), pa.array(whole)], names=["doc_id", "ids", "n_pieces", "lossless"])
+                done += len(part)
 
     return run
 

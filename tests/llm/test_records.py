@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from docloom.llm import decontamination, mih_search, pii, piece_sampling, sharding, toxicity
+from docloom.llm import decontamination, hashing, mih_search, pii, piece_sampling, sharding, toxicity
 
 # --- nearest neighbours
 
@@ -483,6 +483,90 @@ def test_known_segmentations_are_those_of_the_skips(pieces):
     assert abs(np.unpackbits(bits.view(np.uint8)).mean() - (0.1 * 63 + 1) / 64) < 0.003
 
 
+def _bit(key, rate, pair):
+    """Whether a pair's random number, from the binary digits of the words of its block, is less than the rate."""
+    golden, mask = 0x9E3779B97F4A7C15, 2**64 - 1
+    number = 0
+    for digit in range(31, -1, -1):
+        x = (key + golden * (digit + 32 * (pair // 63) + 1)) & mask
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            x = (x ^ x >> shift) * factor & mask
+        number = number << 1 | x >> pair % 63 & 1
+    return number < rate
+
+
+def _plain_dropout(pieces, unit, key, rate):
+    """Merge-dropout as it is told: the best pair comes up, is merged or put aside until a neighbour merges."""
+    symbols, aside, pair = list(unit), set(), 0
+    tags = list(range(len(unit)))  # a new tag for each new symbol
+    fresh = len(unit)
+    while True:
+        offers = [(pieces.rank[symbols[k] + symbols[k + 1]], k) for k in range(len(symbols) - 1) if symbols[k] + symbols[k + 1] in pieces.rank and (tags[k], tags[k + 1]) not in aside]
+        if not offers:
+            return symbols
+        _, k = min(offers)
+        skip = _bit(key, rate, pair)
+        pair += 1
+        if skip:
+            aside.add((tags[k], tags[k + 1]))
+        else:
+            symbols[k : k + 2], tags[k : k + 2] = [symbols[k] + symbols[k + 1]], [fresh]
+            fresh += 1
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.45])
+def test_dropout_equals_plain_agenda(pieces, rate):
+    r = random.Random(11)
+    for n in range(60):
+        words = ["".join(r.choice("thenersionaé") for _ in range(r.choice((2, 5, 9, 14, 90)))) for _ in range(12)]
+        text = f"Considerations: {' '.join(words)}, internationalization of 2024-11 ▁x {'ab' * 70}"
+        key = piece_sampling.doc_key(5, n)
+        units = pieces._parts(text)
+        want = []
+        for place, unit in enumerate(units):
+            drawn = hashing.mix(hashing.mix(np.array([place], np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key)) + np.uint64(5))[0]
+            symbols = ["▁"] if unit == " " else _plain_dropout(pieces, unit, int(drawn), int(rate * 2**32))
+            want += [i for x in symbols for i in ([pieces.ids[x]] if x in pieces.ids and unit != " " else [pieces.byte[c] for c in x.encode()])]
+        assert pieces.with_seed(5).encode(text, key, rate).tolist() == want
+        assert pieces.decode(want) == text
+
+
+def test_learned_words_are_those_of_the_agenda(pieces):
+    r = random.Random(12)
+    units = {"▁" + "".join(r.choice("thenersionaé日\t😀") for _ in range(r.randrange(1, 80))) for _ in range(500)} | {"▁", "▁▁a", ",", "▁a▁b"}
+    pieces.new, pieces.old = {}, {}
+    pieces._learn(units)
+    assert 60 < len(pieces.new) < len(units)
+    for unit, (counts, ids) in pieces.new.items():
+        plain, pairs = pieces.segment(unit)
+        assert ids == plain and counts == (1 << pairs) - 1
+
+
+def test_texts_drawn_together_are_as_alone(pieces):
+    texts = [*TEXTS, "a considerable number of considerations " * 50, "▁ ▁▁ x▁y"]
+    keys = [piece_sampling.doc_key(3, k) for k in range(len(texts))]
+    together = pieces.with_seed(3).encode_all(texts, keys, 0.1)
+    assert [x.tolist() for x in together] == [pieces.encode(t, k, 0.1).tolist() for t, k in zip(texts, keys, strict=True)]
+
+
+def test_a_word_has_as_many_variants_as_drawn(pieces):
+    # one word in 2,000 documents: every place and document draws its own skips
+    keys = [piece_sampling.doc_key(1, k) for k in range(2000)]
+    found = {tuple(x.tolist()) for x in pieces.with_seed(1).encode_all(["internationalization"] * 2000, keys, 0.1)}
+    fresh = set()
+    for key in keys:
+        drawn = hashing.mix(hashing.mix(np.zeros(1, np.uint64) + np.uint64(key)) + np.uint64(1))[0]
+        fresh.add(tuple(np.frombuffer(pieces.segment("▁internationalization", piece_sampling._more_skips(int(drawn), 2**32 // 10, 0), int(drawn), 2**32 // 10)[0], np.int32).tolist()))
+    assert found == fresh and len(found) > 100
+
+
+def test_very_long_text_round_trips(spark):
+    r = random.Random(1)
+    text = " ".join("".join(r.choice("thenersiona") for _ in range(r.randrange(1, 12))) for _ in range(80_000)) + "x" * 20_000
+    row = piece_sampling.decode(piece_sampling.encode(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    assert row.text == text
+
+
 def test_encode_and_decode_tables(spark):
     rows = [(k, t) for k, t in enumerate(TEXTS)] + [(None, "x y"), (99, None), (0, TEXTS[0])]
     encoded = piece_sampling.encode(spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, ids int"))
