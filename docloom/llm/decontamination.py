@@ -24,13 +24,16 @@ characters on within the same budget, below it as they are, between word bounds.
 Defined results: null and empty texts leak nothing; items with fewer than
 ``LEAST_CHARS`` characters are skipped, as words that many clean documents hold;
 repeated items answer under each item_id; repeated documents each on their own; a
-null item_id or doc_id stays null. Other columns are ignored.
+null item_id or doc_id stays null; a text of any length is read whole; empty tables leak
+nothing. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -135,15 +138,18 @@ def _shared(index: Index, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _distances(windows: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """Least edits that turn each window into some part of its text (rows of equal length, text padded by 0xFFFFFFFF)."""
-    n, m = texts.shape
-    step = np.arange(m + 1, dtype=np.int32)
-    row = np.zeros((n, m + 1), dtype=np.int32)
-    for k in range(windows.shape[1]):
-        new = np.empty_like(row)
-        new[:, 0] = row[:, 0] + 1
-        new[:, 1:] = np.minimum(row[:, :-1] + (texts != windows[:, k : k + 1]), row[:, 1:] + 1)
-        # insertions run along the row: new[j] = min over i <= j of new[i] + j - i
+    """Least edits that turn each window into some part of its text, on the diagonals that the text leaves.
+
+    Rows of equal length; a text is longer than its window by the width of the band less one, padded by 0xFFFFFFFF.
+    """
+    n, size = windows.shape
+    width = texts.shape[1] - size + 1
+    step = np.arange(width, dtype=np.int32)
+    row = np.zeros((n, width), dtype=np.int32)  # by diagonal; a part can begin on any
+    for k in range(size):
+        new = row + (texts[:, k : k + width] != windows[:, k : k + 1])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        # insertions run along the row: new[d] = min over i <= d of new[i] + d - i
         row = np.minimum.accumulate(new - step, axis=1) + step
     return row.min(axis=1)
 
@@ -228,10 +234,17 @@ def find_exact(index: dict[int, list], texts: list[bytes]) -> list[tuple[int, in
     return sorted(out.values())
 
 
+@lru_cache(maxsize=1)
+def _built(token: str, items: tuple[bytes, ...]) -> tuple[Index, Index, dict[int, list]]:
+    """The index of one block of items, for all tasks of a worker process."""
+    texts = list(items)
+    return build(texts), build(texts, least=SHORT_CHARS, most=MIN_CHARS), build_exact(texts)
+
+
 def _scan(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, items = shared.value
-        index, short, exact = build(items), build(items, least=SHORT_CHARS, most=MIN_CHARS), build_exact(items)
+        token, ids, items = shared.value
+        index, short, exact = _built(token, items)
         for batch in batches:
             done = 0
             texts = [normalise(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
@@ -256,7 +269,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, block_chars: int) -> DataFrame
     for k in range(count):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect()
         part.sort(key=lambda r: (r["item_id"] is None, r["item_id"], r["text"]))
-        shared = docs.sparkSession.sparkContext.broadcast(([r["item_id"] for r in part], [r["text"].encode() for r in part]))
+        shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [r["item_id"] for r in part], tuple(r["text"].encode() for r in part)))
         found = rows.mapInArrow(_scan(shared), "row long, tkey long, item_id long, start long, end long, edits long")
         out = found if out is None else out.unionAll(found)
     return out.withColumnRenamed("row", "doc_id")
