@@ -4,8 +4,11 @@ Plain identifiers are found on the text as it is. Where a text shows a disguise,
 transducers rewrite it one after another, each keeping for every character it
 writes the source span it read:
 
-* homoglyphs: full-width forms, Cyrillic and Greek lookalikes and the digits of
-  other scripts become ASCII; zero-width characters vanish;
+* homoglyphs: compatibility forms (full-width, mathematical, circled, raised), Cyrillic and
+  Greek lookalikes and the digits of other scripts become ASCII; zero-width characters and
+  combining marks vanish; character references of HTML become the character; O, o, l and I become
+  digits in tokens of figures, and alone between the dots of an address; blanks between a
+  plus and the figures after it vanish;
 * spelled digits: a digit word (English, Spanish, French, German) beside a digit,
   another digit word, a plus or a full stop becomes a digit, a leading "plus" a plus
   sign, and "double" or "triple" repeat what follows; single digits become one number,
@@ -25,8 +28,10 @@ text are ignored, rows that repeat are answered each on its own.
 from __future__ import annotations
 
 import hashlib
+import html
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -102,19 +107,31 @@ LOOKALIKES = dict(
     )
 )
 ZERO_WIDTH = "­​‌‍⁠﻿"
+#: Punctuation that stands for a dot, a hyphen or a space.
 DOTS = {"。": ".", "․": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", " ": " ", " ": " ", " ": " ", "　": " "}
 
 
 def _homoglyphs() -> dict[str, str]:
-    table = {chr(0xFF00 + k): chr(0x20 + k) for k in range(1, 95)} | LOOKALIKES | DOTS | dict.fromkeys(ZERO_WIDTH, "")
-    for first in range(0x80, 0x1E000):  # decimal digits of other scripts come in tens
-        if unicodedata.decimal(chr(first), -1) >= 0:
-            table[chr(first)] = str(unicodedata.decimal(chr(first)))
-    return table
+    table = {}
+    for first in range(0x80, 0x20000):
+        c = chr(first)
+        if unicodedata.category(c) in ("Mn", "Me"):
+            table[c] = ""
+        elif unicodedata.decimal(c, -1) >= 0:
+            table[c] = str(unicodedata.decimal(c))
+        elif (plain := unicodedata.normalize("NFKC", c)).isascii() and (plain.isalnum() or len(plain) == 1) and plain != c:
+            table[c] = plain
+    return table | LOOKALIKES | DOTS | dict.fromkeys(ZERO_WIDTH, "")
 
 
 HOMOGLYPHS = _homoglyphs()
-_HOMOGLYPH = re.compile("[" + "".join(map(re.escape, sorted(HOMOGLYPHS))) + "]")
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]")
+_REFERENCE = re.compile(r"&(?:#[0-9]{2,7}|#[xX][0-9a-fA-F]{2,6}|commat|period|plus|hyphen|lowbar);")
+#: Figures with lookalikes among them, or one lookalike alone between dots.
+_FIGURES = re.compile(r"(?<![^\W_OoIl])(?=[OoIl]*[0-9])(?=[0-9]*[OoIl])[0-9OoIl]+(?![^\W_])|(?<![\w.@])[OoIl]{1,3}(?=(?:\.[0-9OoIl]{1,3}){3}(?!\w))|(?<=[0-9OoIl]\.)[OoIl]{1,3}(?=\.[0-9OoIl])|(?<=[0-9]\.)[OoIl]{1,3}(?![\w@.])")
+_LOOSE_PLUS = re.compile(r"\+([ \t]*+\(?)(?=[0-9])")
+_MASKED = re.compile(r"&#?[0-9A-Za-z]{2,7};|[0-9][OoIl]|[OoIl][0-9]|[0-9]\.[OoIl]|\+[ \t]*[( \t][0-9]|\+[ \t]+[0-9(]")
+_AS_DIGITS = str.maketrans("OoIl", "0011")
 
 # Digit words.
 DIGIT_WORDS = {
@@ -151,8 +168,8 @@ class Mapped:
 
     def __init__(self, text: str):
         self.text = text
-        self.start: list[int] | range = range(len(text))
-        self.end: list[int] | range = range(1, len(text) + 1)
+        self.start = array("i", range(len(text)))
+        self.end = array("i", range(1, len(text) + 1))
         self.new: bytearray = bytearray(len(text))
 
     def rewrite(self, edits: list[tuple[int, int, list[tuple[int, int, str]]]]) -> None:
@@ -160,9 +177,7 @@ class Mapped:
         if not edits:
             return
         text: list[str] = []
-        start: list[int] = []
-        end: list[int] = []
-        new = bytearray()
+        start, end, new = array("i"), array("i"), bytearray()
         at = 0
         for a, b, pieces in edits:
             text.append(self.text[at:a])
@@ -171,8 +186,8 @@ class Mapped:
             new += self.new[at:a]
             for x, y, characters in pieces:
                 text.append(characters)
-                start += [self.start[x]] * len(characters)
-                end += [self.end[y - 1]] * len(characters)
+                start += array("i", (self.start[x],)) * len(characters)
+                end += array("i", (self.end[y - 1],)) * len(characters)
                 new += b"\x01" * len(characters)
             at = b
         text.append(self.text[at:])
@@ -183,17 +198,38 @@ class Mapped:
 
 
 def _plain_homoglyphs(mapped: Mapped) -> None:
-    mapped.rewrite([(m.start(), m.end(), [(m.start(), m.end(), HOMOGLYPHS[m[0]])] if HOMOGLYPHS[m[0]] else []) for m in _HOMOGLYPH.finditer(mapped.text)])
+    found = [(m.start(), m.end(), HOMOGLYPHS[m[0]]) for m in _NOT_ASCII.finditer(mapped.text) if m[0] in HOMOGLYPHS]
+    mapped.rewrite([(a, b, [(a, b, plain)] if plain else []) for a, b, plain in found])
+
+
+def _plain_references(mapped: Mapped) -> None:
+    if "&" in mapped.text:
+        found = [(m, html.unescape(m[0])) for m in _REFERENCE.finditer(mapped.text)]
+        mapped.rewrite([(m.start(), m.end(), [(m.start(), m.end(), c)]) for m, c in found if len(c) == 1])
+
+
+def _plain_figures(mapped: Mapped) -> None:
+    edits = []
+    for m in _FIGURES.finditer(mapped.text):
+        edits += [(k, k + 1, [(k, k + 1, mapped.text[k].translate(_AS_DIGITS))]) for k in range(m.start(), m.end()) if mapped.text[k] in "OoIl"]
+    mapped.rewrite(edits)
+    if "+" in mapped.text:
+        # a plus between figures adds them up
+        loose = [m for m in _LOOSE_PLUS.finditer(mapped.text) if m[1] and not mapped.text[max(0, m.start() - 80) : m.start()].rstrip()[-1:].isdigit()]
+        mapped.rewrite([(m.start(1), m.end(1), []) for m in loose])
 
 
 def _plain_digits(mapped: Mapped) -> None:
     text = mapped.text
     edits = []
+    done = -1
     for m in _SPELLED.finditer(text):
         if m[0][0].isdigit() and m[0][-1].isdigit() and not _LETTER.search(m[0]):
             continue
         parts: list[tuple[int, int, str | None, bool]] = []  # digits for what is spelled; whether what follows may join it
         times, since, plus, count = 1, None, False, 0
+        # a figure after a full stop belongs to what is before it, unless that was spelled too
+        chained = text[m.end() : m.end() + 1] == "." or (text[max(0, m.start() - 1) : m.start()] == "." and (mapped.new[m.start() - 1] or done == m.start() - 1))
         for t in _TOKEN.finditer(text, m.start(), m.end()):
             word = t[0].lower()
             if word == "plus":
@@ -205,7 +241,7 @@ def _plain_digits(mapped: Mapped) -> None:
                 figure = word not in DIGIT_WORDS
                 alone = len(word) == 1 or not figure
                 written = None if figure and times == 1 else DIGIT_WORDS.get(word, word) * times
-                parts.append((t.start() if since is None else since, t.end(), written, alone and not (figure and text[t.start() - 1 : t.start()] == ".")))
+                parts.append((t.start() if since is None else since, t.end(), written, alone and (chained or not (figure and text[t.start() - 1 : t.start()] == "."))))
                 times, since, count = 1, None, count + 1
         if not (count > 1 or plus or text[m.end() : m.end() + 1] == "." or text[max(0, m.start() - 1) : m.start()] in (".", "+")):
             continue
@@ -219,6 +255,7 @@ def _plain_digits(mapped: Mapped) -> None:
                     edits.append((gap, a, [(gap, a, " ")]))
             if written is not None:
                 edits.append((a, b, [(a, b, written)]))
+                done = m.end()
     mapped.rewrite(edits)
 
 
@@ -259,14 +296,17 @@ def _row_of_digits(words: list[str], telling: frozenset[str]) -> bool:
 
 def disguised(text: str, plain: list[Span]) -> list[Span]:
     """What the transducers bring to light beyond ``plain``."""
-    odd = not text.isascii() and _HOMOGLYPH.search(text) is not None
+    odd = not text.isascii() and not HOMOGLYPHS.keys().isdisjoint(_NOT_ASCII.findall(text))
     words = text.lower().translate(_MARKS).split()
     telling = _TELLING.intersection(words)
     hidden = "@" in text or not telling.isdisjoint(_DOT_SET) or _BRACKETED.search(text) is not None
-    if not (odd or hidden or _row_of_digits(words, telling)):
+    masked = _MASKED.search(text) is not None
+    if not (odd or hidden or masked or _row_of_digits(words, telling)):
         return []
     mapped = Mapped(text)
+    _plain_references(mapped)
     _plain_homoglyphs(mapped)
+    _plain_figures(mapped)
     _plain_at_and_dot(mapped)
     _plain_digits(mapped)
     _plain_at_and_dot(mapped)

@@ -215,6 +215,59 @@ def test_single_spelled_digits(text, kind, span):
     assert (kind, text.index(span), text.index(span) + len(span)) in found
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "span"),
+    [
+        ("write 𝐣𝐨𝐡𝐧@mail.com", "email", "𝐣𝐨𝐡𝐧@mail.com"),
+        ("host ①⑨②.①⑥⑧.⓪.①", "ip", "①⑨②.①⑥⑧.⓪.①"),
+        ("pay 41l1 1111 1111 1111", "card", "41l1 1111 1111 1111"),
+        ("host 192.168.O.1 now", "ip", "192.168.O.1"),
+        ("host 192.168.0.l", "ip", "192.168.0.l"),
+        ("host lO.20.3O.40", "ip", "lO.20.3O.40"),
+        ("call + 1 (555) 010 9999", "phone", "+ 1 (555) 010 9999"),
+        ("call +(34) 600 123 456", "phone", "+(34) 600 123 456"),
+        ("a jo\u0301hn@mail.com", "email", "jo\u0301hn@mail.com"),
+        ("joe&#64;mail&#46;com", "email", "joe&#64;mail&#46;com"),
+        ("joe&commat;mail&period;com", "email", "joe&commat;mail&period;com"),
+    ],
+)
+def test_more_disguises(text, kind, span):
+    found = pii.disguised(text, pii.detect(text))
+    assert (kind, text.index(span), text.index(span) + len(span)) in found
+
+
+def test_spelled_identifiers_map_back():
+    r = random.Random(7)
+    words = collections.defaultdict(list)
+    for word, digit in pii.DIGIT_WORDS.items():
+        words[digit].append(word)
+
+    def spelled(digits):
+        """Each digit by itself, most of them as words; figures alone are written as one."""
+        out = [r.choice(words[d]) if r.random() < 0.7 else d for d in digits]
+        return digits if "".join(out) == digits else " ".join(out)
+
+    for _ in range(400):
+        kind = r.choice(("ip", "card", "phone"))
+        if kind == "ip":
+            span = r.choice((" dot ", " punto ", " [dot] ", ".")).join(spelled(str(r.randrange(256))) for _ in range(4))
+        elif kind == "card":
+            digits = "".join(r.choice("0123456789") for _ in range(15))
+            span = spelled(digits + next(c for c in "0123456789" if pii.luhn(digits + c)))
+        else:
+            span = r.choice(("plus ", "+")) + spelled(r.choice("123456789") + "".join(r.choice("0123456789") for _ in range(10)))
+        if pii.detect(span):
+            continue
+        text = f"So we said: {span}; and that was all"
+        found = pii.disguised(text, pii.detect(text))
+        assert (kind, 12, 12 + len(span)) in found, text
+
+
+@pytest.mark.parametrize("text", ["I have 3 apples, 5 l of milk and 10 oil cans", "2 + 1 555 123 4567", "In 2010 I saw l00k at 7.O", "R&amp;D and AT&T; x", "naïve café … ½ ™ ² no"])
+def test_figures_in_prose(text):
+    assert pii.disguised(text, pii.detect(text)) == []
+
+
 @pytest.mark.parametrize("text", ["192.168.0.1 one two", "one. Two. Three. Four", "version 1.2.3 one", "one of 12 in 345678901 two", "one.two@mail.com", "zero point one two three four"])
 def test_digits_in_prose(text):
     assert pii.disguised(text, pii.detect(text)) == []
