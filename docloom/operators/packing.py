@@ -127,21 +127,28 @@ def pack_fold(units: Column, target_tokens: int = TARGET_TOKENS, max_tokens: int
     """``pack`` counting words and dropping units above the limits, as a fold without Python."""
     counted = F.filter(F.transform(units, lambda u: F.struct(u.alias("u"), T.word_count(u).alias("n"))), lambda x: (x["n"] <= max_tokens) & (F.lit(True) if max_words is None else x["n"] <= max_words))
     limit = target_tokens if max_words is None else min(target_tokens, max_words)
-    empty = F.struct(F.lit(0).alias("count"), F.array().cast("array<array<string>>").alias("done"), F.array().cast("array<string>").alias("held"))
+    # the fold only notes after how many units each chunk ends; texts are joined once, from slices
+    empty = F.struct(F.lit(0).alias("count"), F.lit(0).alias("units"), F.array().cast("array<int>").alias("ends"))
 
     def step(s: Column, x: Column) -> Column:
-        full = (F.size(s["held"]) > 0) & (s["count"] + x["n"] > limit)
+        full = (s["units"] > F.coalesce(F.try_element_at(s["ends"], F.lit(-1)), F.lit(0))) & (s["count"] + x["n"] > limit)
         return F.struct(
             F.when(full, x["n"]).otherwise(s["count"] + x["n"]).alias("count"),
-            F.when(full, F.array_append(s["done"], s["held"])).otherwise(s["done"]).alias("done"),
-            F.when(full, F.array(x["u"])).otherwise(F.array_append(s["held"], x["u"])).alias("held"),
+            (s["units"] + 1).alias("units"),
+            F.when(full, F.array_append(s["ends"], s["units"])).otherwise(s["ends"]).alias("ends"),
         )
 
-    def finish(s: Column) -> Column:
-        every = F.when(F.size(s["held"]) > 0, F.array_append(s["done"], s["held"])).otherwise(s["done"])
-        return F.transform(every, lambda c: F.struct(F.array_join(c, " ").alias("text"), F.size(c).alias("units")))
+    def texts(given: Column) -> Column:
+        bounds = F.aggregate(given, empty, step, lambda s: F.when(s["units"] > 0, F.array_append(s["ends"], s["units"])).otherwise(s["ends"]))
+
+        def cut(ends: Column) -> Column:
+            starts = F.concat(F.array(F.lit(0)), ends)
+            parts = F.transform(ends, lambda end, k: F.slice(given, F.element_at(starts, k + 1) + 1, end - F.element_at(starts, k + 1)))
+            return F.transform(parts, lambda c: F.struct(F.array_join(F.transform(c, lambda x: x["u"]), " ").alias("text"), F.size(c).alias("units")))
+
+        return T.let(bounds, cut)
 
-    return F.aggregate(counted, empty, step, finish)
+    return T.let(counted, texts)
 
 
 def presentation_texts(units: Column, max_words: int = MAX_WORDS) -> Column:

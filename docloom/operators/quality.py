@@ -59,7 +59,8 @@ def _check(max_tokens: int, count: TokenCounter | None):
 def validate_metadata(lines: DataFrame, max_tokens: int = MAX_TOKENS, count: TokenCounter | None = None) -> DataFrame:
     """line, error: faults of JSON lines (line long, value string); all but the first of equal chunk ids are duplicates."""
     checked = lines.select(F.col("line").cast("long").alias("line"), "value").mapInArrow(_check(max_tokens, count), "line long, chunk_key string, errors array<string>")
-    again = F.row_number().over(Window.partitionBy("chunk_key").orderBy("line")) > 1
+    # broken lines have no key: each is a partition of its own
+    again = F.row_number().over(Window.partitionBy(F.coalesce("chunk_key", F.concat(F.lit("#"), F.col("line").cast("string")))).orderBy("line")) > 1
     marked = checked.withColumn("errors", F.when(F.col("chunk_key").isNotNull() & again, F.array_append("errors", F.lit("chunk_id_duplicate"))).otherwise(F.col("errors")))
     return marked.select("line", F.explode("errors").alias("error"))
 

@@ -128,9 +128,13 @@ def top_documents(hits: DataFrame, aggregation: str = "max", k: int = TOP_DOCUME
 
 def fragments(hits: DataFrame, k: int = TOP_FRAGMENTS, max_words: int = MAX_WORDS) -> DataFrame:
     """query_id, rank, chunk_id, doc_id, text: the first k presentation texts in hit order (query_id, chunk_id, doc_id, hit_rank, texto)."""
-    texts = hits.select("query_id", "chunk_id", "doc_id", "hit_rank", F.posexplode(presentation_texts(T.sentences(F.col("texto")), max_words)).alias("pos", "text"))
-    order = Window.partitionBy("query_id").orderBy("hit_rank", "pos")
-    return texts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "chunk_id", "doc_id", "text")
+    # a chunk is cut once, whatever the number of queries that found it
+    cut = hits.select("chunk_id", "texto").dropDuplicates(["chunk_id"]).select("chunk_id", presentation_texts(T.sentences(F.col("texto")), max_words).alias("texts"))
+    held = hits.select("query_id", "chunk_id", "doc_id", "hit_rank").join(cut.where(F.size("texts") > 0), "chunk_id")
+    earlier = Window.partitionBy("query_id").orderBy("hit_rank").rowsBetween(Window.unboundedPreceding, -1)
+    needed = held.withColumn("before", F.coalesce(F.sum(F.size("texts")).over(earlier), F.lit(0))).where(F.col("before") < k)
+    texts = needed.select("query_id", "chunk_id", "doc_id", "before", F.posexplode("texts").alias("pos", "text"))
+    return texts.withColumn("rank", (F.col("before") + F.col("pos") + 1).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "chunk_id", "doc_id", "text")
 
 
 def query_text(queries: DataFrame) -> DataFrame:

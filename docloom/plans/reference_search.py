@@ -31,7 +31,7 @@ def _index(spark, d):
 
 
 def _queries(spark, d):
-    return read(spark, d, "embeddings").where("vec_id % 40 = 0").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
+    return read(spark, d, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
 
 
 def _vectors(spark, d):
@@ -40,7 +40,7 @@ def _vectors(spark, d):
 
 _KNN = f"""
 WITH v AS (SELECT vec_id AS chunk_ord, embedding::DOUBLE[] AS e FROM embeddings),
-q AS (SELECT vec_id::VARCHAR AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 40 = 0),
+q AS (SELECT vec_id::VARCHAR AS query_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 = 0),
 s AS (SELECT query_id, chunk_ord, list_inner_product(q.e, v.e) AS score FROM q, v),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_ord) AS hit_rank FROM s),
 hits AS (SELECT query_id, 'C' || chunk_ord AS chunk_id, 'D' || chunk_ord % {DOCUMENTS} AS doc_id, chunk_ord, score, hit_rank FROM r WHERE hit_rank <= {CANDIDATES})
@@ -264,14 +264,14 @@ def graph_nodes_active(spark, d):
     return graph.nodes(labels, graph.triples(facts), int(_least(labels)))
 
 
-# queries: each order whose key is divisible by 500 and that has a line 1 asks for the part and the supplier of its first line
-_ASKED = "asked AS (SELECT DISTINCT 'q' || l_orderkey AS query_id, unnest(['p' || l_partkey % 50, 's' || l_suppkey % 40]) AS label FROM lineitem WHERE l_orderkey % 500 = 0 AND l_linenumber = 1)"
+# queries: each order whose key is divisible by 20 asks for the parts and the suppliers of its lines
+_ASKED = "asked AS (SELECT DISTINCT 'q' || l_orderkey AS query_id, unnest(['p' || l_partkey % 50, 's' || l_suppkey % 40]) AS label FROM lineitem WHERE l_orderkey % 20 = 0)"
 _SCORES = f"WITH {_FACTS}, {_LABELS}, {_TRIPLES}, {_EDGES}, {_ASKED}, m AS (SELECT DISTINCT a.query_id, e.subject, e.object, e.evidence_count, e.chunk_ids FROM asked a JOIN edges e ON a.label = e.subject OR a.label = e.object), x AS (SELECT query_id, evidence_count, unnest(string_split(chunk_ids, ';')) AS chunk_id FROM m) SELECT query_id, chunk_id, sum(evidence_count)::BIGINT AS graph_score FROM x GROUP BY ALL"
 
 
 def _asked(spark, d):
-    first = read(spark, d, "lineitem").where("l_orderkey % 500 = 0 AND l_linenumber = 1")
-    return first.select(F.concat(F.lit("q"), "l_orderkey").alias("query_id"), F.explode(F.array(F.concat(F.lit("p"), F.col("l_partkey") % 50), F.concat(F.lit("s"), F.col("l_suppkey") % 40))).alias("label")).distinct()
+    lines = read(spark, d, "lineitem").where("l_orderkey % 20 = 0")
+    return lines.select(F.concat(F.lit("q"), "l_orderkey").alias("query_id"), F.explode(F.array(F.concat(F.lit("p"), F.col("l_partkey") % 50), F.concat(F.lit("s"), F.col("l_suppkey") % 40))).alias("label")).distinct()
 
 
 def _edges(spark, d):
@@ -340,3 +340,27 @@ def validate_results(spark, d):
     frags = F.transform(F.sequence(F.lit(1), F.when(key % 5 == 0, F.lit(9)).otherwise(F.lit(10))), lambda k: F.struct(F.concat(F.lit("c"), k).alias("chunk_id"), F.when((key % 3 != 0) | (k != 2), F.lit("d1")).alias("doc_id"), text(k).alias("text"), k.alias("rank")))
     rows = read(spark, d, "customer").select(key.alias("line"), F.lit("q").alias("query_id"), documents.alias("documents"), frags.alias("fragments"))
     return quality.validate_results(rows, official=False)
+
+
+_OFFICIAL = """WITH r AS (SELECT c_custkey AS line, c_custkey % 4 AS a, c_custkey % 3 AS b FROM customer)
+SELECT 0::BIGINT AS line, 'line_count' AS error FROM (SELECT count(*) AS n FROM r) WHERE n <> 50
+UNION ALL SELECT line, 'query_id' FROM r WHERE a = 0
+UNION ALL SELECT line, 'unknown_chunk' FROM r
+UNION ALL SELECT line, 'chunk_of_other_document' FROM r
+UNION ALL SELECT line, 'chunk_of_other_document' FROM r
+UNION ALL SELECT line, 'unknown_fragment_document' FROM r WHERE b = 1
+UNION ALL SELECT line, 'chunk_of_other_document' FROM r WHERE b = 1
+UNION ALL SELECT line, 'unknown_document' FROM r"""
+
+
+@query(_OFFICIAL)
+def validate_results_official(spark, d):
+    """Names of queries and the number of lines, and ids looked up in known chunks: c2 is another document's, c7 is unknown, d3 is no document."""
+    key = F.col("c_custkey")
+    documents = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.struct(k.alias("rank"), F.concat(F.lit("d"), k).alias("doc_id")))
+    doc = lambda k: F.when((key % 3 == 1) & (k == 4), F.lit("d9")).otherwise(F.lit("d1"))
+    frags = F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: F.struct(F.concat(F.lit("c"), k).alias("chunk_id"), doc(k).alias("doc_id"), F.lit("a b").alias("text"), k.alias("rank")))
+    name = F.when(key % 4 == 0, F.lit("q")).otherwise(F.format_string("q%03d", key))
+    rows = read(spark, d, "customer").select(key.alias("line"), name.alias("query_id"), documents.alias("documents"), frags.alias("fragments"))
+    chunks = spark.range(1, 11).where("id <> 7").select(F.concat(F.lit("c"), "id").alias("chunk_id"), F.when(F.col("id") == 2, F.lit("d2")).otherwise(F.lit("d1")).alias("doc_id"))
+    return quality.validate_results(rows, True, chunks)
