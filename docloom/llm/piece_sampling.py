@@ -54,7 +54,7 @@ SKIPS, MORE, SPARE = 63, 1 << 63, 6
 #: Stands for a U+2581 of the text among the units, which hold no space.
 _SYMBOL = " "
 #: Characters of the texts that are drawn together.
-TOGETHER = 300_000
+TOGETHER, AT_ONCE = 300_000, 4096
 
 
 def _skips(keys: np.ndarray, rate: int, block: int = 0, wanted: np.ndarray | None = None) -> np.ndarray:
@@ -98,6 +98,131 @@ def _more_skips(key: int, rate: int, block: int) -> int:
     return int(_skips(np.array([key], dtype=np.uint64), rate, block)[0]) if rate else 0
 
 
+class Merges:
+    """The pairs of symbols that make a piece, in a hash table of numbers, and agendas of many units at once."""
+
+    NONE = np.int32(2**31 - 1)
+    WIDTH = 20  # characters: so many have fewer than ``SKIPS`` pairs, whatever is skipped
+
+    def __init__(self, ids: dict[str, int], rank: dict[str, float], size: int):
+        number = dict(ids)  # a symbol is a piece, or a character that is part of one
+        for piece in ids:
+            for c in piece:
+                number.setdefault(c, size + len(number))
+        self.pieces = size
+        self.character = np.full(1 << 16, -1, dtype=np.int64)
+        for c, k in number.items():
+            if len(c) == 1 and ord(c) < 1 << 16:
+                self.character[ord(c)] = k
+        # pieces by the order of their merges; equal ranks stay equal
+        ranks = {r: k for k, r in enumerate(sorted(set(rank.values())))}
+        self.order = np.full(size, self.NONE, dtype=np.int32)
+        pairs: dict[int, int] = {}
+        for piece, k in ids.items():
+            self.order[k] = ranks[rank[piece]]
+            for cut in range(1, len(piece)):
+                a, b = number.get(piece[:cut]), number.get(piece[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = k
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.made = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int32)
+        left = np.array(list(pairs), dtype=np.int64)
+        value = np.array(list(pairs.values()), dtype=np.int32)
+        at = self._place(left)
+        while len(left):
+            free = np.flatnonzero(self.keys[at] < 0)
+            at_free, one = np.unique(at[free], return_index=True)
+            self.keys[at_free], self.made[at_free] = left[free[one]], value[free[one]]
+            rest = np.ones(len(left), dtype=bool)
+            rest[free[one]] = False
+            left, value, at = left[rest], value[rest], (at[rest] + 1) & self.mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(_GOLDEN) >> self.shift).astype(np.int64)
+
+    def piece(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The piece that two symbols make, or -1."""
+        key = (a << 32) | b
+        key[(a < 0) | (b < 0)] = -2
+        at = self._place(key)
+        held = self.keys[at]
+        out = np.where(held == key, self.made[at], np.int32(-1))
+        open_ = np.flatnonzero((held != key) & (held >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & self.mask
+            held = self.keys[at[open_]]
+            hit = held == key[open_]
+            out[open_[hit]] = self.made[at[open_[hit]]]
+            open_ = open_[~hit & (held >= 0)]
+        return out
+
+    def _ranked(self, made: np.ndarray) -> np.ndarray:
+        return np.where(made < 0, self.NONE, self.order[made])
+
+    def segment(self, units: list[str], skips: np.ndarray, drawn: np.ndarray) -> list[bytes | None]:
+        """The ids of each unit, of at most ``WIDTH`` characters, under its skips; None where bits that are not drawn, or bytes, are needed."""
+        n = len(units)
+        size = np.fromiter(map(len, units), dtype=np.int64, count=n)
+        width = int(size.max())
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
+        symbol = np.full((n, width), -1, dtype=np.int64)
+        symbol[np.arange(width) < size[:, None]] = np.where(codes < 1 << 16, self.character[codes & 0xFFFF], -1)
+        made = self.piece(symbol[:, :-1].ravel(), symbol[:, 1:].ravel()).reshape(n, width - 1)
+        # a last column that nothing merges with
+        made = np.concatenate((made, np.full((n, 1), -1, dtype=np.int32)), axis=1)
+        rank = self._ranked(made)
+        column = np.arange(width)
+        out_symbol = symbol.copy()
+        out_size, failed = size.copy(), np.zeros(n, dtype=bool)
+        rows, left, bits = np.arange(n), size.copy(), drawn.copy()
+        skips = skips.copy()
+        while len(rows):
+            here = np.arange(len(rows))
+            k = rank.argmin(axis=1)
+            done = rank[here, k] == self.NONE
+            short = ~done & ((bits & np.uint64(1)) == 0)
+            if done.any() or short.any():
+                out_symbol[rows[done], :] = -1
+                out_symbol[rows[done], : symbol.shape[1]] = symbol[done]
+                out_size[rows[done]] = left[done]
+                failed[rows[short]] = True
+                go = ~(done | short)
+                rows, left, bits, skips, k = rows[go], left[go], bits[go], skips[go], k[go]
+                symbol, made, rank, here = symbol[go], made[go], rank[go], here[: len(rows)]
+                if not len(rows):
+                    break
+            skip = (skips & np.uint64(1)).astype(bool)
+            skips, bits = skips >> np.uint64(1), bits >> np.uint64(1)
+            rank[here[skip], k[skip]] = self.NONE
+            m = np.flatnonzero(~skip)
+            if len(m):
+                at = k[m]
+                both = made[m, at]
+                take = np.minimum(column + (column > at[:, None]), width - 1)
+                new = np.take_along_axis(symbol[m], take, axis=1)
+                new[:, -1] = -1
+                line = np.arange(len(m))
+                new[line, at] = both
+                take = np.minimum(column + (column >= at[:, None]), width - 1)
+                new_made = np.take_along_axis(made[m], take, axis=1)
+                new_rank = np.take_along_axis(rank[m], take, axis=1)
+                new_made[:, -1], new_rank[:, -1] = -1, self.NONE
+                after = np.where(at + 1 < width, new[line, np.minimum(at + 1, width - 1)], -1)
+                pair = self.piece(new[line, at], after)
+                new_made[line, at], new_rank[line, at] = pair, self._ranked(pair)
+                inner = np.flatnonzero(at > 0)
+                if len(inner):
+                    pair = self.piece(new[inner, at[inner] - 1], new[inner, at[inner]])
+                    new_made[inner, at[inner] - 1], new_rank[inner, at[inner] - 1] = pair, self._ranked(pair)
+                symbol[m], made[m], rank[m] = new, new_made, new_rank
+                left[m] -= 1
+        failed |= ((out_symbol < 0) | (out_symbol >= self.pieces))[:, :].__and__(column < out_size[:, None]).any(axis=1)
+        flat = out_symbol[column < out_size[:, None]].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(out_size)).tolist()
+        return [None if bad else flat[a:b] for a, b, bad in zip([0, *ends], ends, failed.tolist(), strict=False)]
+
+
 class Pieces:
     """The vocabulary of a BPE-type model and its segmentations."""
 
@@ -119,6 +244,7 @@ class Pieces:
                 self.rank[piece] = -model.get_score(k)
                 self.raw[k] = piece.replace(SPACE, " ").encode()
         self.bytes = frozenset(self.byte.values())
+        self.merges = Merges(self.ids, self.rank, size)
         if len(self.byte) < 256:
             raise ValueError("the model has no byte pieces; texts could not be restored")
         self.size = np.array([len(x) for x in self.raw], dtype=np.int64)
@@ -261,8 +387,20 @@ class Pieces:
         wanted = np.where(counts == np.uint64(MORE), np.uint64(_MASK), counts << np.uint64(SPARE) | np.uint64((1 << SPARE) - 1))
         skips = _skips(drawn, rate, 0, wanted)
         hit = np.flatnonzero(skips & counts)
-        for k, some, key, drawn_bits in zip(hit.tolist(), skips[hit].tolist(), drawn[hit].tolist(), wanted[hit].tolist(), strict=True):
-            out[k] = self._skipped(units[k], some, known[k][0], key, rate, drawn_bits)
+        size = np.fromiter((len(units[k]) for k in hit.tolist()), dtype=np.int64, count=len(hit))
+        by = np.argsort(size, kind="stable")  # units of like length go together
+        short = int(np.searchsorted(size[by], Merges.WIDTH, side="right"))
+        alone = hit[by[short:]].tolist()
+        for a in range(0, short, AT_ONCE):
+            part = hit[by[a : min(a + AT_ONCE, short)]]
+            places = part.tolist()
+            for k, ids in zip(places, self.merges.segment([units[k] for k in places], skips[part], wanted[part]), strict=True):
+                if ids is None:
+                    alone.append(k)
+                else:
+                    out[k] = ids
+        for k in alone:
+            out[k] = self._skipped(units[k], int(skips[k]), known[k][0], int(drawn[k]), rate, int(wanted[k]))
         return out
 
     def _learn(self, units: set[str]) -> None:

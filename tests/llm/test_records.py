@@ -595,6 +595,20 @@ def test_learned_words_are_those_of_the_agenda(pieces):
         assert ids == plain and counts == (1 << pairs) - 1
 
 
+def test_many_agendas_are_those_of_one(pieces):
+    r = random.Random(13)
+    units = ["▁" * (r.random() < 0.8) + "".join(r.choice("thenersionaé日%,.") for _ in range(r.randrange(1, 19))) for _ in range(3000)] + ["a", "▁", "▁▁▁", "\t", "😀a"]
+    keys = np.array([r.getrandbits(64) for _ in units], dtype=np.uint64)
+    skips = piece_sampling._skips(keys, 2**30)
+    found = pieces.merges.segment(units, skips, np.full(len(units), piece_sampling._MASK, dtype=np.uint64))
+    for unit, some, ids in zip(units, skips.tolist(), found, strict=True):
+        plain = pieces.segment(unit, some)[0]
+        assert ids == plain or (ids is None and ("😀" in unit or set(np.frombuffer(plain, np.int32).tolist()) & pieces.bytes))
+    # with some bits drawn, either the same or none
+    few = pieces.merges.segment(units, skips, np.full(len(units), 7, dtype=np.uint64))
+    assert all(x is None or x == y for x, y in zip(few, found, strict=True)) and 100 < sum(x is None for x in few) < len(units)
+
+
 def test_texts_drawn_together_are_as_alone(pieces):
     texts = [*TEXTS, "a considerable number of considerations " * 50, "▁ ▁▁ x▁y"]
     keys = [piece_sampling.doc_key(3, k) for k in range(len(texts))]
