@@ -24,11 +24,13 @@ pieces; an empty table gives an empty one. Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from docloom.llm.hashing import blocks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RATE, SEED = 0.1, 17
 SPACE = "▁"
-CACHE = 150_000
+CACHE = 300_000
 _WORD_OR_MARKS = re.compile(r"▁*(?:[^\W\d_▁¹²³]+|(?:[^\w▁]|[_¹²³])+|\d+)|▁+")
 _MASK = 2**64 - 1
 NEVER, SHORT = float("inf"), 64
@@ -101,7 +103,7 @@ def _more_skips(key: int, rate: int, block: int) -> int:
 class Merges:
     """The pairs of symbols that make a piece, in a hash table of numbers, and agendas of many units at once."""
 
-    NONE = np.int32(2**31 - 1)
+    NONE = np.int64(2**62)
     WIDTH = 20  # characters: so many have fewer than ``SKIPS`` pairs, whatever is skipped
 
     def __init__(self, ids: dict[str, int], rank: dict[str, float], size: int):
@@ -116,19 +118,17 @@ class Merges:
                 self.character[ord(c)] = k
         # pieces by the order of their merges; equal ranks stay equal
         ranks = {r: k for k, r in enumerate(sorted(set(rank.values())))}
-        self.order = np.full(size, self.NONE, dtype=np.int32)
         pairs: dict[int, int] = {}
         for piece, k in ids.items():
-            self.order[k] = ranks[rank[piece]]
             for cut in range(1, len(piece)):
                 a, b = number.get(piece[:cut]), number.get(piece[cut:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = k
+                    pairs[a << 32 | b] = ranks[rank[piece]] << 32 | k
         bits = max(4, (4 * len(pairs)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.made = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, -1, dtype=np.int32)
+        self.keys, self.made = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, self.NONE)
         left = np.array(list(pairs), dtype=np.int64)
-        value = np.array(list(pairs.values()), dtype=np.int32)
+        value = np.array(list(pairs.values()), dtype=np.int64)
         at = self._place(left)
         while len(left):
             free = np.flatnonzero(self.keys[at] < 0)
@@ -141,13 +141,13 @@ class Merges:
     def _place(self, key: np.ndarray) -> np.ndarray:
         return (key.view(np.uint64) * np.uint64(_GOLDEN) >> self.shift).astype(np.int64)
 
-    def piece(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The piece that two symbols make, or -1."""
-        key = (a << 32) | b
+    def offer(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The order of the merge of two symbols and, in the lower 32 bits, the piece that they make; or ``NONE``."""
+        key = a.astype(np.int64) << 32 | b
         key[(a < 0) | (b < 0)] = -2
         at = self._place(key)
         held = self.keys[at]
-        out = np.where(held == key, self.made[at], np.int32(-1))
+        out = np.where(held == key, self.made[at], self.NONE)
         open_ = np.flatnonzero((held != key) & (held >= 0))
         while len(open_):
             at[open_] = (at[open_] + 1) & self.mask
@@ -157,69 +157,58 @@ class Merges:
             open_ = open_[~hit & (held >= 0)]
         return out
 
-    def _ranked(self, made: np.ndarray) -> np.ndarray:
-        return np.where(made < 0, self.NONE, self.order[made])
-
     def segment(self, units: list[str], skips: np.ndarray, drawn: np.ndarray) -> list[bytes | None]:
         """The ids of each unit, of at most ``WIDTH`` characters, under its skips; None where bits that are not drawn, or bytes, are needed."""
         n = len(units)
         size = np.fromiter(map(len, units), dtype=np.int64, count=n)
         width = int(size.max())
-        codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
-        symbol = np.full((n, width), -1, dtype=np.int64)
-        symbol[np.arange(width) < size[:, None]] = np.where(codes < 1 << 16, self.character[codes & 0xFFFF], -1)
-        made = self.piece(symbol[:, :-1].ravel(), symbol[:, 1:].ravel()).reshape(n, width - 1)
-        # a last column that nothing merges with
-        made = np.concatenate((made, np.full((n, 1), -1, dtype=np.int32)), axis=1)
-        rank = self._ranked(made)
         column = np.arange(width)
-        out_symbol = symbol.copy()
-        out_size, failed = size.copy(), np.zeros(n, dtype=bool)
-        rows, left, bits = np.arange(n), size.copy(), drawn.copy()
-        skips = skips.copy()
-        while len(rows):
-            here = np.arange(len(rows))
-            k = rank.argmin(axis=1)
-            done = rank[here, k] == self.NONE
-            short = ~done & ((bits & np.uint64(1)) == 0)
-            if done.any() or short.any():
-                out_symbol[rows[done], :] = -1
-                out_symbol[rows[done], : symbol.shape[1]] = symbol[done]
-                out_size[rows[done]] = left[done]
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), dtype=np.uint32)
+        final = np.full((n, width), -1, dtype=np.int32)
+        final[column < size[:, None]] = np.where(codes < 1 << 16, self.character[codes & 0xFFFF], -1)
+        # one more column, with which nothing merges
+        agenda = np.full((n, width), self.NONE)
+        agenda[:, :-1] = self.offer(final[:, :-1].ravel(), final[:, 1:].ravel()).reshape(n, width - 1)
+        symbol, rows, failed = final.copy(), np.arange(n), np.zeros(n, dtype=bool)
+        left, skips, bits = size.copy(), skips.copy(), drawn.copy()
+        while True:
+            k = agenda.argmin(axis=1)
+            best = agenda[np.arange(len(rows)), k]
+            short = (best < self.NONE) & (bits & np.uint64(1) == 0)
+            if short.any():  # these are done elsewhere
                 failed[rows[short]] = True
-                go = ~(done | short)
-                rows, left, bits, skips, k = rows[go], left[go], bits[go], skips[go], k[go]
-                symbol, made, rank, here = symbol[go], made[go], rank[go], here[: len(rows)]
-                if not len(rows):
+                agenda[short] = self.NONE
+                best[short] = self.NONE
+            live = best < self.NONE
+            count = np.count_nonzero(live)
+            if not count or 4 * count < 3 * len(rows):
+                ended = ~live
+                final[rows[ended]], size[rows[ended]] = symbol[ended], left[ended]
+                if not count:
                     break
-            skip = (skips & np.uint64(1)).astype(bool)
+                rows, left, skips, bits, k, best = (x[live] for x in (rows, left, skips, bits, k, best))
+                symbol, agenda, live = symbol[live], agenda[live], np.ones(count, dtype=bool)
+            skip = skips & np.uint64(1) != 0
             skips, bits = skips >> np.uint64(1), bits >> np.uint64(1)
-            rank[here[skip], k[skip]] = self.NONE
-            m = np.flatnonzero(~skip)
+            aside = np.flatnonzero(live & skip)
+            agenda[aside, k[aside]] = self.NONE
+            m = np.flatnonzero(live & ~skip)
             if len(m):
-                at = k[m]
-                both = made[m, at]
-                take = np.minimum(column + (column > at[:, None]), width - 1)
-                new = np.take_along_axis(symbol[m], take, axis=1)
-                new[:, -1] = -1
-                line = np.arange(len(m))
-                new[line, at] = both
-                take = np.minimum(column + (column >= at[:, None]), width - 1)
-                new_made = np.take_along_axis(made[m], take, axis=1)
-                new_rank = np.take_along_axis(rank[m], take, axis=1)
-                new_made[:, -1], new_rank[:, -1] = -1, self.NONE
-                after = np.where(at + 1 < width, new[line, np.minimum(at + 1, width - 1)], -1)
-                pair = self.piece(new[line, at], after)
-                new_made[line, at], new_rank[line, at] = pair, self._ranked(pair)
+                at, line = k[m], np.arange(len(m))
+                here, there = symbol[m], agenda[m]
+                np.copyto(here[:, :-1], here[:, 1:], where=column[:-1] > at[:, None])
+                np.copyto(there[:, :-1], there[:, 1:], where=column[:-1] >= at[:, None])
+                here[:, -1], there[:, -1] = -1, self.NONE
+                here[line, at] = (best[m] & 0xFFFFFFFF).astype(np.int32)
+                there[line, at] = self.offer(here[line, at], here[line, np.minimum(at + 1, width - 1)])
                 inner = np.flatnonzero(at > 0)
-                if len(inner):
-                    pair = self.piece(new[inner, at[inner] - 1], new[inner, at[inner]])
-                    new_made[inner, at[inner] - 1], new_rank[inner, at[inner] - 1] = pair, self._ranked(pair)
-                symbol[m], made[m], rank[m] = new, new_made, new_rank
+                there[inner, at[inner] - 1] = self.offer(here[inner, at[inner] - 1], here[inner, at[inner]])
+                symbol[m], agenda[m] = here, there
                 left[m] -= 1
-        failed |= ((out_symbol < 0) | (out_symbol >= self.pieces))[:, :].__and__(column < out_size[:, None]).any(axis=1)
-        flat = out_symbol[column < out_size[:, None]].astype(np.int32).tobytes()
-        ends = (4 * np.cumsum(out_size)).tolist()
+        inside = column < size[:, None]
+        failed |= (((final < 0) | (final >= self.pieces)) & inside).any(axis=1)
+        flat = final[inside].tobytes()
+        ends = (4 * np.cumsum(size)).tolist()
         return [None if bad else flat[a:b] for a, b, bad in zip([0, *ends], ends, failed.tolist(), strict=False)]
 
 
@@ -253,6 +242,10 @@ class Pieces:
         # by unit, or by unit and skips: the bits that count and the ids; a new generation of entries, and the one before it
         self.new: dict[str | tuple[str, int], tuple[int, bytes]] = {}
         self.old: dict[str | tuple[str, int], tuple[int, bytes]] = {}
+        # the place of each unit without dropout: its ids, the bits that count and its length
+        self.place: dict[str, int] = {}
+        self.held_ids: list[bytes] = []
+        self.held_counts, self.held_sizes = array("Q"), array("i")
         # units may end between letters and marks only where no piece holds both kinds side by side
         crossing = any(_kinds(p) for p in self.ids)
         self.unit = re.compile(r"▁*[^▁]+|▁+") if crossing else _WORD_OR_MARKS
@@ -371,23 +364,22 @@ class Pieces:
 
     def _drawn(self, units: list[str], size: np.ndarray, keys: np.ndarray, rate: int) -> list[bytes]:
         """The ids of each unit; ``size`` units for each of the keys."""
-        if len(self.new) > CACHE:
-            self.old, self.new = self.new, {}
-        known = list(map(self.new.get, units))
-        if None in known:
-            self._learn({u for u, plain in zip(units, known, strict=True) if plain is None})
-            known = [self.new.get(u) or self._known(u, u, 0) for u in units]
-        out = [ids for _, ids in known]
+        places = list(map(self.place.get, units, repeat(-1)))
+        if -1 in places:
+            self._keep({u for u, k in zip(units, places, strict=True) if k < 0}, units)
+            places = list(map(self.place.__getitem__, units))
+        out = list(map(self.held_ids.__getitem__, places))
         if not rate or not units:
             return out
-        counts = np.fromiter((c for c, _ in known), dtype=np.uint64, count=len(known))
-        places = np.arange(len(units), dtype=np.uint64) - np.repeat(np.cumsum(size) - size, size).astype(np.uint64)
-        drawn = mix(mix(places * np.uint64(_GOLDEN) + np.repeat(keys, size)) + np.uint64(self.seed & _MASK))
+        at = np.array(places)
+        counts = np.frombuffer(self.held_counts, dtype=np.uint64)[at]
+        order = np.arange(len(units), dtype=np.uint64) - np.repeat(np.cumsum(size) - size, size).astype(np.uint64)
+        drawn = mix(mix(order * np.uint64(_GOLDEN) + np.repeat(keys, size)) + np.uint64(self.seed & _MASK))
         # a skipped pair can bring up some more pairs than the plain unit has
         wanted = np.where(counts == np.uint64(MORE), np.uint64(_MASK), counts << np.uint64(SPARE) | np.uint64((1 << SPARE) - 1))
         skips = _skips(drawn, rate, 0, wanted)
         hit = np.flatnonzero(skips & counts)
-        size = np.fromiter((len(units[k]) for k in hit.tolist()), dtype=np.int64, count=len(hit))
+        size = np.frombuffer(self.held_sizes, dtype=np.int32)[at[hit]]
         by = np.argsort(size, kind="stable")  # units of like length go together
         short = int(np.searchsorted(size[by], Merges.WIDTH, side="right"))
         alone = hit[by[short:]].tolist()
@@ -400,9 +392,25 @@ class Pieces:
                 else:
                     out[k] = ids
         for k in alone:
-            out[k] = self._skipped(units[k], int(skips[k]), known[k][0], int(drawn[k]), rate, int(wanted[k]))
+            out[k] = self._skipped(units[k], int(skips[k]), int(counts[k]), int(drawn[k]), rate, int(wanted[k]))
         return out
 
+    def _keep(self, missing: set[str], units: list[str]) -> None:
+        """A place for each unit; when there are too many, only for those at hand."""
+        if len(self.place) + len(missing) > CACHE:
+            self.place, self.held_ids, self.held_counts, self.held_sizes = {}, [], array("Q"), array("i")
+            missing = set(units)
+        if len(self.new) > CACHE:
+            self.old, self.new = self.new, {}
+        self._learn(missing)
+        for unit in missing:
+            counts, ids = self.new.get(unit) or self._known(unit, unit, 0)
+            del self.new[unit]
+            self.place[unit] = len(self.held_ids)
+            self.held_ids.append(ids)
+            self.held_counts.append(counts)
+            self.held_sizes.append(len(unit))
+
     def _learn(self, units: set[str]) -> None:
         """Keeps the undropped segmentations of words; the library makes them, as it does the same without dropout."""
         words = []
@@ -474,6 +482,7 @@ def _pieces(proto: bytes, rate: float, seed: int) -> Pieces:
 def _encode(proto, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(proto.value, rate, seed)
+        gc.freeze()  # what is kept has no cycles; the collector need not walk it
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys = [doc_key(seed, d) for d in batch.column("doc_id").to_pylist()]
