@@ -44,7 +44,7 @@ from docloom.llm.common import checkpoint
 
 K = 5
 BITS, SUBSTRING = 512, 16
-SAMPLE, ROUNDS, SEED, RECALL, ASKED = 8192, 20, 7, 0.93, 2048
+SAMPLE, ROUNDS, SEED, RECALL, ASKED = 8192, 20, 7, 0.97, 2048
 BLOCK_ROWS, SLICE_ROWS = 16_384, 1 << 20
 
 
