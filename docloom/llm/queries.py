@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import oracles
+from docloom.llm import collocations, fill_in_middle, oracles, token_counts
 from docloom.llm.common import table
 from docloom.llm.decontamination import leaks
 from docloom.llm.line_dedup import line_dedup
@@ -62,13 +62,25 @@ def op10_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling, pipeline)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_mih_search, op2_pii, op3_ngram_jaccard_join, op4_substring_dedup, op5_sharding, op6_toxicity, op7_line_dedup, op8_decontamination, op9_suffix_dedup, op10_piece_sampling, op11_collocations, op12_token_counts, op13_fill_in_middle, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op3_ngram_jaccard_join": oracles.NGRAM_JOIN,
@@ -76,4 +88,6 @@ ORACLES: dict[str, str] = {
     "op5_sharding": SHARD_ORACLE,
     "op7_line_dedup": oracles.LINE_DEDUP,
     "op9_suffix_dedup": oracles.SUFFIX_DEDUP,
+    "op11_collocations": collocations.ORACLE,
+    "op13_fill_in_middle": fill_in_middle.ORACLE,
 }
