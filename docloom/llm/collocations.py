@@ -47,7 +47,9 @@ LEAST, TOP, LONGEST = 30, 2000, 4
 #: A part is dropped if a longer candidate has this share of its count.
 INSIDE_PERCENT, SCALE = 80, 2_000_000
 NO_LANGUAGE = "und"
-TOGETHER = 4_000_000
+TOGETHER = 1_500_000
+#: Different phrases that a task holds before it passes them on.
+HELD = 1_000_000
 KEYS_AT_ONCE, SLICE = 1 << 20, 1 << 15
 MOST_BITS, PART_BITS, BITS_A_KEY = 1 << 30, 19, 16
 SALTS = 64
@@ -81,11 +83,11 @@ class Block:
         self.langs = pa.array(langs, pa.string())
         self.doc = np.searchsorted(offsets, self.start, side="right") - 1
         seeds = {x: xxhash.xxh3_64_intdigest(x.encode(), seed) for x in set(langs)}
-        self.word = mix(self._hashes(BYTE_VALUES, 0) + np.array([seeds[x] for x in langs], dtype=U)[self.doc])
-        self.check = self._hashes(OTHER_VALUES, 1)
         breaks = np.cumsum(BREAK[low], dtype=np.int32)
         #: Whether a word and the next lie side by side in one piece.
         self.tied = breaks[self.end[:-1] - 1] == breaks[self.start[1:]]
+        self.word = mix(self._hashes(BYTE_VALUES, 0) + np.array([seeds[x] for x in langs], dtype=U)[self.doc])
+        self.check = self._hashes(OTHER_VALUES, 1)
 
     def _hashes(self, values: np.ndarray, seed: int) -> np.ndarray:
         out = spans(prefix(values[self.low]), self.start, self.end)
@@ -136,20 +138,54 @@ def folded(words: Sequence[np.ndarray], seed: int = 0) -> np.ndarray:
     return x
 
 
-def _counted(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each different phrase, and how often it is there."""
+def _counted(words: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different phrase, and how often it is there; ``n`` has how often each place counts."""
     x = folded(words)
     order = np.argsort(x)
     x = x[order]
     new = np.concatenate(([True], x[1:] != x[:-1]))
-    sorted_ = [w[order] for w in words]
-    differ = np.logical_or.reduce([w[1:] != w[:-1] for w in sorted_])
+    differ = np.zeros(len(x) - 1, dtype=bool)
+    for w in words:
+        w = w[order]
+        differ |= w[1:] != w[:-1]
     if (differ & ~new[1:]).any():  # two phrases share a number
         order = np.lexsort(words)
-        sorted_ = [w[order] for w in words]
-        new = np.concatenate(([True], np.logical_or.reduce([w[1:] != w[:-1] for w in sorted_])))
+        for w in words:
+            w = w[order]
+            new[1:] |= w[1:] != w[:-1]
     first = np.flatnonzero(new)
-    return order[first], np.diff(np.append(first, len(order)))
+    return order[first], np.diff(np.append(first, len(order))) if n is None else np.add.reduceat(n[order], first)
+
+
+class Held:
+    """Phrases of one length with their counts and languages, reduced whenever there are many."""
+
+    def __init__(self, k: int):
+        self.k, self.size = k, 0
+        self.parts: list[tuple[list[np.ndarray], np.ndarray, np.ndarray]] = []
+
+    def add(self, key: list[np.ndarray], lang: np.ndarray) -> bool:
+        """Whether so many are held that they should be passed on."""
+        one, n = _counted(key)
+        self.parts.append(([w[one] for w in key], n, lang[one]))
+        self.size += len(one)
+        if self.size <= HELD:
+            return False
+        self.reduce()
+        return self.size > HELD // 2
+
+    def reduce(self) -> None:
+        key = [np.concatenate([p[0][j] for p in self.parts]) for j in range(self.k)]
+        n, lang = (np.concatenate([p[j] for p in self.parts]) for j in (1, 2))
+        one, n = _counted(key, n)
+        self.parts, self.size = [([w[one] for w in key], n, lang[one])], len(one)
+
+    def batch(self, langs: list[str]) -> pa.RecordBatch:
+        self.reduce()
+        ((key, n, lang),) = self.parts
+        self.parts, self.size = [], 0
+        key = [w.view(np.int64) for w in key] + [np.zeros(len(n), dtype=np.int64)] * (LONGEST - self.k)
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang)), pa.array(np.full(len(n), self.k, dtype=np.int32)), *map(pa.array, key), pa.array(n)], names=["lang", "k", *KEY, "n"])
 
 
 def _words(seed: int):
@@ -178,17 +214,18 @@ def _numbered(seed: int):
 
 
 def _phrases(lengths: Sequence[int], filters, seed: int):
-    """(lang, k, w1 to w4, n) of each block; what a phrase has no word for is 0."""
+    """(lang, k, w1 to w4, n) of each task; what a phrase has no word for is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [f.value for f in filters]
+        bitmaps, held, langs = [f.value for f in filters], {k: Held(k) for k in lengths}, {}
         for block in _read(batches, seed):
-            for k, at in block.places(held):
-                if k in lengths and len(at):
-                    key = block.key(k, at)
-                    one, n = _counted(key)
-                    key = [w[one].view(np.int64) for w in key] + [np.zeros(len(one), dtype=np.int64)] * (LONGEST - k)
-                    yield pa.RecordBatch.from_arrays([block.langs.take(pa.array(block.doc[at[one]])), pa.array(np.full(len(one), k, dtype=np.int32)), *map(pa.array, key), pa.array(n)], names=["lang", "k", *KEY, "n"])
+            number = np.array([langs.setdefault(x, len(langs)) for x in block.langs.to_pylist()])
+            for k, at in block.places(bitmaps):
+                if k in held and len(at) and held[k].add(block.key(k, at), number[block.doc[at]]):
+                    yield held[k].batch(list(langs))
+        for each in held.values():
+            if each.size:
+                yield each.batch(list(langs))
 
     return run
 
