@@ -62,6 +62,15 @@ def keyed(docs: DataFrame, repeats: bool = True, *more: Column) -> DataFrame:
     return docs.select(did.alias("did"), tkey.alias("tkey"), text.alias("text"), *more)
 
 
+def one_of_each(rows: DataFrame, repeats: bool = True) -> DataFrame:
+    """One of the rows that repeat did and tkey, dealt by both; such rows are equal.
+
+    Tasks reduce their own rows before the shuffle, so that a row that repeats a million
+    times is one row a task there, and one in all that follows.
+    """
+    return rows.dropDuplicates(["did", "tkey"]) if repeats else rows.repartition("did", "tkey")
+
+
 def row_key(docs: DataFrame) -> tuple[Column, Column]:
     """did and tkey of the rows of ``docs``, as ``keyed`` makes them where ids repeat."""
     return F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)), F.xxhash64(F.coalesce(docs["text"], F.lit("")))

@@ -21,8 +21,9 @@ sequences are settled first, and only the copy with the smallest id goes on.
 Defined results: a null or empty text has no words, keeps the empty string and
 removes nothing; texts shorter than the window are never changed; a text of any length is
 read whole; a null doc_id counts as larger than any other; rows that repeat a doc_id do
-not dedupe each other; an empty table gives an empty one. Columns other than doc_id and
-text are ignored.
+not dedupe each other, and those that repeat the text too are worked on once and have
+equal results; an empty table gives an empty one. Columns other than doc_id and text are
+ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, packed, public_id, texts_of, unpacked
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, one_of_each, packed, public_id, texts_of, unpacked
 from docloom.llm.hashing import Words, anchor_runs, blocks, prefix, prime_prefix, prime_spans, spans
 
 WINDOW, SHORTEST = 50, 16
@@ -207,8 +208,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         raise ValueError("window must be 2 or more")
     repeats = ids_repeat(docs)
     known, longer = levels(window)
-    text = packed(docs, repeats).repartition("did", "tkey")
-    described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(window, known), "did long, tkey long, n_words long, d1 long, d2 long, h array<long>, at array<int>, first array<int>, last array<int>"))
+    every = packed(docs, repeats)
+    # what is joined with runs has one row of those that repeat id and text
+    text = one_of_each(every, repeats)
+    described = keyed(docs, repeats).mapInArrow(_describe(window, known), "did long, tkey long, n_words long, d1 long, d2 long, h array<long>, at array<int>, first array<int>, last array<int>")
+    described = checkpoint(one_of_each(described) if repeats else described)
     whole = ["d1", "d2", "n_words"]
     copies = described.select("did", "tkey", *whole).join(_repeated(described, *whole), whole).where("did > least").select("did", "tkey").distinct()
     originals = described.select("did", "tkey", F.explode(F.arrays_zip("h", "at", "first", "last")).alias("r")).join(copies, ["did", "tkey"], "left_anti")
@@ -224,6 +228,6 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     single = windows.join(_repeated(windows, "w1", "w2"), ["w1", "w2"]).where("did > least").select("did", "tkey", F.col("start").alias("first"), F.col("start").alias("last"))
     found = settled.where(later).select("did", "tkey", "first", "last").unionAll(single)
     ranges = found.groupBy("did", "tkey").agg(F.collect_set(F.struct("first", "last")).alias("found"))
-    marks = text.join(ranges, ["did", "tkey"], "left").join(copies.withColumn("copy", F.lit(True)), ["did", "tkey"], "left")
+    marks = (every if repeats else text).join(ranges, ["did", "tkey"], "left").join(copies.withColumn("copy", F.lit(True)), ["did", "tkey"], "left")
     out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(window), "did long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out.select(public_id(), "n_words", "n_removed", "kept_sha256", "kept")

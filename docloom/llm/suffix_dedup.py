@@ -22,7 +22,7 @@ shuffle, and the joins back to the pieces can split a hot one.
 Defined results: null and empty texts have no bytes and keep the empty string;
 texts shorter than ``length`` are never changed; a text of any length is read whole; an
 empty table gives an empty one; repeated rows are copies of each
-other, whatever their doc_id; a null doc_id stays null. Columns other than doc_id
+other, whatever their doc_id, and those that repeat it too are sorted once; a null doc_id stays null. Columns other than doc_id
 and text are ignored.
 """
 
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, packed, public_id, texts_of, unpacked
+from docloom.llm.common import apart, checkpoint, ids_repeat, keyed, one_of_each, packed, public_id, texts_of, unpacked
 from docloom.llm.hashing import BYTE_VALUES, anchor_runs, blocks, fixed_spans, join, mix, powers, prefix
 
 LENGTH = 200
@@ -361,10 +361,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     if not 1 < gram < length < 2**15:
         raise ValueError("gram must be shorter than length, and length below 32768")
     repeats = ids_repeat(docs)
-    text = packed(docs, repeats).repartition("did", "tkey")
+    every = packed(docs, repeats)
+    # what is joined with runs has one row of those that repeat id and text
+    text = one_of_each(every, repeats)
     described = checkpoint(keyed(docs, repeats).mapInArrow(_describe(length, gram), "did long, tkey long, n_bytes long, d1 long, d2 long, anchor array<long>, ahead array<short>, first array<int>, more array<short>"))
     same = ["d1", "d2", "n_bytes"]
     shared = described.groupBy(same).agg(F.count("*").alias("n"), F.min("did").alias("least")).where("n > 1").select(*same, "least")
+    if repeats:  # counted as copies of each other; from here on one stands for all
+        described = one_of_each(described)
     copies = described.select("did", "tkey", *same).join(apart(shared, *same), same).select("did", "tkey", "least").distinct()
     followers = copies.where("did > least").select("did", "tkey")
     runs = (
@@ -378,6 +382,6 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
     sorted_out = snippets.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort(length), "did long, tkey long, first int, last int")
     found = sorted_out.unionByName(_split(text, met.where(F.col("n") > hot), length))
     ranges = found.groupBy("did", "tkey").agg(F.collect_list(F.struct("first", "last")).alias("found"))
-    marks = text.join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
+    marks = (every if repeats else text).join(ranges, ["did", "tkey"], "left").join(copies.select("did", "tkey", F.lit(True).alias("copy")), ["did", "tkey"], "left")
     out = marks.select("did", "packed", "found", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(_remove(length), "did long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.select(public_id(), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

@@ -338,3 +338,21 @@ def test_spans_do_not_depend_on_place():
     two, inside = words.grams(2)
     assert inside.tolist() == [True, True, False, True, True, True, True, False, True, True]
     assert two[1] == two[5] == two[9]
+
+
+@pytest.mark.parametrize("module, find, plain", [(substring_dedup, substring_dedup.substring_dedup, brute.substring), (suffix_dedup, suffix_dedup.suffix_dedup, brute.suffixes)])
+def test_rows_that_repeat_many_times_are_worked_on_once(spark, monkeypatch, module, find, plain):
+    r = random.Random(4)
+    prose = lambda k: " ".join(f"{r.choice(WORDS)}{r.randrange(10**6)}" for _ in range(k))
+    passage = prose(120)
+    seen = []
+    beside = module._beside
+    monkeypatch.setattr(module, "_beside", lambda text, runs, *columns: seen.append(runs.count()) or beside(text, runs, *columns))
+    made = {}
+    for times in (1, 1000):
+        rows = [(7, f"{prose(30)} {passage} {prose(10)}")] * times + [(9, f"{prose(20)} {passage}"), (None, f"{passage} {prose(5)}"), (3, prose(40))]
+        seen.clear()
+        found = find(frame(spark, rows))
+        assert counted(found, *[c for c in found.columns if c != "kept"]) == plain(rows)
+        made[times] = list(seen)
+    assert max(made[1000]) <= max(made[1]) + 1
