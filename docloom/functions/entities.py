@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import ahocorasick
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from docloom.functions import text as T
 
@@ -60,9 +64,10 @@ TRIGGERS = (
     "threatens?|regulates?|affects?|uses?|develops?"
 )
 
+# The pattern of a capitalised name of up to six words, and the marks that go from a label's ends.
 _LETTER = "[A-ZÁÉÍÓÚÜÑÇÃÕ]"
 _REST = "[\\wÁÉÍÓÚÜÑáéíóúüñçãõ-]*"
-NAME = rf"(?U)\b(?:{_LETTER}{_REST})(?:\s+(?:{_LETTER}{_REST})){{0,5}}\b"
+NAME = rf"\b(?:{_LETTER}{_REST})(?:\s+(?:{_LETTER}{_REST})){{0,5}}\b"
 OUTER = " ,;:()[]{}\"'"
 
 
@@ -79,79 +84,76 @@ class Lexicon:
 
 
 DEFAULT = Lexicon()
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def nfc(labels: pd.Series) -> pd.Series:
-    """Composed Unicode forms; Spark has no function for them."""
-    return labels.map(lambda r: None if r is None else [unicodedata.normalize("NFC", x) for x in r])
+ENTITIES = ArrayType(StructType([StructField("label", StringType()), StructField("entity_type", StringType())]))
+_LISTS = pa.list_(pa.struct([("label", pa.string()), ("entity_type", pa.string())]))
 
 
 def normalize_entity(text: Column) -> Column:
-    """Outer marks off, white space collapsed, lower case. Composed forms are left to ``nfc``."""
+    """Outer marks off, white space collapsed, lower case; for texts whose characters are composed."""
     return F.lower(T.collapse(F.btrim(text, F.lit(OUTER))))
 
 
-def _inside(label: Column, other: Column) -> Column:
-    """Whether a one-word label is a whole word of another label: words end at spaces and hyphens."""
-    padded = F.concat(F.lit(" "), other, F.lit(" "))
-    found = [F.contains(padded, F.concat(F.lit(a), label, F.lit(b))) for a in " -" for b in " -"]
-    return found[0] | found[1] | found[2] | found[3]
+def normalized(label: str) -> str:
+    """The same with characters composed."""
+    return unicodedata.normalize("NFC", re.sub(r"\s+", " ", label.strip(OUTER))).lower()
+
 
+class Extractor:
+    """The labels of texts under a lexicon.
 
-def concept_labels(text: Column, lexicon: Lexicon = DEFAULT) -> Column:
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    if not lexicon.concepts:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*map(F.lit, lexicon.concepts)), lambda p: F.contains(lower, p))
+    All known phrases are one automaton, made once by the driver and sent to the
+    workers: a text is read once, however many phrases there are.
+    """
 
+    def __init__(self, lexicon: Lexicon):
+        self.automaton = ahocorasick.Automaton()
+        for phrase in lexicon.concepts:
+            self.automaton.add_word(phrase, normalized(phrase))
+        self.automaton.make_automaton()
+        self.not_entities, self.organisation_parts = frozenset(lexicon.not_entities), lexicon.organisation_parts
 
-def name_candidates(text: Column) -> Column:
-    """Capitalised names of a text as labels, before any is ruled out."""
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NAME), F.lit(0)), normalize_entity)
+    def concepts(self, text: str) -> set[str]:
+        if not len(self.automaton):
+            return set()
+        return {label for _, label in self.automaton.iter(text.lower())}
 
+    def entities(self, text: str) -> list[tuple[str, str]]:
+        """(label, entity_type) by label; a one-word label goes if it is a word of another label.
 
-def entities(text: Column, lexicon: Lexicon = DEFAULT, names: Column | None = None) -> Column:
-    """Sorted array of (label, entity_type). ``names`` stands for ``name_candidates(text)``, for instance composed by ``nfc``.
+        Names are sought in the composed text, so that a letter and its mark are one.
+        """
+        found = dict.fromkeys(self.concepts(text), "concept")
+        for name in _NAME.findall(unicodedata.normalize("NFC", text)):
+            label = normalized(name)
+            if len(label) > 2 and label not in found and label not in self.not_entities:
+                found[label] = "organization" if any(p in label for p in self.organisation_parts) else "entity"
+        labels = sorted(found)
+        together = "\n".join(labels)
+        return [(x, found[x]) for x in labels if " " in x or together.count(x) == 1 or not self._inside(x, labels)]
 
-    A one-word label goes if it is a word of another label. All labels of several
-    words are searched at once, joined to one string; only labels with a hyphen,
-    which can be words of that string themselves, are compared one by one.
-    """
-    found = F.filter(name_candidates(text) if names is None else names, lambda x: ~x.isin(*lexicon.not_entities) & (F.length(x) > 2))
-
-    def several(label: Column) -> Column:
-        return F.contains(label, F.lit(" ")) | F.contains(label, F.lit("-"))
-
-    def specific(labels: Column) -> Column:
-        joined = F.array_join(F.filter(labels, several), f" {T.MARK} ")
-        return T.let(
-            joined,
-            lambda text_of_all: F.filter(
-                labels,
-                lambda x: F.contains(x, F.lit(" ")) | F.when(F.contains(x, F.lit("-")), ~F.exists(labels, lambda o: (o != x) & _inside(x, o))).otherwise(~_inside(x, text_of_all)),
-            ),
-        )
-
-    def typed(concepts: Column) -> Column:
-        def one(label: Column) -> Column:
-            part = F.lit(False)
-            for p in lexicon.organisation_parts:
-                part = part | F.contains(label, F.lit(p))
-            kind = F.when(F.array_contains(concepts, label), F.lit("concept")).when(part, F.lit("organization")).otherwise(F.lit("entity"))
-            return F.struct(label.alias("label"), kind.alias("entity_type"))
-
-        return F.transform(T.let(F.array_sort(F.array_union(concepts, found)), specific), one)
-
-    return T.let(concept_labels(text, lexicon), typed)
-
-
-def with_entities(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT, composed: bool = True) -> DataFrame:
-    """The chunks with ``entities``; ``composed`` False skips Unicode composition, for texts known to be composed."""
-    if not composed:
-        return chunks.withColumn("entities", entities(F.col(text), lexicon))
-    named = chunks.withColumn("_names", nfc(name_candidates(F.col(text))))
-    return named.withColumn("entities", entities(F.col(text), lexicon, F.col("_names"))).drop("_names")
+    @staticmethod
+    def _inside(label: str, labels: list[str]) -> bool:
+        word = re.compile(rf"\b{re.escape(label)}\b")
+        return any(label in other and word.search(other) for other in labels if other != label)
+
+
+_NAME = re.compile(NAME)
+
+
+def _found(extractor: Broadcast):
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = extractor.value
+        for column in texts:
+            yield pa.array([held.entities(t or "") for t in column.to_pylist()], _LISTS)
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}  # read by arrow_udf
+    return F.arrow_udf(run, ENTITIES)
+
+
+def with_entities(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT) -> DataFrame:
+    """The chunks with ``entities``, an array of (label, entity_type) sorted by label."""
+    extractor = chunks.sparkSession.sparkContext.broadcast(Extractor(lexicon))
+    return chunks.withColumn("entities", _found(extractor)(F.col(text)))
 
 
 def relations(chunks: DataFrame, text: str = "texto", lexicon: Lexicon = DEFAULT) -> DataFrame:

@@ -143,17 +143,14 @@ def query_text(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", F.coalesce(*given, F.raise_error(F.concat(F.lit("query without text: "), F.col("query_id"))).cast("string")).alias("query"))
 
 
-def search(index: DataFrame, queries: DataFrame, candidates: int = 100, top_chunks: int = 10, aggregation: str = "max", query_labels: DataFrame | None = None, evidence: DataFrame | None = None, weight: float = GRAPH_WEIGHT) -> tuple[DataFrame, DataFrame]:
+def search(index: DataFrame, queries: DataFrame, candidates: int = 100, top_chunks: int = 10, aggregation: str = "max", graph_scores: DataFrame | None = None, weight: float = GRAPH_WEIGHT) -> tuple[DataFrame, DataFrame]:
     """(documents, hits) of all queries.
 
     ``index`` has chunk_ord, chunk_id, doc_id, texto and embedding; ``queries``
-    query_id and embedding; a graph is given by ``query_labels`` and ``evidence``.
+    query_id and embedding; ``graph_scores`` is from ``graph.chunk_scores``.
     """
-    from docloom.operators.graph import chunk_scores
-
     near = knn(index, queries, candidates).join(index.select("chunk_ord", "chunk_id", "doc_id"), "chunk_ord")
-    graph = chunk_scores(query_labels, evidence) if query_labels is not None and evidence is not None else None
-    fused = fuse(near, graph, index, weight)
+    fused = fuse(near, graph_scores, index, weight)
     found = fused.where(F.col("hit_rank") <= top_chunks).join(index.select("chunk_id", "texto"), "chunk_id")
     return top_documents(fused, aggregation), found
 

@@ -100,12 +100,13 @@ def retrieve(spark: SparkSession, queries: DataFrame, index_path: str, model: en
     index = encoding.open_index(spark, index_path, model)
     asked = search.query_text(queries)
     embedded = encoding.embed(asked, model, "query", text="query")
-    labels = evidence = None
+    scores = None
     if graph_path:
         tagged = E.with_entities(asked, "query", lexicon)
         labels = tagged.select("query_id", F.explode("entities.label").alias("label"))
-        evidence = graph.edge_evidence(tables.read_graphml(spark, graph_path)[1])
-    documents, hits = search.search(index, embedded, candidates, candidates, aggregation, labels, evidence, weight)
+        edges = tables.read_graphml(spark, graph_path)[1]
+        scores = graph.chunk_scores(labels, graph.edge_ends(edges.select("src", "dst")), graph.listed_evidence(edges))
+    documents, hits = search.search(index, embedded, candidates, candidates, aggregation, scores, weight)
     return search.results(documents, search.fragments(hits), strict)
 
 

@@ -1,7 +1,7 @@
 """Queries over the test tables, one or more for each operator, and the same in DuckDB SQL.
 
 documents stand for extracted texts, their lines for blocks, embeddings for chunk
-vectors (with the label as the document) and every fortieth vector for a query.
+vectors (with the label as the document) and every twentieth vector for a query.
 """
 
 from __future__ import annotations

@@ -183,20 +183,23 @@ def _in(words: tuple[str, ...]) -> str:
 
 _CAP = "[A-ZÁÉÍÓÚÜÑÇÃÕ][\\p{L}\\p{N}_-]*"
 _INSIDE = " OR ".join(f"contains(' ' || o || ' ', '{a}' || x || '{b}')" for a in " -" for b in " -")
-_ENTITIES = (
-    packing_sql(360, 480)
-    + f""", t AS (SELECT doc_id || '-' || lpad(chunk_no::VARCHAR, 5, '0') AS chunk_id, doc_id::VARCHAR AS doc_id, text FROM chunks),
-c AS (SELECT *, list_filter([{_in(TEST_LEXICON.concepts)}], lambda p: contains(lower(text), p)) AS concepts,
-  list_distinct(list_filter(list_transform(regexp_extract_all(text, '(?:^|[^\\p{{L}}\\p{{N}}_])({_CAP}(?:\\s+{_CAP}){{0,5}})', 1), lambda s: regexp_replace(regexp_replace(lower(s), '-+$', ''), '\\s+', ' ', 'g')), lambda s: length(s) > 2 AND s NOT IN ({_in(TEST_LEXICON.not_entities)}))) AS names FROM t),
+
+
+def entities_sql(texts: str, lexicon: E.Lexicon) -> str:
+    """entities(chunk_id, doc_id, label, entity_type) of ``texts`` (chunk_id, doc_id, text)."""
+    return f"""c AS (SELECT *, list_filter([{_in(lexicon.concepts)}], lambda p: contains(lower(text), p)) AS concepts,
+  list_distinct(list_filter(list_transform(regexp_extract_all(text, '(?:^|[^\\p{{L}}\\p{{N}}_])({_CAP}(?:\\s+{_CAP}){{0,5}})', 1), lambda s: regexp_replace(regexp_replace(lower(nfc_normalize(s)), '-+$', ''), '\\s+', ' ', 'g')), lambda s: length(s) > 2 AND s NOT IN ({_in(lexicon.not_entities)}))) AS names FROM {texts}),
 l AS (SELECT *, list_distinct(list_concat(concepts, names)) AS labels FROM c),
 k AS (SELECT chunk_id, doc_id, concepts, unnest(list_filter(labels, lambda x: contains(x, ' ') OR len(list_filter(labels, lambda o: o <> x AND ({_INSIDE}))) = 0)) AS label FROM l),
-entities AS (SELECT chunk_id, doc_id, label, CASE WHEN list_contains(concepts, label) THEN 'concept' WHEN {" OR ".join(f"contains(label, '{p}')" for p in TEST_LEXICON.organisation_parts)} THEN 'organization' ELSE 'entity' END AS entity_type FROM k)
+entities AS (SELECT chunk_id, doc_id, label, CASE WHEN list_contains(concepts, label) THEN 'concept' WHEN {" OR ".join(f"contains(label, '{p}')" for p in lexicon.organisation_parts)} THEN 'organization' ELSE 'entity' END AS entity_type FROM k)
 """
-)
+
+
+_ENTITIES = packing_sql(360, 480) + ", t AS (SELECT doc_id || '-' || lpad(chunk_no::VARCHAR, 5, '0') AS chunk_id, doc_id::VARCHAR AS doc_id, text FROM chunks), " + entities_sql("t", TEST_LEXICON)
 
 
 def _tagged(spark, d):
-    return E.with_entities(_chunks(spark, d), lexicon=TEST_LEXICON, composed=False)
+    return E.with_entities(_chunks(spark, d), lexicon=TEST_LEXICON)
 
 
 @query(_ENTITIES + "SELECT chunk_id, label, entity_type FROM entities")
@@ -209,7 +212,30 @@ def graph_mentions(spark, d):
     return graph.mentions(_tagged(spark, d))
 
 
-@query()
+# texts with a known phrase each, and with letters that composition changes
+_PHRASED = f"WITH t AS (SELECT doc_id::VARCHAR AS chunk_id, doc_id::VARCHAR AS doc_id, replace(coalesce(text, ''), 'o', chr(8057)) || '. ' || upper(list_extract([{_in(E.DEFAULT.concepts)}], (doc_id % {len(E.DEFAULT.concepts)})::INT + 1)) AS text FROM documents), "
+
+
+@query(_PHRASED + entities_sql("t", E.DEFAULT) + "SELECT chunk_id, label, entity_type FROM entities")
+def graph_entities_known(spark, d):
+    """The default lexicon over whole texts, each with one of its phrases at the end."""
+    phrase = F.element_at(F.array(*map(F.lit, E.DEFAULT.concepts)), (F.col("doc_id") % len(E.DEFAULT.concepts)).cast("int") + 1)
+    text = F.concat(F.replace(F.coalesce("text", F.lit("")), F.lit("o"), F.lit(chr(8057))), F.lit(". "), F.upper(phrase))
+    rows = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("chunk_id"), text.alias("texto"))
+    return E.with_entities(rows).select("chunk_id", F.explode("entities").alias("e")).select("chunk_id", "e.label", "e.entity_type")
+
+
+_RELATIONS = _ENTITIES + rf""", x AS (SELECT chunk_id, unnest(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS s FROM t),
+y AS (SELECT *, row_number() OVER () AS sentence, lower(regexp_replace(trim(s, ' ,;:()[]{{}}"' || chr(39)), '\s+', ' ', 'g')) AS norm, regexp_extract(s, '(?is)^(|.*?[^\p{{L}}\p{{N}}_])({TEST_LEXICON.triggers})(?:$|[^\p{{L}}\p{{N}}_])', ['before', 'word']) AS m FROM x),
+z AS (SELECT y.chunk_id, sentence, m.word AS word, length(m.before) AS a, length(m.before) + length(m.word) AS b, label, instr(norm, label) - 1 AS p FROM y JOIN entities USING (chunk_id) WHERE m.word <> '' AND contains(norm, label)),
+w AS (
+  SELECT chunk_id, lower(word) AS relation, coalesce(arg_min(label, (-p, label)) FILTER (WHERE p < a), min(label)) AS subject, coalesce(arg_min(label, (p, label)) FILTER (WHERE p >= b), max(label)) AS object
+  FROM z GROUP BY chunk_id, sentence, word, a, b HAVING count(*) >= 2
+)
+SELECT DISTINCT chunk_id, subject, relation, object FROM w WHERE subject <> object"""
+
+
+@query(_RELATIONS)
 def graph_relations(spark, d):
     return E.relations(_tagged(spark, d), lexicon=TEST_LEXICON).select("chunk_id", "subject", "relation", "object")
 
@@ -245,16 +271,12 @@ def _least(labels) -> int:
 
 @query(f"WITH {_FACTS}, {_TRIPLES} SELECT subject, relation, object, evidence_count, doc_ids, chunk_ids FROM triples")
 def graph_triples(spark, d):
-    found = graph.triples(_facts(spark, d))
-    return found.select("subject", "relation", "object", "evidence_count", F.array_join("doc_ids", ";").alias("doc_ids"), F.array_join("chunk_ids", ";").alias("chunk_ids"))
+    return graph.with_ids(_facts(spark, d), *graph.TRIPLE)
 
 
 @query(f"WITH {_FACTS}, {_LABELS}, {_TRIPLES}, {_EDGES} SELECT 'entity:' || subject AS src, 'entity:' || object AS dst, relation, evidence_count, doc_ids, chunk_ids FROM edges")
 def graph_edges_collapsed(spark, d):
-    facts = _facts(spark, d)
-    labels = _labels(facts)
-    found = graph.edges(labels, graph.triples(facts), int(_least(labels)))
-    return found.withColumn("doc_ids", F.array_join("doc_ids", ";")).withColumn("chunk_ids", F.array_join("chunk_ids", ";"))
+    return graph.edge_rows(_edges(spark, d), _facts(spark, d))
 
 
 @query(f"WITH {_FACTS}, {_LABELS}, {_TRIPLES} SELECT 'entity:' || label AS id, label, entity_type, mentions FROM labels WHERE mentions >= {_LEAST} AND label IN (SELECT subject FROM triples UNION ALL SELECT object FROM triples)")
@@ -282,12 +304,14 @@ def _edges(spark, d):
 
 @query(_SCORES)
 def graph_chunk_scores(spark, d):
-    return graph.chunk_scores(_asked(spark, d), graph.edge_evidence(_edges(spark, d)))
+    found = _edges(spark, d)
+    ends = found.select(graph.entity("subject").alias("src"), graph.entity("object").alias("dst"))
+    return graph.chunk_scores(_asked(spark, d), graph.edge_ends(ends), graph.edge_evidence(found, _facts(spark, d)))
 
 
 @query(_SCORES)
 def graph_chunk_scores_scan(spark, d):
-    return graph.scan_chunk_scores(_asked(spark, d), _edges(spark, d))
+    return graph.scan_chunk_scores(_asked(spark, d), graph.edge_rows(_edges(spark, d), _facts(spark, d)))
 
 
 # --- checks -------------------------------------------------------------------------------------

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import json
 from pathlib import Path
-from xml.etree import ElementTree
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _GRAPHML = "http://graphml.graphdrawing.org/xmlns"
@@ -30,46 +29,74 @@ def write_jsonl(rows: DataFrame, path: str) -> None:
     rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
+def _escaped(value: Column) -> Column:
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("\r", "&#13;"), ("\n", "&#10;"), ("\t", "&#9;")):
+        value = F.replace(value, F.lit(mark), F.lit(name))
+    return value
+
+
+def _element(rows: DataFrame, target: str, attributes: dict[str, str], names: tuple[str, ...], order: list[str]) -> DataFrame:
+    """The rows as lines of XML, in order."""
+    head = [F.concat(F.lit(f' {a}="'), _escaped(F.col(c)), F.lit('"')) for a, c in attributes.items()]
+    data = [F.concat(F.lit(f'<data key="{target}_{n}">'), _escaped(F.coalesce(F.col(n).cast("string"), F.lit("None"))), F.lit("</data>")) for n in names]
+    return rows.orderBy(*order).select(F.concat(F.lit(f"<{target}"), *head, F.lit(">"), *data, F.lit(f"</{target}>")).alias("value"))
+
+
+def _concatenated(spark: SparkSession, head: str, folders: list[str], tail: str, path: str) -> None:
+    """Part files as one file, between a head and a tail: bytes are copied from stream to stream, whatever file system they are in."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(conf).create(at, True)
+    try:
+        out.write(head.encode())
+        for folder in folders:
+            place = jvm.org.apache.hadoop.fs.Path(folder)
+            system = place.getFileSystem(conf)
+            for part in sorted(str(s.getPath()) for s in system.listStatus(place) if s.getPath().getName().startswith("part-")):
+                source = system.open(jvm.org.apache.hadoop.fs.Path(part))
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+                source.close()
+            system.delete(place, True)
+        out.write(tail.encode())
+    finally:
+        out.close()
+
+
 def write_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> dict:
-    """A GraphML file of the graph, written by the driver row by row."""
-    graph = ElementTree.Element("graphml", xmlns=_GRAPHML)
-    for target, names in (("node", _NODE), ("edge", _EDGE)):
-        for name in names:
-            ElementTree.SubElement(graph, "key", {"id": f"{target}_{name}", "for": target, "attr.name": name, "attr.type": "string"})
-    body = ElementTree.SubElement(graph, "graph", edgedefault="directed")
-    counts = {"nodes": 0, "edges": 0, "path": path}
-    for row in nodes.orderBy("id").toLocalIterator():
-        item = ElementTree.SubElement(body, "node", id=row["id"])
-        for name in _NODE:
-            ElementTree.SubElement(item, "data", key=f"node_{name}").text = str(row[name])
-        counts["nodes"] += 1
-    for row in edges.orderBy("src", "dst").toLocalIterator():
-        item = ElementTree.SubElement(body, "edge", source=row["src"], target=row["dst"])
-        for name in _EDGE:
-            value = row[name]
-            ElementTree.SubElement(item, "data", key=f"edge_{name}").text = ";".join(value) if isinstance(value, list) else str(value)
-        counts["edges"] += 1
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    ElementTree.ElementTree(graph).write(path, encoding="utf-8", xml_declaration=True)
-    return counts
+    """A GraphML file of the graph. Tasks write the elements, in order, to folders beside it; their parts are then put together and the folders go."""
+    counted, spark = Observation(), nodes.sparkSession
+    counted_edges = Observation()
+    folders = [f"{path}.nodes", f"{path}.edges"]
+    lines = _element(nodes.observe(counted, F.count("*").alias("n")), "node", {"id": "id"}, _NODE, ["id"])
+    lines.write.mode("overwrite").text(folders[0])
+    lines = _element(edges.observe(counted_edges, F.count("*").alias("n")), "edge", {"source": "src", "target": "dst"}, _EDGE, ["src", "dst"])
+    lines.write.mode("overwrite").text(folders[1])
+    keys = [f'<key id="{target}_{n}" for="{target}" attr.name="{n}" attr.type="string" />' for target, names in (("node", _NODE), ("edge", _EDGE)) for n in names]
+    head = "\n".join(["<?xml version='1.0' encoding='utf-8'?>", f'<graphml xmlns="{_GRAPHML}">', *keys, '<graph edgedefault="directed">', ""])
+    _concatenated(spark, head, folders, "</graph>\n</graphml>\n", path)
+    return {"nodes": counted.get["n"], "edges": counted_edges.get["n"], "path": path}
 
 
 def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges) of a GraphML file, whoever wrote it."""
-    root = ElementTree.parse(path).getroot()
-    names = {k.get("id"): k.get("attr.name") for k in root.iter(f"{{{_GRAPHML}}}key")}
-    held = lambda item: {names[d.get("key")]: d.text or "" for d in item.findall(f"{{{_GRAPHML}}}data")}
-    parts = lambda text: [p for p in text.split(";") if p]
-    nodes, edges = [], []
-    for item in root.iter(f"{{{_GRAPHML}}}node"):
-        x = held(item)
-        nodes.append((item.get("id"), x.get("label", item.get("id")), x.get("entity_type"), int(x.get("mentions") or 0)))
-    for item in root.iter(f"{{{_GRAPHML}}}edge"):
-        x = held(item)
-        edges.append((item.get("source"), item.get("target"), x.get("relation"), int(x.get("evidence_count") or 1), parts(x.get("doc_ids", "")), parts(x.get("chunk_ids", ""))))
+    """(nodes, edges) of a GraphML file, whoever wrote it; the ids of an edge's evidence stay one text each."""
+    data = "data array<struct<_VALUE: string, _key: string>>"
+
+    def elements(tag: str, schema: str) -> DataFrame:
+        return spark.read.format("xml").option("rowTag", tag).option("nullValue", "\0").schema(schema).load(path)
+
+    keys = elements("key", "_id string, `_attr.name` string, _for string").collect()  # a few for a file
+
+    def held(target: str, name: str) -> Column:
+        ids = [k["_id"] for k in keys if k["_attr.name"] == name and k["_for"] in (target, "all", None)]
+        return F.get(F.filter("data", lambda d: d["_key"].isin(ids)), F.lit(0))["_VALUE"]
+
+    number = lambda target, name, least: F.coalesce(F.nullif(held(target, name), F.lit("")).cast("long"), F.lit(least).cast("long")).alias(name)
+    text = lambda target, name: F.coalesce(held(target, name), F.lit("")).alias(name)
+    nodes = elements("node", f"_id string, {data}")
+    edges = elements("edge", f"_source string, _target string, {data}")
     return (
-        spark.createDataFrame(nodes, "id string, label string, entity_type string, mentions long"),
-        spark.createDataFrame(edges, "src string, dst string, relation string, evidence_count long, doc_ids array<string>, chunk_ids array<string>"),
+        nodes.select(F.col("_id").alias("id"), F.coalesce(held("node", "label"), F.col("_id")).alias("label"), held("node", "entity_type").alias("entity_type"), number("node", "mentions", 0)),
+        edges.select(F.col("_source").alias("src"), F.col("_target").alias("dst"), held("edge", "relation").alias("relation"), number("edge", "evidence_count", 1), text("edge", "doc_ids"), text("edge", "chunk_ids")),
     )
 
 

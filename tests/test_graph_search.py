@@ -1,7 +1,9 @@
 """Entities, relations, graph, dedupe, search and checks."""
 
 import json
+import random
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -77,8 +79,54 @@ FACT = "chunk_ord int, doc_id string, chunk_id string, subject string, relation
 def test_later_triples_replace_edges(spark):
     facts = spark.createDataFrame([(1, "d", "c1", "a", "uses", "b"), (2, "d", "c2", "a", "affects", "b"), (3, "d", "c3", "a", "uses", "b")], FACT)
     labels = spark.createDataFrame([("a", 3, "entity"), ("b", 3, "entity")], "label string, mentions long, entity_type string")
-    (edge,) = graph.edges(labels, graph.triples(facts)).collect()
-    assert (edge.src, edge.dst, edge.relation, edge.evidence_count, edge.chunk_ids) == ("entity:a", "entity:b", "affects", 1, ["c2"])
+    (edge,) = graph.edge_rows(graph.edges(labels, graph.triples(facts)), facts).collect()
+    assert tuple(edge) == ("entity:a", "entity:b", "affects", 1, "d", "c2")
+
+
+def test_ids_are_sorted_and_listed_once(spark):
+    rows = [(k, f"d{k % 7}", f"c{k % 5000:05}", "a" if k % 3 else "é\n", "uses", "b") for k in range(12_000)] + [(0, None, "c", "x", "uses", "b"), (0, "", "c", "x", "uses", "b")]
+    want = {}
+    for _, d, c, *triple in rows:
+        n, docs, chunks = want.setdefault(tuple(triple), [0, set(), set()])
+        want[tuple(triple)][0] += 1
+        docs.add(d or "")
+        chunks.add(c)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        found = {tuple(r)[:3]: [r.evidence_count, r.doc_ids, r.chunk_ids] for r in graph.with_ids(spark.createDataFrame(rows, FACT).repartition(5), *graph.TRIPLE).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == {k: [n, ";".join(sorted(d)), ";".join(sorted(c))] for k, (n, d, c) in want.items()}
+
+
+def test_many_phrases_are_one_automaton():
+    phrases = tuple(f"phrase {k} of many" for k in range(10_000))
+    extractor = E.Extractor(E.Lexicon(concepts=phrases))
+    assert extractor.entities("a Phrase 77 of many, phrase 9999 of many") == [("phrase 77 of many", "concept"), ("phrase 9999 of many", "concept")]
+    assert E.Extractor(E.Lexicon(concepts=())).entities("Nada") == [("nada", "entity")]
+
+
+def plain_entities(text, lexicon):
+    found, low = {}, text.lower()
+    norm = lambda x: unicodedata.normalize("NFC", re.sub(r"\s+", " ", x.strip(E.OUTER))).lower()
+    for p in lexicon.concepts:
+        if p in low:
+            found[norm(p)] = "concept"
+    for m in re.finditer(E.NAME, unicodedata.normalize("NFC", text)):
+        x = norm(m[0])
+        if x not in lexicon.not_entities and len(x) > 2:
+            found.setdefault(x, "organization" if any(p in x for p in lexicon.organisation_parts) else "entity")
+    return sorted((x, t) for x, t in found.items() if " " in x or not any(o != x and re.search(rf"\b{re.escape(x)}\b", o) for o in found))
+
+
+def test_entities_equal_a_plain_version():
+    r = random.Random(2)
+    lexicon = E.Lexicon(concepts=("drones", "drones de ataque", "c++", "a-b", "mar"))
+    words = "Drones drones de ataque C++ a-b A-B Mar Mar-Azul Ana-Mar ÁNGEL A\u030angel X\u1f79 El La ONU Onu9 _Foo Foo_ El- The, . (Baz) \n".split(" ")
+    extractor = E.Extractor(lexicon)
+    for _ in range(3000):
+        text = " ".join(r.choice(words) for _ in range(r.randrange(12)))
+        assert extractor.entities(text) == plain_entities(text, lexicon), text
 
 
 def test_isolated_node(spark):
@@ -95,10 +143,10 @@ def test_first_seen_type_and_mentions(spark):
 
 
 def test_edges_count_once_for_a_query(spark):
-    edges = spark.createDataFrame([("entity:a", "entity:b", "uses", 2, ["d"], ["c1"]), ("entity:b", "entity:c", "uses", 5, ["d"], ["c1", "c2"])], "src string, dst string, relation string, evidence_count long, doc_ids array<string>, chunk_ids array<string>")
+    edges = spark.createDataFrame([("entity:a", "entity:b", "uses", 2, "d", "c1"), ("entity:b", "entity:c", "uses", 5, "d", "c1;c2"), ("entity:c", "entity:c", "uses", 1, "", "")], "src string, dst string, relation string, evidence_count long, doc_ids string, chunk_ids string")
     asked = spark.createDataFrame([("q", "a"), ("q", "b"), ("r", "a"), ("s", "z")], "query_id string, label string")
     want = {("q", "c1"): 7, ("q", "c2"): 5, ("r", "c1"): 2}
-    for found in (graph.chunk_scores(asked, graph.edge_evidence(edges)), graph.scan_chunk_scores(asked, edges)):
+    for found in (graph.chunk_scores(asked, graph.edge_ends(edges), graph.listed_evidence(edges)), graph.scan_chunk_scores(asked, edges)):
         assert {(r.query_id, r.chunk_id): r.graph_score for r in found.collect()} == want
 
 
