@@ -47,9 +47,9 @@ LEAST, TOP, LONGEST = 30, 2000, 4
 #: A part is dropped if a longer candidate has this share of its count.
 INSIDE_PERCENT, SCALE = 80, 2_000_000
 NO_LANGUAGE = "und"
-TOGETHER = 1_500_000
+TOGETHER, ROWS = 1_000_000, 500
 #: Different phrases that a task holds before it passes them on.
-HELD = 1_000_000
+HELD = 300_000
 KEYS_AT_ONCE, SLICE = 1 << 20, 1 << 15
 MOST_BITS, PART_BITS, BITS_A_KEY = 1 << 30, 19, 16
 SALTS = 64
@@ -121,13 +121,15 @@ class Block:
 
 
 def _read(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[Block]:
-    for batch in batches:
-        langs, done = batch.column("lang").to_pylist(), 0
-        for part in blocks(texts_of(batch), TOGETHER):
-            block = Block(part, langs[done : done + len(part)], seed)
-            if len(block.start):
-                yield block
-            done += len(part)
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):  # not all texts of a batch at once
+            batch = whole.slice(at, ROWS)
+            langs, done = batch.column("lang").to_pylist(), 0
+            for part in blocks(texts_of(batch), TOGETHER):
+                block = Block(part, langs[done : done + len(part)], seed)
+                if len(block.start):
+                    yield block
+                done += len(part)
 
 
 def folded(words: Sequence[np.ndarray], seed: int = 0) -> np.ndarray:
