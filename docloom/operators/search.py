@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -14,74 +15,158 @@ from docloom.functions import vectors as V
 from docloom.operators.packing import MAX_WORDS, presentation_texts
 
 QUERY_BLOCK = 2048
+#: Bytes of vectors that one task multiplies, and queries that read past one copy of a block.
+BLOCK_BYTES, ASKED_TOGETHER = 32_000_000, 20_000
 AGGREGATIONS = ("max", "top2sum", "mean")
 TOP_DOCUMENTS, TOP_FRAGMENTS, GRAPH_WEIGHT = 3, 10, 0.0025
 
 
-def _merge(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The best k columns of each row by score, ties to the smaller id."""
-    _, code = np.unique(ids.ravel(), return_inverse=True)
-    order = np.lexsort((code.reshape(ids.shape), -score), axis=1)[:, :k]
-    return np.take_along_axis(score, order, axis=1), np.take_along_axis(ids, order, axis=1)
+def _scored(names: list[str], queries: np.ndarray, ids: list, vectors: np.ndarray, k: int, kind: str) -> pa.RecordBatch:
+    """The best k of some vectors, whose ids ascend, for each query; ties to the smaller id."""
+    score = queries @ vectors.T
+    if k < len(ids):
+        least = np.partition(score, len(ids) - k, axis=1)[:, len(ids) - k]
+        row, at = np.nonzero(score >= least[:, None])  # with what ties with the last
+        order = np.lexsort((at, -score[row, at], row))
+        row, at = row[order], at[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, at = row[keep], at[keep]
+    else:
+        row, at = (x.ravel() for x in np.indices(score.shape))
+    found = pa.array(ids, pa.string() if kind == "string" else pa.int64()).take(pa.array(at))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(row)), found, pa.array(score[row, at])], names=["query_id", "chunk_ord", "score"])
 
 
-def _local_best(shared, k: int, kind: str):
-    """The best k of each query in a partition, batch by batch."""
+def _meet(k: int, kind: str):
+    """Rows sorted by block and salt, the vectors of each before the queries that ask it: the best k of the block for each query."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, queries = shared.value
-        held: tuple[np.ndarray, np.ndarray] | None = None
+        key, ids, parts = None, [], []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = np.array(batch.column("chunk_ord").to_pylist())
-            by = np.argsort(ids, kind="stable")
-            vectors = np.asarray(batch.column("embedding").flatten()).reshape(batch.num_rows, -1)[by]
-            score = queries @ vectors.T
-            # ids ascend, so a stable sort leaves ties in their order
-            order = np.argsort(-score, axis=1, kind="stable")[:, :k]
-            best = np.take_along_axis(score, order, axis=1), ids[by][order]
-            held = best if held is None else _merge(np.concatenate((held[0], best[0]), axis=1), np.concatenate((held[1], best[1]), axis=1), k)
-        if held is not None:
-            width = held[0].shape[1]
-            names_out = pa.array([n for n in names for _ in range(width)], pa.string())
-            ids_out = pa.array(held[1].ravel().tolist(), pa.string() if kind == "string" else pa.int64())
-            yield pa.RecordBatch.from_arrays([names_out, ids_out, pa.array(held[0].ravel())], names=["query_id", "chunk_ord", "score"])
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "salt", "asks")]
+            new = np.zeros(batch.num_rows, dtype=bool)
+            new[0] = True
+            for c in columns:
+                new[1:] |= c[1:] != c[:-1]
+            first = np.flatnonzero(new)
+            for a, b in zip(first.tolist(), np.append(first[1:], batch.num_rows).tolist(), strict=True):
+                part = batch.slice(a, b - a)
+                rows = np.asarray(part.column("embedding").flatten()).reshape(b - a, -1)
+                if (here := (columns[0][a], columns[1][a])) != key:
+                    key, ids, parts = here, [], []
+                if not columns[2][a]:
+                    ids += part.column("chunk_ord").to_pylist()
+                    parts.append(rows)
+                elif ids:
+                    if len(parts) > 1:
+                        parts = [np.concatenate(parts)]
+                    yield _scored(part.column("query_id").to_pylist(), rows, ids, parts[0], k, kind)
 
     return run
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int, method: str = "matrix") -> DataFrame:
+@dataclass(frozen=True)
+class Block:
+    number: int
+    rows: float  # about
+    top: float  # the largest norm in it
+
+
+def _norm() -> Column:
+    return F.sqrt(V.inner_product(F.col("embedding"), F.col("embedding")))
+
+
+def blocked(base: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, list[Block]]:
+    """The vectors with the number of their block, and the blocks.
+
+    Vectors are classed by the logarithm of their norm, so that those of a block are of
+    about one length, and a class is dealt to as many blocks as its bytes need. What the
+    driver gets is a row for each class: four to an octave, some thousands at most.
+    """
+    classed = base.withColumn("norm", _norm()).withColumn("class", F.coalesce(F.floor(F.log2("norm") * 4), F.lit(-(2**20))).cast("long"))
+    sizes = classed.groupBy("class").agg(F.count("*").alias("n"), F.max("norm").alias("top"), F.max(F.size("embedding")).alias("width")).collect()
+    blocks, first = [], {}
+    for x in sizes:
+        slots = max(1, -(-x["n"] * x["width"] * 8 // block_bytes))
+        first[x["class"]] = (len(blocks), slots)
+        blocks += [Block(len(blocks) + k, x["n"] / slots, x["top"]) for k in range(slots)]
+    if len(blocks) < 2:
+        return base.withColumn("block", F.lit(0)), blocks
+    dealt = F.create_map(*(F.lit(x) for c, (at, slots) in first.items() for x in (c, f"{at} {slots}")))
+    place = F.split(dealt[F.col("class")], " ").cast("array<int>")
+    return classed.withColumn("block", place[0] + F.pmod(F.xxhash64("chunk_ord"), place[1]).cast("int")).drop("norm", "class"), blocks
+
+
+def surviving(asked: DataFrame, best: DataFrame, others: list[Block], k: int) -> DataFrame:
+    """The queries with each other block that can hold one of their best k.
+
+    No product in a block exceeds the query's norm times the block's largest, so a block
+    below the k-th best of the first is left out.
+    """
+    least = best.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("least"))
+    tops = F.array(*(F.struct(F.lit(b.number).alias("block"), F.lit(float(b.top)).alias("top")) for b in others))
+    reached = F.filter(tops, lambda b: F.col("least").isNull() | (F.col("norm") * b["top"] * F.lit(1 + 1e-9) >= F.col("least")))
+    return asked.withColumn("norm", _norm()).join(least, "query_id", "left").select("salt", "query_id", "embedding", F.explode(reached["block"]).alias("block"))
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, method: str = "matrix", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, chunk_ord, score, hit_rank: the k largest inner products of each query, ties to the smaller chunk_ord.
 
-    ``vectors`` has chunk_ord (an integer or string that names a chunk) and embedding, ``queries`` query_id (string) and
-    embedding. "matrix" multiplies batches of vectors with blocks of at most
-    ``QUERY_BLOCK`` queries, which alone are sent to the tasks; each task passes on k
-    rows a query. "columns" is the same in column functions, for few queries.
+    ``vectors`` has chunk_ord (an integer or string that names a chunk) and embedding,
+    ``queries`` query_id (string) and embedding. "matrix" deals vectors to blocks by
+    norm. Every query meets the block of the longest vectors that has several times k of them, and then those whose bound
+    reaches the k-th product found there. Queries and blocks meet by a shuffle, sorted so
+    that a task holds one block and reads the queries past it; so many queries that one
+    task should not read them all go to copies of the block. "columns" multiplies in
+    column functions, in blocks of queries, for few of them.
     """
     kind = "string" if vectors.schema["chunk_ord"].dataType.simpleString() == "string" else "bigint"
     base = vectors.select(F.col("chunk_ord").cast(kind).alias("chunk_ord"), V.as_double(F.col("embedding")).alias("embedding"))
     asked = queries.select(F.col("query_id").cast("string").alias("query_id"), V.as_double(F.col("embedding")).alias("embedding"))
-    n = asked.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
+    if method == "matrix":
+        out = _knn_matrix(base, asked, k, kind, block_bytes)
+    elif method == "columns":
+        out = _knn_columns(base, asked)
+    else:
+        raise ValueError("method must be matrix or columns")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_ord")
+    return out.withColumn("hit_rank", F.row_number().over(best)).where(F.col("hit_rank") <= k)
+
+
+def _knn_matrix(base: DataFrame, asked: DataFrame, k: int, kind: str, block_bytes: int) -> DataFrame:
+    rows, blocks = blocked(base, block_bytes)
+    salts = -(-asked.count() // ASKED_TOGETHER)
+    schema = f"query_id string, chunk_ord {kind}, score double"
+    if not blocks or not salts:
+        return base.sparkSession.createDataFrame([], schema)
+    salted = asked.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(salts)).cast("int"))
+
+    def met(held: DataFrame, pairs: DataFrame) -> DataFrame:
+        """The best k of each block for the queries (block, salt, query_id, embedding) that ask it."""
+        given = held.select("block", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), F.lit(False).alias("asks"), "chunk_ord", F.lit(None).cast("string").alias("query_id"), "embedding")
+        asks = pairs.select("block", "salt", F.lit(True).alias("asks"), F.lit(None).cast(kind).alias("chunk_ord"), "query_id", "embedding")
+        both = given.unionByName(asks).repartition("block", "salt").sortWithinPartitions("block", "salt", "asks", "chunk_ord")
+        return both.mapInArrow(_meet(k, kind), schema)
+
+    first = max(blocks, key=lambda b: (b.rows >= 4 * k, b.top))
+    best = met(rows.where(F.col("block") == first.number), salted.withColumn("block", F.lit(first.number)))
+    others = [b for b in blocks if b is not first]
+    if not others:
+        return best
+    pairs = surviving(salted, best, others, k)
+    return best.unionByName(met(rows.join(pairs.select("block").distinct(), "block", "left_semi"), pairs))
+
+
+def _knn_columns(base: DataFrame, asked: DataFrame) -> DataFrame:
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
     out = None
     for b in range(blocks):
         part = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        if method == "columns":
-            scored = base.crossJoin(F.broadcast(part.withColumnRenamed("embedding", "q"))).select("query_id", "chunk_ord", V.inner_product(F.col("embedding"), F.col("q")).alias("score"))
-        elif method == "matrix":
-            rows = sorted(part.collect(), key=lambda r: r["query_id"])
-            if not rows:
-                continue
-            shared = vectors.sparkSession.sparkContext.broadcast(([r["query_id"] for r in rows], np.array([r["embedding"] for r in rows])))
-            scored = base.mapInArrow(_local_best(shared, k, kind), f"query_id string, chunk_ord {kind}, score double")
-        else:
-            raise ValueError("method must be matrix or columns")
+        scored = base.crossJoin(F.broadcast(part.withColumnRenamed("embedding", "q"))).select("query_id", "chunk_ord", V.inner_product(F.col("embedding"), F.col("q")).alias("score"))
         out = scored if out is None else out.unionByName(scored)
-    if out is None:
-        out = vectors.sparkSession.createDataFrame([], f"query_id string, chunk_ord {kind}, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_ord")
-    return out.withColumn("hit_rank", F.row_number().over(best)).where(F.col("hit_rank") <= k)
+    return out
 
 
 def fuse(hits: DataFrame, graph_scores: DataFrame | None, chunks: DataFrame, weight: float = GRAPH_WEIGHT) -> DataFrame:

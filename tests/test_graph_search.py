@@ -182,6 +182,31 @@ def test_knn_ties_and_batches(spark):
     named = frame.withColumn("chunk_ord", F.lpad(F.col("chunk_ord").cast("string"), 4, "0"))
     assert {(x.query_id, x.hit_rank): int(x.chunk_ord) for x in search.knn(named, queries, 25).collect()} == found
     assert search.knn(frame, queries.where("query_id = 'none'"), 3).count() == 0
+    assert search.knn(frame.limit(0), queries, 3).count() == 0
+
+
+def test_knn_prunes_blocks_by_norm(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    vectors = r.standard_normal((600, 8)) * np.repeat([8.0, 1.0, 0.1, 0.0], 150)[:, None]
+    vectors[7] = vectors[8] = vectors[9]
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "chunk_ord long, embedding array<double>").repartition(5)
+    asked = r.standard_normal((12, 8))
+    asked[3] = 0
+    queries = spark.createDataFrame([(str(k), v.tolist()) for k, v in enumerate(asked)], "query_id string, embedding array<double>")
+    pairs = []
+    plain = search.surviving
+    monkeypatch.setattr(search, "surviving", lambda *a: pairs.append(out := plain(*a)) or out)
+    monkeypatch.setattr(search, "ASKED_TOGETHER", 5)
+    for size in (32_000_000, 100 * 64):
+        found = search.knn(frame, queries, 5, block_bytes=size).collect()
+        for k, v in enumerate(asked):
+            best = sorted(range(600), key=lambda i: (-round(float(vectors[i] @ v), 9), i))[:5]
+            assert [x.chunk_ord for x in sorted(found, key=lambda x: x.hit_rank) if x.query_id == str(k)] == best
+    n_blocks = len(search.blocked(frame, 100 * 64)[1])
+    met = {x.query_id: x["count"] for x in pairs[-1].groupBy("query_id").count().collect()}
+    assert n_blocks > 10 and met.pop("3") == n_blocks - 1  # a zero query ties with all
+    assert sum(met.values()) < 0.4 * n_blocks * 11
+    assert pairs[-1].select("salt").distinct().count() == 3
 
 
 def test_vectors(spark):
