@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.operators.cache import BUCKETS, Cache
+
 PREFIXES = {"passage": "passage: ", "query": "query: "}
 
 
@@ -96,19 +98,29 @@ def cache_rows(encoded: DataFrame, model_name: str, kind: str) -> DataFrame:
     return encoded.select(F.lit(model_name).alias("model"), F.lit(kind).alias("kind"), "content_hash", F.size("vector").alias("dimension"), "vector")
 
 
-def upsert(cache: DataFrame | None, new: DataFrame) -> DataFrame:
-    """The cache with rows replaced by new ones of the same key."""
-    if cache is None:
-        return new
-    return cache.join(new, ["model", "kind", "content_hash"], "left_anti").unionByName(new)
+def embedding_cache(path: str, buckets: int = BUCKETS) -> Cache:
+    return Cache(path, ("model", "kind", "content_hash"), "model string, kind string, content_hash string, dimension int, vector array<float>", buckets)
+
+
+def encode_misses(texts: DataFrame, model: EmbeddingModel, kind: str = "passage", text: str = "texto", batch_size: int = 32, cache: DataFrame | None = None) -> DataFrame:
+    """Cache rows of the different texts that the cache lacks."""
+    missed = cache_misses(texts, cache, model.name, kind, text)
+    return cache_rows(missed.mapInArrow(_encode(model, batch_size), "content_hash string, vector array<float>"), model.name, kind)
+
+
+def embed_through(texts: DataFrame, model: EmbeddingModel, cache: Cache, kind: str = "passage", text: str = "texto", batch_size: int = 32) -> DataFrame:
+    """``embed`` through a cache that keeps what is encoded: misses are put first, and then all is read."""
+    cache.put(encode_misses(texts, model, kind, text, batch_size, cache.read(texts.sparkSession)))
+    return embed(texts, model, kind, text, batch_size, cache.read(texts.sparkSession))
 
 
 def embed(texts: DataFrame, model: EmbeddingModel, kind: str = "passage", text: str = "texto", batch_size: int = 32, cache: DataFrame | None = None) -> DataFrame:
     """The rows with their ``embedding``; equal texts are encoded once, cached ones not at all."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    new = cache_rows(cache_misses(texts, cache, model.name, kind, text).mapInArrow(_encode(model, batch_size), "content_hash string, vector array<float>"), model.name, kind)
-    known = upsert(cache, new).where((F.col("model") == model.name) & (F.col("kind") == kind)).select(F.col("content_hash").alias("_hash"), F.col("vector").alias("embedding"))
+    new = encode_misses(texts, model, kind, text, batch_size, cache)
+    known = new if cache is None else cache.select(*new.columns).unionByName(new)
+    known = known.where((F.col("model") == model.name) & (F.col("kind") == kind)).select(F.col("content_hash").alias("_hash"), F.col("vector").alias("embedding"))
     keyed = texts.withColumn("_hash", content_hash(F.col(text), kind))
     return keyed.join(known, "_hash").drop("_hash")
 
@@ -117,11 +129,12 @@ def config(model: EmbeddingModel, device: str = "auto") -> dict:
     return {"model": model.name, "requested_device": device, "build_device": select_device(device, False), "dtype": "float32", "dimension": model.dimension, "normalized": True, "similarity": "inner_product", "index_type": "flat", "prefixes": PREFIXES}
 
 
-def build_index(chunks: DataFrame, path: str, model: EmbeddingModel, batch_size: int = 32, cache: DataFrame | None = None) -> dict:
+def build_index(chunks: DataFrame, path: str, model: EmbeddingModel, batch_size: int = 32, cache: Cache | None = None) -> dict:
     """Write chunks (chunk_ord, chunk_id, doc_id, texto, ...) with their vectors, and the configuration beside them."""
     began = time.time()
     spark = chunks.sparkSession
-    embed(chunks, model, batch_size=batch_size, cache=cache).write.mode("overwrite").parquet(f"{path}/chunks")
+    embedded = embed(chunks, model, batch_size=batch_size) if cache is None else embed_through(chunks, model, cache, batch_size=batch_size)
+    embedded.write.mode("overwrite").parquet(f"{path}/chunks")
     written = config(model) | {"chunks": spark.read.parquet(f"{path}/chunks").count(), "batch_size_requested": batch_size, "build_seconds": round(time.time() - began, 2)}
     spark.createDataFrame([(json.dumps(written),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
     return written

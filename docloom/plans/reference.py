@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from docloom.functions import entities as E
 from docloom.functions import text as T
 from docloom.operators import coverage, dedupe, inventory, packing
-from docloom.sources import files
+from docloom.sources import files, shared, tables
+from docloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -309,6 +310,34 @@ def extraction_cache_misses(spark, d):
     return inventory.extraction_misses(now, cache)
 
 
+_ENTRIES = """
+WITH e AS (SELECT 'v' || doc_id % 2 AS variant, 'k' || doc_id // 2 AS cache_key, doc_id, n_chars FROM documents),
+w AS (SELECT variant, cache_key, 1 AS round, doc_id AS mtime_ns, n_chars AS size, 'old' AS payload FROM e WHERE doc_id % 3 <> 0 UNION ALL SELECT variant, cache_key, 2, doc_id + 5, n_chars + 1, 'new' FROM e WHERE doc_id % 5 < 2)
+"""
+
+
+@query(_ENTRIES + "SELECT variant, cache_key, sha256(cache_key) AS sha256, size, mtime_ns, payload FROM (SELECT *, row_number() OVER (PARTITION BY variant, cache_key ORDER BY round DESC, mtime_ns DESC) AS k FROM w) WHERE k = 1")
+def extraction_cache_put(spark, d):
+    """A cache after a put, the same put again and one that replaces some entries and adds others."""
+    docs = read(spark, d, "documents")
+    key = [F.concat(F.lit("v"), F.col("doc_id") % 2).alias("variant"), F.concat(F.lit("k"), F.floor(F.col("doc_id") / 2)).alias("cache_key")]
+    rows = docs.select(*key, "doc_id", "n_chars").withColumn("sha256", F.sha2("cache_key", 256)).withColumn("payload_sha256", F.lit(None).cast("string"))
+    old = rows.where("doc_id % 3 <> 0").withColumns({"size": F.col("n_chars"), "mtime_ns": F.col("doc_id"), "payload": F.lit("old")})
+    new = rows.where("doc_id % 5 < 2").withColumns({"size": F.col("n_chars") + 1, "mtime_ns": F.col("doc_id") + 5, "payload": F.lit("new")})
+    held = ingest.extraction_cache(shared.new_folder(spark, "extractions"), 4)
+    for given in (old, old, new, new):
+        held.put(given, "mtime_ns")
+    return held.read(spark).drop("payload_sha256")
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id, k) - 1 AS line, value FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS value, generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)")
+def numbered_lines(spark, d):
+    """The lines of all texts, written as files in the order of the documents and read with their numbers."""
+    folder = shared.new_folder(spark, "lines")
+    read(spark, d, "documents").orderBy("doc_id").select(F.col("text").alias("value")).write.text(folder)
+    return tables.read_lines(spark, folder)
+
+
 # --- repeated blocks ----------------------------------------------------------------------------
 
 

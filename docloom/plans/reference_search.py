@@ -9,6 +9,7 @@ from docloom.functions import text as T
 from docloom.functions import vectors as V
 from docloom.operators import encoding, graph, packing, quality, search
 from docloom.plans.reference import TEST_LEXICON, packing_sql, query, read
+from docloom.sources import shared
 
 CANDIDATES, DOCUMENTS = 100, 37
 #: As in the original's program; its library has 100.
@@ -163,6 +164,17 @@ def embedding_cache_misses(spark, d):
     return encoding.cache_misses(docs, cache, "m", "passage", "text").select("content_hash")
 
 
+@query("SELECT DISTINCT 'hashed-3grams-256' AS model, kind, sha256(kind || ': ' || text) AS content_hash, 256 AS dimension FROM documents, (VALUES ('passage'), ('query')) v(kind) WHERE kind = 'passage' OR doc_id % 4 = 0")
+def embedding_cache_put(spark, d):
+    """A cache that was filled by some texts, then by all, and by some as queries; twice each."""
+    docs, model = read(spark, d, "documents").select("doc_id", "text"), encoding.EmbeddingModel()
+    held = encoding.embedding_cache(shared.new_folder(spark, "embeddings"), 4)
+    some = docs.where("doc_id % 4 = 0")
+    for texts, kind in ((some, "passage"), (docs, "passage"), (docs, "passage"), (some, "query"), (some, "query")):
+        held.put(encoding.encode_misses(texts, model, kind, "text", cache=held.read(spark)))
+    return held.read(spark).drop("vector")
+
+
 @query()
 def encode_hashing(spark, d):
     rows = encoding.embed(read(spark, d, "documents").select("doc_id", "text"), encoding.EmbeddingModel(), text="text")

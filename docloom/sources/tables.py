@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 _GRAPHML = "http://graphml.graphdrawing.org/xmlns"
@@ -19,9 +19,19 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, first: int = 0) -> DataFrame:
-    """line, value of one file's lines, numbered from ``first``: for checks that need the raw text."""
-    whole = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\n\z", ""), "\n").alias("lines"))
-    return whole.select(F.posexplode("lines").alias("line", "value")).select((F.col("line") + first).cast("long").alias("line"), "value")
+    """line, value of a file's lines, numbered from ``first``: for checks that need the raw text.
+
+    A file is read in splits. Each split's lines are counted and the counts summed up, a row
+    for each split; a line's number is the sum before its split and its place in the split.
+    Of a folder, files follow each other by name. Lines end at \\n alone.
+    """
+    # both scans cut the files alike, as splits are made from the files' sizes only
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", *split, F.monotonically_increasing_id().alias("id"))
+    counted = lines.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    ahead = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.select("file", "start", (F.coalesce(F.sum("n").over(ahead), F.lit(0)) - F.col("least") + first).alias("offset"))
+    return lines.join(F.broadcast(offsets), ["file", "start"]).select((F.col("offset") + F.col("id")).alias("line"), "value")
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:

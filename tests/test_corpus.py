@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from docloom import cli
-from docloom.operators import encoding, inventory
+from docloom.operators import cache, encoding, inventory
 from docloom.plans import corpus
 from docloom.sources import files, tables
 from docloom.streaming import ingest
@@ -207,6 +207,50 @@ def test_jsonl_round_trip(spark, tmp_path):
     assert [tuple(r) for r in tables.read_lines(spark, str(tmp_path / "l.txt"), 1).collect()] == [(1, "a"), (2, ""), (3, "b")]
 
 
+def test_put_replaces_and_replays(spark, tmp_path):
+    held = cache.Cache(str(tmp_path / "held"), ("a", "b"), "a string, b int, v array<float>, w string", 5)
+    assert held.read(spark).count() == 0
+    frame = lambda rows: spark.createDataFrame(rows, "a string, b int, v array<float>, w string, seq int")
+    content = lambda: {(r.a, r.b): (r.v, r.w) for r in held.read(spark).collect()}
+    held.put(frame([]))
+    held.put(frame([(f"k{k % 50}", k % 3, [float(k)], "old", k) for k in range(400)]), "seq")
+    want = {(f"k{k % 50}", k % 3): ([float(k)], "old") for k in range(400)}
+    assert content() == want and held.read(spark).count() == len(want)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "held").rglob("part-*")}
+    assert len(files) == 5
+    one = frame([("k7", 1, None, "new", 9), ("k7", 1, [1.0], "newest", 10), ("other", 0, [], None, 1)])
+    for _ in range(2):
+        cache.Cache(held.path, held.key, held.schema, 64).put(one, "seq")  # the cache keeps its number of buckets
+        assert content() == want | {("k7", 1): ([1.0], "newest"), ("other", 0): ([], None)}
+    now = set((tmp_path / "held").rglob("part-*"))
+    assert len(now) == 5 and len(now & set(files)) >= 3  # other buckets were left as they are
+
+
+def test_embedding_through_a_cache(spark, tmp_path):
+    held, calls = encoding.embedding_cache(str(tmp_path / "held"), 2), spark.sparkContext.accumulator(0)
+    plain = encoding.hashed_ngrams()
+    model = encoding.EmbeddingModel(encode=lambda texts: calls.add(len(texts)) or plain(texts))
+    texts = spark.createDataFrame([(k, f"text {k % 6}") for k in range(20)], "id int, texto string")
+    first = {r.id: r.embedding for r in encoding.embed_through(texts, model, held).collect()}
+    assert calls.value == 6
+    assert {r.id: r.embedding for r in encoding.embed_through(texts.unionAll(texts.limit(1)), model, held).collect()} == first
+    assert calls.value == 6 and held.read(spark).count() == 6
+
+
+def test_lines_are_numbered_over_splits(spark, tmp_path):
+    lines = [("x" * (k % 90)) + ("\r" if k % 7 == 0 else "") + str(k) for k in range(3000)] + [""]
+    (tmp_path / "l.txt").write_bytes("\n".join(lines).encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = tables.read_lines(spark, str(tmp_path / "l.txt"), 1)
+        assert spark.read.text(str(tmp_path / "l.txt")).rdd.getNumPartitions() > 10
+        assert sorted(tuple(r) for r in found.collect()) == [(k + 1, x) for k, x in enumerate(lines[:-1])]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_queries_equal_their_sql(spark, sf_dir):
     duckdb = pytest.importorskip("duckdb")
     from docloom.plans import reference
