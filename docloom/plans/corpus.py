@@ -27,28 +27,46 @@ def audit(spark: SparkSession, root: str, report_folder: str, manifest: str) ->
     return payload
 
 
-def coverage_blocks(spark: SparkSession, root: str, extractors: dict = files.EXTRACTORS) -> tuple[DataFrame, DataFrame]:
-    """(files with a category of their own, blocks of the others)."""
+def coverage_states(spark: SparkSession, root: str, target_tokens: int = packing.TARGET_TOKENS, max_tokens: int = packing.MAX_TOKENS, count: packing.TokenCounter | None = None, extractors: dict = files.EXTRACTORS) -> DataFrame:
+    """A row for each file below ``root``: what an index would have of it, and why not more (see ``coverage.document_states``)."""
     found = files.read_blocks(spark, root, extractors)
-    failed = found.groupBy("path").agg(F.max(F.col("error").isNotNull()).alias("failed"))
-    excluded = coverage.file_category(failed)
-    rest = found.where("error IS NULL").join(excluded.select("path"), "path", "left_anti").where("text IS NOT NULL")
-    return excluded, rest.select("doc_id", "block_no", "text", T.extension(F.col("path")).alias("extension"))
-
-
-def dry_run(spark: SparkSession, root: str, report_folder: str, target_tokens: int = packing.TARGET_TOKENS, max_tokens: int = packing.MAX_TOKENS, index: DataFrame | None = None, extractors: dict = files.EXTRACTORS) -> dict:
-    """Coverage an index of the corpus would have, without making one."""
-    excluded, blocks = coverage_blocks(spark, root, extractors)
-    units = coverage.units(blocks, max_tokens)
-    counts = excluded.groupBy("category").agg(F.count("*").alias("n")).unionByName(coverage.categories(units))
-    total = files.scan(spark, root).count()
-    state = coverage.summary(blocks, target_tokens, max_tokens).first().asDict()
-    state["documents_without_chunks"] = total - state["documents_with_chunks"]
+    # a file's own category is told from its name, and from the error that its only row has
+    named = found.withColumn("failed", F.col("error").isNotNull())
+    own = coverage.own_category()
+    excluded = named.where(own.isNotNull() | F.col("text").isNull()).select("doc_id", "path", own.alias("category"), "error").dropDuplicates(["path"])
+    page = lambda name: F.get_json_object("extra", f"$.{name}").cast("int").alias(name)
+    rest = named.where(own.isNull() & F.col("text").isNotNull()).select("doc_id", F.col("path").alias("fuente"), "block_no", "text", T.extension(F.col("path")).alias("extension"), page("page_start"), page("page_end"))
+    return coverage.document_states(rest, target_tokens, max_tokens, count).unionByName(coverage.excluded_states(excluded))
+
+
+def dry_run(
+    spark: SparkSession, root: str, report_folder: str, target_tokens: int = packing.TARGET_TOKENS, max_tokens: int = packing.MAX_TOKENS, index: DataFrame | None = None, extractors: dict = files.EXTRACTORS, count: packing.TokenCounter | None = None
+) -> dict:
+    """Coverage an index of the corpus would have, without making one.
+
+    Each file's state is written once, to ``document_states`` in the report's folder, and
+    all else is read from there. The lists of documents without chunks and of partly
+    covered ones grow with the corpus: they are JSON lines beside the report.
+    """
+    folder = f"{report_folder}/document_states"
+    coverage_states(spark, root, target_tokens, max_tokens, count, extractors).write.mode("overwrite").parquet(folder)
+    states = spark.read.parquet(folder)
+    state = coverage.projected(states).first().asDict()
+    total = state["documents_with_chunks"] + state["documents_without_chunks"]
+    shown = states.drop("examples").orderBy("fuente")
+    lists = {"documents_without_chunks": "valid_units = 0", "partially_covered_documents": "valid_units > 0 and omitted_units > 0"}
+    for name, which in lists.items():
+        tables.write_jsonl(shown.where(which), f"{report_folder}/{name}")
     current = {"available": False} if index is None else {"available": True} | coverage.index_coverage(index).first().asDict()
-    categories = {r["category"]: r["n"] for r in counts.orderBy("category").collect()}
-    samples = [r.asDict() for r in coverage.examples(units).orderBy("category", "n").collect()]
-    payload = {"summary": {"files_scanned": total, "current_index": current, "projected": state, "categories": categories}, "examples": samples}
-    tables.write_report("coverage_dry_run", report_folder, payload, [("Cobertura", [f"- {k}: {v}" for k, v in state.items()]), ("Categorías", [f"- {k}: {v}" for k, v in categories.items()])], "Auditoría de cobertura sin embeddings")
+    categories = {r["category"]: r["n"] for r in coverage.state_categories(states).orderBy("category").collect()}
+    samples = {c: [] for c in categories}
+    for r in coverage.state_examples(states).orderBy("category", "n").collect():  # ten a category at most
+        samples[r["category"]].append({c: v for c, v in r.asDict().items() if c not in ("category", "n")})
+    payload = {"summary": {"files_scanned": total, "current_index": current, "projected": state, "categories": categories}, "examples": samples, "lists": {name: f"{report_folder}/{name}" for name in lists}}
+    line = lambda x: f"- `{x['fuente']}` | páginas {x['pagina_inicio']}-{x['pagina_fin']} | {x['palabras']} palabras | {x['tokens']} tokens | {x['vista_previa']}"
+    sections = [("Cobertura", [f"- Índice actual: {current}", *(f"- {k}: {v}" for k, v in state.items())]), ("Categorías", [f"- {k}: {v}" for k, v in categories.items()])]
+    sections += [(f"Ejemplos: {c}", list(map(line, each))) for c, each in samples.items()]
+    tables.write_report("coverage_dry_run", report_folder, payload, sections, "Auditoría de cobertura sin embeddings")
     return payload
 
 

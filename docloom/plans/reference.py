@@ -266,6 +266,26 @@ def coverage_examples(spark, d):
     return coverage.examples(found)
 
 
+@query(
+    packing_sql(360, 480)
+    + f""", {_CATEGORY.strip()},
+o AS (SELECT doc_id, CASE WHEN listed THEN 'lista_o_tabla_texto_plano' WHEN parts = 1 THEN 'oracion_aparentemente_unica_gigante' ELSE 'bloque_mas_de_480_tokens' END AS category FROM long
+  UNION ALL SELECT doc_id, 'pagina_o_archivo_sin_texto' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM units)),
+g AS (SELECT doc_id, string_agg(category || ':' || n, ';' ORDER BY category) AS categories, sum(n)::BIGINT AS omitted_units FROM (SELECT doc_id, category, count(*) AS n FROM o GROUP BY ALL) GROUP BY doc_id),
+v AS (SELECT doc_id, count(*) FILTER (WHERE n <= 480) AS valid_units, count(*) FILTER (WHERE n > 250 AND n <= 480) AS long_units, count(*) FILTER (WHERE n > 250) AS shown FROM units GROUP BY doc_id),
+h AS (SELECT doc_id, count(*) AS chunks FROM chunks GROUP BY doc_id)
+SELECT d.doc_id, d.source AS fuente, coalesce(valid_units, 0)::BIGINT AS valid_units, coalesce(omitted_units, 0)::BIGINT AS omitted_units, coalesce(chunks, 0)::BIGINT AS chunks, coalesce(long_units, 0)::BIGINT AS long_units, coalesce(categories, '') AS categories
+FROM documents d LEFT JOIN v USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN h USING (doc_id)"""
+)
+def coverage_documents(spark, d):
+    """Each document's state: the rows of the lists of documents without chunks and of partly covered ones."""
+    none = F.lit(None).cast("int")
+    blocks = read(spark, d, "documents").select("doc_id", F.col("source").alias("fuente"), F.lit(0).alias("block_no"), "text", F.lit(".txt").alias("extension"), none.alias("page_start"), none.alias("page_end"))
+    states = coverage.document_states(blocks)
+    counts = F.array_join(F.transform(F.map_entries("categories"), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ";")
+    return states.select("doc_id", "fuente", "valid_units", "omitted_units", "chunks", "long_units", counts.alias("categories"))
+
+
 @query("SELECT count(*) AS chunks, count(DISTINCT label) AS documents_with_chunks FROM embeddings")
 def index_coverage(spark, d):
     return coverage.index_coverage(read(spark, d, "embeddings").withColumnRenamed("label", "doc_id"))

@@ -147,6 +147,28 @@ def test_dry_run(spark, root, tmp_path):
     assert out["projected"]["documents_with_chunks"] == 5 and out["projected"]["documents_without_chunks"] == 4
 
 
+def test_dry_run_lists_and_examples(spark, root, tmp_path):
+    long = tmp_path / "corpus" / "F2_z" / "largo.txt"
+    long.parent.mkdir(exist_ok=True)
+    long.write_text("Una frase corta.\n\n" + "palabra " * 500 + "\n\n" + "Vale " + "x " * 300, encoding="utf-8")
+    (long.parent / "vacio.md").write_text(" \n")
+    index = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "doc_id string, chunk_id string")
+    out = corpus.dry_run(spark, root, str(tmp_path / "r"), index=index, count=lambda t: len(t.split()))
+    assert out == json.loads((tmp_path / "r/coverage_dry_run.json").read_text())
+    summary, samples = out["summary"], out["examples"]
+    assert summary["current_index"] == {"available": True, "chunks": 3, "documents_with_chunks": 2}
+    assert summary["files_scanned"] == 11 and summary["projected"]["partially_covered_documents"] == 1
+    assert summary["categories"] == {"fenomeno_faltante": 1, "imagen_sin_ocr": 1, "error_extraccion": 1, "oracion_aparentemente_unica_gigante": 1, "mas_de_250_palabras_dentro_de_480_tokens": 1}
+    (giant,) = samples["oracion_aparentemente_unica_gigante"]
+    assert (giant["fuente"], giant["palabras"], giant["tokens"], giant["vista_previa"]) == ("F2_z/largo.txt", 500, 500, ("palabra " * 500)[:420])
+    assert [x["fuente"] for x in samples["fenomeno_faltante"]] == ["otros/x.exe"]
+    (partly,) = spark.read.json(out["lists"]["partially_covered_documents"]).collect()
+    assert (partly.fuente, partly.valid_units, partly.omitted_units, partly.chunks) == ("F2_z/largo.txt", 2, 1, 1)
+    without = spark.read.json(out["lists"]["documents_without_chunks"])
+    assert "F2_z/vacio.md" in {r.fuente for r in without.collect()} and without.count() == summary["projected"]["documents_without_chunks"]
+    assert "| 500 tokens |" in (tmp_path / "r/coverage_dry_run.md").read_text()
+
+
 def test_build_and_search(spark, root, tmp_path):
     index, graph = str(tmp_path / "base" / "index"), str(tmp_path / "base" / "grafo" / "grafo.graphml")
     made = corpus.build(spark, root, index, encoding.EmbeddingModel(), graph)
