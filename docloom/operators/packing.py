@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +24,8 @@ _END = re.compile(T.SENTENCE_END.removeprefix("(?U)"))
 
 LEFT_OUT = "array<struct<place:int,unit:string,tokens:int>>"
 CHUNKS = "array<struct<text:string,tokens:int,words:int,units:int>>"
+_LEFT = pa.list_(pa.struct([("place", pa.int32()), ("unit", pa.string()), ("tokens", pa.int32())]))
+_CHUNKS = pa.list_(pa.struct([("text", pa.string()), ("tokens", pa.int32()), ("words", pa.int32()), ("units", pa.int32())]))
 
 
 def count_words(text: str) -> int:
@@ -58,36 +60,49 @@ def split_oversized(unit: str, count: TokenCounter, max_tokens: int) -> list[str
     return parts if all(count(p) <= max_tokens for p in parts) else []
 
 
-def pack_units(units: list[str], count: TokenCounter = count_words, target_tokens: float = TARGET_TOKENS, max_tokens: float = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error") -> list[tuple[str, int, int, int]]:
-    """(text, tokens, words, units) of each chunk. ``on_oversize``: "error", "skip" (after trying to split; see ``left_out_units``) or "drop" (without)."""
+def pack_units(
+    units: list[str], count: TokenCounter = count_words, target_tokens: float = TARGET_TOKENS, max_tokens: float = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error", left: list | None = None
+) -> list[tuple[str, int, int, int]]:
+    """(text, tokens, words, units) of each chunk.
+
+    ``on_oversize``: "error", "skip" (after trying to split) or "drop" (without). Units
+    that are in no chunk go to ``left`` as (place, unit, tokens). Each is counted once.
+    """
     if on_oversize not in ("error", "skip", "drop"):
         raise ValueError("on_oversize must be error, skip or drop")
     out: list[tuple[str, int, int, int]] = []
     held: list[str] = []
     tokens = words = 0
+    left = [] if left is None else left
 
-    def add(part: str, n: int) -> None:
+    def add(part: str, n: int, w: int) -> None:
         nonlocal held, tokens, words
-        w = count_words(part)
         if held and (tokens + n > target_tokens or (max_words is not None and words + w > max_words)):
             out.append((" ".join(held), tokens, words, len(held)))
             held, tokens, words = [], 0, 0
         held.append(part)
         tokens, words = tokens + n, words + w
 
-    for unit in units:
-        n = count(unit)
+    def sizes(part: str) -> tuple[int, int]:
+        n = count(part)
+        return n, n if count is count_words else count_words(part)
+
+    for place, unit in enumerate(units):
+        n, w = sizes(unit)
         if n > max_tokens:
             parts = split_oversized(unit, count, int(max_tokens)) if on_oversize != "drop" else []
             if not parts and on_oversize == "error":
                 raise ValueError(f"a unit of {n} tokens exceeds {max_tokens}")
+            if not parts:
+                left.append((place, unit, n))
             for part in parts:
-                add(part, count(part))
-        elif max_words is not None and count_words(unit) > max_words:
+                add(part, *sizes(part))
+        elif max_words is not None and w > max_words:
             if on_oversize == "error":
                 raise ValueError(f"a unit exceeds {max_words} words")
+            left.append((place, unit, n))
         else:
-            add(unit, n)
+            add(unit, n, w)
     if held:
         out.append((" ".join(held), tokens, words, len(held)))
     return out
@@ -95,32 +110,34 @@ def pack_units(units: list[str], count: TokenCounter = count_words, target_token
 
 def left_out_units(units: list[str], count: TokenCounter = count_words, max_tokens: float = MAX_TOKENS, max_words: int | None = None) -> list[tuple[int, str, int]]:
     """(place, unit, tokens) of the units that ``pack_units`` has in no chunk with "skip": above a limit, and not to be split."""
-    out = []
-    for place, unit in enumerate(units):
-        n = count(unit)
-        if (not split_oversized(unit, count, int(max_tokens))) if n > max_tokens else (max_words is not None and count_words(unit) > max_words):
-            out.append((place, unit, n))
-    return out
+    left: list[tuple[int, str, int]] = []
+    pack_units(units, count, max_tokens=max_tokens, max_words=max_words, on_oversize="skip", left=left)
+    return left
 
 
-def left_out(units: Column, count: TokenCounter = count_words, max_tokens: int = MAX_TOKENS, max_words: int | None = None) -> Column:
-    """The units of an array that ``pack`` has in no chunk with "skip", as structs (place, unit, tokens)."""
+def pack_all(units: Column, count: TokenCounter = count_words, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "skip") -> Column:
+    """chunks, as structs (text, tokens, words, units), and left, the units in none of them, as structs (place, unit, tokens); both of one pass over an array of units."""
 
-    @F.pandas_udf(LEFT_OUT)
-    def run(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: [dict(zip(("place", "unit", "tokens"), c, strict=True)) for c in left_out_units([] if r is None else list(r), count, max_tokens, max_words)])
+    def run(columns: pa.Array) -> pa.Array:
+        chunks, left = [], []
+        for units_ in columns.to_pylist():
+            left.append([])
+            chunks.append([dict(zip(("text", "tokens", "words", "units"), c, strict=True)) for c in pack_units(units_ or [], count, target_tokens, max_tokens, max_words, on_oversize, left[-1])])
+        rest = [[dict(zip(("place", "unit", "tokens"), x, strict=True)) for x in each] for each in left]
+        return pa.StructArray.from_arrays([pa.array(chunks, _CHUNKS), pa.array(rest, _LEFT)], names=["chunks", "left"])
 
-    return run(units)
+    run.__annotations__ = {"columns": pa.Array, "return": pa.Array}  # read by arrow_udf
+    return F.arrow_udf(run, f"chunks {CHUNKS}, left {LEFT_OUT}")(units)
 
 
-def pack(units: Column, count: TokenCounter = count_words, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error") -> Column:
-    """Chunks of an array of units, as structs (text, tokens, words, units)."""
+def left_out(units: Column, count: TokenCounter = count_words, max_tokens: int = MAX_TOKENS, max_words: int | None = None) -> Column:
+    """The units of an array that ``pack`` has in no chunk with "skip", as structs (place, unit, tokens)."""
+    return pack_all(units, count, max_tokens=max_tokens, max_words=max_words)["left"]
 
-    @F.pandas_udf(CHUNKS)
-    def run(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda r: [dict(zip(("text", "tokens", "words", "units"), c, strict=True)) for c in pack_units([] if r is None else list(r), count, target_tokens, max_tokens, max_words, on_oversize)])
 
-    return run(units)
+def pack(units: Column, count: TokenCounter = count_words, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None, on_oversize: str = "error") -> Column:
+    """Chunks of an array of units, as structs (text, tokens, words, units)."""
+    return pack_all(units, count, target_tokens, max_tokens, max_words, on_oversize)["chunks"]
 
 
 def pack_fold(units: Column, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, max_words: int | None = None) -> Column:

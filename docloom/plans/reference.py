@@ -68,12 +68,7 @@ units AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY bno, k)
 """
 
 
-def packing_sql(target: int, most: int) -> str:
-    """chunks(doc_id, chunk_no, tokens, units): next-fit packing of units of at most ``most`` words."""
-    return f"""
-WITH RECURSIVE {UNITS},
-kept AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY unit_no) AS i, unit, n FROM units WHERE n <= {most}),
-walk AS (
+_WALK = """walk AS (
   SELECT doc_id, i, n AS c, 0 AS chunk_no FROM kept WHERE i = 1
   UNION ALL
   SELECT k.doc_id, k.i, CASE WHEN w.c + k.n > {target} THEN k.n ELSE w.c + k.n END, CASE WHEN w.c + k.n > {target} THEN w.chunk_no + 1 ELSE w.chunk_no END
@@ -83,6 +78,14 @@ chunks AS (SELECT w.doc_id, w.chunk_no, sum(k.n) AS tokens, count(*) AS units, s
 """
 
 
+def packing_sql(target: int, most: int) -> str:
+    """chunks(doc_id, chunk_no, tokens, units): next-fit packing of units of at most ``most`` words."""
+    return f"""
+WITH RECURSIVE {UNITS},
+kept AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY unit_no) AS i, unit, n FROM units WHERE n <= {most}),
+{_WALK.format(target=target)}"""
+
+
 # --- text ---------------------------------------------------------------------------------------
 
 
@@ -203,21 +206,43 @@ def chunk_pack_max_words(spark, d):
 
 
 def _split_rows(spark, d, max_words=None):
-    """Chunks as the original makes them, and a row for each unit that is too long and cannot be split."""
-    docs = read(spark, d, "documents")
-    units = T.sentences(F.col("text"))
-    chunks = docs.select("doc_id", F.posexplode(packing.pack(units, max_words=max_words, on_oversize="skip")).alias("place", "c"))
-    left = docs.select("doc_id", F.explode(packing.left_out(units, max_words=max_words)).alias("u"))
-    shown = chunks.select("doc_id", F.lit("chunk").alias("kind"), "place", "c.units", "c.tokens", F.col("c.text").alias("text"))
-    return shown.unionByName(left.select("doc_id", F.lit("oversize").alias("kind"), "u.place", F.lit(1).alias("units"), "u.tokens", F.col("u.unit").alias("text")))
-
-
-@query()
+    """Chunks as the original makes them, and a row for each unit that is too long and cannot be split; of one pass."""
+    docs = read(spark, d, "documents").select("doc_id", packing.pack_all(T.sentences(F.col("text")), max_words=max_words).alias("p"))
+    row = lambda kind, place, x, units, text: F.struct(F.lit(kind).alias("kind"), place.cast("int").alias("place"), units.alias("units"), x["tokens"].alias("tokens"), text.alias("text"))
+    chunks = F.transform("p.chunks", lambda c, k: row("chunk", k, c, c["units"], c["text"]))
+    return docs.select("doc_id", F.inline(F.concat(chunks, F.transform("p.left", lambda u: row("oversize", u["place"], u, F.lit(1), u["unit"])))))
+
+
+def split_sql(target: int, most: int, max_words: int | None = None) -> str:
+    """chunks as ``packing_sql`` has them, with long list items cut at their sentences and long rows at their fields; what is in none is ``oversize``."""
+    given = f"list_filter(list_transform(string_split(unit, ';'), lambda s: {TRIM.format(x='s')}), lambda s: s <> '')"
+    wider = "a[-1] || '; ' || f[1]"
+    fields = f"list_reduce(list_transform({given}, lambda s: [s]), lambda a, f: CASE WHEN {WORDS.format(x=wider)} <= {most} THEN a[:-2] || [{wider}] ELSE a || f END)"
+    item = f"regexp_extract(unit, {MARKER})"
+    body = SENTENCES.format(x=TRIM.format(x=f"substr(unit, length({item}) + 1)"))
+    short = "" if max_words is None else f" AND n <= {max_words}"
+    return f"""
+WITH RECURSIVE {UNITS},
+cut AS (SELECT *, CASE
+    WHEN n <= {most}{short} THEN [unit]
+    WHEN n <= {most} THEN []
+    WHEN regexp_matches(unit, {MARKER}) THEN CASE WHEN len({body}) < 2 THEN [] ELSE [{item} || ({body})[1]] || ({body})[2:] END
+    WHEN len({given}) > 1 THEN {fields}
+    ELSE [] END AS ps FROM units),
+whole AS (SELECT * EXCLUDE ps, CASE WHEN len(list_filter(ps, lambda p: {WORDS.format(x="p")} > {most})) > 0 THEN [] ELSE ps END AS ps FROM cut),
+part AS (SELECT doc_id, unit_no, unnest(ps) AS unit, generate_subscripts(ps, 1) AS k FROM whole),
+kept AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY unit_no, k) AS i, unit, {WORDS.format(x="unit")} AS n FROM part),
+{_WALK.format(target=target if max_words is None else min(target, max_words))}
+SELECT doc_id, 'chunk' AS kind, chunk_no::INT AS place, units::INT AS units, tokens::INT AS tokens, text FROM chunks
+UNION ALL SELECT doc_id, 'oversize', unit_no::INT, 1, n::INT, unit FROM whole WHERE len(ps) = 0"""
+
+
+@query(split_sql(360, 480))
 def chunk_pack_split(spark, d):
     return _split_rows(spark, d)
 
 
-@query()
+@query(split_sql(360, 480, 120))
 def chunk_pack_split_max_words(spark, d):
     return _split_rows(spark, d, 120)
 
