@@ -14,6 +14,13 @@ from docloom.sources import tables
 QUERY_SCHEMA = "query_id string, query string, text string, consulta string"
 
 
+def encoder(c: argparse.ArgumentParser, batch_size: int) -> None:
+    c.add_argument("--model", help="the built-in model, or module:attribute")
+    c.add_argument("--device", choices=("auto", "cuda", "cpu"), default="auto")
+    c.add_argument("--batch-size", type=int, default=batch_size)
+    c.add_argument("--no-fp16", action="store_true")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="docloom")
     commands = p.add_subparsers(dest="command", required=True)
@@ -26,11 +33,15 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--report-dir", default="reports")
     c.add_argument("--target-tokens", type=int, default=360)
     c.add_argument("--max-tokens", type=int, default=480)
+    c.add_argument("--index-dir", help="an index to compare with")
+    c.add_argument("--tokenizer", help="module:attribute of a function that counts a text's tokens; words otherwise")
     c = commands.add_parser("build", help="corpus to index")
     c.add_argument("--corpus-root", required=True)
     c.add_argument("--index-dir", required=True)
     c.add_argument("--graph")
     c.add_argument("--min-mentions", type=int, default=1)
+    c.add_argument("--cache", help="folder of the embedding cache")
+    encoder(c, 32)
     c = commands.add_parser("graph", help="graph of an index")
     c.add_argument("--index-dir", required=True)
     c.add_argument("--output", required=True)
@@ -40,7 +51,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--index-dir", required=True)
     c.add_argument("--output", default="resultados.jsonl")
     c.add_argument("--aggregation", choices=search.AGGREGATIONS, default="max")
-    c.add_argument("--device", choices=("auto", "cuda", "cpu"), default="auto")
+    encoder(c, 16)
     c.add_argument("--candidates", type=int, default=1000)
     group = c.add_mutually_exclusive_group()
     group.add_argument("--graph")
@@ -52,21 +63,24 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None, model: encoding.EmbeddingModel | None = None) -> int:
     a = parser().parse_args(arguments)
     spark = spark or SparkSession.builder.appName("docloom").getOrCreate()
-    model = model or encoding.EmbeddingModel()
+    if a.command in ("build", "search"):
+        encoding.select_device(a.device, encoding.gpus_of(spark) > 0)
+        model = model or encoding.named_model(a.model, a.device, not a.no_fp16)
     if a.command == "audit":
         corpus.audit(spark, a.corpus_root, a.report_dir, a.manifest)
     elif a.command == "dry-run":
-        corpus.dry_run(spark, a.corpus_root, a.report_dir, a.target_tokens, a.max_tokens)
+        index = spark.read.parquet(f"{a.index_dir}/chunks") if a.index_dir else None
+        count = encoding.named(a.tokenizer) if a.tokenizer else None
+        corpus.dry_run(spark, a.corpus_root, a.report_dir, a.target_tokens, a.max_tokens, index, count=count)
     elif a.command == "build":
-        corpus.build(spark, a.corpus_root, a.index_dir, model, a.graph, a.min_mentions)
+        corpus.build(spark, a.corpus_root, a.index_dir, model, a.graph, a.min_mentions, batch_size=a.batch_size, cache=encoding.embedding_cache(a.cache) if a.cache else None)
     elif a.command == "graph":
         tables.write_graphml(*graph.build_graph(spark.read.parquet(f"{a.index_dir}/chunks"), a.min_mentions), a.output)
     else:
-        encoding.select_device(a.device, False)
         beside = Path(a.index_dir).parent / "grafo" / "grafo.graphml"
         path = a.graph or (str(beside) if beside.exists() and not a.no_graph else None)
         queries = tables.read_jsonl(spark, a.queries, QUERY_SCHEMA)
-        found = corpus.retrieve(spark, queries, a.index_dir, model, path, a.aggregation, a.candidates, a.graph_weight)
+        found = corpus.retrieve(spark, queries, a.index_dir, model, path, a.aggregation, a.candidates, a.graph_weight, batch_size=a.batch_size)
         tables.write_jsonl(found.orderBy("query_id"), a.output)
         held = spark.read.schema(found.schema).json(a.output)
         faults = corpus.checked_results(held, encoding.open_index(spark, a.index_dir, model), queries.count() == 50).orderBy("line", "error").collect()

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext, cloudpickle
+from pyspark.resource import ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +39,47 @@ def hashed_ngrams(dimension: int = 256, n: int = 3) -> Callable[[list[str]], np.
     return encode
 
 
+Encode = Callable[[list[str]], np.ndarray]
+
+
+def hashing_loader(device: str, half: bool) -> Encode:
+    """The built-in encoder: it runs on any device and has no weights."""
+    return hashed_ngrams()
+
+
 @dataclass(frozen=True)
 class EmbeddingModel:
+    """A model by name, and how a worker loads it: ``load(device, half)`` gives the function that encodes texts.
+
+    ``device`` is what is asked for: auto, cpu or cuda. Half precision is used on a GPU only.
+    """
+
     name: str = "hashed-3grams-256"
     dimension: int = 256
-    encode: Callable[[list[str]], np.ndarray] = field(default_factory=hashed_ngrams)
+    load: Callable[[str, bool], Encode] = hashing_loader
+    device: str = "auto"
+    fp16: bool = True
+
+    @property
+    def loading(self) -> tuple[Callable[[str, bool], Encode], str, bool]:
+        return self.load, self.device, self.fp16
+
+
+def named(name: str):
+    """What ``module:attribute`` names."""
+    module, _, attribute = name.partition(":")
+    if not attribute:
+        raise ValueError(f"{name} is not module:attribute")
+    return getattr(importlib.import_module(module), attribute)
+
+
+def named_model(name: str | None, device: str = "auto", fp16: bool = True) -> EmbeddingModel:
+    """The built-in model, or the one that ``module:attribute`` names (a model, or a function that makes one), for a device."""
+    model = EmbeddingModel()
+    if name and name != model.name:
+        found = named(name)
+        model = found if isinstance(found, EmbeddingModel) else found()
+    return replace(model, device=device, fp16=fp16)
 
 
 def select_device(requested: str | None, cuda_available: bool) -> str:
@@ -50,6 +90,32 @@ def select_device(requested: str | None, cuda_available: bool) -> str:
     return requested if requested in ("cpu", "cuda") else "cuda" if cuda_available else "cpu"
 
 
+def gpus_of(spark: SparkSession) -> int:
+    """GPUs that the session's executors are said to have."""
+    return int(spark.conf.get("spark.executor.resource.gpu.amount", "0"))
+
+
+def gpu_profile(spark: SparkSession, requested: str) -> ResourceProfile | None:
+    """For encoding on GPUs a profile whose tasks take one each; other stages keep their own."""
+    if select_device(requested, gpus_of(spark) > 0) == "cpu" or spark.sparkContext.master.startswith("local["):
+        return None
+    return ResourceProfileBuilder().require(TaskResourceRequests().cpus(1).resource("gpu", 1)).build
+
+
+def task_device(requested: str, resources: dict) -> tuple[str, bool]:
+    """The device of a task that was given these resources, and whether it is a GPU."""
+    held = resources.get("gpu")
+    address = held.addresses[0] if held is not None and held.addresses else None
+    cuda = select_device(requested, address is not None) == "cuda"
+    return (f"cuda:{address}" if cuda else "cpu"), cuda
+
+
+@lru_cache(maxsize=1)
+def _loaded(pickled: bytes, device: str, half: bool) -> Encode:
+    """One model for all tasks of a worker process."""
+    return cloudpickle.loads(pickled)(device, half)
+
+
 def prepared(text: Column, kind: str) -> Column:
     if kind not in PREFIXES:
         raise ValueError("kind must be query or passage")
@@ -61,11 +127,16 @@ def content_hash(text: Column, kind: str) -> Column:
 
 
 def _encode(model: EmbeddingModel, batch_size: int):
+    load, requested, fp16 = model.loading
+    pickled = cloudpickle.dumps(load)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        device, cuda = task_device(requested, TaskContext.get().resources())
+        encode = _loaded(pickled, device, fp16 and cuda)
         for batch in batches:
             for k in range(0, batch.num_rows, batch_size):
                 part = batch.slice(k, batch_size)
-                vectors = _halving(model, part.column("_text").to_pylist())
+                vectors = _halving(encode, part.column("_text").to_pylist())
                 norm = np.linalg.norm(vectors, axis=1, keepdims=True)
                 if (norm == 0).any():
                     raise ValueError("the model made a vector of length 0")
@@ -75,15 +146,16 @@ def _encode(model: EmbeddingModel, batch_size: int):
     return run
 
 
-def _halving(model: EmbeddingModel, texts: list[str]) -> np.ndarray:
-    """Encode; on lack of memory in halves, down to one text."""
+def _halving(encode: Encode, texts: list[str]) -> np.ndarray:
+    """Encode; on lack of memory, the device's too, in halves, down to one text."""
     try:
-        return np.asarray(model.encode(texts), dtype=np.float32)
-    except MemoryError:
-        if len(texts) == 1:
+        return np.asarray(encode(texts), dtype=np.float32)
+    except Exception as error:
+        lack = isinstance(error, MemoryError) or type(error).__name__ == "OutOfMemoryError"
+        if len(texts) == 1 or not lack:
             raise
         half = len(texts) // 2
-        return np.concatenate([_halving(model, texts[:half]), _halving(model, texts[half:])])
+        return np.concatenate([_halving(encode, texts[:half]), _halving(encode, texts[half:])])
 
 
 def cache_misses(texts: DataFrame, cache: DataFrame | None, model_name: str, kind: str, text: str = "texto") -> DataFrame:
@@ -104,8 +176,10 @@ def embedding_cache(path: str, buckets: int = BUCKETS) -> Cache:
 
 def encode_misses(texts: DataFrame, model: EmbeddingModel, kind: str = "passage", text: str = "texto", batch_size: int = 32, cache: DataFrame | None = None) -> DataFrame:
     """Cache rows of the different texts that the cache lacks."""
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
     missed = cache_misses(texts, cache, model.name, kind, text)
-    return cache_rows(missed.mapInArrow(_encode(model, batch_size), "content_hash string, vector array<float>"), model.name, kind)
+    return cache_rows(missed.mapInArrow(_encode(model, batch_size), "content_hash string, vector array<float>", profile=gpu_profile(texts.sparkSession, model.device)), model.name, kind)
 
 
 def embed_through(texts: DataFrame, model: EmbeddingModel, cache: Cache, kind: str = "passage", text: str = "texto", batch_size: int = 32) -> DataFrame:
@@ -125,8 +199,10 @@ def embed(texts: DataFrame, model: EmbeddingModel, kind: str = "passage", text:
     return keyed.join(known, "_hash").drop("_hash")
 
 
-def config(model: EmbeddingModel, device: str = "auto") -> dict:
-    return {"model": model.name, "requested_device": device, "build_device": select_device(device, False), "dtype": "float32", "dimension": model.dimension, "normalized": True, "similarity": "inner_product", "index_type": "flat", "prefixes": PREFIXES}
+def config(model: EmbeddingModel, cuda_available: bool = False) -> dict:
+    device = select_device(model.device, cuda_available)
+    dtype = "float16" if model.fp16 and device == "cuda" else "float32"
+    return {"model": model.name, "requested_device": model.device, "build_device": device, "dtype": dtype, "dimension": model.dimension, "normalized": True, "similarity": "inner_product", "index_type": "flat", "prefixes": PREFIXES}
 
 
 def build_index(chunks: DataFrame, path: str, model: EmbeddingModel, batch_size: int = 32, cache: Cache | None = None) -> dict:
@@ -135,7 +211,7 @@ def build_index(chunks: DataFrame, path: str, model: EmbeddingModel, batch_size:
     spark = chunks.sparkSession
     embedded = embed(chunks, model, batch_size=batch_size) if cache is None else embed_through(chunks, model, cache, batch_size=batch_size)
     embedded.write.mode("overwrite").parquet(f"{path}/chunks")
-    written = config(model) | {"chunks": spark.read.parquet(f"{path}/chunks").count(), "batch_size_requested": batch_size, "build_seconds": round(time.time() - began, 2)}
+    written = config(model, gpus_of(spark) > 0) | {"chunks": spark.read.parquet(f"{path}/chunks").count(), "batch_size_requested": batch_size, "build_seconds": round(time.time() - began, 2)}
     spark.createDataFrame([(json.dumps(written),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/config")
     return written
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docloom.functions import entities as E
 from docloom.functions import text as T
 from docloom.operators import coverage, dedupe, encoding, graph, inventory, packing, quality, search
+from docloom.operators.cache import Cache
 from docloom.sources import files, tables
 
 
@@ -100,11 +101,11 @@ def chunk_records(blocks: DataFrame, target_tokens: int = packing.TARGET_TOKENS,
     )
 
 
-def build(spark: SparkSession, root: str, index_path: str, model: encoding.EmbeddingModel, graph_path: str | None = None, min_mentions: int = 1, extractors: dict = files.EXTRACTORS) -> dict:
+def build(spark: SparkSession, root: str, index_path: str, model: encoding.EmbeddingModel, graph_path: str | None = None, min_mentions: int = 1, extractors: dict = files.EXTRACTORS, batch_size: int = 32, cache: Cache | None = None) -> dict:
     """Corpus to index, and to a graph where a path for it is given; units too long for a chunk are written to ``oversize`` beside the chunks."""
     blocks = files.read_blocks(spark, root, extractors).where("text IS NOT NULL")
     chunks = chunk_records(blocks).where("fenomeno IS NOT NULL")
-    out = encoding.build_index(chunks, index_path, model)
+    out = encoding.build_index(chunks, index_path, model, batch_size, cache)
     oversize_records(blocks).where("fenomeno IS NOT NULL").write.mode("overwrite").parquet(f"{index_path}/oversize")
     out["oversize_units"] = spark.read.parquet(f"{index_path}/oversize").count()
     if graph_path:
@@ -113,11 +114,11 @@ def build(spark: SparkSession, root: str, index_path: str, model: encoding.Embed
     return out
 
 
-def retrieve(spark: SparkSession, queries: DataFrame, index_path: str, model: encoding.EmbeddingModel, graph_path: str | None = None, aggregation: str = "max", candidates: int = 1000, weight: float = search.GRAPH_WEIGHT, lexicon: E.Lexicon = E.DEFAULT, strict: bool = True) -> DataFrame:
+def retrieve(spark: SparkSession, queries: DataFrame, index_path: str, model: encoding.EmbeddingModel, graph_path: str | None = None, aggregation: str = "max", candidates: int = 1000, weight: float = search.GRAPH_WEIGHT, lexicon: E.Lexicon = E.DEFAULT, strict: bool = True, batch_size: int = 16) -> DataFrame:
     """Results of queries (query_id and query, text or consulta) against an index, with the graph where one is given."""
     index = encoding.open_index(spark, index_path, model)
     asked = search.query_text(queries)
-    embedded = encoding.embed(asked, model, "query", text="query")
+    embedded = encoding.embed(asked, model, "query", text="query", batch_size=batch_size)
     scores = None
     if graph_path:
         tagged = E.with_entities(asked, "query", lexicon)

@@ -190,14 +190,17 @@ def test_command_line(spark, root, tmp_path):
         p = tmp_path / "corpus" / "F1_a" / f"extra{k}.txt"
         p.write_text(f"Texto número {k} sobre Drones y Bogotá.", encoding="utf-8")
     index, out = str(tmp_path / "b" / "index"), str(tmp_path / "out")
-    cli.main(["build", "--corpus-root", root, "--index-dir", index], spark)
+    cli.main(["build", "--corpus-root", root, "--index-dir", index, "--model", "docloom.operators.encoding:EmbeddingModel", "--batch-size", "5", "--no-fp16", "--cache", str(tmp_path / "b" / "cache")], spark)
+    with pytest.raises(RuntimeError, match="cuda"):
+        cli.main(["build", "--corpus-root", root, "--index-dir", index, "--device", "cuda"], spark)
     cli.main(["graph", "--index-dir", index, "--output", str(tmp_path / "b" / "grafo" / "grafo.graphml")], spark)
     (tmp_path / "q.jsonl").write_text('{"query_id": "q001", "consulta": "Drones"}\n\n{"query_id": "q002", "query": "Rusia y Colombia"}\n')
     cli.main(["search", "--queries", str(tmp_path / "q.jsonl"), "--index-dir", index, "--output", out], spark)
     rows = spark.read.json(out).collect()
     assert [len(r.fragments) for r in rows] == [10, 10] and [d.rank for d in rows[0].documents] == [1, 2, 3]
     cli.main(["audit", "--corpus-root", root, "--report-dir", str(tmp_path / "r"), "--manifest", str(tmp_path / "m")], spark)
-    cli.main(["dry-run", "--corpus-root", root, "--report-dir", str(tmp_path / "r")], spark)
+    cli.main(["dry-run", "--corpus-root", root, "--report-dir", str(tmp_path / "r"), "--index-dir", index, "--tokenizer", "docloom.operators.packing:count_words"], spark)
+    assert json.loads((tmp_path / "r/coverage_dry_run.json").read_text())["summary"]["current_index"]["available"]
 
 
 def test_stream_extracts_each_file_once(spark, root, tmp_path):
@@ -251,7 +254,7 @@ def test_put_replaces_and_replays(spark, tmp_path):
 def test_embedding_through_a_cache(spark, tmp_path):
     held, calls = encoding.embedding_cache(str(tmp_path / "held"), 2), spark.sparkContext.accumulator(0)
     plain = encoding.hashed_ngrams()
-    model = encoding.EmbeddingModel(encode=lambda texts: calls.add(len(texts)) or plain(texts))
+    model = encoding.EmbeddingModel(load=lambda device, half: lambda texts: calls.add(len(texts)) or plain(texts))
     texts = spark.createDataFrame([(k, f"text {k % 6}") for k in range(20)], "id int, texto string")
     first = {r.id: r.embedding for r in encoding.embed_through(texts, model, held).collect()}
     assert calls.value == 6

@@ -3,10 +3,13 @@
 import json
 import random
 import re
+import types
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.resource import ResourceInformation
 from pyspark.sql import functions as F
 
 from docloom.functions import entities as E
@@ -279,6 +282,43 @@ def test_embedding_cache(spark):
         encoding.select_device("cuda", False)
 
 
+def test_device_of_a_task():
+    gpu = {"gpu": ResourceInformation("gpu", ["3"])}
+    assert encoding.task_device("auto", gpu) == ("cuda:3", True) == encoding.task_device("cuda", gpu)
+    assert encoding.task_device("cpu", gpu) == ("cpu", False) == encoding.task_device("auto", {})
+    with pytest.raises(RuntimeError):
+        encoding.task_device("cuda", {"gpu": ResourceInformation("gpu", [])})
+
+
+def test_a_model_is_loaded_once_a_worker_for_its_device(spark, monkeypatch):
+    loads = spark.sparkContext.accumulator(0)
+    resources = {"gpu": ResourceInformation("gpu", ["1"])}
+
+    def load(device, half):
+        loads.add(1)
+        return lambda texts: np.tile([{"cpu": 1.0, "cuda:1": 2.0}[device], float(half)], (len(texts), 1))
+
+    def found(model):
+        held = spark.createDataFrame([(k, f"t{k}") for k in range(40)], "id int, texto string").repartition(1)
+        return {tuple(round(x, 3) for x in r.embedding) for r in encoding.embed(held, model, batch_size=3).collect()}
+
+    model = encoding.EmbeddingModel("m", 2, load, "auto")
+    assert found(model) == {(1.0, 0.0)} and loads.value <= 4
+    encode = encoding._encode(model, 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(["h"] * 7), pa.array(["t"] * 7)], names=["content_hash", "_text"])
+    monkeypatch.setattr(encoding, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(resources=lambda: resources)))
+    monkeypatch.setattr(encoding, "_loaded", lambda pickled, device, half: (lambda texts: np.array([[2.0 if device == "cuda:1" else 1.0, float(half)]] * len(texts))))
+    assert {tuple(round(x, 3) for x in v) for b in encode(iter([batch])) for v in b.column("vector").to_pylist()} == {(0.894, 0.447)}
+    half_off = encoding._encode(encoding.EmbeddingModel("m", 2, load, "cuda", False), 3)
+    assert {tuple(v) for b in half_off(iter([batch])) for v in b.column("vector").to_pylist()} == {(1.0, 0.0)}
+    assert encoding.config(model, True)["dtype"] == "float16" and encoding.config(model)["build_device"] == "cpu"
+    assert encoding.gpu_profile(spark, "auto") is None
+    with pytest.raises(RuntimeError):
+        encoding.gpu_profile(spark, "cuda")
+    with pytest.raises(ValueError):
+        encoding.named_model("unknown")
+
+
 def test_memory_is_halved():
     calls = []
 
@@ -288,7 +328,7 @@ def test_memory_is_halved():
             raise MemoryError
         return np.ones((len(texts), 2))
 
-    assert encoding._halving(encoding.EmbeddingModel(encode=encode), list("abcde")).shape == (5, 2)
+    assert encoding._halving(encode, list("abcde")).shape == (5, 2)
     assert calls == [5, 2, 3, 1, 2]
 
 
