@@ -365,6 +365,36 @@ def validate_metadata(spark, d):
     return quality.validate_metadata(lines)
 
 
+_WORDS = "len(regexp_extract_all(text, '\\S+'))"
+
+
+@query(
+    f"""WITH r AS (SELECT doc_id AS line, doc_id % 43 = 0 AS broken, CASE WHEN doc_id % 31 = 0 THEN '' WHEN doc_id % 33 <> 1 THEN 'c' || doc_id // 2 END AS chunk_id, CASE WHEN doc_id % 37 = 0 THEN '' WHEN doc_id % 41 <> 0 THEN 'txt' END AS formato,
+  {_WORDS} AS n, {_WORDS} + (doc_id % 7 = 0)::INT AS num_tokens FROM documents WHERE text IS NOT NULL AND trim(text) <> ''),
+k AS (SELECT *, row_number() OVER (PARTITION BY broken, chunk_id ORDER BY line) AS k FROM r)
+SELECT line, unnest(CASE WHEN broken THEN ['json'] ELSE list_filter([
+  'missing:' || nullif(concat_ws(',', CASE WHEN chunk_id IS NULL THEN 'chunk_id' END, CASE WHEN formato IS NULL THEN 'formato' END), ''), CASE WHEN coalesce(chunk_id, '') = '' THEN 'chunk_id' END, CASE WHEN coalesce(formato, '') = '' THEN 'formato' END,
+  CASE WHEN num_tokens NOT BETWEEN 1 AND 480 THEN 'num_tokens' END, CASE WHEN n <> num_tokens THEN 'num_tokens_differ' END, CASE WHEN k > 1 THEN 'chunk_id_duplicate' END], lambda x: x IS NOT NULL) END) AS error FROM k"""
+)
+def validate_metadata_recount(spark, d):
+    """Raw lines, some broken, some without or with an empty chunk_id or formato, whose tokens are counted again."""
+    key = F.col("doc_id")
+    n = T.word_count(F.col("text"))
+    record = F.struct(
+        F.concat(F.lit("D"), key).alias("doc_id"),
+        F.when(key % 31 == 0, F.lit("")).when(key % 33 != 1, F.concat(F.lit("c"), F.floor(key / 2))).alias("chunk_id"),
+        F.col("source").alias("fuente"),
+        F.when(key % 37 == 0, F.lit("")).when(key % 41 != 0, F.lit("txt")).alias("formato"),
+        F.lit(1).alias("fenomeno"),
+        F.lit(0).alias("posicion"),
+        (n + F.when(key % 7 == 0, 1).otherwise(0)).alias("num_tokens"),
+        F.col("text").alias("texto"),
+    )
+    docs = read(spark, d, "documents").where("text IS NOT NULL AND trim(text) <> ''")
+    lines = docs.select(key.alias("line"), F.when(key % 43 == 0, F.lit("{broken")).otherwise(F.to_json(record)).alias("value"))
+    return quality.validate_metadata(lines, count=packing.count_words)
+
+
 @query(
     """WITH r AS (SELECT c_custkey AS line, c_custkey % 7 AS a, c_custkey % 5 AS b, c_custkey % 3 AS c FROM customer)
 SELECT line, unnest(list_filter([CASE WHEN a = 0 OR b = 0 THEN 'sizes' END, CASE WHEN a = 0 THEN 'document_ranks' END, CASE WHEN b = 0 THEN 'fragment_ranks' END, CASE WHEN a = 1 THEN 'documents_repeat' END, CASE WHEN b = 1 THEN 'fragment_too_long' END, CASE WHEN c = 0 THEN 'fragment_incomplete' END], lambda x: x IS NOT NULL)) AS error FROM r"""
