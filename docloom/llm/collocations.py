@@ -6,7 +6,8 @@ is as frequent as its words and parts at most. So candidates come level by level
 every scan looks only at phrases whose parts can be frequent:
 
 1. words are counted (and all words of each language);
-2. pairs of frequent words are summed, which bounds their counts from above;
+2. pairs of frequent words are summed by 48 bits of a hash, some bytes each, which bounds
+   their counts from above; then those whose sums reach the limit, by their words;
 3. threes and fours all of whose pairs can be frequent are summed likewise;
 4. a minimal perfect hash over what is left gives each candidate a slot. Mappers look up
    what they read, verify it against the keys stored in the slots and bincount the slots;
@@ -36,6 +37,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,6 +54,7 @@ TOGETHER, ROWS = 1_000_000, 500
 HELD = 300_000
 KEYS_AT_ONCE, SLICE = 1 << 20, 1 << 15
 MOST_BITS, PART_BITS, BITS_A_KEY = 1 << 30, 19, 16
+BUCKET_BITS, SLICE_KEYS = 48, 1 << 20
 SALTS = 64
 _GOLDEN = U(0x9E3779B97F4A7C15)
 
@@ -107,11 +110,12 @@ class Block:
         words = passing(filters[0], mix(self.word) ^ self.check)
         yield 1, np.flatnonzero(words)
         pairs = self.tied & words[:-1] & words[1:]
-        yield 2, np.flatnonzero(pairs)
+        at = np.flatnonzero(pairs)
         if len(filters) < 2:
+            yield 2, at
             return
-        at = np.flatnonzero(pairs)
-        pairs[at] = passing(filters[1], folded([self.word[at], self.word[at + 1]]))
+        pairs[at] = passing(filters[1], mix(bucket(self.key(2, at))))
+        yield 2, np.flatnonzero(pairs)
         threes = pairs[:-1] & pairs[1:]
         yield 3, np.flatnonzero(threes)
         yield 4, np.flatnonzero(threes[:-1] & pairs[2:])
@@ -140,6 +144,11 @@ def folded(words: Sequence[np.ndarray], seed: int = 0) -> np.ndarray:
     return x
 
 
+def bucket(words: Sequence[np.ndarray]) -> np.ndarray:
+    """A number of ``BUCKET_BITS`` bits for a phrase."""
+    return folded(words) >> U(64 - BUCKET_BITS)
+
+
 def _counted(words: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different phrase, and how often it is there; ``n`` has how often each place counts."""
     x = folded(words)
@@ -186,6 +195,8 @@ class Held:
         self.reduce()
         ((key, n, lang),) = self.parts
         self.parts, self.size = [], 0
+        order = np.lexsort(key[::-1])  # neighbours share words, which shuffles in fewer bytes
+        key, n, lang = [w[order] for w in key], n[order], lang[order]
         key = [w.view(np.int64) for w in key] + [np.zeros(len(n), dtype=np.int64)] * (LONGEST - self.k)
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang)), pa.array(np.full(len(n), self.k, dtype=np.int32)), *map(pa.array, key), pa.array(n)], names=["lang", "k", *KEY, "n"])
 
@@ -232,6 +243,93 @@ def _phrases(lengths: Sequence[int], filters, seed: int):
     return run
 
 
+# --- sums by bucket
+
+
+def _summed_sorted(x: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(x)
+    x, n = x[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+    return x[first], np.add.reduceat(n, first)
+
+
+def packed_sums(x: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending numbers and their counts, compressed: the bytes of all steps by significance, then those of the counts."""
+    steps = np.diff(x, prepend=U(0))
+    planes = np.concatenate([v.view(np.uint8).reshape(-1, 8).T.ravel() for v in (steps, n.astype(U))])
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked_sums(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8).reshape(2, 8, -1)
+    steps, n = (np.ascontiguousarray(p.T).view(U).ravel() for p in planes)
+    return np.cumsum(steps, dtype=U), n.astype(np.int64)
+
+
+def _bucketed(filters, seed: int, slices: int):
+    """(slice, packed): a task's pairs by bucket, with their counts, in slices of the buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmaps, parts, size = [f.value for f in filters], [], 0
+
+        def reduced() -> tuple[np.ndarray, np.ndarray]:
+            return _summed_sorted(*(np.concatenate([p[j] for p in parts]) for j in (0, 1)))
+
+        def batch() -> pa.RecordBatch:
+            ((x, n),) = parts
+            cuts = np.searchsorted(x, np.arange(slices + 1, dtype=U) << U(BUCKET_BITS - slices.bit_length() + 1))
+            some = np.flatnonzero(np.diff(cuts))
+            packed = [packed_sums(x[cuts[s] : cuts[s + 1]], n[cuts[s] : cuts[s + 1]]) for s in some.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], names=["slice", "packed"])
+
+        for block in _read(batches, seed):
+            at = dict(block.places(bitmaps))[2]
+            if len(at):
+                parts.append(_summed_sorted(bucket(block.key(2, at)), np.ones(len(at), dtype=np.int64)))
+                size += len(parts[-1][0])
+            if size > HELD:
+                parts = [reduced()]
+                size = len(parts[0][0])
+                if size > HELD // 2:
+                    yield batch()
+                    parts, size = [], 0
+        if parts:
+            parts = [reduced()]
+            yield batch()
+
+    return run
+
+
+def _heavy(least: int):
+    """The buckets that reach ``least``, mixed; rows of a slice follow each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, size = None, [], 0
+
+        def reduced() -> tuple[np.ndarray, np.ndarray]:
+            return _summed_sorted(*(np.concatenate([p[j] for p in parts]) for j in (0, 1)))
+
+        def found() -> pa.RecordBatch:
+            x, n = reduced()
+            return pa.RecordBatch.from_arrays([pa.array(mix(x[n >= least]).view(np.int64))], names=["x"])
+
+        for batch in batches:
+            for s, packed in zip(batch.column("slice").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                if s != current and parts:
+                    yield found()
+                    parts, size = [], 0
+                current = s
+                parts.append(unpacked_sums(packed))
+                size += len(parts[-1][0])
+                if size > 2 * SLICE_KEYS:
+                    parts = [reduced()]
+                    size = len(parts[0][0])
+        if parts:
+            yield found()
+
+    return run
+
+
 # --- filters
 
 
@@ -278,13 +376,10 @@ def _filter(keys: DataFrame, n: int):
     return keys.sparkSession.sparkContext.broadcast(out)
 
 
-def _folding(seed: int = 0):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = (batch.column(w).to_numpy(zero_copy_only=False).view(U) for w in ("w1", "w2"))
-            yield pa.RecordBatch.from_arrays([pa.array(folded([a, b], seed).view(np.int64))], names=["x"])
-
-    return run
+def _pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pair = [batch.column(w).to_numpy(zero_copy_only=False).view(U) for w in ("w1", "w2")]
+        yield pa.RecordBatch.from_arrays([pa.array(mix(bucket(pair)).view(np.int64))], names=["x"])
 
 
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,6 +560,15 @@ def _summed(rows: DataFrame, lengths: Sequence[int], filters, seed: int, least:
     return checkpoint(found.where(F.col("n") >= least).drop("n"))
 
 
+def _heavy_buckets(rows: DataFrame, filters, seed: int, totals: DataFrame, least: int) -> DataFrame:
+    """x of the buckets of pairs that reach ``least``; a slice has about ``SLICE_KEYS`` pairs at most."""
+    n, slices = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 16
+    while slices * SLICE_KEYS < n:
+        slices *= 2
+    dealt = rows.mapInArrow(_bucketed(filters, seed, slices), "slice int, packed binary").repartition("slice")
+    return checkpoint(dealt.sortWithinPartitions("slice").mapInArrow(_heavy(least), "x long"))
+
+
 def _with_counts(rows: DataFrame, candidates: DataFrame, filters, seed: int) -> DataFrame:
     """The candidates of two words and more with the counts of ``COUNTS``."""
     context = rows.sparkSession.sparkContext
@@ -505,8 +609,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_per
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     words, totals, n_words, seed = _frequent_words(rows, least)
     filters = [_filter(words.mapInArrow(_word_keys, "x long"), n_words)]
-    pairs = _summed(rows, (2,), filters, seed, least)
-    filters.append(_filter(pairs.mapInArrow(_folding(), "x long"), pairs.count()))
+    heavy = _heavy_buckets(rows, filters, seed, totals, least)
+    pairs = _summed(rows, (2,), [*filters, _filter(heavy, heavy.count())], seed, least)
+    filters.append(_filter(pairs.mapInArrow(_pair_keys, "x long"), pairs.count()))
     longer = _summed(rows, (3, 4), filters, seed, least)
     single = words.select("lang", F.lit(1).alias("k"), "w1", *(F.lit(0).cast("long").alias(w) for w in KEY[1:]))
     counted = _with_counts(rows, single.unionByName(pairs).unionByName(longer), filters, seed).where(F.col("a") >= least)

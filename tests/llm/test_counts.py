@@ -107,6 +107,15 @@ def test_perfect_hash_is_minimal_and_verified():
     assert (slots.find([x, x]) >= 0).sum() == (x == x[::-1]).sum()
 
 
+def test_packed_sums_round_trip():
+    r = np.random.default_rng(2)
+    x = np.unique(r.integers(0, 2**48, 5000).astype(np.uint64))
+    n = r.integers(1, 2**40, len(x))
+    packed = collocations.packed_sums(x, n)
+    back = collocations.unpacked_sums(packed)
+    assert (back[0] == x).all() and (back[1] == n).all()
+
+
 def test_words_that_share_a_number_are_told_apart():
     a = np.array([5, 5, 7], dtype=np.uint64)
     at, n = collocations._counted([a, np.array([1, 2, 1], dtype=np.uint64)])
