@@ -8,7 +8,7 @@ every scan looks only at phrases whose parts can be frequent:
 1. words are counted (and all words of each language);
 2. pairs of frequent words are summed by 48 bits of a hash, some bytes each, which bounds
    their counts from above; then those whose sums reach the limit, by their words;
-3. threes and fours all of whose pairs can be frequent are summed likewise;
+3. threes and fours all of whose pairs can be frequent are summed likewise, both ways;
 4. a minimal perfect hash over what is left gives each candidate a slot. Mappers look up
    what they read, verify it against the keys stored in the slots and bincount the slots;
    their arrays are summed as a tree. The counts of a candidate and of the parts of each
@@ -106,7 +106,7 @@ class Block:
         return pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
 
     def places(self, filters: Sequence[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-        """For each phrase length, from 1, the places of phrases all of whose words, and pairs, pass the filters of lengths 1 and 2."""
+        """For each phrase length, from 1, the places of phrases all of whose words, and pairs, pass the filters of lengths 1 and 2; of longer ones those that pass a third."""
         words = passing(filters[0], mix(self.word) ^ self.check)
         yield 1, np.flatnonzero(words)
         pairs = self.tied & words[:-1] & words[1:]
@@ -117,8 +117,9 @@ class Block:
         pairs[at] = passing(filters[1], mix(bucket(self.key(2, at))))
         yield 2, np.flatnonzero(pairs)
         threes = pairs[:-1] & pairs[1:]
-        yield 3, np.flatnonzero(threes)
-        yield 4, np.flatnonzero(threes[:-1] & pairs[2:])
+        for k, of in ((3, threes), (4, threes[:-1] & pairs[2:])):
+            at = np.flatnonzero(of)
+            yield k, at if len(filters) < 3 else at[passing(filters[2], mix(bucket(self.key(k, at))))]
 
     def key(self, k: int, at: np.ndarray) -> list[np.ndarray]:
         return [self.word[at + j] for j in range(k)]
@@ -266,8 +267,8 @@ def unpacked_sums(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=U), n.astype(np.int64)
 
 
-def _bucketed(filters, seed: int, slices: int):
-    """(slice, packed): a task's pairs by bucket, with their counts, in slices of the buckets."""
+def _bucketed(lengths: Sequence[int], filters, seed: int, slices: int):
+    """(slice, packed): a task's phrases by bucket, with their counts, in slices of the buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps, parts, size = [f.value for f in filters], [], 0
@@ -283,10 +284,10 @@ def _bucketed(filters, seed: int, slices: int):
             return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], names=["slice", "packed"])
 
         for block in _read(batches, seed):
-            at = dict(block.places(bitmaps))[2]
-            if len(at):
-                parts.append(_summed_sorted(bucket(block.key(2, at)), np.ones(len(at), dtype=np.int64)))
-                size += len(parts[-1][0])
+            for k, at in block.places(bitmaps):
+                if k in lengths and len(at):
+                    parts.append(_summed_sorted(bucket(block.key(k, at)), np.ones(len(at), dtype=np.int64)))
+                    size += len(parts[-1][0])
             if size > HELD:
                 parts = [reduced()]
                 size = len(parts[0][0])
@@ -560,13 +561,14 @@ def _summed(rows: DataFrame, lengths: Sequence[int], filters, seed: int, least:
     return checkpoint(found.where(F.col("n") >= least).drop("n"))
 
 
-def _heavy_buckets(rows: DataFrame, filters, seed: int, totals: DataFrame, least: int) -> DataFrame:
-    """x of the buckets of pairs that reach ``least``; a slice has about ``SLICE_KEYS`` pairs at most."""
+def _heavy_buckets(rows: DataFrame, lengths: Sequence[int], filters, seed: int, totals: DataFrame, least: int):
+    """A filter of the buckets that reach ``least``; a slice has about ``SLICE_KEYS`` phrases of a length at most."""
     n, slices = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 16
     while slices * SLICE_KEYS < n:
         slices *= 2
-    dealt = rows.mapInArrow(_bucketed(filters, seed, slices), "slice int, packed binary").repartition("slice")
-    return checkpoint(dealt.sortWithinPartitions("slice").mapInArrow(_heavy(least), "x long"))
+    dealt = rows.mapInArrow(_bucketed(lengths, filters, seed, slices), "slice int, packed binary").repartition("slice")
+    heavy = checkpoint(dealt.sortWithinPartitions("slice").mapInArrow(_heavy(least), "x long"))
+    return _filter(heavy, heavy.count())
 
 
 def _with_counts(rows: DataFrame, candidates: DataFrame, filters, seed: int) -> DataFrame:
@@ -609,9 +611,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_per
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     words, totals, n_words, seed = _frequent_words(rows, least)
     filters = [_filter(words.mapInArrow(_word_keys, "x long"), n_words)]
-    heavy = _heavy_buckets(rows, filters, seed, totals, least)
-    pairs = _summed(rows, (2,), [*filters, _filter(heavy, heavy.count())], seed, least)
+    pairs = _summed(rows, (2,), [*filters, _heavy_buckets(rows, (2,), filters, seed, totals, least)], seed, least)
     filters.append(_filter(pairs.mapInArrow(_pair_keys, "x long"), pairs.count()))
+    filters.append(_heavy_buckets(rows, (3, 4), filters, seed, totals, least))
     longer = _summed(rows, (3, 4), filters, seed, least)
     single = words.select("lang", F.lit(1).alias("k"), "w1", *(F.lit(0).cast("long").alias(w) for w in KEY[1:]))
     counted = _with_counts(rows, single.unionByName(pairs).unionByName(longer), filters, seed).where(F.col("a") >= least)
