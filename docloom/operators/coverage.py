@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,11 +47,12 @@ def _counted(unit: Column, count: TokenCounter | None) -> Column:
     return F.arrow_udf(run, "int")(unit)
 
 
-def units(blocks: DataFrame, max_tokens: int = MAX_TOKENS, count: TokenCounter | None = None) -> DataFrame:
+def units(blocks: DataFrame, max_tokens: int = MAX_TOKENS, count: TokenCounter | None = None, parts: Callable[[Column], Column] = T.sentences) -> DataFrame:
     """doc_id, block_no, unit_no, unit, tokens, words, category, omitted of blocks (doc_id, block_no, text, extension), next to their other columns.
 
     A block without units is one row without unit. The category of a long unit that
-    still fits is counted but omits nothing.
+    still fits is counted but omits nothing. ``parts`` tells a long unit of one sentence from
+    others: with the default, the original's, a list item is one whatever it holds.
     """
     carried = [c for c in blocks.columns if c != "text"]
     each = blocks.select(*carried, F.posexplode_outer(T.sentences(F.col("text"))).alias("unit_no", "unit"))
@@ -57,13 +60,13 @@ def units(blocks: DataFrame, max_tokens: int = MAX_TOKENS, count: TokenCounter |
     counted = counted.withColumn("tokens", F.col("words") if count is None else _counted(F.col("unit"), count))
     category = (
         F.when(F.col("unit").isNull(), F.lit(NO_TEXT))
-        .when(F.col("tokens") > max_tokens, T.long_unit_category(F.col("unit"), F.col("extension")))
+        .when(F.col("tokens") > max_tokens, T.long_unit_category(F.col("unit"), F.col("extension"), parts))
         .when(F.col("words") > MAX_WORDS, F.lit(LONG_BUT_FITS))
     )
     return counted.withColumn("category", category).withColumn("omitted", F.col("unit").isNull() | (F.col("tokens") > max_tokens))
 
 
-def document_states(blocks: DataFrame, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, count: TokenCounter | None = None, k: int = EXAMPLES) -> DataFrame:
+def document_states(blocks: DataFrame, target_tokens: int = TARGET_TOKENS, max_tokens: int = MAX_TOKENS, count: TokenCounter | None = None, k: int = EXAMPLES, parts: Callable[[Column], Column] = T.sentences) -> DataFrame:
     """doc_id, fuente, valid_units, omitted_units, chunks, categories, long_units, examples: all that a report says of a document.
 
     ``blocks`` has doc_id, fuente, block_no, text, extension, page_start and page_end.
@@ -73,7 +76,7 @@ def document_states(blocks: DataFrame, target_tokens: int = TARGET_TOKENS, max_t
     """
     sentences = T.sentences(F.col("text"))
     packed = F.size(pack_fold(sentences, target_tokens, max_tokens) if count is None else pack(sentences, count, target_tokens, max_tokens, on_oversize="drop"))
-    found = units(blocks.withColumn("chunks", packed), max_tokens, count)
+    found = units(blocks.withColumn("chunks", packed), max_tokens, count, parts)
     # a block's chunks stand at its first unit alone
     found = found.withColumn("chunks", F.when(F.coalesce("unit_no", F.lit(0)) == 0, F.col("chunks")).otherwise(0))
     place = Window.partitionBy("doc_id", "category").orderBy("block_no", "unit_no")
