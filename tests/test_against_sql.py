@@ -31,3 +31,8 @@ def test_long_list_item_of_several_sentences(spark, tmp_path, name):
     texts = [f"A. | {words}. Then {words}", f"- {words} {words}", f"{words} {words}. End", f"B) {words} {words}\n- x\n- y", "Short."]
     rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
     assert differences(spark, tmp_path, name, documents=(rows, DOCUMENTS)) == NONE
+
+
+def test_ampersands_in_html(spark, tmp_path):
+    pages = [(1, "", "<h1>a&amp;&amp</h1><p>&copy;&copy b &quot;&lt; c&</p>"), (2, "", "<p>x &amp;quot; &#39;y</p><li>&middot;&middo</li>")]
+    assert differences(spark, tmp_path, "html_blocks", pages=(pages, "page_id long, url string, html string")) == NONE
