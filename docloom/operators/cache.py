@@ -19,6 +19,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docloom.sources.shared import checkpointed
+
 #: Partitions of a new cache; an old one keeps its own number, which is in the name of the partition column.
 BUCKETS = 64
 _PREFIX = "bucket_of_"
@@ -57,6 +59,7 @@ class Cache:
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(int(column.removeprefix(_PREFIX)))).cast("int").alias(column)
         new = latest(rows.select(*names, (F.lit(0) if order is None else F.col(order) if isinstance(order, str) else order).alias("_order")), self.key).select(*names, bucket)
         if held is not None:
+            new = checkpointed(new)  # rows may be dear to make, and are read three times
             # buckets are told apart before anything is read of them
             touched = held.join(F.broadcast(new.select(column).distinct()), column, "left_semi")
             new = touched.join(new.select(*self.key), list(self.key), "left_anti").select(*names, column).unionByName(new)

@@ -26,14 +26,20 @@ def hashed_ngrams(dimension: int = 256, n: int = 3) -> Callable[[list[str]], np.
     """A deterministic stand-in for a model: signed hashes of character n-grams. It compares spelling, not meaning."""
 
     def encode(texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), dimension), dtype=np.float32)
-        for row, text in zip(out, texts, strict=True):
-            padded = f" {text.lower()} "
-            for k in range(len(padded) - n + 1):
-                h = xxhash.xxh3_64_intdigest(padded[k : k + n])
-                row[h % dimension] += 1 if h >> 63 else -1
-            if not row.any():
-                row[0] = 1
+        padded = [f" {text.lower()} " for text in texts]
+        together, size = "".join(padded), np.fromiter(map(len, padded), np.int64, len(padded))
+        points = np.frombuffer(together.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        row = np.repeat(np.arange(len(texts)), size)
+        at = np.flatnonzero(np.arange(len(points)) + n <= np.cumsum(size)[row])  # where an n-gram within one text starts
+        # an n-gram as a number, 21 bits a character; of longer ones the first characters' rank stands for them
+        gram = points[at]
+        for k in range(1, n):
+            gram = (np.unique(gram, return_inverse=True)[1].astype(np.uint64) if k > 2 else gram) << np.uint64(21) | points[at + k]
+        _, first, which = np.unique(gram, return_index=True, return_inverse=True)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(together[a : a + n]) for a in at[first].tolist()), np.uint64, len(first))
+        place, sign = (hashes % np.uint64(dimension)).astype(np.int64), np.where(hashes >> np.uint64(63), 1.0, -1.0)
+        out = np.bincount(row[at] * dimension + place[which], sign[which], len(texts) * dimension).reshape(-1, dimension).astype(np.float32)
+        out[~out.any(axis=1), 0] = 1
         return out
 
     return encode
@@ -140,7 +146,7 @@ def _encode(model: EmbeddingModel, batch_size: int):
                 norm = np.linalg.norm(vectors, axis=1, keepdims=True)
                 if (norm == 0).any():
                     raise ValueError("the model made a vector of length 0")
-                rows = pa.array(list((vectors / norm).astype(np.float32)), pa.list_(pa.float32()))
+                rows = pa.ListArray.from_arrays(np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1], (vectors / norm).astype(np.float32).ravel())
                 yield pa.RecordBatch.from_arrays([part.column("content_hash"), rows], names=["content_hash", "vector"])
 
     return run
