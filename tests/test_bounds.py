@@ -2,9 +2,14 @@
 
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
-from docloom.operators import graph
+import __spark_entry__
+from docloom.functions import entities as E
+from docloom.operators import encoding, graph, packing, search
 
 
 @pytest.mark.parametrize("few", [0, 1, 2])
@@ -24,3 +29,66 @@ def test_scores_are_the_same_by_arrays_and_by_rows(spark, monkeypatch, few):
     for found in (graph.chunk_scores(labels, graph.edge_ends(rows), graph.listed_evidence(rows)), graph.scan_chunk_scores(labels, rows)):
         got = [((x.query_id, x.chunk_id), x.graph_score) for x in found.collect()]
         assert len(got) == len(dict(got)) and dict(got) == want
+
+
+def test_products_held_at_a_time(monkeypatch):
+    held = []
+    scored = search._scored
+    monkeypatch.setattr(search, "_scored", lambda names, queries, ids, vectors, k: held.append(len(queries) * len(vectors)) or scored(names, queries, ids, vectors, k))
+    monkeypatch.setattr(search, "PRODUCTS", 3000)
+    vectors = np.random.default_rng(1).normal(size=(900, 4))
+    asks = [False] * 700 + [True] * 200
+    batch = pa.RecordBatch.from_pydict({"block": [0] * 900, "salt": [0] * 900, "asks": asks, "chunk_ord": [*range(700), *[None] * 200], "query_id": [None] * 700 + [str(k) for k in range(200)], "embedding": vectors.tolist()})
+    got = pa.Table.from_batches(search._meet(5)(iter([batch.slice(0, 300), batch.slice(300)]))).to_pylist()
+    assert len(held) > 40 and max(held) <= 3000
+    want = np.argsort(-(vectors[700:] @ vectors[:700].T), axis=1)[:, :5]
+    assert [x["chunk_ord"] for x in got] == want.ravel().tolist()
+
+
+def test_texts_held_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS", 2)
+    monkeypatch.setattr(E, "_ROWS", 2)
+    rows = spark.createDataFrame([(k, ["Ab cd."] * k if k % 4 else None) for k in range(11)], "k int, units array<string>").coalesce(1)
+    packed = rows.select("k", packing.pack(rows.units, target_tokens=4).alias("c")).collect()
+    assert [len(x.c) for x in packed] == [-(-x.k // 2) if x.k % 4 else 0 for x in packed]
+    tagged = E.with_entities(rows.selectExpr("k", "if(k % 3 = 0, null, concat('Ab Cd', k)) AS texto")).collect()
+    assert [len(x.entities) for x in tagged] == [int(x.k % 3 > 0) for x in tagged]
+
+
+def test_each_different_ngram_is_hashed_once(monkeypatch):
+    calls = []
+    plain = xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(xxhash, "xxh3_64_intdigest", lambda x: calls.append(x) or plain(x))
+    texts = ["ab ab ab " * 200, "", "é😀İ ab", "a"]
+    for n in (1, 3, 5):
+        calls.clear()
+        got = encoding.hashed_ngrams(64, n)(texts)
+        assert len(calls) == len(set(calls))
+        for row, text in zip(got, texts, strict=True):
+            want = np.zeros(64)
+            padded = f" {text.lower()} "
+            for k in range(len(padded) - n + 1):
+                want[plain(padded[k : k + n]) % 64] += 1 if plain(padded[k : k + n]) >> 63 else -1
+            if not want.any():
+                want[0] = 1
+            assert row.tolist() == want.tolist()
+
+
+def test_put_makes_its_rows_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    held = encoding.embedding_cache(str(tmp_path / "cache"), 2)
+    for word in ("a", "b"):
+        rows = spark.range(40).selectExpr("'m' AS model", "'passage' AS kind", f"concat('{word}', id) AS content_hash", "1 AS dimension", "array(1.0F) AS vector")
+        held.put(rows.mapInArrow(count, rows.schema))
+    assert made.value == 80 and held.read(spark).count() == 80
+
+
+def test_search_reads_an_index_that_is_made_once(spark, sf_dir):
+    read = __spark_entry__.queries()["search_results"](spark, sf_dir).inputFiles()
+    assert read and not any("documents.parquet" in f for f in read)
