@@ -92,3 +92,27 @@ def test_put_makes_its_rows_once(spark, tmp_path):
 def test_search_reads_an_index_that_is_made_once(spark, sf_dir):
     read = __spark_entry__.queries()["search_results"](spark, sf_dir).inputFiles()
     assert read and not any("documents.parquet" in f for f in read)
+
+
+def test_column_search_ranks_few_of_its_products(spark, monkeypatch):
+    """Many vectors and copies: what goes to the ranking is bounded, and the hits are those of all products."""
+    k, n = 5, 3000
+    random = np.random.default_rng(3)
+    vectors = random.integers(-3, 4, size=(n, 6)).astype(float)  # few different products, so many ties
+    vectors[random.random(n) < 0.4] = 3.0
+    for nulls in (False, True):
+        rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+        if nulls:
+            rows[7] = (7, [None, *rows[7][1][1:]])
+        base = spark.createDataFrame(rows, "chunk_ord long, embedding array<double>")
+        asked = base.where("chunk_ord % 300 = 0").selectExpr("cast(chunk_ord AS string) AS query_id", "embedding")
+        counted = search._knn_columns(base, asked, k).groupBy("query_id").count().collect()
+        assert len(counted) == 10 and max(x["count"] for x in counted) < n / 10
+        found = {(x.query_id, x.hit_rank): (x.chunk_ord, x.score) for x in search.knn(base, asked, k, "columns").collect()}
+        score = vectors @ vectors[::300].T
+        if nulls:
+            score[7] = -np.inf
+        for c in range(10):
+            order = np.lexsort((np.arange(n), -score[:, c]))[:k]
+            assert [found[str(300 * c), r + 1] for r in range(k)] == [(i, score[i, c]) for i in order.tolist()]
+        assert len(found) == 10 * k
