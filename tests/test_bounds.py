@@ -116,3 +116,14 @@ def test_column_search_ranks_few_of_its_products(spark, monkeypatch):
             order = np.lexsort((np.arange(n), -score[:, c]))[:k]
             assert [found[str(300 * c), r + 1] for r in range(k)] == [(i, score[i, c]) for i in order.tolist()]
         assert len(found) == 10 * k
+
+
+def test_each_sentence_is_read_once_for_relations(spark, capsys):
+    texts = ["The Red House works with The Blue House. Ab Cd stands. The Red House and Ab Cd from this.", "With no names", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "chunk_ord int, texto string")
+    found = E.relations(E.with_entities(rows), lexicon=E.Lexicon(triggers="with|from"))
+    found.explain()
+    plan = capsys.readouterr().out
+    assert [plan.count(f"{name}(") for name in ("regexp_instr", "regexp_extract", "locate")] == [1, 1, 1]
+    got = {tuple(x) for x in found.select("chunk_ord", "subject", "relation", "object").collect()}
+    assert got == {(0, "the red house", "with", "the blue house"), (0, "ab cd", "from", "the red house")}
