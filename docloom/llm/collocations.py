@@ -7,13 +7,18 @@ every scan looks only at phrases whose parts can be frequent:
 
 1. words are counted (and all words of each language);
 2. pairs of frequent words are summed by 48 bits of a hash, some bytes each, which bounds
-   their counts from above; then those whose sums reach the limit, by their words;
-3. threes and fours all of whose pairs can be frequent are summed likewise, both ways;
+   their counts from above; the words of those whose sums reach the limit are then
+   reported by one task each, the one that had most of the sum;
+3. threes and fours all of whose pairs can be frequent are summed and reported likewise;
 4. a minimal perfect hash over what is left gives each candidate a slot. Mappers look up
    what they read, verify it against the keys stored in the slots and bincount the slots;
    their arrays are summed as a tree. The counts of a candidate and of the parts of each
    of its cuts are read by slot.
 
+A bucket can hold several phrases, and its task may have met one only. So the counts of
+step 4 are taken from the sums of the buckets, and if what is left of any reaches the
+limit, steps 2 to 4 are done again and every task reports.
+
 Step 4 takes ``KEYS_AT_ONCE`` candidates and as many scans as there are such blocks, so
 that what is broadcast has a bound. The filters of steps 2 to 4 are bitmaps of 16 bits a
 key, at most ``MOST_BITS``; a filter that is full lets more through, and no frequent
@@ -150,6 +155,11 @@ def bucket(words: Sequence[np.ndarray]) -> np.ndarray:
     return folded(words) >> U(64 - BUCKET_BITS)
 
 
+def owned(x: np.ndarray, task: np.ndarray | int) -> np.ndarray:
+    """One number for a bucket and the task that reports its phrases."""
+    return mix(x | np.asarray(task % (1 << 64 - BUCKET_BITS)).astype(U) << U(BUCKET_BITS))
+
+
 def _counted(words: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A place of each different phrase, and how often it is there; ``n`` has how often each place counts."""
     x = folded(words)
@@ -170,17 +180,16 @@ def _counted(words: list[np.ndarray], n: np.ndarray | None = None) -> tuple[np.n
 
 
 class Held:
-    """Phrases of one length with their counts and languages, reduced whenever there are many."""
+    """Different phrases of one length with their languages, reduced whenever there are many."""
 
     def __init__(self, k: int):
         self.k, self.size = k, 0
-        self.parts: list[tuple[list[np.ndarray], np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[list[np.ndarray], np.ndarray]] = []
 
     def add(self, key: list[np.ndarray], lang: np.ndarray) -> bool:
         """Whether so many are held that they should be passed on."""
-        one, n = _counted(key)
-        self.parts.append(([w[one] for w in key], n, lang[one]))
-        self.size += len(one)
+        self.parts.append((key, lang))
+        self.size += len(lang)
         if self.size <= HELD:
             return False
         self.reduce()
@@ -188,18 +197,17 @@ class Held:
 
     def reduce(self) -> None:
         key = [np.concatenate([p[0][j] for p in self.parts]) for j in range(self.k)]
-        n, lang = (np.concatenate([p[j] for p in self.parts]) for j in (1, 2))
-        one, n = _counted(key, n)
-        self.parts, self.size = [([w[one] for w in key], n, lang[one])], len(one)
+        lang = np.concatenate([p[1] for p in self.parts])
+        one, _ = _counted(key)
+        self.parts, self.size = [([w[one] for w in key], lang[one])], len(one)
 
     def batch(self, langs: list[str]) -> pa.RecordBatch:
         self.reduce()
-        ((key, n, lang),) = self.parts
+        ((key, lang),) = self.parts
         self.parts, self.size = [], 0
-        order = np.lexsort(key[::-1])  # neighbours share words, which shuffles in fewer bytes
-        key, n, lang = [w[order] for w in key], n[order], lang[order]
-        key = [w.view(np.int64) for w in key] + [np.zeros(len(n), dtype=np.int64)] * (LONGEST - self.k)
-        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang)), pa.array(np.full(len(n), self.k, dtype=np.int32)), *map(pa.array, key), pa.array(n)], names=["lang", "k", *KEY, "n"])
+        x = bucket(key).view(np.int64)
+        key = [w.view(np.int64) for w in key] + [np.zeros(len(x), dtype=np.int64)] * (LONGEST - self.k)
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang)), pa.array(np.full(len(x), self.k, dtype=np.int32)), *map(pa.array, key), pa.array(x)], names=["lang", "k", *KEY, "x"])
 
 
 def _words(seed: int):
@@ -227,16 +235,19 @@ def _numbered(seed: int):
     return run
 
 
-def _phrases(lengths: Sequence[int], filters, seed: int):
-    """(lang, k, w1 to w4, n) of each task; what a phrase has no word for is 0."""
+def _phrases(lengths: Sequence[int], filters, own, everywhere: bool, seed: int):
+    """(lang, k, w1 to w4, bucket) of the phrases a task is to report; what a phrase has no word for is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps, held, langs = [f.value for f in filters], {k: Held(k) for k in lengths}, {}
+        bitmaps, mine, task = [f.value for f in filters], own.value, 0 if everywhere else TaskContext.get().partitionId()
+        held, langs = {k: Held(k) for k in lengths}, {}
         for block in _read(batches, seed):
             number = np.array([langs.setdefault(x, len(langs)) for x in block.langs.to_pylist()])
             for k, at in block.places(bitmaps):
-                if k in held and len(at) and held[k].add(block.key(k, at), number[block.doc[at]]):
-                    yield held[k].batch(list(langs))
+                if k in held and len(at):
+                    at = at[passing(mine, owned(bucket(block.key(k, at)), task))]
+                    if len(at) and held[k].add(block.key(k, at), number[block.doc[at]]):
+                        yield held[k].batch(list(langs))
         for each in held.values():
             if each.size:
                 yield each.batch(list(langs))
@@ -254,6 +265,11 @@ def _summed_sorted(x: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return x[first], np.add.reduceat(n, first)
 
 
+def _votes(x: np.ndarray, n: np.ndarray, task: int) -> np.ndarray:
+    """What a task bids for its buckets: most of the sum wins, a hash decides ties; the last bits name it."""
+    return np.minimum(n, (1 << 31) - 1).astype(U) << U(32) | owned(x, task) & U(0xFFFF0000) | U(task & 0xFFFF)
+
+
 def packed_sums(x: np.ndarray, n: np.ndarray) -> bytes:
     """Ascending numbers and their counts, compressed: the bytes of all steps by significance, then those of the counts."""
     steps = np.diff(x, prepend=U(0))
@@ -268,10 +284,10 @@ def unpacked_sums(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bucketed(lengths: Sequence[int], filters, seed: int, slices: int):
-    """(slice, packed): a task's phrases by bucket, with their counts, in slices of the buckets."""
+    """(slice, task, packed): a task's phrases by bucket, with their counts, in slices of the buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps, parts, size = [f.value for f in filters], [], 0
+        bitmaps, parts, size, task = [f.value for f in filters], [], 0, TaskContext.get().partitionId()
 
         def reduced() -> tuple[np.ndarray, np.ndarray]:
             return _summed_sorted(*(np.concatenate([p[j] for p in parts]) for j in (0, 1)))
@@ -281,7 +297,7 @@ def _bucketed(lengths: Sequence[int], filters, seed: int, slices: int):
             cuts = np.searchsorted(x, np.arange(slices + 1, dtype=U) << U(BUCKET_BITS - slices.bit_length() + 1))
             some = np.flatnonzero(np.diff(cuts))
             packed = [packed_sums(x[cuts[s] : cuts[s + 1]], n[cuts[s] : cuts[s + 1]]) for s in some.tolist()]
-            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], names=["slice", "packed"])
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(np.full(len(some), task, dtype=np.int32)), pa.array(packed, pa.binary())], names=["slice", "task", "packed"])
 
         for block in _read(batches, seed):
             for k, at in block.places(bitmaps):
@@ -302,26 +318,32 @@ def _bucketed(lengths: Sequence[int], filters, seed: int, slices: int):
 
 
 def _heavy(least: int):
-    """The buckets that reach ``least``, mixed; rows of a slice follow each other."""
+    """(x, n, task): the buckets that reach ``least``, their sums and who reports; rows of a slice follow each other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, size = None, [], 0
 
-        def reduced() -> tuple[np.ndarray, np.ndarray]:
-            return _summed_sorted(*(np.concatenate([p[j] for p in parts]) for j in (0, 1)))
+        def reduced() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            x, n, vote = (np.concatenate([p[j] for p in parts]) for j in range(3))
+            order = np.argsort(x)
+            x = x[order]
+            first = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
+            return x[first], np.add.reduceat(n[order], first), np.maximum.reduceat(vote[order], first)
 
         def found() -> pa.RecordBatch:
-            x, n = reduced()
-            return pa.RecordBatch.from_arrays([pa.array(mix(x[n >= least]).view(np.int64))], names=["x"])
+            x, n, vote = reduced()
+            some = np.flatnonzero(n >= least)
+            return pa.RecordBatch.from_arrays([pa.array(x[some].view(np.int64)), pa.array(n[some]), pa.array((vote[some] & U(0xFFFF)).astype(np.int32))], names=["x", "n", "task"])
 
         for batch in batches:
-            for s, packed in zip(batch.column("slice").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+            for s, task, packed in zip(*(batch.column(c).to_pylist() for c in ("slice", "task", "packed")), strict=True):
                 if s != current and parts:
                     yield found()
                     parts, size = [], 0
                 current = s
-                parts.append(unpacked_sums(packed))
-                size += len(parts[-1][0])
+                x, n = unpacked_sums(packed)
+                parts.append((x, n, _votes(x, n, task)))
+                size += len(x)
                 if size > 2 * SLICE_KEYS:
                     parts = [reduced()]
                     size = len(parts[0][0])
@@ -377,10 +399,19 @@ def _filter(keys: DataFrame, n: int):
     return keys.sparkSession.sparkContext.broadcast(out)
 
 
-def _pair_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pair = [batch.column(w).to_numpy(zero_copy_only=False).view(U) for w in ("w1", "w2")]
-        yield pa.RecordBatch.from_arrays([pa.array(mix(bucket(pair)).view(np.int64))], names=["x"])
+        x = batch.column("x").to_numpy(zero_copy_only=False).view(U)
+        yield pa.RecordBatch.from_arrays([pa.array(mix(x).view(np.int64))], names=["x"])
+
+
+def _owned_keys(everywhere: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, task = batch.column("x").to_numpy(zero_copy_only=False).view(U), batch.column("task").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(owned(x, 0 if everywhere else task).view(np.int64))], names=["x"])
+
+    return run
 
 
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -553,22 +584,29 @@ def _frequent_words(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame,
     return words, summed.where("word is null").select("lang", "n"), words.count(), seed
 
 
-def _summed(rows: DataFrame, lengths: Sequence[int], filters, seed: int, least: int) -> DataFrame:
-    schema = "lang string, k int, w1 long, w2 long, w3 long, w4 long, n long"
-    # tasks have reduced their phrases already: what is dealt out is summed where it arrives, not twice
-    dealt = rows.mapInArrow(_phrases(lengths, filters, seed), schema).repartition(*KEY)
-    found = dealt.groupBy("lang", "k", *KEY).agg(F.sum("n").alias("n"))
-    return checkpoint(found.where(F.col("n") >= least).drop("n"))
-
-
-def _heavy_buckets(rows: DataFrame, lengths: Sequence[int], filters, seed: int, totals: DataFrame, least: int):
-    """A filter of the buckets that reach ``least``; a slice has about ``SLICE_KEYS`` phrases of a length at most."""
+def _heavy_buckets(rows: DataFrame, lengths: Sequence[int], filters, seed: int, totals: DataFrame, least: int) -> DataFrame:
+    """The buckets that reach ``least``; a slice has about ``SLICE_KEYS`` phrases of a length at most."""
     n, slices = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], 16
     while slices * SLICE_KEYS < n:
         slices *= 2
-    dealt = rows.mapInArrow(_bucketed(lengths, filters, seed, slices), "slice int, packed binary").repartition("slice")
-    heavy = checkpoint(dealt.sortWithinPartitions("slice").mapInArrow(_heavy(least), "x long"))
-    return _filter(heavy, heavy.count())
+    dealt = rows.mapInArrow(_bucketed(lengths, filters, seed, slices), "slice int, task int, packed binary").repartition("slice")
+    return checkpoint(dealt.sortWithinPartitions("slice").mapInArrow(_heavy(least), "x long, n long, task int"))
+
+
+def _reports(rows: DataFrame, lengths: Sequence[int], filters, heavy: DataFrame, seed: int, everywhere: bool) -> DataFrame:
+    """The phrases of heavy buckets, and some that pass the filter, as tasks report them."""
+    own = _filter(heavy.mapInArrow(_owned_keys(everywhere), "x long"), heavy.count())
+    return rows.mapInArrow(_phrases(lengths, filters, own, everywhere, seed), "lang string, k int, w1 long, w2 long, w3 long, w4 long, x long")
+
+
+def _candidates(reports: DataFrame, heavy: DataFrame) -> DataFrame:
+    return checkpoint(reports.join(heavy.select("x"), "x", "left_semi").select("lang", "k", *KEY, "x").distinct())
+
+
+def _missed(heavy: DataFrame, counted: DataFrame, least: int) -> bool:
+    """Whether what the counted phrases leave of some bucket's sum reaches ``least``."""
+    found = counted.groupBy("x").agg(F.sum("a").alias("a"))
+    return heavy.join(found, "x", "left").where(F.col("n") - F.coalesce("a", F.lit(0)) >= least).limit(1).count() > 0
 
 
 def _with_counts(rows: DataFrame, candidates: DataFrame, filters, seed: int) -> DataFrame:
@@ -576,7 +614,7 @@ def _with_counts(rows: DataFrame, candidates: DataFrame, filters, seed: int) ->
     context = rows.sparkSession.sparkContext
     n_blocks = max(1, -(-candidates.count() // KEYS_AT_ONCE))
     block = F.pmod(F.xxhash64(*KEY), F.lit(n_blocks))
-    read = candidates.where("k > 1").select("lang", "k", *KEY, *(F.lit(0).cast("long").alias(c) for c in COUNTS))
+    read = candidates.where("k > 1").select("lang", "k", *KEY, "x", *(F.lit(0).cast("long").alias(c) for c in COUNTS))
     for b in range(n_blocks):
         held = candidates.where(block == b).select("k", *KEY).toArrow()
         slots = Slots(held["k"].to_numpy(), [held[w].to_numpy().view(U) for w in KEY])
@@ -610,13 +648,21 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_per
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language with at least ``least`` occurrences."""
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     words, totals, n_words, seed = _frequent_words(rows, least)
-    filters = [_filter(words.mapInArrow(_word_keys, "x long"), n_words)]
-    pairs = _summed(rows, (2,), [*filters, _heavy_buckets(rows, (2,), filters, seed, totals, least)], seed, least)
-    filters.append(_filter(pairs.mapInArrow(_pair_keys, "x long"), pairs.count()))
-    filters.append(_heavy_buckets(rows, (3, 4), filters, seed, totals, least))
-    longer = _summed(rows, (3, 4), filters, seed, least)
-    single = words.select("lang", F.lit(1).alias("k"), "w1", *(F.lit(0).cast("long").alias(w) for w in KEY[1:]))
-    counted = _with_counts(rows, single.unionByName(pairs).unionByName(longer), filters, seed).where(F.col("a") >= least)
+    word_filter = _filter(words.mapInArrow(_word_keys, "x long"), n_words)
+    single = words.select("lang", F.lit(1).alias("k"), "w1", *(F.lit(0).cast("long").alias(w) for w in (*KEY[1:], "x")))
+    heavy = {2: _heavy_buckets(rows, (2,), [word_filter], seed, totals, least)}
+    for everywhere in (False, True):
+        filters, candidates = [word_filter], single
+        for k, lengths in ((2, (2,)), (3, (3, 4))):
+            if k > 2:
+                heavy[k] = _heavy_buckets(rows, lengths, filters, seed, totals, least)
+            found = _candidates(_reports(rows, lengths, filters, heavy[k], seed, everywhere), heavy[k])
+            filters.append(_filter(found.mapInArrow(_bucket_keys, "x long"), found.count()))
+            candidates = candidates.unionByName(found)
+        counted = _with_counts(rows, candidates, filters, seed)
+        if everywhere or not any(_missed(heavy[k], counted.where(F.col("k") == 2 if k == 2 else F.col("k") > 2), least) for k in heavy):
+            break
+    counted = counted.where(F.col("a") >= least)
 
     scored = counted.withColumn("best", F.array_min(F.array(*(_score(c) for c in range(1, LONGEST)))))
     inside = counted.where("k > 2").select("a", F.inline(_parts_of("w"))).groupBy("k", *KEY[:3]).agg(F.max("a").alias("longer"))

@@ -87,6 +87,39 @@ def test_collocations_of_few_and_none(spark):
     assert phrase_counts(collocations.collocations(frame(spark, rows), top=3)) == mined(rows, 30, 3)
 
 
+def reports_of_pairs(spark, rows, partitions, everywhere=False):
+    """The rows that tasks report, and the different pairs among them."""
+    docs = frame(spark, rows).select("lang", "text").repartition(partitions)
+    words, totals, n, seed = collocations._frequent_words(docs, 30)
+    filters = [collocations._filter(words.mapInArrow(collocations._word_keys, "x long"), n)]
+    heavy = collocations._heavy_buckets(docs, (2,), filters, seed, totals, 30)
+    reports = collocations._reports(docs, (2,), filters, heavy, seed, everywhere)
+    return reports.count(), collocations._candidates(reports, heavy).count()
+
+
+def test_a_phrase_is_reported_by_one_task_however_many_hold_it(spark):
+    rows = [(k, " ".join(f"a{j} b{j}." for j in range(300)), "en") for k in range(90)]
+    assert reports_of_pairs(spark, rows, 30, everywhere=True) == (9000, 300)
+    for partitions in (6, 30):
+        made, different = reports_of_pairs(spark, rows, partitions)
+        assert different == 300 <= made <= 600  # a filter lets some more through
+
+
+def test_phrases_that_no_task_reported_are_found_missing(spark, monkeypatch):
+    rows, tried, reports = phrase_rows(5), [], collocations._reports
+
+    def some_lost(docs, lengths, filters, heavy, seed, everywhere):
+        tried.append((lengths, everywhere))
+        found = reports(docs, lengths, filters, heavy, seed, everywhere)
+        return found if everywhere else found.where(f"pmod(xxhash64(x), 9) > 0 or {lengths[0]} <> {lost}")
+
+    monkeypatch.setattr(collocations, "_reports", some_lost)
+    for lost in (2, 3):
+        tried.clear()
+        assert phrase_counts(collocations.collocations(frame(spark, rows).repartition(7), 5, 300)) == mined(rows, 5, 300)
+        assert [x for _, x in tried] == [False, False, True, True]
+
+
 def test_scores_are_exact_where_products_pass_64_bits(spark):
     big = 5 * 10**13 + 1
     row = spark.createDataFrame([(2, big, big + 1, big + 3)], "k int, a long, l1 long, r1 long")
