@@ -7,23 +7,22 @@ dimension; several rotations, learned from different starts, are strung together
 to ``BITS`` bits. The sample is the ``SAMPLE`` different vectors of least hash; all
 vectors are indexed.
 
-Index: a code is split into substrings of 16 bits, each with a table of its own. A
-posting is a row (table, slice, value, entry); a slice holds the values that begin with
-its bits, so that no task holds a table of unbounded size.
+Index: entries are dealt to blocks of bounded size. A block's codes are split into
+substrings of 16 bits, each with a table of its own in the task that holds the block.
 
 Search: let m tables have limits t[1..m] with a sum of t[i] + 1 equal to r + 1. Two codes
 that differ in at most r bits differ in at most t[i] bits of some substring i, or the
 differences would add up to r + 1. So a query probes each table with every value within
-t[i] of its own, in the slices that hold such values, and retrieves every code within the
-radius r. Whatever is retrieved is reranked by cosine in double precision on the original
+t[i] of its own, and retrieves every code within the radius r. Whatever is retrieved is reranked by cosine in double precision on the original
 vectors. The radius is the least with which a share of ``RECALL`` of the nearest neighbours
 within the sample are retrieved. Queries that retrieve fewer vectors than they need probe
 again with a wider radius, in the end all, so that none comes back short.
 
 Equal vectors share one entry, named by its block and its place there, that keeps its
-``k + 1`` least ids, which is all a query can return of them. Retrieved entries are dealt
-to the blocks that hold their vectors; a task holds the vectors of one block and reads the
-queries one after another.
+``k + 1`` least ids, which is all a query can return of them. Every query visits every
+block: a task holds one block and reads a slice of the queries one after another, and a
+query's ``k + 1`` best of the block are all that leaves it. What is retrieved, which grows
+with the square of the input, is never kept or sent.
 
 Defined results: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, as queries or as candidates; null ids
@@ -45,7 +44,10 @@ from docloom.llm.common import checkpoint
 K = 5
 BITS, SUBSTRING = 512, 16
 SAMPLE, ROUNDS, SEED, RECALL, ASKED = 8192, 20, 7, 0.97, 2048
-BLOCK_ROWS, SLICE_ROWS = 16_384, 1 << 20
+#: Entries of a block, and queries that read past one copy of it; about.
+BLOCK_ROWS, SLICE_ROWS = 16_384, 8192
+#: Queries that probe a table at a time.
+TOGETHER = 32
 
 
 def learn(sample: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int = SEED) -> np.ndarray:
@@ -103,7 +105,7 @@ WITHIN = np.cumsum(np.bincount(ONES))
 
 
 class Table:
-    """The postings of one slice of one substring's table."""
+    """The postings of one substring's table."""
 
     def __init__(self, values: np.ndarray):
         self.order = np.argsort(values, kind="stable")
@@ -114,15 +116,21 @@ class Table:
 
     def probe(self, value: int, limit: int) -> np.ndarray:
         """The postings whose values differ from ``value`` in at most ``limit`` bits."""
+        return self.probe_each(np.array([value], dtype=np.uint16), limit)[1]
+
+    def probe_each(self, asked: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same for several values: the place of the value asked for, and the posting."""
         if limit < 0:
-            return self.order[:0]
+            return self.order[:0], self.order[:0]
         if WITHIN[limit] <= 2 * len(self.values):
-            hit = self.place[MASKS[: WITHIN[limit]] ^ np.uint16(value)]
-            hit = hit[hit >= 0]
+            hit = self.place[MASKS[: WITHIN[limit]] ^ asked[:, None]]
+            row, at = np.nonzero(hit >= 0)
+            hit = hit[row, at]
         else:  # fewer values are held than there are to probe
-            hit = np.flatnonzero(ONES[self.values ^ np.uint16(value)] <= limit)
+            row, hit = np.nonzero(ONES[self.values ^ asked[:, None]] <= limit)
         size = self.first[hit + 1] - self.first[hit]
-        return self.order[np.repeat(self.first[hit] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        start = np.repeat(self.first[hit] - np.cumsum(size) + size, size)
+        return np.repeat(row, size), self.order[start + np.arange(len(start))]
 
 
 def _scaled(vectors: np.ndarray) -> np.ndarray:
@@ -146,93 +154,68 @@ def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
     return np.asarray(column.flatten()).astype(np.float64).reshape(-1, dimension)
 
 
-def _post(shared, dimension: int, slices: int, reach: list[int] | None):
-    """A posting of each entry in each table, or with ``reach`` its probes: a row for each slice that holds values so near."""
-    shift = SUBSTRING - slices
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts = np.arange(1 << slices, dtype=np.int64)
-        for batch in batches:
-            entry = np.asarray(batch.column("entry"))
-            code = codes(_unit(_matrix(batch.column("vector"), dimension)), shared.value).astype(np.int64)
-            for table in range(code.shape[1]):
-                value, rows = code[:, table], np.arange(len(code))
-                slice_ = value >> shift
-                if reach is not None:
-                    near = ONES[(slice_[:, None] ^ starts)] <= reach[table]
-                    rows, slice_ = np.nonzero(near)
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, table, np.int32)), pa.array(slice_.astype(np.int32)), pa.array(np.full(n, reach is not None)), pa.array(entry[rows]), pa.array(value[rows].astype(np.int32))],
-                    names=["table", "slice", "asks", "entry", "value"],
-                )
+class Block:
+    """Vectors with an index of their codes."""
 
-    return run
+    def __init__(self, entry: np.ndarray, least: np.ndarray, vectors: np.ndarray, rotation: np.ndarray):
+        self.entry, self.least, self.vectors, self.unit = entry, least, vectors, _unit(vectors)
+        self.tables = [Table(c) for c in codes(self.unit, rotation).T]
 
+        self.room = np.empty_like(self.unit)
 
-def _probe(reach: list[int]):
-    """One slice of a table: what each query retrieves, by the block that holds the vectors."""
-
-    def run(table: pa.Table) -> pa.Table:
-        asks = np.asarray(table["asks"])
-        entry, value = np.asarray(table["entry"]), np.asarray(table["value"])
-        held, limit = entry[~asks], reach[table["table"][0].as_py()]
-        out: list[tuple[int, int, bytes]] = []
-        if len(held):
-            postings = Table(value[~asks].astype(np.uint16))
-            for query, v in zip(entry[asks].tolist(), value[asks].tolist(), strict=True):
-                found = np.sort(held[postings.probe(v, limit)])
-                block = found >> 32
-                for part in np.split(found, np.flatnonzero(np.diff(block)) + 1) if len(found) else ():
-                    out.append((query, int(part[0] >> 32), part.astype(np.uint32).tobytes()))
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        return pa.table([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["query", "block", "found"])
+    def retrieved(self, asked: np.ndarray, reach: list[int]) -> np.ndarray:
+        """Which vectors the probes of some codes retrieve, (codes, vectors)."""
+        hit = np.zeros((len(asked), len(self.entry)), dtype=bool)
+        for table, values, limit in zip(self.tables, asked.T, reach, strict=True):
+            hit[table.probe_each(values, limit)] = True
+        return hit
 
-    return run
+    def best(self, query: np.ndarray, unit: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries and cosines of the ``k + 1`` best of some rows; ties to the smaller id."""
+        if len(rows) > k + 1:
+            score = np.take(self.unit, rows, axis=0, out=self.room[: len(rows)], mode="clip") @ unit
+            rows = rows[score >= np.partition(score, len(rows) - k - 1)[len(rows) - k - 1] - 1e-12]
+        exact = cosines(query, self.vectors[rows])
+        # an entry has an id at least, so that k + 1 of them hold the k + 1 first ids
+        first = np.lexsort((self.least[rows], -exact))[: k + 1]
+        return self.entry[rows[first]], exact[first]
 
 
-def _rerank(dimension: int, k: int):
-    """Sorted by block: its vectors, then the queries that retrieved some of them; the best of these."""
+def _search(shared, dimension: int, reach: list[int], k: int):
+    """Sorted by block and slice: the block's vectors, then the queries; the best of the block for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, parts, place, vectors = None, [], None, None
+        key, parts, block = None, [], None
         for batch in batches:
-            blocks, asks = np.asarray(batch.column("block")), np.asarray(batch.column("asks"))
-            entry, matrix = np.asarray(batch.column("entry")), _matrix(batch.column("vector"), dimension)
-            out: list[tuple[int, int, float]] = []
-            for a, b in _stretches(blocks * 2 + asks):
-                if blocks[a] != block:
-                    block, parts, vectors = int(blocks[a]), [], None
+            blocks, slices, asks = (np.asarray(batch.column(c)) for c in ("block", "slice", "asks"))
+            entry, least, matrix = np.asarray(batch.column("entry")), np.asarray(batch.column("least")), _matrix(batch.column("vector"), dimension)
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for a, b in _stretches(blocks, slices, asks):
+                if (blocks[a], slices[a]) != key:
+                    key, parts, block = (blocks[a], slices[a]), [], None
                 if not asks[a]:
-                    parts.append((entry[a:b], matrix[a:b]))
+                    parts.append((entry[a:b], least[a:b], matrix[a:b]))
                     continue
-                if vectors is None and parts:
-                    ids, vectors = (np.concatenate(x) for x in zip(*parts, strict=True))
-                    place = np.empty(len(ids), dtype=np.int64)
-                    place[ids & 0xFFFFFFFF] = np.arange(len(ids))
-                    unit = _unit(vectors)
-                for row in range(a, b):
-                    found = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in batch.column("found")[row].as_py()]))
-                    rows = place[found]
-                    score = unit[rows] @ _unit(matrix[row : row + 1])[0]
-                    if len(rows) > k + 1:
-                        edge = np.partition(score, len(rows) - k - 1)[len(rows) - k - 1]
-                        best = score >= edge - 1e-12
-                        found, rows = found[best], rows[best]
-                    exact = cosines(matrix[row], vectors[rows])
-                    if len(rows) > k + 1:
-                        best = exact >= np.partition(exact, len(rows) - k - 1)[len(rows) - k - 1]  # with all its ties
-                        found, exact = found[best], exact[best]
-                    out += [(int(entry[row]), (block << 32) + e, s) for e, s in zip(found.tolist(), exact.tolist(), strict=True)]
-            columns = list(zip(*out, strict=True)) or [(), (), ()]
+                if block is None:
+                    if not parts:
+                        continue
+                    block, parts = Block(*(np.concatenate(x) for x in zip(*parts, strict=True)), shared.value), []
+                for c in range(a, b, TOGETHER):
+                    asked = slice(c, min(c + TOGETHER, b))
+                    unit = _unit(matrix[asked])
+                    for query, row, u, hit in zip(entry[asked].tolist(), matrix[asked], unit, block.retrieved(codes(unit, shared.value), reach), strict=True):
+                        found, score = block.best(row, u, np.flatnonzero(hit), k)
+                        out.append((np.full(len(found), query), found, score))
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)] or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "entry", "score"])
 
     return run
 
 
-def _stretches(key: np.ndarray) -> Iterator[tuple[int, int]]:
-    cut = np.flatnonzero(np.diff(key)) + 1
-    return zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True) if len(key) else iter(())
+def _stretches(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    cut = np.flatnonzero(new) + 1
+    return zip([0, *cut.tolist()], [*cut.tolist(), len(keys[0])], strict=True) if len(keys[0]) else iter(())
 
 
 def _usable(vector: Column) -> Column:
@@ -240,17 +223,18 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _retrieve(entries: DataFrame, queries: DataFrame, rotation, dimension: int, slices: int, radius: int, k: int) -> DataFrame:
+def _retrieve(entries: DataFrame, queries: DataFrame, rotation, dimension: int, blocks: int, radius: int, k: int) -> DataFrame:
     """(query, entry, score): the best retrieved entries of each block for each of the entries ``queries``."""
     reach = limits(radius, rotation.value.shape[1] // SUBSTRING).tolist()
-    schema = "table int, slice int, asks boolean, entry long, value int"
-    postings = entries.select("entry", "vector").mapInArrow(_post(rotation, dimension, slices, None), schema)
-    probes = queries.select("entry", "vector").mapInArrow(_post(rotation, dimension, slices, reach), schema)
-    found = postings.unionAll(probes).groupBy("table", "slice").applyInArrow(_probe(reach), "query long, block int, found binary")
-    lists = found.groupBy("query", "block").agg(F.collect_list("found").alias("found"))
-    asked = lists.join(queries.select(F.col("entry").alias("query"), "vector"), "query").select("block", F.lit(True).alias("asks"), F.col("query").alias("entry"), "vector", "found")
-    held = entries.select("block", F.lit(False).alias("asks"), "entry", "vector", F.lit(None).cast("array<binary>").alias("found"))
-    return held.unionAll(asked).repartition("block").sortWithinPartitions("block", "asks").mapInArrow(_rerank(dimension, k), "query long, entry long, score double")
+    slices = max(1, -(-queries.count() // SLICE_ROWS))
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    held = entries.select("block", each(slices).alias("slice"), F.lit(False).alias("asks"), "entry", F.get("ids", F.lit(0)).alias("least"), "vector")
+    asked = queries.select(each(blocks).alias("block"), F.pmod(F.xxhash64("entry"), F.lit(slices)).cast("int").alias("slice"), F.lit(True).alias("asks"), "entry", F.lit(0).cast("long").alias("least"), "vector")
+    both = held.unionAll(asked).withColumn("task", F.col("block") * slices + F.col("slice"))
+    return both.repartitionById(blocks * slices, "task").drop("task").sortWithinPartitions("block", "slice", "asks").mapInArrow(_search(rotation, dimension, reach, k), "query long, entry long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None = None, bits: int = BITS, sample_rows: int = SAMPLE) -> DataFrame:
@@ -266,7 +250,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None
     if sizes is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dimension, count = sizes["d"], max(1, -(-sizes["count"] // BLOCK_ROWS))
-    slices = min(SUBSTRING, max(0, (sizes["count"] - 1).bit_length() - (SLICE_ROWS - 1).bit_length()))
     # -0.0 equals 0.0, so that equal vectors have equal hashes
     rows = rows.where(F.size("vector") == dimension).select("vec_id", F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))
     rows = rows.select("vec_id", F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(1), "vector").alias("k2"), "vector")
@@ -292,7 +275,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, radius: int | None
     left = entries.join(asking.select(F.col("query").alias("entry")).distinct(), "entry", "left_semi")
     found = None
     while True:
-        now = checkpoint(_retrieve(entries, left, rotation, dimension, slices, radius, k).join(owned, "entry"))
+        now = checkpoint(_retrieve(entries, left, rotation, dimension, count, radius, k).join(owned, "entry"))
         full = now.groupBy("query").agg(F.sum(F.size("ids")).alias("n")).where(F.col("n") >= enough).select(F.col("query").alias("entry"))
         good = now.join(full.withColumnRenamed("entry", "query"), "query", "left_semi")
         found = good if found is None else found.unionAll(good)

@@ -141,6 +141,25 @@ def test_multiples_of_a_vector_tie(spark):
     assert len(found) == 30 and tied >= 28  # but for what rounding to double parts
 
 
+def test_what_leaves_a_block_is_bounded(spark, monkeypatch):
+    """Of vectors that all tie, a block gives each query the few of the smallest ids, whatever it retrieves."""
+    monkeypatch.setattr(mih_search, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(mih_search, "SLICE_ROWS", 3)
+    given = []
+    plain = mih_search._retrieve
+    monkeypatch.setattr(mih_search, "_retrieve", lambda *a: given.append(out := plain(*a)) or out)
+    rows = [(k, [float(2 + 3 * k), 0.0]) for k in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collections.defaultdict(list)
+    for x in mih_search.nearest(table, F.col("vec_id") % 50 == 0).collect():
+        found[x.query_id].append((x["rank"], x.vec_id, x.score))
+    assert found.keys() == set(range(0, 400, 50))
+    for q, best in found.items():
+        assert sorted(best) == [(n + 1, i, 1.0) for n, i in enumerate([i for i in range(6) if i != q][:5])]
+    sent = given[0].groupBy("query", F.shiftright("entry", 32)).count().collect()
+    assert len(sent) > 8 and max(x["count"] for x in sent) <= 6
+
+
 # --- personal data
 
 BASE = {
