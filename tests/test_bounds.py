@@ -127,3 +127,30 @@ def test_each_sentence_is_read_once_for_relations(spark, capsys):
     assert [plan.count(f"{name}(") for name in ("regexp_instr", "regexp_extract", "locate")] == [1, 1, 1]
     got = {tuple(x) for x in found.select("chunk_ord", "subject", "relation", "object").collect()}
     assert got == {(0, "the red house", "with", "the blue house"), (0, "ab cd", "from", "the red house")}
+
+
+def _shuffled(spark) -> int:
+    """Rows that the session's stages have written to shuffles so far."""
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = context._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, context._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+@pytest.mark.parametrize(("sent", "alike"), [(100_000, 1 << 18), (0, 100)])
+def test_no_pair_of_query_and_edge_is_shuffled(spark, monkeypatch, sent, alike):
+    """What is shuffled follows the chunks and the queries' labels, not how often the two meet."""
+    monkeypatch.setattr(graph, "SENT", sent, raising=False)
+    monkeypatch.setattr(graph, "ALIKE", alike, raising=False)
+    facts = [(a * 100 + b, f"d{a}", f"c{a}-{b}-{k}", f"p{a}", f"m{k % 4}", f"s{b}") for a in range(16) for b in range(16) for k in range(4)]
+    rows = spark.createDataFrame(facts, "chunk_ord int, doc_id string, chunk_id string, subject string, relation string, object string")
+    edges = spark.createDataFrame([(f"p{a}", f"s{b}", f"m{(a + b) % 4}", a + 1) for a in range(16) for b in range(16)], "subject string, object string, relation string, evidence_count long")
+    ends = edges.select(graph.entity("subject").alias("src"), graph.entity("object").alias("dst"))
+    asked = [(f"q{q}", f"{'ps'[k % 2]}{(q + k) % 16}") for q in range(100) for k in range(8)]
+    labels = spark.createDataFrame(asked, "query_id string, label string")
+    before = _shuffled(spark)
+    found = graph.chunk_scores(labels, graph.edge_ends(ends), graph.edge_evidence(edges, rows)).collect()
+    assert _shuffled(spark) - before < len(found)
+    of = {q: {x for name, x in asked if name == q} for q, _ in asked}
+    want = {(q, f"c{a}-{b}-{(a + b) % 4}"): a + 1 for q, each in of.items() for a in range(16) for b in range(16) if {f"p{a}", f"s{b}"} & each}
+    assert {(x.query_id, x.chunk_id): x.graph_score for x in found} == want and len(found) == len(want)
