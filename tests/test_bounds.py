@@ -154,3 +154,31 @@ def test_no_pair_of_query_and_edge_is_shuffled(spark, monkeypatch, sent, alike):
     of = {q: {x for name, x in asked if name == q} for q, _ in asked}
     want = {(q, f"c{a}-{b}-{(a + b) % 4}"): a + 1 for q, each in of.items() for a in range(16) for b in range(16) if {f"p{a}", f"s{b}"} & each}
     assert {(x.query_id, x.chunk_id): x.graph_score for x in found} == want and len(found) == len(want)
+
+
+def test_first_of_fused_hits_without_the_others(spark):
+    """The first rows of each query as ``fuse`` ranks them, though its graph's chunks are not repeated for each query."""
+    random = np.random.default_rng(4)
+    chunks = spark.createDataFrame([(f"c{k}", f"d{k % 5}") for k in range(600)], "chunk_id string, doc_id string")
+    graphs = [(g, f"c{k}", int(random.integers(0, 15))) for g in range(3) for k in range(650) if k % 3 != g]
+    scores = spark.createDataFrame(graphs, "graph int, chunk_id string, graph_score int")
+    # some below 0, so that a chunk that is a hit would rank higher as one that only the graph finds; q0 has no hits, q1 no graph
+    hits = [(f"q{q}", f"c{c}", f"d{c % 5}", float(s), r + 1) for q in range(1, 40) for r, (c, s) in enumerate(zip(random.permutation(600)[:20], np.sort(random.uniform(-0.5, 0.03, 20))[::-1], strict=True))]
+    near = spark.createDataFrame(hits, "query_id string, chunk_id string, doc_id string, score double, hit_rank int")
+    asks = spark.createDataFrame([(f"q{q}", q % 3) for q in range(40) if q != 1], "query_id string, graph int")
+    columns = ["query_id", "chunk_id", "doc_id", "score", "hit_rank"]
+    want = search.fuse(near, asks.join(scores, "graph").drop("graph"), chunks).where("hit_rank <= 12").select(columns).collect()
+    before = _shuffled(spark)
+    got = search.fused_first(near, asks, scores, chunks, 12, 20).select(columns).collect()
+    assert _shuffled(spark) - before < 10_000  # there are 16,000 rows of query and chunk
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == 40 * 12
+
+
+def test_fragments_are_sought_for_first_hits_alone(spark, sf_dir, monkeypatch):
+    """Each query brings its first ten hits with texts, not all that its graph finds."""
+    given = []
+    plain = search.fragments
+    monkeypatch.setattr(search, "fragments", lambda hits, *a: given.append(hits) or plain(hits, *a))
+    rows = __spark_entry__.queries()["search_fragments"](spark, sf_dir).count()
+    counts = [x["count"] for x in given[0].groupBy("query_id").count().collect()]
+    assert rows == 250 and len(counts) == 25 and max(counts) <= 10
